@@ -1,0 +1,30 @@
+"""Joins against dimensions whose size is checked before broadcasting."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Broadcast a dimension only up to this many rows; above it the join is a
+# normal shuffle join that AQE may still turn into a broadcast.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      known_bound: int | None = None) -> DataFrame:
+    """``broadcast(dim)`` if it provably has at most ``max_rows`` rows.
+
+    ``known_bound`` is a static bound (e.g. the product of the allowed
+    category lists); without one the rows are counted, reading no more than
+    ``max_rows + 1`` of them.
+    """
+    if known_bound is not None and known_bound <= max_rows:
+        return F.broadcast(dim)
+    if dim.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(dim)
+    return dim
+
+
+def join_dimension(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left",
+                   max_rows: int = BROADCAST_MAX_ROWS, known_bound: int | None = None) -> DataFrame:
+    return fact.join(bounded_broadcast(dim, max_rows, known_bound), on, how)
