@@ -41,14 +41,11 @@ def dense_key_large(df: DataFrame, order: str, key: str, partitions: int | None
         "*", F.spark_partition_id().alias("_pid"),
         F.monotonically_increasing_id().alias("_mid")))
     # One row per partition: bounded by the partition count, not the data.
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect()
-    sizes = dict((r["_pid"], r["_n"]) for r in counts)
-    offsets, running = [], 0
-    for pid in range(max(sizes, default=-1) + 1):
-        offsets.append(running)
-        running += sizes.get(pid, 0)
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets] or [F.lit(0).cast("long")]),
-                          F.col("_pid") + 1)
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+               .select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
+    tagged = tagged.join(F.broadcast(offsets), "_pid")
+    offset = F.col("_off")
     position = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     base = start if isinstance(start, Column) else F.lit(start).cast("long")
     return tagged.select((base + offset + position + 1).alias(key), *df.columns)

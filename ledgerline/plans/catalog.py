@@ -1,32 +1,268 @@
 """Named queries over the driver tables.
 
 Each query takes ``(spark, sf_dir)`` and returns a DataFrame computed from
-the whole of the driver tables through the sales view.
+the whole of the driver tables through the raw sales view (see
+``sources.tables``), with the driver-table rule set.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerline.operators import report
+from ledgerline.functions.money import round2
+from ledgerline.functions.parse import date_to_iso
+from ledgerline.operators import checks, profile, quality, report
+from ledgerline.operators.star import StarSchema
 from ledgerline.plans.pipeline import Prepared, prepare
-from ledgerline.rules import driver_table_rules
+from ledgerline.plans.publish import Warehouse, merge_into
+from ledgerline.rules import NUMERIC_COLUMNS, driver_table_rules
+from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.sources.csv import read_csv_strings, write_csv
 from ledgerline.sources.tables import sales_view
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Load batches for the upsert queries: the first load holds rows shipped
+# before 1999, the second rows shipped from mid-1998 on, so half a year of
+# invoices arrives twice (matched keys) and the rest is new.
+FIRST_LOAD_BEFORE = "1999-01-01"
+SECOND_LOAD_FROM = "1998-07-01"
 
-def prepared(spark: SparkSession, sf_dir: str) -> Prepared:
-    return prepare(sales_view(spark, sf_dir), driver_table_rules())
 
+def prepared(spark: SparkSession, sf_dir: str, **batch) -> Prepared:
+    return prepare(sales_view(spark, sf_dir, **batch), driver_table_rules())
 
-def q_sales_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = prepared(spark, sf_dir).star()
-    return report.sales_report(star.fact_sales, star.dim_branch, star.dim_product)
+
+def star(spark: SparkSession, sf_dir: str) -> StarSchema:
+    return prepared(spark, sf_dir).star()
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
+
+
+# -- naming, parsing, quality ------------------------------------------------
+
+def q_column_standardize(spark, sf_dir):
+    return prepared(spark, sf_dir).std
+
+
+def q_coerce_dates_times_numbers(spark, sf_dir):
+    f = prepared(spark, sf_dir).flagged
+    return f.select("invoice_id", "sale_date", "sale_time", *NUMERIC_COLUMNS,
+                    date_to_iso("sale_date").alias("sale_date_iso"))
+
+
+def q_dq_flags(spark, sf_dir):
+    return prepared(spark, sf_dir).flags
+
+
+def q_dq_rejects(spark, sf_dir):
+    return prepared(spark, sf_dir).rejects
+
+
+def q_clean_sales(spark, sf_dir):
+    return prepared(spark, sf_dir).clean_dedup
+
+
+def q_dq_metrics(spark, sf_dir):
+    return prepared(spark, sf_dir).metrics.drop("null_counts")
+
+
+def q_dq_null_counts(spark, sf_dir):
+    return quality.null_counts_long(prepared(spark, sf_dir).metrics)
+
+
+def q_dq_duplicates(spark, sf_dir):
+    return prepared(spark, sf_dir).metrics.select(
+        "raw_row_count", "raw_duplicate_rows", "duplicate_invoice_ids",
+        "invoice_ids_with_duplicates", "clean_rows_after_invoice_dedup")
+
+
+def q_dq_warnings(spark, sf_dir):
+    p = prepared(spark, sf_dir)
+    return quality.warnings_long(p.metrics, p.extra_columns)
+
+
+# -- star schema and checks --------------------------------------------------
+
+def q_dim_branch(spark, sf_dir):
+    return star(spark, sf_dir).dim_branch
+
+
+def q_dim_product(spark, sf_dir):
+    return star(spark, sf_dir).dim_product
+
+
+def q_fact_sales(spark, sf_dir):
+    return star(spark, sf_dir).fact_sales
+
+
+def q_fk_orphans(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return checks.orphan_counts(s.fact_sales, s.dim_branch, s.dim_product)
+
+
+def q_constraint_checks(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return checks.constraint_report(s.dim_branch, s.dim_product, s.fact_sales)
+
+
+def q_row_counts(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return checks.row_counts({"dim_branch": s.dim_branch, "dim_product": s.dim_product,
+                              "fact_sales": s.fact_sales})
+
+
+# -- reports -----------------------------------------------------------------
+
+def q_sales_report(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return report.sales_report(s.fact_sales, s.dim_branch, s.dim_product)
+
+
+def q_report_topn(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return report.top_products_per_branch(
+        report.sales_report(s.fact_sales, s.dim_branch, s.dim_product, ordered=False), 3)
+
+
+def q_revenue_total(spark, sf_dir):
+    return report.revenue_total(star(spark, sf_dir).fact_sales)
+
+
+def q_sales_by_product_line(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return report.sales_by_product_line(s.fact_sales, s.dim_product)
+
+
+def q_income_by_branch(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return report.income_by_branch(s.fact_sales, s.dim_branch)
+
+
+def q_rating_by_city(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return report.rating_by_city(s.fact_sales, s.dim_branch)
+
+
+def q_pivot_total_sales(spark, sf_dir):
+    s = star(spark, sf_dir)
+    sums = report.sales_by_branch_product(s.fact_sales, s.dim_branch, s.dim_product)
+    return profile.pivot_sum(sums, "product_line", "branch_code", driver_table_rules().branches,
+                             F.sum("_sales"), round2)
+
+
+def q_pivot_avg_rating(spark, sf_dir):
+    s = star(spark, sf_dir)
+    sums = report.sales_by_branch_product(s.fact_sales, s.dim_branch, s.dim_product)
+    avg = F.try_divide(F.sum("_rating_sum").cast("double"), F.sum("_rating_n"))
+    return profile.pivot_sum(sums, "product_line", "branch_code", driver_table_rules().branches, avg, round2)
+
+
+# -- profiles of the raw rows ------------------------------------------------
+
+def q_value_counts_branch(spark, sf_dir):
+    return profile.value_counts(prepared(spark, sf_dir).std, "branch")
+
+
+def q_value_counts_product_line(spark, sf_dir):
+    return profile.value_counts(prepared(spark, sf_dir).std, "product_line")
+
+
+def q_describe_numeric(spark, sf_dir):
+    f = prepared(spark, sf_dir).flagged
+    return profile.describe_numeric(f, {c: c for c in NUMERIC_COLUMNS})
+
+
+def q_rating_histogram(spark, sf_dir):
+    return profile.histogram(prepared(spark, sf_dir).flagged, "rating", 20)
+
+
+def q_column_profile(spark, sf_dir):
+    return profile.column_profile(sales_view(spark, sf_dir))
+
+
+# -- loads -------------------------------------------------------------------
+
+def _two_loads(spark, sf_dir) -> StarSchema:
+    first = prepared(spark, sf_dir, ship_before=FIRST_LOAD_BEFORE).star()
+    second = prepared(spark, sf_dir, ship_from=SECOND_LOAD_FROM).clean_dedup
+    return merge_into(first, second, driver_table_rules())
+
+
+def q_upsert_fact(spark, sf_dir):
+    return _two_loads(spark, sf_dir).fact_sales
+
+
+def q_upsert_dim_branch(spark, sf_dir):
+    return _two_loads(spark, sf_dir).dim_branch
+
+
+def q_upsert_dim_product(spark, sf_dir):
+    return _two_loads(spark, sf_dir).dim_product
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    """Raw rows written as CSV, read back as strings, names standardized."""
+    path = scratch_dir(spark) + "/raw_csv"
+    write_csv(sales_view(spark, sf_dir), path)
+    return quality.standardized(read_csv_strings(spark, path), driver_table_rules())[0]
+
+
+def q_parquet_roundtrip(spark, sf_dir):
+    path = scratch_dir(spark) + "/fact_sales"
+    star(spark, sf_dir).fact_sales.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def q_staged_publish(spark, sf_dir):
+    """Full load into a fresh warehouse; the report is read back through
+    the published manifest."""
+    wh = Warehouse(spark, scratch_dir(spark) + "/warehouse")
+    wh.load(star(spark, sf_dir))
+    t = wh.tables()
+    return report.sales_report(t.fact_sales, t.dim_branch, t.dim_product)
 
 
 QUERIES: dict[str, Query] = {
     "sales_report": q_sales_report,
+    "column_standardize": q_column_standardize,
+    "coerce_dates_times_numbers": q_coerce_dates_times_numbers,
+    "dq_flags": q_dq_flags,
+    "dq_rejects": q_dq_rejects,
+    "clean_sales": q_clean_sales,
+    "dq_metrics": q_dq_metrics,
+    "dq_null_counts": q_dq_null_counts,
+    "dq_duplicates": q_dq_duplicates,
+    "dq_warnings": q_dq_warnings,
+    "dim_branch": q_dim_branch,
+    "dim_product": q_dim_product,
+    "fact_sales": q_fact_sales,
+    "fk_orphans": q_fk_orphans,
+    "constraint_checks": q_constraint_checks,
+    "row_counts": q_row_counts,
+    "report_topn": q_report_topn,
+    "revenue_total": q_revenue_total,
+    "sales_by_product_line": q_sales_by_product_line,
+    "income_by_branch": q_income_by_branch,
+    "rating_by_city": q_rating_by_city,
+    "pivot_total_sales": q_pivot_total_sales,
+    "pivot_avg_rating": q_pivot_avg_rating,
+    "value_counts_branch": q_value_counts_branch,
+    "value_counts_product_line": q_value_counts_product_line,
+    "describe_numeric": q_describe_numeric,
+    "rating_histogram": q_rating_histogram,
+    "column_profile": q_column_profile,
+    "upsert_fact": q_upsert_fact,
+    "upsert_dim_branch": q_upsert_dim_branch,
+    "upsert_dim_product": q_upsert_dim_product,
+    "csv_roundtrip": q_csv_roundtrip,
+    "parquet_roundtrip": q_parquet_roundtrip,
+    "staged_publish": q_staged_publish,
 }

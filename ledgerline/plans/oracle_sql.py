@@ -28,8 +28,9 @@ def fixed4(c: str) -> str:
     return f"(CAST(({c}) // 10000 AS VARCHAR) || '.' || lpad(CAST(({c}) % 10000 AS VARCHAR), 4, '0'))"
 
 
-VIEW = f"""
-base AS (
+def view_sql(sfx: str = "", where: str = "") -> str:
+    return f"""
+base{sfx} AS (
   SELECT l.*, o.*, c.*, n.n_name, r.r_name, p.p_type,
          CAST(l_quantity AS BIGINT) AS qty,
          CAST(round(l_extendedprice * 100) AS BIGINT) AS ext,
@@ -41,14 +42,15 @@ base AS (
   JOIN nation n ON c.c_nationkey = n.n_nationkey
   JOIN region r ON n.n_regionkey = r.r_regionkey
   JOIN part p ON l.l_partkey = p.p_partkey
+  {where}
 ),
-cents AS (
+cents{sfx} AS (
   SELECT *, (ext * 2 + qty) // (qty * 2) AS price_c,
          (ext * tax_pct * 2 + 100) // 200 AS tax_c,
          (tax_pct * 2000000 + tax_pct + 100) // ((tax_pct + 100) * 2) AS margin_s
-  FROM base
+  FROM base{sfx}
 ),
-raw AS (
+raw{sfx} AS (
   SELECT
     CASE WHEN l_orderkey % 101 = 0 AND l_linenumber = 1 THEN NULL
          ELSE 'INV-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END AS invoice_id,
@@ -71,7 +73,7 @@ raw AS (
     {money('tax_c')} AS gross_income,
     CASE WHEN l_suppkey % 47 = 0 THEN NULL
          ELSE CAST(disc_pct AS VARCHAR) || '.' || CAST(l_orderkey % 10 AS VARCHAR) END AS rating
-  FROM cents
+  FROM cents{sfx}
 )"""
 
 RAW_COLUMNS = [
@@ -102,16 +104,18 @@ def _typed_select() -> str:
     return ",\n    ".join(out)
 
 
-def _flag_sql(raw_alias: str = "raw") -> str:
-    crit = " OR ".join(f"{raw_alias}.{c} IS NULL" for c in CRITICAL)
+def stages(sfx: str = "", where: str = "") -> str:
+    """CTEs from the raw view to the fact, names suffixed with ``sfx``."""
+    crit = " OR ".join(f"raw{sfx}.{c} IS NULL" for c in CRITICAL)
     tol = _R.tolerance
-    return f"""
-typed AS (
+    order = ", ".join(c + " ASC NULLS FIRST" for c in _DEDUP_ORDER)
+    return view_sql(sfx, where) + f""",
+typed{sfx} AS (
   SELECT {_typed_select()},
     ({crit}) AS critical_null
-  FROM raw
+  FROM raw{sfx}
 ),
-flagged AS (
+flagged0{sfx} AS (
   SELECT *,
     sale_date IS NULL AS invalid_date,
     sale_time IS NULL AS invalid_time,
@@ -126,56 +130,62 @@ flagged AS (
     coalesce(abs(total_amount - {r2('cogs + coalesce(tax_amount, 0.0)')}) > {tol}, false) AS total_mismatch,
     coalesce(abs(cogs - {r2('unit_price * quantity')}) > {tol}, false) AS cogs_mismatch,
     coalesce(abs(gross_income - coalesce(tax_amount, 0.0)) > {tol}, false) AS gross_income_mismatch
-  FROM typed
+  FROM typed{sfx}
 ),
-flagged2 AS (
+flagged{sfx} AS (
   SELECT *, (critical_null OR invalid_date OR invalid_time OR invalid_branch OR invalid_city
              OR invalid_customer_type OR invalid_gender OR invalid_payment OR invalid_numeric) AS rejected
-  FROM flagged
-)"""
-
-
-_DEDUP_ORDER = ["sale_date", "sale_time"] + [c for c in RAW_COLUMNS if c not in
-                                             ("invoice_id", "sale_date", "sale_time")]
-_COLS = ", ".join(RAW_COLUMNS)
-
-STAGES = VIEW + "," + _flag_sql() + f""",
-clean AS (SELECT {_COLS} FROM flagged2 WHERE NOT rejected),
-dedup AS (
+  FROM flagged0{sfx}
+),
+clean{sfx} AS (SELECT {_COLS} FROM flagged{sfx} WHERE NOT rejected),
+dedup{sfx} AS (
   SELECT {_COLS} FROM (
-    SELECT *, row_number() OVER (PARTITION BY invoice_id ORDER BY
-      {", ".join(c + " ASC NULLS FIRST" for c in _DEDUP_ORDER)}) AS rn
-    FROM clean) WHERE rn = 1
+    SELECT *, row_number() OVER (PARTITION BY invoice_id ORDER BY {order}) AS rn
+    FROM clean{sfx}) WHERE rn = 1
 ),
-dim_branch AS (
+dim_branch{sfx} AS (
   SELECT CAST(row_number() OVER (ORDER BY branch, city) AS BIGINT) AS branch_key,
          branch AS branch_code, city
-  FROM (SELECT DISTINCT branch, city FROM dedup)
+  FROM (SELECT DISTINCT branch, city FROM dedup{sfx})
 ),
-dim_product AS (
+dim_product{sfx} AS (
   SELECT CAST(row_number() OVER (ORDER BY product_line) AS BIGINT) AS product_key, product_line
-  FROM (SELECT DISTINCT product_line FROM dedup)
+  FROM (SELECT DISTINCT product_line FROM dedup{sfx})
 ),
-fact AS (
+fact{sfx} AS (
   SELECT CAST(row_number() OVER (ORDER BY d.invoice_id) AS BIGINT) AS sales_key, d.invoice_id,
-         b.branch_key, p.product_key, d.sale_date, d.sale_time, d.customer_type, d.gender,
-         d.payment_method, d.unit_price, CAST(d.quantity AS INTEGER) AS quantity, d.tax_amount,
-         d.total_amount, d.cogs, d.gross_margin_pct, d.gross_income, d.rating
-  FROM dedup d
-  LEFT JOIN dim_branch b ON d.branch = b.branch_code AND d.city = b.city
-  LEFT JOIN dim_product p ON d.product_line = p.product_line
+         {_FACT_BODY}
+  FROM dedup{sfx} d
+  LEFT JOIN dim_branch{sfx} b ON d.branch = b.branch_code AND d.city = b.city
+  LEFT JOIN dim_product{sfx} p ON d.product_line = p.product_line
 )"""
 
 
+_DEDUP_ORDER = ["sale_date", "sale_time"] + [c for c in RAW_COLUMNS if c not in
+                                             ("invoice_id", "sale_date", "sale_time")]
+_COLS = ", ".join(RAW_COLUMNS)
+_FACT_BODY = """b.branch_key, p.product_key, d.sale_date, d.sale_time, d.customer_type, d.gender,
+         d.payment_method, d.unit_price, CAST(d.quantity AS INTEGER) AS quantity, d.tax_amount,
+         d.total_amount, d.cogs, d.gross_margin_pct, d.gross_income, d.rating"""
+FACT_VALUES = ["branch_key", "product_key", "sale_date", "sale_time", "customer_type", "gender",
+               "payment_method", "unit_price", "quantity", "tax_amount", "total_amount", "cogs",
+               "gross_margin_pct", "gross_income", "rating"]
+TYPED_COLUMNS = RAW_COLUMNS
+
+
 def with_stages(body: str) -> str:
-    return "WITH " + STAGES.strip() + "\n" + body
+    return "WITH " + stages().strip() + "\n" + body
 
 
 def _dec(c: str) -> str:
     return f"CAST({c} AS DECIMAL(18,4))"
 
 
-SALES_REPORT = with_stages(f"""
+def r6(x: str) -> str:
+    return f"CAST(ROUND(CAST({x} AS DECIMAL(28,10)), 6) AS DOUBLE)"
+
+
+_REPORT_BODY = f"""
 SELECT b.branch_code, b.city, p.product_line,
   CAST(COUNT(f.sales_key) AS BIGINT) AS transaction_count,
   CAST(SUM(f.quantity) AS BIGINT) AS total_units_sold,
@@ -190,9 +200,236 @@ SELECT b.branch_code, b.city, p.product_line,
 FROM fact f
 JOIN dim_branch b ON f.branch_key = b.branch_key
 JOIN dim_product p ON f.product_key = p.product_key
-GROUP BY b.branch_code, b.city, p.product_line
-ORDER BY b.branch_code, sales_rank_within_branch, p.product_line""")
+GROUP BY b.branch_code, b.city, p.product_line"""
+
+SALES_REPORT = with_stages(_REPORT_BODY + "\nORDER BY b.branch_code, sales_rank_within_branch, p.product_line")
+REPORT_TOPN = with_stages(f"SELECT * FROM ({_REPORT_BODY}) WHERE sales_rank_within_branch <= 3")
+
+_STAR = "FROM fact f JOIN dim_branch b ON f.branch_key = b.branch_key JOIN dim_product p ON f.product_key = p.product_key"
+
+
+def _metric_sql() -> str:
+    flag_metrics = {
+        "critical_null": "critical_null_rows", "invalid_date": "invalid_dates",
+        "invalid_time": "invalid_times", "invalid_branch": "invalid_branch_values",
+        "invalid_city": "invalid_city_values", "invalid_customer_type": "invalid_customer_type_values",
+        "invalid_gender": "invalid_gender_values", "invalid_payment": "invalid_payment_values",
+        "invalid_numeric": "invalid_numeric_rows", "tax_mismatch": "tax_mismatch_rows",
+        "total_mismatch": "total_mismatch_rows", "cogs_mismatch": "cogs_mismatch_rows",
+        "gross_income_mismatch": "gross_income_mismatch_rows", "rejected": "rejected_rows",
+    }
+    sums = ",\n    ".join(f"CAST(count(*) FILTER (WHERE {f}) AS BIGINT) AS {m}" for f, m in flag_metrics.items())
+    return f"""
+ids AS (SELECT invoice_id, count(*) AS n FROM raw GROUP BY invoice_id),
+metrics AS (
+  SELECT
+    CAST(count(*) AS BIGINT) AS raw_row_count,
+    CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw)) AS BIGINT) AS raw_duplicate_rows,
+    (SELECT CAST(sum(n - 1) AS BIGINT) FROM ids) AS duplicate_invoice_ids,
+    (SELECT CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) FROM ids) AS invoice_ids_with_duplicates,
+    {sums},
+    CAST(count(*) FILTER (WHERE NOT rejected) AS BIGINT) AS clean_rows,
+    (SELECT CAST(count(DISTINCT invoice_id) AS BIGINT) FROM clean) AS clean_rows_after_invoice_dedup
+  FROM flagged
+)"""
+
+
+def _with_metrics(body: str) -> str:
+    return "WITH " + stages().strip() + "," + _metric_sql() + "\n" + body
+
+
+RAW_NAMES = {
+    "invoice_id": "Invoice ID", "branch": "Branch", "city": "City", "customer_type": "Customer type",
+    "gender": "Gender", "product_line": "Product line", "unit_price": "Unit price", "quantity": "Quantity",
+    "tax_amount": "Tax 5%", "total_amount": "Total", "sale_date": "Date", "sale_time": "Time",
+    "payment_method": "Payment", "cogs": "cogs", "gross_margin_pct": "gross margin percentage",
+    "gross_income": "gross income", "rating": "Rating",
+}
+WARNINGS = [("duplicate_rows", "raw_duplicate_rows"), ("duplicate_invoice_ids", "duplicate_invoice_ids"),
+            ("tax_mismatch_rows", "tax_mismatch_rows"), ("total_mismatch_rows", "total_mismatch_rows"),
+            ("cogs_mismatch_rows", "cogs_mismatch_rows"),
+            ("gross_income_mismatch_rows", "gross_income_mismatch_rows")]
+METRIC_COLUMNS = [
+    "raw_row_count", "raw_duplicate_rows", "duplicate_invoice_ids", "invoice_ids_with_duplicates",
+    "critical_null_rows", "invalid_dates", "invalid_times", "invalid_branch_values", "invalid_city_values",
+    "invalid_customer_type_values", "invalid_gender_values", "invalid_payment_values",
+    "invalid_numeric_rows", "tax_mismatch_rows", "total_mismatch_rows", "cogs_mismatch_rows",
+    "gross_income_mismatch_rows", "rejected_rows", "clean_rows", "clean_rows_after_invoice_dedup",
+]
+
+
+def _markers() -> str:
+    from ledgerline.rules import NULL_MARKERS
+
+    return _in(NULL_MARKERS)
+
+
+def _describe() -> str:
+    long = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {c} AS value FROM typed WHERE {c} IS NOT NULL" for c in NUMERIC)
+    return with_stages(f""",
+long AS ({long})
+SELECT column_name, CAST(count(value) AS BIGINT) AS count,
+  {r6("CAST(SUM(CAST(value AS DECIMAL(28,10))) AS DOUBLE) / count(value)")} AS mean,
+  {r6("stddev_samp(value)")} AS std, min(value) AS min,
+  {r6("quantile_cont(value, 0.25)")} AS p25, {r6("quantile_cont(value, 0.5)")} AS p50,
+  {r6("quantile_cont(value, 0.75)")} AS p75, max(value) AS max
+FROM long GROUP BY column_name""".replace("\n,\nlong", ",\nlong"))
+
+
+def _histogram() -> str:
+    return with_stages(""",
+bounds AS (SELECT min(rating) AS lo, max(rating) AS hi FROM typed),
+bins AS (SELECT CAST(range AS INTEGER) AS bin FROM range(20)),
+counts AS (
+  SELECT CAST(LEAST(CASE WHEN hi - lo > 0 THEN floor((rating - lo) * 20.0 / (hi - lo)) ELSE 0 END, 19) AS INTEGER)
+           AS bin, count(*) AS n
+  FROM typed, bounds WHERE rating IS NOT NULL GROUP BY 1
+)
+SELECT bins.bin, lo + (hi - lo) * bins.bin / 20.0 AS lower_edge, lo + (hi - lo) * (bins.bin + 1) / 20.0 AS upper_edge,
+       CAST(coalesce(n, 0) AS BIGINT) AS "count"
+FROM bins CROSS JOIN bounds LEFT JOIN counts ON bins.bin = counts.bin""")
+
+
+def _pivot(measure: str) -> str:
+    cols = ",\n  ".join(measure.format(v=v.replace("'", "''")) + f' AS "{v}"' for v in _R.branches)
+    return with_stages(f"SELECT p.product_line,\n  {cols}\n{_STAR}\nGROUP BY p.product_line")
+
+
+def _upsert(table: str) -> str:
+    first = stages("_a", "WHERE l.l_shipdate < TIMESTAMP '1999-01-01'")
+    second = stages("_b", "WHERE l.l_shipdate >= TIMESTAMP '1998-07-01'")
+    picks = ",\n    ".join(f"CASE WHEN s.invoice_id IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}"
+                           for c in FACT_VALUES)
+    src_cols = ", ".join(f"s.{c}" for c in FACT_VALUES)
+    return "WITH " + first.strip() + "," + second + f""",
+new_branch AS (
+  SELECT DISTINCT branch AS branch_code, city FROM dedup_b d
+  WHERE NOT EXISTS (SELECT 1 FROM dim_branch_a t WHERE t.branch_code = d.branch AND t.city = d.city)
+),
+dim_branch_m AS (
+  SELECT * FROM dim_branch_a
+  UNION ALL
+  SELECT (SELECT coalesce(max(branch_key), 0) FROM dim_branch_a)
+         + CAST(row_number() OVER (ORDER BY branch_code, city) AS BIGINT), branch_code, city
+  FROM new_branch
+),
+new_product AS (
+  SELECT DISTINCT product_line FROM dedup_b d
+  WHERE NOT EXISTS (SELECT 1 FROM dim_product_a t WHERE t.product_line = d.product_line)
+),
+dim_product_m AS (
+  SELECT * FROM dim_product_a
+  UNION ALL
+  SELECT (SELECT coalesce(max(product_key), 0) FROM dim_product_a)
+         + CAST(row_number() OVER (ORDER BY product_line) AS BIGINT), product_line
+  FROM new_product
+),
+src AS (
+  SELECT d.invoice_id, {_FACT_BODY}
+  FROM dedup_b d
+  LEFT JOIN dim_branch_m b ON d.branch = b.branch_code AND d.city = b.city
+  LEFT JOIN dim_product_m p ON d.product_line = p.product_line
+),
+fact_m AS (
+  SELECT t.sales_key, t.invoice_id,
+    {picks}
+  FROM fact_a t LEFT JOIN src s ON t.invoice_id = s.invoice_id
+  UNION ALL
+  SELECT (SELECT coalesce(max(sales_key), 0) FROM fact_a) + CAST(row_number() OVER (ORDER BY s.invoice_id) AS BIGINT),
+         s.invoice_id, {src_cols}
+  FROM src s WHERE NOT EXISTS (SELECT 1 FROM fact_a t WHERE t.invoice_id = s.invoice_id)
+)
+SELECT * FROM {table}"""
+
+
+def _unique(table: str, cols: str) -> str:
+    first = cols.split(",")[0].strip()
+    return (f"(SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM {table} "
+            f"WHERE {first} IS NOT NULL GROUP BY {cols}) WHERE n > 1)")
+
+
+def _orphans(fk: str, dim: str) -> str:
+    return (f"(SELECT CAST(count(*) AS BIGINT) FROM fact f WHERE NOT EXISTS "
+            f"(SELECT 1 FROM {dim} d WHERE d.{fk} = f.{fk}))")
+
+
+_CHECKS = [
+    ("dim_branch", "pk_not_null", "(SELECT CAST(count(*) FILTER (WHERE branch_key IS NULL) AS BIGINT) FROM dim_branch)"),
+    ("dim_branch", "pk_unique", _unique("dim_branch", "branch_key")),
+    ("dim_branch", "natural_key_unique", _unique("dim_branch", "branch_code, city")),
+    ("dim_product", "pk_not_null", "(SELECT CAST(count(*) FILTER (WHERE product_key IS NULL) AS BIGINT) FROM dim_product)"),
+    ("dim_product", "pk_unique", _unique("dim_product", "product_key")),
+    ("dim_product", "natural_key_unique", _unique("dim_product", "product_line")),
+    ("fact_sales", "pk_not_null", "(SELECT CAST(count(*) FILTER (WHERE sales_key IS NULL) AS BIGINT) FROM fact)"),
+    ("fact_sales", "pk_unique", _unique("fact", "sales_key")),
+    ("fact_sales", "natural_key_unique", _unique("fact", "invoice_id")),
+    ("fact_sales", "fk_branch_key", _orphans("branch_key", "dim_branch")),
+    ("fact_sales", "fk_product_key", _orphans("product_key", "dim_product")),
+]
 
 ORACLE_SQL: dict[str, str] = {
     "sales_report": SALES_REPORT,
+    "report_topn": REPORT_TOPN,
+    "column_standardize": with_stages("SELECT * FROM raw"),
+    "coerce_dates_times_numbers": with_stages(
+        f"SELECT invoice_id, sale_date, sale_time, {', '.join(NUMERIC)}, "
+        "strftime(sale_date, '%Y-%m-%d') AS sale_date_iso FROM typed"),
+    "dq_flags": with_stages(f"SELECT invoice_id, {', '.join(FLAGS)} FROM flagged"),
+    "dq_rejects": with_stages(
+        f"SELECT {_COLS}, {', '.join(FLAGS)} FROM flagged WHERE rejected OR tax_mismatch OR total_mismatch "
+        "OR cogs_mismatch OR gross_income_mismatch"),
+    "clean_sales": with_stages("SELECT * FROM dedup"),
+    "dq_metrics": _with_metrics(f"SELECT {', '.join(METRIC_COLUMNS)} FROM metrics"),
+    "dq_null_counts": with_stages(" UNION ALL ".join(
+        f"SELECT '{RAW_NAMES[c]}' AS column_name, CAST(count(*) - count({c}) AS BIGINT) AS null_count FROM raw"
+        for c in RAW_COLUMNS)),
+    "dq_duplicates": _with_metrics(
+        "SELECT raw_row_count, raw_duplicate_rows, duplicate_invoice_ids, invoice_ids_with_duplicates, "
+        "clean_rows_after_invoice_dedup FROM metrics"),
+    "dq_warnings": _with_metrics(" UNION ALL ".join(
+        f"SELECT '{w}' AS type, {m} AS count FROM metrics WHERE {m} > 0" for w, m in WARNINGS)),
+    "dim_branch": with_stages("SELECT * FROM dim_branch"),
+    "dim_product": with_stages("SELECT * FROM dim_product"),
+    "fact_sales": with_stages("SELECT * FROM fact"),
+    "parquet_roundtrip": with_stages("SELECT * FROM fact"),
+    "staged_publish": SALES_REPORT,
+    "fk_orphans": with_stages(
+        f"SELECT 'branch_key' AS foreign_key, {_orphans('branch_key', 'dim_branch')} AS orphan_rows "
+        f"UNION ALL SELECT 'product_key', {_orphans('product_key', 'dim_product')}"),
+    "constraint_checks": with_stages(" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS check_name, {q} AS violations" for t, c, q in _CHECKS)),
+    "row_counts": with_stages(
+        "SELECT 'dim_branch' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM dim_branch "
+        "UNION ALL SELECT 'dim_product', CAST(count(*) AS BIGINT) FROM dim_product "
+        "UNION ALL SELECT 'fact_sales', CAST(count(*) AS BIGINT) FROM fact"),
+    "revenue_total": with_stages(f"SELECT {r2('SUM(' + _dec('total_amount') + ')')} AS total_revenue FROM fact"),
+    "sales_by_product_line": with_stages(
+        f"SELECT p.product_line, {r2('SUM(' + _dec('f.total_amount') + ')')} AS total_sales "
+        "FROM fact f JOIN dim_product p ON f.product_key = p.product_key GROUP BY p.product_line"),
+    "income_by_branch": with_stages(
+        f"SELECT b.branch_code, {r2('SUM(' + _dec('f.gross_income') + ')')} AS total_gross_income "
+        "FROM fact f JOIN dim_branch b ON f.branch_key = b.branch_key GROUP BY b.branch_code"),
+    "rating_by_city": with_stages(
+        f"SELECT b.city, {r2('CAST(SUM(' + _dec('f.rating') + ') AS DOUBLE) / COUNT(f.rating)')} AS avg_rating "
+        "FROM fact f JOIN dim_branch b ON f.branch_key = b.branch_key GROUP BY b.city"),
+    "pivot_total_sales": _pivot(r2("SUM(CASE WHEN b.branch_code = '{v}' THEN " + _dec("f.total_amount") + " END)")),
+    "pivot_avg_rating": _pivot(r2("CAST(SUM(CASE WHEN b.branch_code = '{v}' THEN " + _dec("f.rating")
+                                  + " END) AS DOUBLE) / NULLIF(COUNT(CASE WHEN b.branch_code = '{v}' "
+                                  "THEN f.rating END), 0)")),
+    "value_counts_branch": with_stages(
+        'SELECT branch, CAST(count(*) AS BIGINT) AS "count" FROM raw WHERE branch IS NOT NULL GROUP BY branch'),
+    "value_counts_product_line": with_stages(
+        'SELECT product_line, CAST(count(*) AS BIGINT) AS "count" FROM raw '
+        "WHERE product_line IS NOT NULL GROUP BY product_line"),
+    "describe_numeric": _describe(),
+    "rating_histogram": _histogram(),
+    "column_profile": with_stages(" UNION ALL ".join(
+        f"SELECT '{RAW_NAMES[c]}' AS column_name, 'string' AS data_type, CAST(count({c}) AS BIGINT) AS non_null "
+        "FROM raw" for c in RAW_COLUMNS)),
+    "upsert_fact": _upsert("fact_m"),
+    "upsert_dim_branch": _upsert("dim_branch_m"),
+    "upsert_dim_product": _upsert("dim_product_m"),
+    "csv_roundtrip": with_stages("SELECT " + ", ".join(
+        f"CASE WHEN {c} IN ({_markers()}) THEN NULL ELSE {c} END AS {c}" for c in RAW_COLUMNS) + " FROM raw"),
 }

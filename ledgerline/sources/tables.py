@@ -45,9 +45,19 @@ def _fixed4(scaled: Column) -> Column:
                     F.lpad((scaled % 10000).cast("string"), 4, "0"))
 
 
-def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw-shaped sales rows over the whole of ``lineitem``."""
-    li = read_table(spark, sf_dir, "lineitem").select(
+def sales_view(spark: SparkSession, sf_dir: str, ship_from: str | None = None,
+               ship_before: str | None = None) -> DataFrame:
+    """Raw-shaped sales rows over ``lineitem``.
+
+    ``ship_from`` / ``ship_before`` cut the rows into load batches by ship
+    date (the filter reaches the parquet scan); without them every row is used.
+    """
+    li = read_table(spark, sf_dir, "lineitem")
+    if ship_from:
+        li = li.filter(F.col("l_shipdate") >= F.lit(ship_from).cast("timestamp_ntz"))
+    if ship_before:
+        li = li.filter(F.col("l_shipdate") < F.lit(ship_before).cast("timestamp_ntz"))
+    li = li.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
         "l_shipdate",
