@@ -11,16 +11,19 @@ BROADCAST_MAX_ROWS = 1_000_000
 
 
 def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      known_bound: int | None = None) -> DataFrame:
+                      known_bound: int | None = None, rows_of: DataFrame | None = None) -> DataFrame:
     """``broadcast(dim)`` if it provably has at most ``max_rows`` rows.
 
     ``known_bound`` is a static bound (e.g. the product of the allowed
-    category lists); without one the rows are counted, reading no more than
-    ``max_rows + 1`` of them.
+    category lists).  Otherwise the rows of ``rows_of`` (default: ``dim``
+    itself) are counted, reading no more than ``max_rows + 1`` of them; pass
+    the base table when ``dim`` is a many-to-one join result of it, since a
+    plain table count is answered from parquet footers.
     """
     if known_bound is not None and known_bound <= max_rows:
         return F.broadcast(dim)
-    if dim.limit(max_rows + 1).count() <= max_rows:
+    probe = dim if rows_of is None else rows_of
+    if probe.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(dim)
     return dim
 

@@ -236,16 +236,33 @@ def quality_report(metrics: DataFrame, extra_columns: list[str] | None = None) -
     )
 
 
-def dedup_first(clean: DataFrame, key: str = "invoice_id", order: list[str] | None = None) -> DataFrame:
+def dedup_first(rows: DataFrame, key: str = "invoice_id", order: list[str] | None = None,
+                keep: Column | None = None) -> DataFrame:
     """Keep one row per key: the smallest by ``order``, then every other column.
 
     Implemented as ``min(struct(...))`` per key: an aggregate with map-side
     partial aggregation, so a key holding a third of all rows is reduced in
     every map task before the shuffle instead of landing whole in one task.
-    NULLs sort first in every position.
+    NULLs sort first in every position.  ``keep`` restricts the candidates
+    inside the aggregate; keys without any candidate disappear.
     """
     order = order if order is not None else ["sale_date", "sale_time"]
-    rest = [c for c in clean.columns if c != key and c not in order]
-    fields = order + rest
-    best = clean.groupBy(key).agg(F.min(F.struct(*[F.col(c) for c in fields])).alias("_best"))
-    return best.select(*[F.col(key) if c == key else F.col(f"_best.{c}").alias(c) for c in clean.columns])
+    cols = [c for c in rows.columns if c not in FLAGS]
+    rest = [c for c in cols if c != key and c not in order]
+    best = F.struct(*[F.col(c) for c in order + rest])
+    if keep is not None:
+        best = F.when(keep, best)
+    picked = rows.groupBy(key).agg(F.min(best).alias("_best"))
+    if keep is not None:
+        picked = picked.filter(F.col("_best").isNotNull())
+    return picked.select(*[F.col(key) if c == key else F.col(f"_best.{c}").alias(c) for c in cols])
+
+
+def clean_dedup(flagged: DataFrame, key: str = "invoice_id", order: list[str] | None = None) -> DataFrame:
+    """Clean rows, one per invoice.
+
+    The reject test is applied inside the dedup aggregate rather than as a
+    filter: a filter would be pushed below the flag projection and evaluate
+    every parser a second time per row.
+    """
+    return dedup_first(flagged, key, order, keep=~F.col("rejected"))

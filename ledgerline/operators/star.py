@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators.joins import join_dimension
 from ledgerline.operators.keys import dense_key_large, dense_key_small
 from ledgerline.rules import FACT_COLUMNS, SalesRules
+from ledgerline.session import cut_lineage
 
 DIM_BRANCH_COLUMNS = ["branch_key", "branch_code", "city"]
 DIM_PRODUCT_COLUMNS = ["product_key", "product_line"]
@@ -63,12 +64,17 @@ def build_star(clean_dedup: DataFrame, rules: SalesRules | None = None,
                partitions: int | None = None) -> StarSchema:
     """Dimensions and fact from deduplicated clean rows.
 
-    The sales key is assigned first (range partitioning, checkpoint); the
-    dimensions are then read off the checkpointed rows, so the dedup shuffle
-    runs once for all three tables.
+    The deduplicated rows are written once, so the range sampling and the
+    range shuffle of the key assignment read them instead of re-running the
+    scan, the flags and the dedup shuffle.  Both dimensions come from one
+    small aggregate of the written rows (one row per branch, city and
+    product line), which is written too; the fact then joins the two small
+    dimension tables by broadcast.
     """
-    keyed = dense_key_large(clean_dedup, "invoice_id", "sales_key", partitions)
-    dim_branch = build_dim_branch(keyed)
-    dim_product = build_dim_product(keyed)
+    staged = cut_lineage(clean_dedup)
+    members = cut_lineage(staged.groupBy("branch", "city", "product_line").agg(F.count(F.lit(1)).alias("rows")))
+    dim_branch = cut_lineage(build_dim_branch(members))
+    dim_product = cut_lineage(build_dim_product(members))
+    keyed = dense_key_large(staged, "invoice_id", "sales_key", partitions)
     fact = fact_projection(attach_dimension_keys(keyed, dim_branch, dim_product, rules))
     return StarSchema(dim_branch, dim_product, fact)

@@ -7,6 +7,7 @@ checkpoints once (see ``operators.keys``).
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -23,7 +24,7 @@ class Prepared:
     std: DataFrame
     extra_columns: list[str] = field(default_factory=list)
 
-    @property
+    @cached_property
     def flagged(self) -> DataFrame:
         return quality.flag_rows(self.std, self.rules)
 
@@ -33,7 +34,7 @@ class Prepared:
 
     @property
     def clean_dedup(self) -> DataFrame:
-        return quality.dedup_first(self.clean)
+        return quality.clean_dedup(self.flagged)
 
     @property
     def rejects(self) -> DataFrame:

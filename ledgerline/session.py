@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +15,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The flag projections are wide boolean expressions over aliases; the
+    # constraints Spark would infer from them add no filter and cost
+    # planning time on every query.
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
@@ -56,11 +61,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable, eager checkpoint into the shared checkpoint folder.
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and
+    read it back.
 
     Used where later steps must see exactly the same rows as earlier ones
-    (for example a range partitioning whose per-partition counts become key
-    offsets), so a recomputed task can never shift them.
+    (for example the range partitioning whose per-partition counts become
+    key offsets), and to stop several jobs from re-running the same
+    upstream shuffle.  A written table costs one job (an eager
+    ``checkpoint()`` runs its last stage twice), is columnar, and later
+    reads prune columns and push filters into it.  It lives in the shared
+    folder, so executor loss never loses it.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
