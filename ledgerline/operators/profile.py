@@ -106,21 +106,31 @@ def describe_numeric(df: DataFrame, cols: dict[str, str], places: int = 6) -> Da
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     """Equal-width bins between the column's min and max, last bin closed.
 
-    The two bounds are one small aggregate read back to the driver; the
-    binning itself is a projection and a grouped count.
+    Bin edges are ``lo + i * (hi - lo) / bins`` with the last edge exactly
+    ``hi``; a value's bin comes from its scaled offset and is then corrected
+    against those edges, so a value lying on an edge always opens the upper
+    bin (the numpy/pandas rule).  The two bounds are one small aggregate
+    read back to the driver; binning is a projection and a grouped count.
     """
     bounds = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"]
-    v = F.col(col)
+    schema = "bin int, lower_edge double, upper_edge double, count bigint"
     if lo is None:
-        return df.sparkSession.createDataFrame([], "bin int, lower_edge double, upper_edge double, count bigint")
-    width = F.lit(hi - lo)
-    raw_bin = F.when(width > 0, F.floor((v - F.lit(lo)) * F.lit(float(bins)) / width)).otherwise(0)
-    b = F.least(raw_bin, F.lit(bins - 1)).cast("int")
-    counts = df.filter(v.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    edges = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    edge = lambda i: F.lit(lo) + (F.lit(hi) - F.lit(lo)) * i / F.lit(float(bins))
-    return (edges.join(counts, "bin", "left")
+        return df.sparkSession.createDataFrame([], schema)
+    if lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
+    step = (hi - lo) / bins
+
+    def edge(i: Column) -> Column:
+        return F.when(i == bins, F.lit(hi)).otherwise(i.cast("double") * F.lit(step) + F.lit(lo))
+
+    v = F.col(col)
+    i0 = F.least(F.floor((v - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(bins))).cast("int"), F.lit(bins - 1))
+    i1 = F.when(v < edge(i0), i0 - 1).otherwise(i0)
+    i2 = F.when((v >= edge(i1 + 1)) & (i1 != bins - 1), i1 + 1).otherwise(i1)
+    counts = df.filter(v.isNotNull()).groupBy(i2.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    ids = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    return (ids.join(counts, "bin", "left")
             .select("bin", edge(F.col("bin")).alias("lower_edge"), edge(F.col("bin") + 1).alias("upper_edge"),
                     F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")))
 

@@ -278,15 +278,21 @@ FROM long GROUP BY column_name""".replace("\n,\nlong", ",\nlong"))
 
 
 def _histogram() -> str:
-    return with_stages(""",
-bounds AS (SELECT min(rating) AS lo, max(rating) AS hi FROM typed),
-bins AS (SELECT CAST(range AS INTEGER) AS bin FROM range(20)),
-counts AS (
-  SELECT CAST(LEAST(CASE WHEN hi - lo > 0 THEN floor((rating - lo) * 20.0 / (hi - lo)) ELSE 0 END, 19) AS INTEGER)
-           AS bin, count(*) AS n
-  FROM typed, bounds WHERE rating IS NOT NULL GROUP BY 1
-)
-SELECT bins.bin, lo + (hi - lo) * bins.bin / 20.0 AS lower_edge, lo + (hi - lo) * (bins.bin + 1) / 20.0 AS upper_edge,
+    def edge(i: str) -> str:
+        return f"CASE WHEN {i} = 20 THEN hi ELSE CAST({i} AS DOUBLE) * ((hi - lo) / 20.0) + lo END"
+
+    i0 = "LEAST(CAST(floor((rating - lo) / (hi - lo) * 20.0) AS INTEGER), 19)"
+    i1 = f"CASE WHEN rating < {edge('i0')} THEN i0 - 1 ELSE i0 END"
+    i2 = f"CASE WHEN rating >= {edge('i1 + 1')} AND i1 <> 19 THEN i1 + 1 ELSE i1 END"
+    return with_stages(f""",
+bounds0 AS (SELECT min(rating) AS lo0, max(rating) AS hi0 FROM typed),
+bounds AS (SELECT CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo,
+                  CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM bounds0),
+b0 AS (SELECT rating, lo, hi, {i0} AS i0 FROM typed, bounds WHERE rating IS NOT NULL),
+b1 AS (SELECT *, {i1} AS i1 FROM b0),
+counts AS (SELECT {i2} AS bin, count(*) AS n FROM b1 GROUP BY 1),
+bins AS (SELECT CAST(range AS INTEGER) AS bin FROM range(20))
+SELECT bins.bin, {edge('bins.bin')} AS lower_edge, {edge('bins.bin + 1')} AS upper_edge,
        CAST(coalesce(n, 0) AS BIGINT) AS "count"
 FROM bins CROSS JOIN bounds LEFT JOIN counts ON bins.bin = counts.bin""")
 
