@@ -65,3 +65,51 @@ def transform(raw: DataFrame, rules: SalesRules = RETAIL_RULES,
     """(star schema, quality report) for a raw frame."""
     prepared = prepare(raw, rules)
     return prepared.star(partitions), prepared.report()
+
+
+@dataclass
+class RunResult:
+    run_id: str
+    load_summary: dict
+    metrics: dict
+
+
+def run(spark, source_dir: str, out_dir: str, warehouse_root: str, rules: SalesRules = RETAIL_RULES,
+        mode: str = "full", run_id: str | None = None) -> RunResult:
+    """Extract -> quality -> star schema -> staged load -> report.
+
+    ``mode="full"`` publishes a version built from this input alone;
+    ``mode="merge"`` upserts the input into the current published version
+    (a first run without one is a full load).  Outputs under ``out_dir``:
+    ``data_quality_flags`` (every row, CSV), ``data_quality_rejects``
+    (rejected or mismatched rows, Parquet), ``data_quality_report`` (JSON),
+    CSV copies of the three tables and ``report`` (one CSV file).
+    """
+    import uuid
+
+    from ledgerline.operators.report import sales_report
+    from ledgerline.plans.publish import Warehouse, merge_into
+    from ledgerline.sources.csv import read_csv_strings, write_csv, write_json, write_parquet
+
+    out = out_dir.rstrip("/")
+    run_id = run_id or uuid.uuid4().hex
+    prepared = prepare(read_csv_strings(spark, source_dir), rules)
+    write_csv(prepared.flags, f"{out}/data_quality_flags")
+    write_parquet(prepared.rejects, f"{out}/data_quality_rejects")
+    report_doc = prepared.report()
+    write_json(report_doc, f"{out}/data_quality_report")
+
+    warehouse = Warehouse(spark, warehouse_root)
+    if mode == "merge" and warehouse.current() is not None:
+        star = merge_into(warehouse.tables(), prepared.clean_dedup, rules)
+    elif mode in ("full", "merge"):
+        star = prepared.star()
+    else:
+        raise ValueError(f"Unknown mode {mode!r}")
+    summary = warehouse.load(star, run_id=run_id, export_dir=out)
+
+    published = warehouse.tables()
+    write_csv(sales_report(published.fact_sales, published.dim_branch, published.dim_product),
+              f"{out}/report", single_file=True)
+    metrics = report_doc.select("metrics.*").drop("null_counts").first().asDict()
+    return RunResult(run_id, summary.as_dict(), metrics)
