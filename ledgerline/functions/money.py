@@ -19,6 +19,11 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def round_sql(expr: str, places: int = 2) -> str:
+    """SQL text of :func:`round2`."""
+    return f"cast(round(cast(({expr}) as {ROUND_TYPE}), {places}) as double)"
+
+
 def round2(col: Column | str, places: int = 2) -> Column:
     """Half-up rounding of a double to ``places`` decimals, result double."""
     return F.round(_c(col).cast(ROUND_TYPE), places).cast("double")

@@ -11,6 +11,28 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def ident(name: str) -> str:
+    """A column name as a quoted SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    """A Python string as a SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def date_sql(name: str, pattern: str = "M/d/yyyy") -> str:
+    return f"try_to_date({ident(name)}, {text(pattern)})"
+
+
+def time_sql(name: str, pattern: str = "H:m") -> str:
+    return f"date_format(try_to_timestamp({ident(name)}, {text(pattern)}), 'HH:mm:ss')"
+
+
+def number_sql(name: str) -> str:
+    return f"try_cast({ident(name)} as double)"
+
+
 def parse_date(col: Column | str, pattern: str = "M/d/yyyy") -> Column:
     """``M/d/yyyy`` accepts both ``1/5/2019`` and ``01/05/2019``."""
     return F.try_to_date(F.col(col) if isinstance(col, str) else col, pattern)

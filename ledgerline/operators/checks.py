@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import bounded_broadcast
+from ledgerline.operators.joins import size_checked
 from ledgerline.operators.profile import union_all
 
 
@@ -31,7 +31,7 @@ def null_violations(df: DataFrame, table: str, key: str, check: str) -> DataFram
 
 def orphans(fact: DataFrame, fk: str, dim: DataFrame, pk: str) -> DataFrame:
     """Fact rows whose foreign key is NULL or absent from the dimension."""
-    keys = bounded_broadcast(dim.select(F.col(pk).alias(fk)).distinct())
+    keys = size_checked(dim.select(F.col(pk).alias(fk)).distinct())
     return fact.join(keys, fk, "left_anti")
 
 

@@ -28,6 +28,17 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     return dim
 
 
+def size_checked(dim: DataFrame) -> DataFrame:
+    """A dimension left to Spark's own size check.
+
+    For a dimension read from a written table, Spark's size estimate is the
+    file size, and it broadcasts only below
+    ``spark.sql.autoBroadcastJoinThreshold``; AQE re-checks with the actual
+    shuffle sizes at run time.  No counting job is needed.
+    """
+    return dim
+
+
 def join_dimension(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left",
                    max_rows: int = BROADCAST_MAX_ROWS, known_bound: int | None = None) -> DataFrame:
     return fact.join(bounded_broadcast(dim, max_rows, known_bound), on, how)

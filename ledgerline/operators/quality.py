@@ -1,6 +1,6 @@
 """Data-quality rules: per-row flags, clean/reject split, metrics, warnings.
 
-Every rule is a Column expression over the standardized raw strings, so
+Every rule is a SQL expression over the standardized raw strings, so
 flagging is one projection inside whole-stage codegen.  Flags are never
 NULL: a NULL category, date, time or number is invalid (and rejects), a
 mismatch that cannot be computed is not a mismatch.  Hence
@@ -14,9 +14,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.money import round2
+from ledgerline.functions.money import round_sql
 from ledgerline.functions.naming import require_columns, standardize
-from ledgerline.functions.parse import parse_date, parse_number, parse_time
+from ledgerline.functions.parse import date_sql, ident, number_sql, text, time_sql
 from ledgerline.rules import CATEGORY_RULES, NUMERIC_COLUMNS, SalesRules
 
 REJECT_FLAGS = [
@@ -80,52 +80,64 @@ def standardized(raw: DataFrame, rules: SalesRules) -> tuple[DataFrame, list[str
     return standardize(raw, rules.aliases), extra
 
 
-def parsed_columns(rules: SalesRules) -> dict[str, Column]:
-    """Typed values of the canonical columns (raw strings in, NULL on failure)."""
+def parsed_sql(rules: SalesRules) -> dict[str, str]:
+    """SQL text of the typed value of each parsed canonical column."""
     out = {
-        "sale_date": parse_date("sale_date", rules.date_pattern),
-        "sale_time": parse_time("sale_time", rules.time_pattern),
+        "sale_date": date_sql("sale_date", rules.date_pattern),
+        "sale_time": time_sql("sale_time", rules.time_pattern),
     }
     for c in NUMERIC_COLUMNS:
-        out[c] = parse_number(c)
+        out[c] = number_sql(c)
     return out
 
 
-def flag_columns(rules: SalesRules) -> dict[str, Column]:
-    """Flag expressions over the standardized raw string columns."""
-    p = parsed_columns(rules)
-    flags: dict[str, Column] = {
-        "critical_null": _any([F.col(c).isNull() for c in rules.canonical_critical]),
-        "invalid_date": p["sale_date"].isNull(),
-        "invalid_time": p["sale_time"].isNull(),
+def flag_sql(rules: SalesRules, typed: str = "_p_") -> dict[str, str]:
+    """SQL text of every flag.
+
+    Typed values are referenced as ``<typed><column>`` (computed by the
+    projection before), raw strings by their own names.
+    """
+    t = {c: ident(typed + c) for c in parsed_sql(rules)}
+    flags = {
+        "critical_null": " OR ".join(f"{ident(c)} IS NULL" for c in rules.canonical_critical),
+        "invalid_date": f"{t['sale_date']} IS NULL",
+        "invalid_time": f"{t['sale_time']} IS NULL",
     }
     for col, rule_field in CATEGORY_RULES:
-        flags[f"invalid_{'payment' if col == 'payment_method' else col}"] = ~F.coalesce(
-            F.col(col).isin(rules.allowed(rule_field)), F.lit(False))
-
-    price, qty, rating = p["unit_price"], p["quantity"], p["rating"]
-    flags["invalid_numeric"] = F.coalesce(
-        (price <= rules.price_min) | (qty < rules.quantity_min) | (qty % 1 != 0)
-        | (rating < rules.rating_min) | (rating > rules.rating_max),
-        F.lit(True))
-
-    tax, total, cogs, income = p["tax_amount"], p["total_amount"], p["cogs"], p["gross_income"]
-    tax0 = F.coalesce(tax, F.lit(0.0))
-    tol = F.lit(rules.tolerance)
-    flags["tax_mismatch"] = F.coalesce(F.abs(tax - round2(cogs * F.lit(rules.tax_rate))) > tol, F.lit(False))
-    flags["total_mismatch"] = F.coalesce(F.abs(total - round2(cogs + tax0)) > tol, F.lit(False))
-    flags["cogs_mismatch"] = F.coalesce(F.abs(cogs - round2(price * qty)) > tol, F.lit(False))
-    flags["gross_income_mismatch"] = F.coalesce(F.abs(income - tax0) > tol, F.lit(False))
-    flags["rejected"] = _any([flags[f] for f in REJECT_FLAGS])
+        values = ", ".join(text(v) for v in rules.allowed(rule_field))
+        flags[f"invalid_{'payment' if col == 'payment_method' else col}"] = (
+            f"NOT coalesce({ident(col)} IN ({values}), false)")
+    price, qty, rating = t["unit_price"], t["quantity"], t["rating"]
+    flags["invalid_numeric"] = (
+        f"coalesce({price} <= {rules.price_min!r} OR {qty} < {rules.quantity_min!r} OR {qty} % 1 != 0 "
+        f"OR {rating} < {rules.rating_min!r} OR {rating} > {rules.rating_max!r}, true)")
+    tax, total, cogs, income = t["tax_amount"], t["total_amount"], t["cogs"], t["gross_income"]
+    tax0 = f"coalesce({tax}, 0.0D)"
+    tol = f"{rules.tolerance!r}D"
+    flags["tax_mismatch"] = f"coalesce(abs({tax} - {round_sql(f'{cogs} * {rules.tax_rate!r}D')}) > {tol}, false)"
+    flags["total_mismatch"] = f"coalesce(abs({total} - {round_sql(f'{cogs} + {tax0}')}) > {tol}, false)"
+    flags["cogs_mismatch"] = f"coalesce(abs({cogs} - {round_sql(f'{price} * {qty}')}) > {tol}, false)"
+    flags["gross_income_mismatch"] = f"coalesce(abs({income} - {tax0}) > {tol}, false)"
+    flags["rejected"] = " OR ".join(f"({flags[f]})" for f in REJECT_FLAGS)
     return flags
 
 
+def _with_flags(std: DataFrame, rules: SalesRules, keep: list[str]) -> DataFrame:
+    """``keep`` columns (typed where parsed), plus every flag.
+
+    Two projections of SQL text: the typed values first, then the flags over
+    them, so each parser runs once per row.
+    """
+    parsed = parsed_sql(rules)
+    typed = std.selectExpr("*", *[f"{expr} AS {ident('_p_' + c)}" for c, expr in parsed.items()])
+    flags = flag_sql(rules)
+    out = [f"{ident('_p_' + c)} AS {ident(c)}" if c in parsed else ident(c) for c in keep]
+    return typed.selectExpr(*out, *[f"{flags[f]} AS {f}" for f in FLAGS])
+
+
 def flag_rows(std: DataFrame, rules: SalesRules) -> DataFrame:
     """All columns parsed to their types, plus one boolean column per flag."""
-    parsed = parsed_columns(rules)
-    flags = flag_columns(rules)
-    typed = [parsed[c].alias(c) if c in parsed else F.col(c) for c in std.columns]
-    return std.select(*typed, *[flags[f].alias(f) for f in FLAGS])
+    return _with_flags(std, rules, std.columns)
 
 
 def flag_table(flagged: DataFrame) -> DataFrame:
@@ -149,44 +161,42 @@ def quality_metrics(std: DataFrame, rules: SalesRules) -> DataFrame:
     so a row repeated a billion times is counted map-side); every metric is
     a weighted sum over those distinct rows.  A second, much smaller
     shuffle groups the distinct rows by invoice id.  Both branches read the
-    same exchange, and their one-row results are merged by a union and an
-    aggregate, not a join.
+    same exchange (Spark reuses it), and their one-row results are merged by
+    a union and an aggregate, not a join.
     """
     cols = std.columns
-    flags = flag_columns(rules)
     distinct = std.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    n = F.col("_n")
-    weighted = distinct.select(
-        n, F.col("invoice_id"),
-        *[flags[f].alias(f) for f in FLAGS],
-        *[F.col(c).isNull().alias(f"_null_{i}") for i, c in enumerate(cols)],
-    )
-
-    by_row = weighted.agg(
-        F.sum(n).alias("raw_row_count"),
-        F.sum(n - 1).alias("raw_duplicate_rows"),
-        *[F.sum(F.when(F.col(f), n).otherwise(0)).alias(FLAG_METRICS[f]) for f in FLAGS],
-        F.sum(F.when(~F.col("rejected"), n).otherwise(0)).alias("clean_rows"),
-        *[F.sum(F.when(F.col(f"_null_{i}"), n).otherwise(0)).alias(f"_null_{i}")
-          for i in range(len(cols))],
+    # Null counts are over the raw text, before any parsing.
+    nulls = [f"_null_{i}" for i in range(len(cols))]
+    raw_nulls = distinct.selectExpr("*", *[f"{ident(c)} IS NULL AS _null_{i}" for i, c in enumerate(cols)])
+    weighted = _with_flags(raw_nulls, rules, ["_n", "invoice_id", *nulls])
+
+    def weighted_sum(cond: str) -> str:
+        return f"sum(CASE WHEN {cond} THEN _n ELSE 0 END)"
+
+    by_row = weighted.selectExpr("*").agg(
+        F.expr("sum(_n)").alias("raw_row_count"),
+        F.expr("sum(_n - 1)").alias("raw_duplicate_rows"),
+        *[F.expr(weighted_sum(f)).alias(FLAG_METRICS[f]) for f in FLAGS],
+        F.expr(weighted_sum("NOT rejected")).alias("clean_rows"),
+        *[F.expr(weighted_sum(f"_null_{i}")).alias(f"_null_{i}") for i in range(len(cols))],
     )
     by_id = (
         weighted.groupBy("invoice_id")
-        .agg(F.sum(n).alias("_rows"), F.max(~F.col("rejected")).alias("_has_clean"))
+        .agg(F.expr("sum(_n)").alias("_rows"), F.expr("max(NOT rejected)").alias("_has_clean"))
         .agg(
-            F.sum(F.col("_rows") - 1).alias("duplicate_invoice_ids"),
-            F.count_if(F.col("_rows") > 1).alias("invoice_ids_with_duplicates"),
-            F.count_if(F.col("_has_clean")).alias("clean_rows_after_invoice_dedup"),
+            F.expr("sum(_rows - 1)").alias("duplicate_invoice_ids"),
+            F.expr("count_if(_rows > 1)").alias("invoice_ids_with_duplicates"),
+            F.expr("count_if(_has_clean)").alias("clean_rows_after_invoice_dedup"),
         )
     )
     merged = by_row.unionByName(by_id, allowMissingColumns=True)
     raw_names = _raw_names(cols, rules)
-    return merged.agg(
-        *[F.coalesce(F.max(m), F.lit(0)).cast("long").alias(m) for m in METRIC_COLUMNS],
-        F.map_from_arrays(
-            F.array(*[F.lit(raw_names[c]) for c in cols]),
-            F.array(*[F.coalesce(F.max(f"_null_{i}"), F.lit(0)).cast("long") for i in range(len(cols))]),
-        ).alias("null_counts"),
+    keys = ", ".join(text(raw_names[c]) for c in cols)
+    nulls = ", ".join(f"CAST(coalesce(max(_null_{i}), 0) AS BIGINT)" for i in range(len(cols)))
+    return merged.selectExpr("*").agg(
+        *[F.expr(f"CAST(coalesce(max({m}), 0) AS BIGINT)").alias(m) for m in METRIC_COLUMNS],
+        F.expr(f"map_from_arrays(array({keys}), array({nulls}))").alias("null_counts"),
     )
 
 
@@ -237,25 +247,25 @@ def quality_report(metrics: DataFrame, extra_columns: list[str] | None = None) -
 
 
 def dedup_first(rows: DataFrame, key: str = "invoice_id", order: list[str] | None = None,
-                keep: Column | None = None) -> DataFrame:
+                keep: str | None = None) -> DataFrame:
     """Keep one row per key: the smallest by ``order``, then every other column.
 
     Implemented as ``min(struct(...))`` per key: an aggregate with map-side
     partial aggregation, so a key holding a third of all rows is reduced in
     every map task before the shuffle instead of landing whole in one task.
-    NULLs sort first in every position.  ``keep`` restricts the candidates
-    inside the aggregate; keys without any candidate disappear.
+    NULLs sort first in every position.  ``keep`` (SQL condition) restricts
+    the candidates inside the aggregate; keys without any candidate vanish.
     """
     order = order if order is not None else ["sale_date", "sale_time"]
     cols = [c for c in rows.columns if c not in FLAGS]
     rest = [c for c in cols if c != key and c not in order]
-    best = F.struct(*[F.col(c) for c in order + rest])
+    best = "struct(" + ", ".join(ident(c) for c in order + rest) + ")"
     if keep is not None:
-        best = F.when(keep, best)
-    picked = rows.groupBy(key).agg(F.min(best).alias("_best"))
+        best = f"CASE WHEN {keep} THEN {best} END"
+    picked = rows.groupBy(key).agg(F.expr(f"min({best})").alias("_best"))
     if keep is not None:
-        picked = picked.filter(F.col("_best").isNotNull())
-    return picked.select(*[F.col(key) if c == key else F.col(f"_best.{c}").alias(c) for c in cols])
+        picked = picked.filter("_best IS NOT NULL")
+    return picked.selectExpr(*[ident(key) if c == key else f"_best.{ident(c)} AS {ident(c)}" for c in cols])
 
 
 def clean_dedup(flagged: DataFrame, key: str = "invoice_id", order: list[str] | None = None) -> DataFrame:
@@ -265,4 +275,4 @@ def clean_dedup(flagged: DataFrame, key: str = "invoice_id", order: list[str] |
     filter: a filter would be pushed below the flag projection and evaluate
     every parser a second time per row.
     """
-    return dedup_first(flagged, key, order, keep=~F.col("rejected"))
+    return dedup_first(flagged, key, order, keep="NOT rejected")

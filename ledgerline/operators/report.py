@@ -2,7 +2,8 @@
 
 The fact is aggregated on its integer dimension keys first (partial
 aggregation on every map task, one small shuffle), and only the aggregated
-rows meet the dimensions.  The windows then run over one row per
+rows meet the dimensions, which are left to Spark's size check (they are
+written warehouse tables).  The windows then run over one row per
 (branch, city, product line), never over fact rows.
 """
 
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.money import MONEY_SUM_TYPE, percent_of, round2
-from ledgerline.operators.joins import bounded_broadcast
+from ledgerline.operators.joins import size_checked
 
 REPORT_COLUMNS = [
     "branch_code", "city", "product_line", "transaction_count", "total_units_sold",
@@ -35,8 +36,8 @@ def _sums(df: DataFrame, keys: list[str]) -> DataFrame:
 def sales_by_branch_product(fact: DataFrame, dim_branch: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Exact per-(branch_code, city, product_line) sums, inner-joined to dims."""
     per_key = _sums(fact, ["branch_key", "product_key"])
-    named = (per_key.join(bounded_broadcast(dim_branch), "branch_key")
-             .join(bounded_broadcast(dim_product), "product_key"))
+    named = (per_key.join(size_checked(dim_branch), "branch_key")
+             .join(size_checked(dim_product), "product_key"))
     return named.groupBy("branch_code", "city", "product_line").agg(
         F.sum("transaction_count").alias("transaction_count"),
         F.sum("total_units_sold").alias("total_units_sold"),
@@ -86,20 +87,20 @@ def revenue_total(fact: DataFrame) -> DataFrame:
 def sales_by_product_line(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     per_key = fact.groupBy("product_key").agg(
         F.sum(F.col("total_amount").cast(MONEY_SUM_TYPE)).alias("_sales"))
-    return (per_key.join(bounded_broadcast(dim_product), "product_key")
+    return (per_key.join(size_checked(dim_product), "product_key")
             .groupBy("product_line").agg(round2(F.sum("_sales")).alias("total_sales")))
 
 
 def income_by_branch(fact: DataFrame, dim_branch: DataFrame) -> DataFrame:
     per_key = fact.groupBy("branch_key").agg(
         F.sum(F.col("gross_income").cast(MONEY_SUM_TYPE)).alias("_income"))
-    return (per_key.join(bounded_broadcast(dim_branch), "branch_key")
+    return (per_key.join(size_checked(dim_branch), "branch_key")
             .groupBy("branch_code").agg(round2(F.sum("_income")).alias("total_gross_income")))
 
 
 def rating_by_city(fact: DataFrame, dim_branch: DataFrame) -> DataFrame:
     per_key = fact.groupBy("branch_key").agg(
         F.sum(F.col("rating").cast(MONEY_SUM_TYPE)).alias("_s"), F.count("rating").alias("_n"))
-    return (per_key.join(bounded_broadcast(dim_branch), "branch_key")
+    return (per_key.join(size_checked(dim_branch), "branch_key")
             .groupBy("city")
             .agg(round2(F.try_divide(F.sum("_s").cast("double"), F.sum("_n"))).alias("avg_rating")))

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import join_dimension
+from ledgerline.operators.joins import join_dimension, size_checked
 from ledgerline.operators.keys import dense_key_large, dense_key_small
 from ledgerline.rules import FACT_COLUMNS, SalesRules
 from ledgerline.session import cut_lineage
@@ -51,13 +51,14 @@ def attach_dimension_keys(rows: DataFrame, dim_branch: DataFrame, dim_product: D
     """Left-join the surrogate keys onto sales rows (broadcast, size-checked).
 
     The branch dimension is bounded by the allowed branch and city lists, so
-    that bound is used directly; the product dimension is counted.
+    that bound is used directly; the product dimension is left to Spark's
+    size check (it is a written table, or a small union over one).
     """
     bound = len(rules.branches) * len(rules.cities) if rules else None
     with_branch = join_dimension(
         rows, dim_branch.withColumnRenamed("branch_code", "branch"), ["branch", "city"],
         known_bound=bound)
-    return join_dimension(with_branch, dim_product, ["product_line"])
+    return with_branch.join(size_checked(dim_product), ["product_line"], "left")
 
 
 def build_star(clean_dedup: DataFrame, rules: SalesRules | None = None,

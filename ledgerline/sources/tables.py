@@ -10,7 +10,7 @@ quality rule meets real cases.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = [
@@ -40,21 +40,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def _idiv(num: Column, den: Column) -> Column:
-    """Floor of an integer quotient.  Exact: operands stay far below 2**53."""
-    return F.floor(num / den).cast("long")
+def _money(cents: str) -> str:
+    """SQL text: non-negative integer cents -> ``12.34``."""
+    return (f"concat(cast(({cents}) div 100 as string), '.', "
+            f"lpad(cast(({cents}) % 100 as string), 2, '0'))")
 
 
-def _money(cents: Column) -> Column:
-    """Non-negative integer cents -> ``12.34`` text."""
-    return F.concat(_idiv(cents, F.lit(100)).cast("string"), F.lit("."),
-                    F.lpad((cents % 100).cast("string"), 2, "0"))
-
-
-def _fixed4(scaled: Column) -> Column:
-    """Non-negative integer ten-thousandths -> ``4.7619`` text."""
-    return F.concat(_idiv(scaled, F.lit(10000)).cast("string"), F.lit("."),
-                    F.lpad((scaled % 10000).cast("string"), 4, "0"))
+def _fixed4(scaled: str) -> str:
+    """SQL text: non-negative integer ten-thousandths -> ``4.7619``."""
+    return (f"concat(cast(({scaled}) div 10000 as string), '.', "
+            f"lpad(cast(({scaled}) % 10000 as string), 4, '0'))")
 
 
 def sales_view(spark: SparkSession, sf_dir: str, ship_from: str | None = None,
@@ -90,42 +85,41 @@ def sales_view(spark: SparkSession, sf_dir: str, ship_from: str | None = None,
     rows = (li.join(buyer, li.l_orderkey == buyer.o_orderkey)
             .join(part, li.l_partkey == part.p_partkey))
 
-    ok, pk, sk, ln = (F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"),
-                      F.col("l_linenumber"))
-    qty = F.col("l_quantity").cast("long")
-    ext = F.round(F.col("l_extendedprice") * 100).cast("long")
-    tax_pct = F.round(F.col("l_tax") * 100).cast("long")
-    disc_pct = F.round(F.col("l_discount") * 100).cast("long")
-    price = _idiv(ext * 2 + qty, qty * 2)
-    tax = _idiv(ext * tax_pct * 2 + 100, F.lit(200))
-    margin = _idiv(tax_pct * 2000000 + tax_pct + 100, (tax_pct + 100) * 2)
-    ship = F.col("l_shipdate")
-    null = F.lit(None).cast("string")
-
-    return rows.select(
-        F.when((ok % 101 == 0) & (ln == 1), null)
-        .otherwise(F.concat(F.lit("INV-"), ok.cast("string"), F.lit("-"), ln.cast("string")))
-        .alias("Invoice ID"),
-        F.col("r_name").alias("Branch"),
-        F.when(pk % 89 == 0, null).otherwise(F.col("n_name")).alias("City"),
-        F.col("c_mktsegment").alias("Customer type"),
-        F.when(pk % 97 == 0, null).otherwise(F.col("l_linestatus")).alias("Gender"),
-        F.col("p_type").alias("Product line"),
-        F.when(pk % 103 == 0, F.lit("n/a")).otherwise(_money(price)).alias("Unit price"),
-        qty.cast("string").alias("Quantity"),
-        F.when(ok % 61 == 0, null).otherwise(_money(tax)).alias("Tax 5%"),
-        _money(ext + tax).alias("Total"),
-        F.when(ok % 41 == 0, F.date_format(ship, "yyyy-MM-dd"))
-        .otherwise(F.concat_ws("/", F.month(ship).cast("string"), F.dayofmonth(ship).cast("string"),
-                               F.year(ship).cast("string")))
-        .alias("Date"),
-        F.concat((ok % 26).cast("string"), F.lit(":"), F.lpad((pk % 60).cast("string"), 2, "0"))
-        .alias("Time"),
-        F.when(ok % 83 == 0, null).otherwise(F.col("l_returnflag")).alias("Payment"),
-        _money(ext).alias("cogs"),
-        _fixed4(margin).alias("gross margin percentage"),
-        _money(tax).alias("gross income"),
-        F.when(sk % 47 == 0, null)
-        .otherwise(F.concat(disc_pct.cast("string"), F.lit("."), (ok % 10).cast("string")))
-        .alias("Rating"),
+    # Integer cents and percents first, then the raw text columns.  Written
+    # as SQL expressions: one call builds the whole projection.
+    cents = rows.selectExpr(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus",
+        "l_shipdate", "c_mktsegment", "n_name", "r_name", "p_type",
+        "cast(l_quantity as bigint) as qty",
+        "cast(round(l_extendedprice * 100) as bigint) as ext",
+        "cast(round(l_tax * 100) as bigint) as tax_pct",
+        "cast(round(l_discount * 100) as bigint) as disc_pct",
+    ).selectExpr(
+        "*",
+        "(ext * 2 + qty) div (qty * 2) as price_c",
+        "(ext * tax_pct * 2 + 100) div 200 as tax_c",
+        "(tax_pct * 2000000 + tax_pct + 100) div ((tax_pct + 100) * 2) as margin_s",
+    )
+    return cents.selectExpr(
+        "case when l_orderkey % 101 = 0 and l_linenumber = 1 then null "
+        "else concat('INV-', cast(l_orderkey as string), '-', cast(l_linenumber as string)) end as `Invoice ID`",
+        "r_name as `Branch`",
+        "case when l_partkey % 89 = 0 then null else n_name end as `City`",
+        "c_mktsegment as `Customer type`",
+        "case when l_partkey % 97 = 0 then null else l_linestatus end as `Gender`",
+        "p_type as `Product line`",
+        f"case when l_partkey % 103 = 0 then 'n/a' else {_money('price_c')} end as `Unit price`",
+        "cast(qty as string) as `Quantity`",
+        f"case when l_orderkey % 61 = 0 then null else {_money('tax_c')} end as `Tax 5%`",
+        f"{_money('ext + tax_c')} as `Total`",
+        "case when l_orderkey % 41 = 0 then date_format(l_shipdate, 'yyyy-MM-dd') "
+        "else concat_ws('/', cast(month(l_shipdate) as string), cast(day(l_shipdate) as string), "
+        "cast(year(l_shipdate) as string)) end as `Date`",
+        "concat(cast(l_orderkey % 26 as string), ':', lpad(cast(l_partkey % 60 as string), 2, '0')) as `Time`",
+        "case when l_orderkey % 83 = 0 then null else l_returnflag end as `Payment`",
+        f"{_money('ext')} as `cogs`",
+        f"{_fixed4('margin_s')} as `gross margin percentage`",
+        f"{_money('tax_c')} as `gross income`",
+        "case when l_suppkey % 47 = 0 then null "
+        "else concat(cast(disc_pct as string), '.', cast(l_orderkey % 10 as string)) end as `Rating`",
     )

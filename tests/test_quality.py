@@ -80,6 +80,9 @@ def test_raw_equals_clean_plus_rejected(flagged_cases):
     assert m["raw_row_count"] == len(CASES)
     assert m["clean_rows"] + m["rejected_rows"] == m["raw_row_count"]
     assert m["rejected_rows"] == sum(1 for c in CASES if R in c[2])
+    # Null counts are taken on the raw text: unparseable dates are not NULL.
+    assert m["null_counts"]["Date"] == 1
+    assert m["null_counts"]["Unit price"] == 1
 
 
 def test_parsed_types(flagged_cases):
