@@ -64,19 +64,27 @@ def running_counts(counted: DataFrame, group: str, order: str, weight: str,
 def describe_numeric(df: DataFrame, cols: dict[str, str], places: int = 6) -> DataFrame:
     """count, mean, sample std, min, exact interpolated quartiles, max.
 
-    ``cols`` maps the reported name to a numeric column.  Mean is an exact
-    decimal sum over the count; quantiles interpolate linearly between the
-    two neighbouring ranks, like pandas.  Results are rounded to ``places``.
+    ``cols`` maps the reported name to a numeric column.  Every statistic
+    comes from (column, value, count) triples, computed once with partial
+    aggregation and written: the mean is an exact decimal sum over the
+    count, the standard deviation a second pass over the triples, and the
+    quantiles interpolate linearly between the two neighbouring ranks, like
+    pandas.  Results are rounded to ``places``.
     """
-    long = _long_form(df, cols)
-    basic = long.groupBy("column_name").agg(
-        F.count("value").alias("count"),
-        F.try_divide(F.sum(F.col("value").cast("decimal(28,10)")).cast("double"), F.count("value")).alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    counted = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_w"))
+    counted = cut_lineage(_long_form(df, cols).groupBy("column_name", "value")
+                          .agg(F.count(F.lit(1)).alias("_w")))
+    first = counted.groupBy("column_name").agg(
+        F.sum("_w").alias("count"),
+        F.sum(F.col("value").cast("decimal(28,10)") * F.col("_w")).alias("_sum"),
+        F.min("value").alias("min"), F.max("value").alias("max"),
+    ).select("*", F.try_divide(F.col("_sum").cast("double"), F.col("count")).alias("mean"))
+    # Bounded: one row per described column.
+    spread = (counted.join(F.broadcast(first.select("column_name", "mean")), "column_name")
+              .groupBy("column_name")
+              .agg(F.sum(F.col("_w") * (F.col("value") - F.col("mean")) ** 2).alias("_ss")))
+    basic = first.join(spread, "column_name").select(
+        "column_name", "count", "mean", "min", "max",
+        F.sqrt(F.try_divide(F.col("_ss"), F.when(F.col("count") > 1, F.col("count") - 1))).alias("std"))
     cum = running_counts(counted, "column_name", "value", "_w")
     with_n = cum.join(F.broadcast(basic.select("column_name", "count")), "column_name")
     picks = []

@@ -75,8 +75,9 @@ def top_products_per_branch(report: DataFrame, n: int) -> DataFrame:
 
 
 def head(report: DataFrame, n: int) -> DataFrame:
-    """First ``n`` rows of the report in its order (a preview)."""
-    return report.orderBy("branch_code", "sales_rank_within_branch", "product_line").limit(n)
+    """First ``n`` rows of the report in its order (a preview).  City breaks
+    the remaining ties, so the preview is deterministic."""
+    return report.orderBy("branch_code", "sales_rank_within_branch", "product_line", "city").limit(n)
 
 
 def revenue_total(fact: DataFrame) -> DataFrame:

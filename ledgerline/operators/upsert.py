@@ -28,14 +28,17 @@ def assert_unique_source(source: DataFrame, keys: list[str]) -> None:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], surrogate: str,
-           large: bool = False, partitions: int | None = None) -> DataFrame:
+           large: bool = False, partitions: int | None = None, check_unique: bool = True) -> DataFrame:
     """Merge ``source`` into ``target`` on ``keys``; see the module note.
 
     ``source`` has every target column except ``surrogate``.  ``large``
     selects the distributed key assignment for inserted rows (the fact);
     otherwise inserted rows are numbered in one task (dimensions).
+    ``check_unique=False`` skips the source check for a source that is
+    unique by construction (deduplicated rows).
     """
-    assert_unique_source(source, keys)
+    if check_unique:
+        assert_unique_source(source, keys)
     columns = target.columns
     values = [c for c in columns if c != surrogate and c not in keys]
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in columns], F.lit(True).alias("_in_t"))

@@ -132,6 +132,11 @@ def q_report_topn(spark, sf_dir):
         report.sales_report(s.fact_sales, s.dim_branch, s.dim_product, ordered=False), 3)
 
 
+def q_report_preview(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return report.head(report.sales_report(s.fact_sales, s.dim_branch, s.dim_product, ordered=False), 10)
+
+
 def q_revenue_total(spark, sf_dir):
     return report.revenue_total(star(spark, sf_dir).fact_sales)
 
@@ -248,6 +253,7 @@ QUERIES: dict[str, Query] = {
     "constraint_checks": q_constraint_checks,
     "row_counts": q_row_counts,
     "report_topn": q_report_topn,
+    "report_preview": q_report_preview,
     "revenue_total": q_revenue_total,
     "sales_by_product_line": q_sales_by_product_line,
     "income_by_branch": q_income_by_branch,

@@ -203,6 +203,8 @@ JOIN dim_product p ON f.product_key = p.product_key
 GROUP BY b.branch_code, b.city, p.product_line"""
 
 SALES_REPORT = with_stages(_REPORT_BODY + "\nORDER BY b.branch_code, sales_rank_within_branch, p.product_line")
+REPORT_PREVIEW = with_stages(f"SELECT * FROM ({_REPORT_BODY}) "
+                             "ORDER BY branch_code, sales_rank_within_branch, product_line, city LIMIT 10")
 REPORT_TOPN = with_stages(f"SELECT * FROM ({_REPORT_BODY}) WHERE sales_rank_within_branch <= 3")
 
 _STAR = "FROM fact f JOIN dim_branch b ON f.branch_key = b.branch_key JOIN dim_product p ON f.product_key = p.product_key"
@@ -377,6 +379,7 @@ _CHECKS = [
 ORACLE_SQL: dict[str, str] = {
     "sales_report": SALES_REPORT,
     "report_topn": REPORT_TOPN,
+    "report_preview": REPORT_PREVIEW,
     "column_standardize": with_stages("SELECT * FROM raw"),
     "coerce_dates_times_numbers": with_stages(
         f"SELECT invoice_id, sale_date, sale_time, {', '.join(NUMERIC)}, "

@@ -21,6 +21,7 @@ from ledgerline.operators import checks
 from ledgerline.operators.star import StarSchema, attach_dimension_keys, fact_projection
 from ledgerline.operators.upsert import insert_missing, upsert
 from ledgerline.rules import SalesRules
+from ledgerline.session import cut_lineage
 from ledgerline.sources.csv import write_csv
 
 TABLE_NAMES = ["dim_branch", "dim_product", "fact_sales"]
@@ -151,20 +152,26 @@ def merge_into(current: StarSchema, clean_dedup: DataFrame, rules: SalesRules |
                partitions: int | None = None) -> StarSchema:
     """Upsert new clean rows into a current star schema.
 
-    Dimensions are merged first, so existing members keep their keys and
-    new members get keys after the largest one; the new fact rows then take
-    their keys from the merged dimensions and are merged on invoice id.
+    The new rows are written once (every step below reads them).  Dimensions
+    are merged first, so existing members keep their keys and new members
+    get keys after the largest one; the merged dimensions are small and
+    written too.  The new fact rows then take their keys from the merged
+    dimensions and are merged on invoice id (unique after dedup, so the
+    source needs no uniqueness check).
     """
-    members = clean_dedup.select(F.col("branch").alias("branch_code"), "city").distinct()
+    staged = cut_lineage(clean_dedup)
+    members = cut_lineage(staged.groupBy("branch", "city", "product_line").agg(F.count(F.lit(1)).alias("rows")))
+    branches = members.select(F.col("branch").alias("branch_code"), "city").distinct()
     keys = list(branch_keys)
     if len(keys) == 2:
-        dim_branch = insert_missing(current.dim_branch, members, keys, "branch_key")
+        dim_branch = insert_missing(current.dim_branch, branches, keys, "branch_key")
     else:
-        dim_branch = upsert(current.dim_branch, members, keys, "branch_key")
-    dim_product = insert_missing(current.dim_product, clean_dedup.select("product_line").distinct(),
+        dim_branch = upsert(current.dim_branch, branches, keys, "branch_key")
+    dim_product = insert_missing(current.dim_product, members.select("product_line").distinct(),
                                  ["product_line"], "product_key")
-    rows = attach_dimension_keys(clean_dedup, dim_branch, dim_product, rules)
+    dim_branch, dim_product = cut_lineage(dim_branch), cut_lineage(dim_product)
+    rows = attach_dimension_keys(staged, dim_branch, dim_product, rules)
     source = fact_projection(rows.withColumn("sales_key", F.lit(None).cast("long"))).drop("sales_key")
-    fact = upsert(current.fact_sales, source, ["invoice_id"], "sales_key", large=True, partitions=partitions)
+    fact = upsert(current.fact_sales, source, ["invoice_id"], "sales_key", large=True,
+                  partitions=partitions, check_unique=False)
     return StarSchema(dim_branch, dim_product, fact)
-
