@@ -41,14 +41,15 @@ def dense_key_large(df: DataFrame, order: str, key: str, partitions: int | None
         "*", F.spark_partition_id().alias("_pid"),
         F.monotonically_increasing_id().alias("_mid")))
     # One count per partition: bounded by the partition count, not by the
-    # data, so it is read back and inlined as a literal array of offsets.
+    # data.  The offsets become a small table joined by broadcast.
     counts = dict(tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
-    offsets, running = [], 0
-    for pid in range(max(counts, default=-1) + 1):
-        offsets.append(running)
-        running += counts.get(pid, 0)
-    offset = F.element_at(F.array(*[F.lit(o) for o in offsets or [0]]).cast("array<bigint>"),
-                          F.col("_pid") + 1)
+    rows, running = [], 0
+    for pid in sorted(counts):
+        rows.append((pid, running))
+        running += counts[pid]
+    offsets = spark.createDataFrame(rows or [(0, 0)], "_pid int, _off long")
+    tagged = tagged.join(F.broadcast(offsets), "_pid")
+    offset = F.col("_off")
     position = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     base = start if isinstance(start, Column) else F.lit(start).cast("long")
     return tagged.select((base + offset + position + 1).alias(key), *df.columns)

@@ -45,20 +45,20 @@ def running_counts(counted: DataFrame, group: str, order: str, weight: str,
     ranged = counted.repartitionByRange(n, group, order).sortWithinPartitions(group, order)
     tagged = cut_lineage(ranged.select("*", F.spark_partition_id().alias("_pid")))
     # One total per (partition, group): bounded by partitions x groups, not
-    # by the data, so it is read back and inlined as a literal map.
+    # by the data.  The offsets become a small table joined by broadcast.
     totals = sorted(tagged.groupBy("_pid", group).agg(F.sum(weight).alias("_t")).collect(),
                     key=lambda r: r["_pid"])
     running: dict = {}
-    entries = []
+    rows = []
     for r in totals:
         g = r[group]
-        entries += [F.lit(f"{r['_pid']}|{g}"), F.lit(running.get(g, 0)).cast("long")]
+        rows.append((r["_pid"], g, running.get(g, 0)))
         running[g] = running.get(g, 0) + r["_t"]
-    tag = F.concat_ws("|", F.col("_pid").cast("string"), F.col(group).cast("string"))
-    offset = F.coalesce(F.element_at(F.create_map(*entries), tag), F.lit(0).cast("long")) \
-        if entries else F.lit(0).cast("long")
+    group_type = dict(tagged.dtypes)[group]
+    offsets = spark.createDataFrame(rows, f"_pid int, `{group}` {group_type}, _off long")
     inside = Window.partitionBy("_pid", group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return tagged.select(*counted.columns, (offset + F.sum(weight).over(inside)).alias("_cum"))
+    return (tagged.join(F.broadcast(offsets), ["_pid", group])
+            .select(*counted.columns, (F.col("_off") + F.sum(weight).over(inside)).alias("_cum")))
 
 
 def describe_numeric(df: DataFrame, cols: dict[str, str], places: int = 6) -> DataFrame:

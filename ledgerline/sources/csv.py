@@ -10,6 +10,8 @@ metadata work; the rows themselves are only ever read by executors.
 
 from __future__ import annotations
 
+import csv as pycsv
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +43,22 @@ def list_csv_files(spark: SparkSession, root: str) -> list[str]:
     return sorted(out)
 
 
+def _header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
+    """Column names from the first line of one file (driver-side, first
+    line only; no Spark job).  Spark's reader then maps them the same way."""
+    fs, p = _fs(spark, path)
+    jio = spark._jvm.java.io
+    reader = jio.BufferedReader(jio.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
+    if line is None:
+        return None
+    line = line.lstrip("\ufeff")
+    return tuple(next(pycsv.reader([line])))
+
+
 def _reader(spark: SparkSession):
     return (spark.read.option("header", True).option("inferSchema", False)
             .option("mode", "PERMISSIVE").option("multiLine", False))
@@ -55,10 +73,17 @@ def read_csv_strings(spark: SparkSession, root: str, markers: list[str] | None =
     if not files:
         raise FileNotFoundError(f"No CSV file found under {root}")
     groups: dict[tuple[str, ...], list[str]] = {}
-    for f in files:
-        header = tuple(_reader(spark).csv(f).columns)
-        groups.setdefault(header, []).append(f)
-    frames = [_reader(spark).csv(paths) for paths in groups.values()]
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        headers = list(pool.map(lambda f: _header(spark, f), files))
+    for f, header in zip(files, headers):
+        if header is not None:
+            groups.setdefault(header, []).append(f)
+    if not groups:
+        raise FileNotFoundError(f"Only empty CSV files under {root}")
+    # The header is known, so each group is read with it as an all-string
+    # schema (columns by position, the header line skipped): no inference job.
+    frames = [_reader(spark).schema(", ".join("`" + c.replace("`", "``") + "` string" for c in header))
+              .csv(paths) for header, paths in groups.items()]
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     markers = NULL_MARKERS if markers is None else markers
     return df.select(*[null_markers_to_null(F.col(f"`{c}`"), markers).alias(c) for c in df.columns])
