@@ -4,12 +4,19 @@ Each run writes every table to ``<root>/versions/<run_id>/<table>``.  The
 version is checked (primary keys, unique keys, foreign keys) and only then
 does a small manifest file name it as current; readers always go through
 the manifest, so a failed run leaves the published version untouched.
+
+The fact is written bucketed by invoice id (the bucket count is recorded in
+the manifest, and readers register the version's files as a bucketed table
+in their session catalog).  A later merge joins new rows to it on invoice
+id: Spark then shuffles only the new rows into the fact's buckets and reads
+the published fact in place, instead of shuffling the whole fact every load.
 Upserts read the current version and write a new one, never their input.
 A load summary (succeeded and failed steps) is written in every case.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from dataclasses import dataclass, field
@@ -75,21 +82,53 @@ class LoadSummary:
 class Warehouse:
     """A directory of versioned warehouse tables with a current-version manifest."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, fact_buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.fact_buckets = fact_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self._written: dict[str, int] = {}
 
     def version_path(self, run_id: str, table: str) -> str:
         return f"{self.root}/versions/{run_id}/{table}"
 
-    def current(self) -> str | None:
+    def _manifest(self) -> dict | None:
         text = _read_text(self.spark, f"{self.root}/{MANIFEST}")
-        return json.loads(text)["version"] if text else None
+        return json.loads(text) if text else None
+
+    def current(self) -> str | None:
+        manifest = self._manifest()
+        return manifest["version"] if manifest else None
+
+    def _fact_table(self, run_id: str) -> str:
+        tag = hashlib.sha1(f"{self.root}/{run_id}".encode()).hexdigest()[:16]
+        return f"ledgerline_fact_{tag}"
+
+    def _fact(self, run_id: str, buckets: int | None) -> DataFrame:
+        """The fact of a version as a bucketed table of this session."""
+        path = self.version_path(run_id, "fact_sales")
+        name = self._fact_table(run_id)
+        if buckets is None:
+            return self.spark.read.parquet(path)
+        if not self.spark.catalog.tableExists(name):
+            schema = self.spark.read.parquet(path).schema
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+                           f"CLUSTERED BY (invoice_id) INTO {buckets} BUCKETS LOCATION '{path}'")
+        return self.spark.table(name)
 
     def read(self, table: str, run_id: str | None = None) -> DataFrame:
-        version = run_id or self.current()
+        manifest = self._manifest()
+        version = run_id or (manifest or {}).get("version")
         if version is None:
             raise FileNotFoundError(f"No published version under {self.root}")
+        if table == "fact_sales":
+            if version in self._written:
+                buckets = self._written[version]
+            elif manifest and manifest.get("version") == version:
+                buckets = manifest.get("fact_buckets")
+            else:
+                buckets = None
+            return self._fact(version, buckets)
         return self.spark.read.parquet(self.version_path(version, table))
 
     def tables(self, run_id: str | None = None) -> StarSchema:
@@ -100,7 +139,13 @@ class Warehouse:
         for name, df in tables.items():
             step = f"{name}_staging"
             try:
-                df.write.mode("overwrite").parquet(self.version_path(run_id, name))
+                path = self.version_path(run_id, name)
+                if name == "fact_sales":
+                    (df.write.mode("overwrite").bucketBy(self.fact_buckets, "invoice_id")
+                     .option("path", path).saveAsTable(self._fact_table(run_id)))
+                    self._written[run_id] = self.fact_buckets
+                else:
+                    df.write.mode("overwrite").parquet(path)
                 summary.succeeded.append(step)
             except Exception as exc:  # recorded in the summary, raised after it
                 summary.failed.append(step)
@@ -115,7 +160,8 @@ class Warehouse:
                 for r in hard.filter(F.col("violations") > 0).collect()]
 
     def publish(self, run_id: str) -> None:
-        _write_text(self.spark, f"{self.root}/{MANIFEST}", json.dumps({"version": run_id}))
+        _write_text(self.spark, f"{self.root}/{MANIFEST}",
+                    json.dumps({"version": run_id, "fact_buckets": self._written.get(run_id)}))
 
     def write_summary(self, summary: LoadSummary, run_id: str) -> None:
         _write_text(self.spark, f"{self.root}/load_summary/{run_id}.json", json.dumps(summary.as_dict()))

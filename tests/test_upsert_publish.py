@@ -93,3 +93,21 @@ def test_staged_publish_and_failure_keeps_published_version(spark, tmp_path):
     assert wh.current() == "v1"
     with open(tmp_path / "wh" / "load_summary" / "v3.json") as fh:
         assert json.load(fh)["failed"] == ["fact_sales_staging"]
+
+
+def test_published_fact_is_bucketed_so_merges_shuffle_only_new_rows(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"), fact_buckets=4)
+    star, _ = transform(raw_frame(spark, SAMPLE_ROWS), RETAIL_RULES)
+    wh.load(star, run_id="b1")
+    fact = Warehouse(spark, str(tmp_path / "wh")).read("fact_sales")     # a new reader: manifest only
+    new = spark.createDataFrame([("INV-001",), ("INV-777",)], "invoice_id string")
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = fact.join(new, "invoice_id", "full_outer")
+        assert joined.count() == 5
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+    assert "Bucketed: true" in plan
+    assert plan.count("Exchange hashpartitioning") == 1            # the new rows only
