@@ -237,7 +237,28 @@ def q_staged_publish(spark, sf_dir):
     return report.sales_report(t.fact_sales, t.dim_branch, t.dim_product)
 
 
-QUERIES: dict[str, Query] = {
+def _driver_types(query: Query) -> Query:
+    """Emit DATE columns as TIMESTAMP_NTZ at midnight.
+
+    The driver tables model every date as TIMESTAMP_NTZ; the catalog follows
+    that convention so its results compare the same way as the inputs do
+    (through pandas a DATE comes back as a date from Spark but as a
+    timestamp from DuckDB).  The library and the warehouse keep DATE.
+    """
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = query(spark, sf_dir)
+        dates = {f.name for f in df.schema.fields if f.dataType.typeName() == "date"}
+        if not dates:
+            return df
+        return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in dates else F.col(c)
+                           for c in df.columns])
+
+    run.__name__ = query.__name__
+    run.__doc__ = query.__doc__
+    return run
+
+
+_QUERIES: dict[str, Query] = {
     "sales_report": q_sales_report,
     "column_standardize": q_column_standardize,
     "coerce_dates_times_numbers": q_coerce_dates_times_numbers,
@@ -274,3 +295,5 @@ QUERIES: dict[str, Query] = {
     "parquet_roundtrip": q_parquet_roundtrip,
     "staged_publish": q_staged_publish,
 }
+
+QUERIES: dict[str, Query] = {name: _driver_types(q) for name, q in _QUERIES.items()}

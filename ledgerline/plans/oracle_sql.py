@@ -442,3 +442,12 @@ ORACLE_SQL: dict[str, str] = {
     "csv_roundtrip": with_stages("SELECT " + ", ".join(
         f"CASE WHEN {c} IN ({_markers()}) THEN NULL ELSE {c} END AS {c}" for c in RAW_COLUMNS) + " FROM raw"),
 }
+
+# Queries whose result holds the DATE column sale_date: emitted as TIMESTAMP
+# (midnight), as the Spark catalog does (see ``catalog._driver_types``).
+for _name in ["coerce_dates_times_numbers", "dq_rejects", "clean_sales", "fact_sales",
+              "parquet_roundtrip", "upsert_fact"]:
+    _sql = ORACLE_SQL[_name]
+    _head, _sep, _body = _sql.rpartition("\nSELECT ")
+    ORACLE_SQL[_name] = (_head + "\nSELECT * REPLACE (CAST(sale_date AS TIMESTAMP) AS sale_date) FROM (SELECT "
+                         + _body + ")")
