@@ -19,6 +19,29 @@ from ledgerline.session import cut_lineage
 # A dimension above this many members is not numbered in one task.
 MAX_SINGLE_TASK_ROWS = 5_000_000
 
+# Target size of one range partition, in bytes of the written (compressed)
+# input: roughly half a gigabyte once decoded.
+RANGE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def range_partitions(df: DataFrame) -> int:
+    """Partitions for a range partitioning of ``df``: at least the shuffle
+    partitions, more when the input is large.
+
+    The size is Catalyst's estimate, which for a written table is its file
+    size (no job runs); an unknown size keeps the shuffle partitions.
+    """
+    spark = df.sparkSession
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        size = raw if isinstance(raw, int) else int(raw.toString())
+    except Exception:  # no statistics available
+        return base
+    if size <= 0 or size >= 1 << 62:
+        return base
+    return max(base, min(100_000, -(-size // RANGE_PARTITION_BYTES)))
+
 
 def dense_key_small(df: DataFrame, order: list[str], key: str) -> DataFrame:
     """``key`` = 1..n by ``order`` (nulls first) over a bounded dimension."""
@@ -34,7 +57,7 @@ def dense_key_large(df: DataFrame, order: str, key: str, partitions: int | None
     would still get distinct keys, in an unspecified order.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or range_partitions(df)
     ranged = (df.repartitionByRange(n, F.col(order).asc_nulls_first())
               .sortWithinPartitions(F.col(order).asc_nulls_first()))
     tagged = cut_lineage(ranged.select(

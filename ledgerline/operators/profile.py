@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.money import round2
+from ledgerline.operators.keys import range_partitions
 from ledgerline.session import cut_lineage
 
 QUANTILES = [("p25", 0.25), ("p50", 0.5), ("p75", 0.75)]
@@ -41,7 +42,7 @@ def running_counts(counted: DataFrame, group: str, order: str, weight: str,
     """Adds ``_cum``: the running sum of ``weight`` in (group, order) order,
     restarting at every group.  Distributed; see the module note."""
     spark = counted.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or range_partitions(counted)
     ranged = counted.repartitionByRange(n, group, order).sortWithinPartitions(group, order)
     tagged = cut_lineage(ranged.select("*", F.spark_partition_id().alias("_pid")))
     # One total per (partition, group): bounded by partitions x groups, not
