@@ -67,3 +67,15 @@ def test_pivot(spark):
     out = {r["p"]: (r["A"], r["B"], r["C"]) for r in
            profile.pivot_sum(df, "p", "b", ["A", "B", "C"], F.sum("v")).collect()}
     assert out == {"x": (1.0, 2.0, None), "y": (3.0, None, None)}
+
+
+def test_range_partitions_grow_with_written_size(spark, monkeypatch):
+    from ledgerline.operators import keys
+    from ledgerline.session import cut_lineage
+
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    written = cut_lineage(spark.range(50000).selectExpr("id", "uuid() AS u"))
+    assert keys.range_partitions(written) == base                  # small table: the shuffle partitions
+    monkeypatch.setattr(keys, "RANGE_PARTITION_BYTES", 10_000)
+    assert keys.range_partitions(written) > base                   # large relative to the target
+    assert keys.range_partitions(spark.range(5)) == base
