@@ -12,16 +12,40 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import packing
+from ledgerline.llm import line_dedup, packing, quality_rules, simhash, toxicity
 from ledgerline.llm.common import read, written
 
 
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score stays below the threshold."""
+    return toxicity.keep_clean(docs, read(spark, sf_dir, "labels"))
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules, without their failing lines."""
+    return quality_rules.clean(docs)
+
+
+def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that many sources share; emptied ones go."""
+    return line_dedup.drop_emptied(docs)
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash.keep_one(docs)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the kept documents in windows of 1024 tokens."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", not_toxic),
+    ("quality rules", good_quality),
+    ("line dedup", without_boilerplate),
+    ("SimHash near-dedup", without_copies),
     ("packing", packed),
 ]
 

@@ -6,14 +6,25 @@ parameters.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, packing, token_counts
+from ledgerline.session import ensure_checkpoint_dir
+
+from . import bpe, line_dedup, nearest, packing, quality_rules, simhash, token_counts, toxicity, url_filter, warc
 from .common import read
 
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that MIN_SITES or more sources share."""
+    return line_dedup.remove_boilerplate(read(spark, sf_dir, "documents"))
+
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -23,14 +34,111 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(read(spark, sf_dir, "embeddings"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(read(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, read back: payload sizes and digests as the reader found them."""
+    path = f"{ensure_checkpoint_dir(spark)}/warc/{uuid.uuid4().hex}"
+    warc.write(read(spark, sf_dir, "pages"), path)
+    found = warc.read(spark, path, payload="digest")
+    return found.select(
+        warc.page_number(F.col("record_id")).alias("page_id"), "payload_bytes",
+        F.coalesce("computed_digest", "payload_digest").alias("payload_digest"), F.col("warc_type").alias("record_type"),
+        warc.page_number(F.col("refers_to")).alias("refers_to"))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_token_counts": op2_token_counts,
-    "op3_packing": op3_packing,
-    "op7_bpe": op7_bpe,
-}
+    f.__name__: f for f in (op1_line_dedup, op2_token_counts, op3_packing, op4_nearest, op5_toxicity, op6_quality_rules, op7_bpe, op8_warc,
+                            op9_simhash, op10_url_filter)}
 
-ORACLE_SQL: dict[str, str] = {}
+# op2, op3 and op7 need the tokenizer libraries, op5 a trained model and op9
+# XXH64: their tests compare them with brute force instead.
+ORACLE_SQL: dict[str, str] = {
+    "op1_line_dedup": """
+        WITH l AS (
+            SELECT d.doc_id, d.source, u.pos, u.line
+            FROM documents d, LATERAL (SELECT unnest(string_split(d.text, chr(10))) AS line,
+                                              generate_subscripts(string_split(d.text, chr(10)), 1) AS pos) u
+        ), common AS (
+            SELECT trim(line) AS line, min(doc_id) AS keeper FROM l WHERE trim(line) <> ''
+            GROUP BY trim(line) HAVING count(DISTINCT source) >= 10
+        ), judged AS (
+            SELECT l.doc_id, l.pos, l.line, (c.line IS NOT NULL AND c.keeper <> l.doc_id) AS removed
+            FROM l LEFT JOIN common c ON c.line = trim(l.line)
+        ), grouped AS (
+            SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed,
+                   string_agg(line, chr(10) ORDER BY pos) FILTER (NOT removed) AS text
+            FROM judged GROUP BY doc_id
+        )
+        SELECT d.doc_id, coalesce(g.n_lines, 0) AS n_lines, coalesce(g.n_removed, 0) AS n_removed,
+               CASE WHEN d.text IS NOT NULL THEN coalesce(g.text, '') END AS text
+        FROM documents d LEFT JOIN grouped g USING (doc_id)
+    """,
+    "op4_nearest": """
+        WITH v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   list_dot_product(q.e, c.e) / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(c.e, c.e))) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+        ), ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+            FROM pairs
+        )
+        SELECT * FROM ranked WHERE rank <= 5
+    """,
+    "op8_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html FROM pages
+        ), sized AS (
+            SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS payload_digest FROM p
+        ), named AS (
+            SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS response_id FROM sized
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> response_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> response_id THEN response_id END AS refers_to
+        FROM named
+    """,
+    "op10_url_filter": """
+        WITH a AS (
+            SELECT page_id,
+                   coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
+                                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                   coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+            FROM pages
+        ), rules(verdict, rule, r_host, r_path) AS (
+            VALUES ('block', 'net/', 'net', '/'), ('allow', 'example.net/en/', 'example.net', '/en/'),
+                   ('block', 'example.com/de/', 'example.com', '/de/'), ('allow', 'org/fr/', 'org', '/fr/')
+        ), fits AS (
+            SELECT a.page_id, arg_max(r.rule, length(r.rule)) AS rule, arg_max(r.verdict, length(r.rule)) AS verdict
+            FROM a JOIN rules r ON (a.host = r.r_host OR suffix(a.host, '.' || r.r_host)) AND starts_with(a.path, r.r_path)
+            GROUP BY a.page_id
+        )
+        SELECT a.page_id, a.host, a.path, f.rule, coalesce(f.verdict, 'allow') AS verdict FROM a LEFT JOIN fits f USING (page_id)
+    """,
+}
