@@ -1,0 +1,149 @@
+"""Quality rules, URL filters and line dedup against brute force."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+from hypothesis import given, settings, strategies as st
+
+from ledgerline.llm import line_dedup, quality_rules, url_filter
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+
+
+def slow_counts(text):
+    words = WORD.findall(text)
+    windows = Counter(zip(words, words[1:], words[2:]))
+    covered = set()
+    for i, w in enumerate(zip(words, words[1:], words[2:])):
+        if windows[w] > 1:
+            covered |= {i, i + 1, i + 2}
+    seen, duplicates = [], 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            duplicates += line in seen
+            seen.append(line)
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), duplicates, len(covered),
+            len(words) < 50 or 100 * len(covered) > 50 * len(words))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from(list("ab \n\t\x0b\x1c\xa0#|é.")), max_size=200))
+def test_base_counts(text):
+    assert quality_rules.measure(text, quality_rules.Rules())[:6] == slow_counts(text)
+
+
+PROSE = "\n".join(f"Sentence {i} tells w{i}a of w{i}b and then w{i}c quite plainly{i}." for i in range(12))
+
+
+def test_verdicts(make_docs):
+    rows = [(1, PROSE), (2, PROSE + "\nHome | About | Contact"), (3, "Home | About | Contact | More words here\n" * 3 + "\n".join(f"a{i} | b{i} | c{i}" for i in range(40))),
+            (4, None), (5, ""), (6, "BUY!! NOW!! CHEAP!! GOODS!! HERE!! TODAY!!\n" * 1 + "\n".join(f"W{i}!! X{i}!! Y{i}!! Z{i}!! Q{i}!!" for i in range(20))),
+            (7, "same three words " * 40), (None, PROSE), (1, PROSE)]
+    got = quality_rules.judge(make_docs(rows)).collect()
+    kept = defaultdict(set)
+    for r in got:
+        kept[r.doc_id].add(r.kept)
+    assert len(got) == len(rows)
+    assert {k: v for k, v in kept.items()} == {1: {True}, 2: {True}, 3: {False}, 4: {False}, 5: {False}, 6: {False}, 7: {False}, None: {True}}
+    assert {r.doc_id for r in got if r.base_failed} == {4, 5, 7}
+
+
+def test_clean_removes_the_failing_lines(make_docs):
+    docs = make_docs([(1, "Home | About | Contact\n" + PROSE), (2, "short"), (None, PROSE)])
+    got = {r.doc_id: r for r in quality_rules.clean(docs).collect()}
+    assert set(got) == {1, None}
+    assert got[1].text == PROSE and got[1].n_chars == len(PROSE) and got[1].score == 1
+    assert quality_rules.clean(make_docs([])).columns == docs.columns
+
+
+def slow_url(url, rules, default="allow"):
+    host, path = "", ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.match("[^/?#]*", rest).group()
+        path = re.match("[^?#]*", rest[len(host):]).group()
+        host = host.translate({c: c + 32 for c in range(65, 91)})
+    best = None
+    for verdict, rule in rules:
+        r_host, r_path = url_filter.split_rule(rule)
+        if (host == r_host or host.endswith("." + r_host)) and path.startswith(r_path):
+            key = (len(rule), verdict == "block")
+            best = max(best or (key, rule, verdict), (key, rule, verdict))
+    return host, path, best[1] if best else None, best[2] if best else default
+
+
+RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"), ("block", "org"),
+         ("allow", "a.org/x"), ("block", "a.org/x"), ("allow", "b.org/deep/er"), ("block", "com/de/y")]
+
+
+def test_url_rules(spark):
+    rnd = random.Random(3)
+    hosts = ["net", "a.net", "EXAMPLE.net", "x.example.NET", "example.com", "www.example.com", "notexample.com", "a.org", "z.a.org", "b.org", "org", "", "net:80", "É.net"]
+    paths = ["", "/", "/en", "/en/", "/en/1", "/de/y", "/de/yes", "/fr/x", "/x", "/xy/z", "/deep/er/x", "/deep/e", "//en/"]
+    urls = [f"http://{rnd.choice(hosts)}{rnd.choice(paths)}{rnd.choice(['', '?q=1', '#f', '?u=http://b.org/', '#?'])}" for _ in range(400)]
+    urls += [None, "", "nothing", "://", "http://", "x://net/", "http:/net/", "ftp://A.NET/ünï", "http://net/a\nb", "a\nb://net/"]
+    pages = spark.createDataFrame([(i, u, "h", 7) for i, u in enumerate(urls)] + [(None, "http://net/", "h", 7)] * 2,
+                                  "page_id long, url string, html string, verdict int")
+    want = sorted(str((i, *slow_url(u, RULES))) for i, u in [*enumerate(urls), (None, "http://net/"), (None, "http://net/")])
+    got = url_filter.judge(pages, RULES)
+    assert got.columns == ["page_id", "host", "path", "rule", "verdict"]
+    assert sorted(str(tuple(r)) for r in got.collect()) == want
+    table = spark.createDataFrame(RULES, "verdict string, rule string")
+    joined = url_filter.judge_by_join(pages, table)
+    assert sorted(str(tuple(r)) for r in joined.collect()) == want
+    assert {r.verdict for r in url_filter.judge(pages, [], default="block").collect()} == {"block"}
+    assert url_filter.judge(pages.limit(0), RULES).collect() == []
+
+
+def slow_dedup(rows, min_sites):
+    sites, keeper = defaultdict(set), {}
+    rank = lambda i: (i is None, i or 0)
+    for i, text, source in rows:
+        for line in (text or "").split("\n"):
+            if line.strip(" ") and text is not None:
+                if source is not None:
+                    sites[line.strip(" ")].add(source)
+                if line.strip(" ") not in keeper or rank(i) < rank(keeper[line.strip(" ")]):
+                    keeper[line.strip(" ")] = i
+    out = []
+    for i, text, source in rows:
+        if text is None:
+            out.append((i, 0, 0, None))
+            continue
+        lines = text.split("\n")
+        kept = [x for x in lines if not (x.strip(" ") and len(sites[x.strip(" ")]) >= min_sites and keeper[x.strip(" ")] != i)]
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(map(str, out))
+
+
+def test_line_dedup(make_docs):
+    rnd = random.Random(9)
+    common = [f"common line {k}" for k in range(30)]
+    rows = []
+    for i in range(300):
+        lines = [f"own {i} {j}" for j in range(3)]
+        # The k-th common line reaches about k sites: some just below the limit, some just above.
+        lines += [("  " if rnd.random() < .2 else "") + c for k, c in enumerate(common) if i % 40 < k and rnd.random() < .8]
+        rnd.shuffle(lines)
+        rows.append((i if i % 50 else None, "\n".join(lines), f"site{i % 40}" if i % 7 else None))
+    rows += [(1000, None, "a"), (1001, "", "a"), (1002, "\n \n", None), (5, rows[5][1], rows[5][2]), (5, rows[5][1], rows[5][2])]
+    docs = make_docs(rows)
+    for least in (3, 10, 25):
+        got = line_dedup.remove_boilerplate(docs, min_sites=least)
+        assert sorted(str(tuple(r)) for r in got.collect()) == slow_dedup(rows, least)
+
+
+def test_line_dedup_uses_no_python(make_docs):
+    plan = line_dedup.remove_boilerplate(make_docs([(1, "a\nb", "s")]))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_emptied_documents_go(make_docs):
+    rows = [(i, "shared line", f"s{i}") for i in range(12)] + [(50, "shared line\nown words", "s1"), (60, "", "s2"), (61, None, "s2")]
+    docs = make_docs(rows)
+    got = {r.doc_id: r for r in line_dedup.drop_emptied(docs).collect()}
+    assert set(got) == {0, 50, 60, 61}
+    assert got[0].text == "shared line" and got[50].text == "own words" and got[50].n_chars == 9
+    assert line_dedup.drop_emptied(docs).columns == docs.columns
+    assert line_dedup.remove_boilerplate(make_docs([])).collect() == []
