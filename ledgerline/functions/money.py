@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY_SUM_TYPE = "decimal(18,4)"
+MONEY_SUM_TYPE = "decimal(24,4)"
 ROUND_TYPE = "decimal(28,10)"
 
 
@@ -21,23 +21,35 @@ def _c(col: Column | str) -> Column:
 
 def round_sql(expr: str, places: int = 2) -> str:
     """SQL text of :func:`round2`."""
-    return f"cast(round(cast(({expr}) as {ROUND_TYPE}), {places}) as double)"
+    return (f"coalesce(cast(round(try_cast(({expr}) as {ROUND_TYPE}), {places}) as double), "
+            f"round(cast(({expr}) as double), {places}))")
 
 
 def round2(col: Column | str, places: int = 2) -> Column:
-    """Half-up rounding of a double to ``places`` decimals, result double."""
-    return F.round(_c(col).cast(ROUND_TYPE), places).cast("double")
+    """Half-up rounding to ``places`` decimals, result double.
+
+    A value outside the decimal's range (or not finite) is rounded as a
+    double, so no value can stop a job.
+    """
+    c = _c(col)
+    return F.coalesce(F.round(c.try_cast(ROUND_TYPE), places).cast("double"), F.round(c.cast("double"), places))
 
 
-def money_sum(col: Column | str) -> Column:
-    """Exact sum of a money column (decimal)."""
-    return F.sum(_c(col).cast(MONEY_SUM_TYPE))
+def exact_sum(col: Column | str) -> Column:
+    """Exact decimal sum of the amounts that fit the decimal."""
+    return F.try_sum(_c(col).try_cast(MONEY_SUM_TYPE))
 
 
-def exact_avg(col: Column | str) -> Column:
-    """Average as exact decimal sum over the non-null count, then double."""
+def beyond_sum(col: Column | str) -> Column:
+    """Double sum of the amounts that do not fit; NULL when all do."""
     c = _c(col)
-    return F.try_divide(F.sum(c.cast(MONEY_SUM_TYPE)).cast("double"), F.count(c))
+    return F.sum(F.when(c.try_cast(MONEY_SUM_TYPE).isNull(), c))
+
+
+def total(exact: Column | str, beyond: Column | str) -> Column:
+    """Both sums together: exact to the last double bit when all amounts fit."""
+    exact, beyond = _c(exact), _c(beyond)
+    return F.when(beyond.isNull(), exact.cast("double")).otherwise(F.coalesce(exact.cast("double"), F.lit(0.0)) + beyond)
 
 
 def percent_of(part: Column, whole: Column) -> Column:

@@ -6,31 +6,27 @@ import re
 
 from pyspark.sql import DataFrame
 
-_NON_ALNUM = re.compile(r"[^a-z0-9]+")
-_RUNS = re.compile(r"_+")
+_WORD = re.compile("[a-z0-9]+")
 
 
 def snake_case(name: str) -> str:
-    """Trim, lower-case, turn every run of non-alphanumerics into one ``_``."""
-    lowered = _NON_ALNUM.sub("_", name.strip().lower())
-    return _RUNS.sub("_", lowered).strip("_")
+    """The lower-cased ASCII words and numbers of a name, joined by ``_``."""
+    return "_".join(_WORD.findall(name.lower()))
 
 
 def standard_name(raw: str, aliases: dict[str, str] | None = None) -> str:
     """Alias of the (trimmed) raw name if one exists, else its snake case."""
-    aliases = aliases or {}
-    if raw in aliases:
-        return aliases[raw]
-    trimmed = raw.strip()
-    if trimmed in aliases:
-        return aliases[trimmed]
-    return snake_case(raw)
+    return (aliases or {}).get(raw.strip(), snake_case(raw))
+
+
+# What the second naming strategy puts for single characters.
+REPLACEMENTS = str.maketrans({" ": "_", "%": "pct", "-": "_"})
 
 
 def replacement_name(raw: str, renames: dict[str, str] | None = None) -> str:
-    """Second naming strategy: space -> ``_``, ``%`` -> ``pct``, ``-`` -> ``_``."""
-    name = raw.strip().lower().replace(" ", "_").replace("%", "pct").replace("-", "_")
-    return (renames or {}).get(name, name)
+    """Second naming strategy: characters replaced one by one, then renamed."""
+    translated = raw.strip().lower().translate(REPLACEMENTS)
+    return renames[translated] if renames and translated in renames else translated
 
 
 def standardize(df: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:
@@ -44,12 +40,10 @@ def standardize(df: DataFrame, aliases: dict[str, str] | None = None) -> DataFra
 
 
 def check_columns(columns: list[str], required: list[str]) -> tuple[list[str], list[str]]:
-    """(missing, extra) relative to the required list; missing raises later."""
-    present = set(columns)
-    missing = [c for c in required if c not in present]
-    wanted = set(required)
-    extra = [c for c in columns if c not in wanted]
-    return missing, extra
+    """(missing, extra) relative to the required list, by trimmed names."""
+    present = {c.strip() for c in columns}
+    wanted = {c.strip() for c in required}
+    return [c for c in required if c.strip() not in present], [c for c in columns if c.strip() not in wanted]
 
 
 def require_columns(df: DataFrame, required: list[str]) -> list[str]:

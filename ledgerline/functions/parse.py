@@ -29,27 +29,14 @@ def time_sql(name: str, pattern: str = "H:m") -> str:
     return f"date_format(try_to_timestamp({ident(name)}, {text(pattern)}), 'HH:mm:ss')"
 
 
-def number_sql(name: str) -> str:
-    return f"try_cast({ident(name)} as double)"
-
-
-def parse_date(col: Column | str, pattern: str = "M/d/yyyy") -> Column:
-    """``M/d/yyyy`` accepts both ``1/5/2019`` and ``01/05/2019``."""
-    return F.try_to_date(F.col(col) if isinstance(col, str) else col, pattern)
+# Signed digits with one optional point and exponent, or an infinity, between
+# optional spaces: what pandas reads as a number.  A plain cast would also
+# take Java's type suffixes (``10d``, ``10f``).
+NUMBER_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
 
 
-def parse_time(col: Column | str, pattern: str = "H:m") -> Column:
-    """Hour:minute text -> canonical ``HH:mm:ss`` string, NULL when invalid.
-
-    ``25:00`` and ``13:08:09`` do not parse; ``9:05`` and ``13:8`` do.
-    """
-    c = F.col(col) if isinstance(col, str) else col
-    return F.date_format(F.try_to_timestamp(c, F.lit(pattern)), "HH:mm:ss")
-
-
-def parse_number(col: Column | str) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return c.try_cast("double")
+def number_sql(name: str) -> str:
+    return f"CASE WHEN {ident(name)} RLIKE {text(NUMBER_PATTERN)} THEN try_cast({ident(name)} as double) END"
 
 
 def date_to_iso(col: Column | str) -> Column:

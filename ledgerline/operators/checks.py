@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import size_checked
+from ledgerline.functions.parse import ident, text
 from ledgerline.operators.profile import union_all
 
 
@@ -14,72 +14,54 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
 
 
-def _violations(table: str, check: str, count_df: DataFrame) -> DataFrame:
-    return count_df.select(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"),
-                           F.col("violations").cast("long"))
-
-
-def unique_violations(df: DataFrame, table: str, keys: list[str], check: str) -> DataFrame:
-    """Surplus rows over the distinct non-null key values."""
-    dup = duplicate_keys(df.filter(F.col(keys[0]).isNotNull()), keys)
-    return _violations(table, check, dup.agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("violations")))
-
-
-def null_violations(df: DataFrame, table: str, key: str, check: str) -> DataFrame:
-    return _violations(table, check, df.agg(F.count_if(F.col(key).isNull()).alias("violations")))
-
-
-def orphans(fact: DataFrame, fk: str, dim: DataFrame, pk: str) -> DataFrame:
-    """Fact rows whose foreign key is NULL or absent from the dimension."""
-    keys = size_checked(dim.select(F.col(pk).alias(fk)).distinct())
-    return fact.join(keys, fk, "left_anti")
-
-
 def _key_flags(fact: DataFrame, dim_branch: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Fact foreign keys with a marker per dimension (NULL when orphaned):
-    one pass over the fact, both dimensions joined by their size check."""
-    b = size_checked(dim_branch.select("branch_key", F.lit(True).alias("_b")).distinct())
-    p = size_checked(dim_product.select("product_key", F.lit(True).alias("_p")).distinct())
-    return fact.select("branch_key", "product_key").join(b, "branch_key", "left").join(p, "product_key", "left")
+    one pass over the fact, reduced to its distinct key pairs before both
+    dimensions are joined."""
+    b = dim_branch.select("branch_key", F.lit(True).alias("_b")).distinct()
+    p = dim_product.select("product_key", F.lit(True).alias("_p")).distinct()
+    pairs = fact.groupBy("branch_key", "product_key").agg(F.count(F.lit(1)).alias("_n"))
+    return pairs.join(b, "branch_key", "left").join(p, "product_key", "left")
 
 
 def orphan_counts(fact: DataFrame, dim_branch: DataFrame, dim_product: DataFrame) -> DataFrame:
     """(foreign_key, orphan_rows) for both foreign keys of the fact."""
     counts = _key_flags(fact, dim_branch, dim_product).agg(
-        F.count_if(F.col("_b").isNull()).alias("branch_key"),
-        F.count_if(F.col("_p").isNull()).alias("product_key"))
+        F.coalesce(F.sum(F.when(F.col("_b").isNull(), F.col("_n"))), F.lit(0)).alias("branch_key"),
+        F.coalesce(F.sum(F.when(F.col("_p").isNull(), F.col("_n"))), F.lit(0)).alias("product_key"))
     return counts.select(F.inline(F.array(
         F.struct(F.lit("branch_key").alias("foreign_key"), F.col("branch_key").cast("long").alias("orphan_rows")),
         F.struct(F.lit("product_key").alias("foreign_key"), F.col("product_key").cast("long").alias("orphan_rows")),
     )))
 
 
-def _surplus(keys: list[str]) -> Column:
-    """Rows beyond the first for every distinct key (rows with a NULL in the
-    first key column are left to the not-null check)."""
-    present = F.col(keys[0]).isNotNull()
-    # Distinct structs: a NULL in a later key column is a value, as in GROUP BY.
-    return (F.count_if(present) - F.count_distinct(F.when(present, F.struct(*keys)))).cast("long")
+def _surplus(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row: rows beyond the first of every key (a NULL first key column
+    is left to the not-null check; a NULL in a later one is a value).
+
+    A grouped count on the key itself: on the bucketed fact it needs no
+    shuffle for the bucket key, and partial counts everywhere else.
+    """
+    return duplicate_keys(df.filter(F.col(keys[0]).isNotNull()), keys).agg(
+        F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).cast("long").alias("violations"))
 
 
 def _table_checks(df: DataFrame, table: str, pk: str, natural: list[str]) -> DataFrame:
-    """Primary-key not-null and unique, natural-key unique: one aggregate."""
-    agg = df.agg(
-        F.count_if(F.col(pk).isNull()).cast("long").alias("pk_not_null"),
-        _surplus([pk]).alias("pk_unique"),
-        _surplus(natural).alias("natural_key_unique"),
-    )
-    return agg.select(F.inline(F.array(*[
-        F.struct(F.lit(table).alias("table_name"), F.lit(c).alias("check_name"), F.col(c).alias("violations"))
-        for c in ["pk_not_null", "pk_unique", "natural_key_unique"]])))
+    """Primary-key not-null and unique, natural-key unique, each its own aggregate."""
+    found = {
+        "pk_not_null": df.agg(F.count_if(F.col(pk).isNull()).cast("long").alias("violations")),
+        "pk_unique": _surplus(df, [pk]),
+        "natural_key_unique": _surplus(df, natural),
+    }
+    return union_all([v.select(F.lit(table).alias("table_name"), F.lit(c).alias("check_name"), "violations")
+                      for c, v in found.items()])
 
 
 def constraint_report(dim_branch: DataFrame, dim_product: DataFrame, fact: DataFrame) -> DataFrame:
     """(table_name, check_name, violations): primary keys, unique keys and
     foreign keys of the three warehouse tables; 0 everywhere when valid.
 
-    One aggregate per table (distinct counts of its keys) and one pass over
-    the fact for both foreign keys.
+    One grouped count per key and one pass over the fact for both foreign keys.
     """
     fk = orphan_counts(fact, dim_branch, dim_product).select(
         F.lit("fact_sales").alias("table_name"), F.concat(F.lit("fk_"), F.col("foreign_key")).alias("check_name"),
@@ -108,3 +90,39 @@ def assert_counts(counts: DataFrame, expected: dict[str, tuple[int | None, int |
         if n is None or (lo is not None and n < lo) or (hi is not None and n > hi):
             failures.append(f"{table}: {n} rows, expected [{lo}, {hi}]")
     return failures
+
+
+def fact_assertions(fact: DataFrame, dim_branch: DataFrame, dim_product: DataFrame, rules) -> DataFrame:
+    """(assertion, violations): value rules that every published fact row keeps.
+
+    Positive totals, quantities and prices, ratings inside the limits,
+    non-NULL ids and keys, and categories from the allowed lists: one
+    aggregate over the fact and one per dimension.
+    """
+    broken = {
+        "total_positive": "coalesce(total_amount <= 0, true)",
+        "quantity_positive": "coalesce(quantity <= 0, true)",
+        "unit_price_positive": "coalesce(unit_price <= 0, true)",
+        "rating_in_range": f"coalesce(rating < {rules.rating_min!r} OR rating > {rules.rating_max!r}, true)",
+        "invoice_id_present": "invoice_id IS NULL",
+        "sale_date_present": "sale_date IS NULL",
+        "branch_key_present": "branch_key IS NULL",
+        "product_key_present": "product_key IS NULL",
+        "customer_type_known": _outside("customer_type", rules.customer_types),
+        "gender_known": _outside("gender", rules.genders),
+        "payment_known": _outside("payment_method", rules.payments),
+    }
+    dims = [_count_rows(dim_branch, {"branch_known": _outside("branch_code", rules.branches),
+                                     "city_known": _outside("city", rules.cities)}),
+            _count_rows(dim_product, {"product_line_present": "product_line IS NULL"})]
+    return union_all([_count_rows(fact, broken), *dims])
+
+
+def _outside(column: str, allowed: list[str]) -> str:
+    return f"NOT coalesce({ident(column)} IN ({', '.join(text(v) for v in allowed)}), false)"
+
+
+def _count_rows(df: DataFrame, conditions: dict[str, str]) -> DataFrame:
+    counts = df.agg(*[F.expr(f"count_if({c})").alias(name) for name, c in conditions.items()])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("assertion"), F.col(name).cast("long").alias("violations")) for name in conditions])))

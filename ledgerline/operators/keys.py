@@ -1,12 +1,13 @@
 """Dense surrogate keys 1..n in a sort order.
 
-Small dimensions use a global ``row_number`` window: one task, but over the
-distinct members only.  Large tables (the fact) must not go through one
-task, so they are range-partitioned on the order column, sorted inside each
-partition and checkpointed; a row's key is then the number of rows in all
-earlier partitions plus its position in its own partition.  The checkpoint
-fixes partition contents, so the per-partition counts and positions come
-from the very same rows even if an executor is lost and tasks re-run.
+A dimension whose members come from fixed lists uses a global ``row_number``
+window: one task, over the distinct members.  Any other table (the fact, the
+products) must not go through one task, so it is range-partitioned on the
+order column, sorted inside each partition and written; a row's key is then
+the number of rows in all earlier partitions plus its position in its own
+partition.  The written table fixes partition contents, so the per-partition
+counts and positions come from the very same rows even if an executor is lost
+and tasks re-run.
 """
 
 from __future__ import annotations
@@ -16,31 +17,17 @@ from pyspark.sql import functions as F
 
 from ledgerline.session import cut_lineage
 
-# A dimension above this many members is not numbered in one task.
-MAX_SINGLE_TASK_ROWS = 5_000_000
-
 # Target size of one range partition, in bytes of the written (compressed)
 # input: roughly half a gigabyte once decoded.
 RANGE_PARTITION_BYTES = 128 * 1024 * 1024
 
 
-def range_partitions(df: DataFrame) -> int:
-    """Partitions for a range partitioning of ``df``: at least the shuffle
-    partitions, more when the input is large.
-
-    The size is Catalyst's estimate, which for a written table is its file
-    size (no job runs); an unknown size keeps the shuffle partitions.
-    """
-    spark = df.sparkSession
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        size = raw if isinstance(raw, int) else int(raw.toString())
-    except Exception:  # no statistics available
-        return base
-    if size <= 0 or size >= 1 << 62:
-        return base
-    return max(base, min(100_000, -(-size // RANGE_PARTITION_BYTES)))
+def range_partitions(df: DataFrame, size: int) -> int:
+    """Partitions for a range partitioning of ``df``, of whose written form
+    ``size`` bytes are known: at least the shuffle partitions, and one for
+    each ``RANGE_PARTITION_BYTES``."""
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(base, -(-size // RANGE_PARTITION_BYTES))
 
 
 def dense_key_small(df: DataFrame, order: list[str], key: str) -> DataFrame:
@@ -49,29 +36,30 @@ def dense_key_small(df: DataFrame, order: list[str], key: str) -> DataFrame:
     return df.select(F.row_number().over(w).cast("long").alias(key), *df.columns)
 
 
-def dense_key_large(df: DataFrame, order: str, key: str, partitions: int | None = None,
+def dense_key_large(df: DataFrame, order: str, key: str, size: int, partitions: int | None = None,
                     start: Column | int = 0) -> DataFrame:
     """``key`` = start + 1..n by ``order`` over a table of any size.
 
-    ``order`` must identify rows (the fact's invoice id after dedup); ties
+    ``size`` is the byte size of the written table that ``df`` reads; it sets
+    the number of range partitions unless ``partitions`` does.  ``order`` must identify rows (the fact's invoice id after dedup); ties
     would still get distinct keys, in an unspecified order.
     """
     spark = df.sparkSession
-    n = partitions or range_partitions(df)
+    n = partitions or range_partitions(df, size)
     ranged = (df.repartitionByRange(n, F.col(order).asc_nulls_first())
               .sortWithinPartitions(F.col(order).asc_nulls_first()))
     tagged = cut_lineage(ranged.select(
         "*", F.spark_partition_id().alias("_pid"),
         F.monotonically_increasing_id().alias("_mid")))
     # One count per partition: bounded by the partition count, not by the
-    # data.  The offsets become a small table joined by broadcast.
+    # data.  The offsets become a small table.
     counts = dict(tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
     rows, running = [], 0
     for pid in sorted(counts):
         rows.append((pid, running))
         running += counts[pid]
     offsets = spark.createDataFrame(rows or [(0, 0)], "_pid int, _off long")
-    tagged = tagged.join(F.broadcast(offsets), "_pid")
+    tagged = tagged.join(offsets, "_pid")
     offset = F.col("_off")
     position = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     base = start if isinstance(start, Column) else F.lit(start).cast("long")

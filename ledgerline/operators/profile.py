@@ -2,7 +2,7 @@
 
 Exact quantiles are computed without gathering a column into one task: the
 column is reduced to (value, count) pairs with partial aggregation, the pairs
-are range-partitioned and checkpointed, and running counts come from
+are range-partitioned and written, and running counts come from
 per-partition totals plus a running sum inside each partition.  The rows at
 the wanted ranks are then picked with a filter.
 """
@@ -14,11 +14,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.money import round2
+from ledgerline.functions.money import round2, total
 from ledgerline.operators.keys import range_partitions
-from ledgerline.session import cut_lineage
+from ledgerline.session import cut_lineage, cut_table
 
 QUANTILES = [("p25", 0.25), ("p50", 0.5), ("p75", 0.75)]
+LARGE = 1e6
 DESCRIBE_COLUMNS = ["column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"]
 
 
@@ -37,16 +38,17 @@ def _long_form(df: DataFrame, cols: dict[str, str]) -> DataFrame:
     return df.select(F.inline(pairs)).filter(F.col("value").isNotNull())
 
 
-def running_counts(counted: DataFrame, group: str, order: str, weight: str,
+def running_counts(counted: DataFrame, group: str, order: str, weight: str, size: int,
                    partitions: int | None = None) -> DataFrame:
     """Adds ``_cum``: the running sum of ``weight`` in (group, order) order,
-    restarting at every group.  Distributed; see the module note."""
+    restarting at every group.  ``size`` is the byte size of the written table
+    that ``counted`` reads.  Distributed; see the module note."""
     spark = counted.sparkSession
-    n = partitions or range_partitions(counted)
+    n = partitions or range_partitions(counted, size)
     ranged = counted.repartitionByRange(n, group, order).sortWithinPartitions(group, order)
     tagged = cut_lineage(ranged.select("*", F.spark_partition_id().alias("_pid")))
     # One total per (partition, group): bounded by partitions x groups, not
-    # by the data.  The offsets become a small table joined by broadcast.
+    # by the data.  The offsets become a small table.
     totals = sorted(tagged.groupBy("_pid", group).agg(F.sum(weight).alias("_t")).collect(),
                     key=lambda r: r["_pid"])
     running: dict = {}
@@ -58,7 +60,7 @@ def running_counts(counted: DataFrame, group: str, order: str, weight: str,
     group_type = dict(tagged.dtypes)[group]
     offsets = spark.createDataFrame(rows, f"_pid int, `{group}` {group_type}, _off long")
     inside = Window.partitionBy("_pid", group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return (tagged.join(F.broadcast(offsets), ["_pid", group])
+    return (tagged.join(offsets, ["_pid", group])
             .select(*counted.columns, (F.col("_off") + F.sum(weight).over(inside)).alias("_cum")))
 
 
@@ -70,24 +72,28 @@ def describe_numeric(df: DataFrame, cols: dict[str, str], places: int = 6) -> Da
     aggregation and written: the mean is an exact decimal sum over the
     count, the standard deviation a second pass over the triples, and the
     quantiles interpolate linearly between the two neighbouring ranks, like
-    pandas.  Results are rounded to ``places``.
+    pandas.  Results are rounded to ``places`` (from ``LARGE`` on, to ten
+    significant digits).
     """
-    counted = cut_lineage(_long_form(df, cols).groupBy("column_name", "value")
-                          .agg(F.count(F.lit(1)).alias("_w")))
+    counted, size = cut_table(_long_form(df, cols).groupBy("column_name", "value")
+                              .agg(F.count(F.lit(1)).alias("_w")))
+    # Value times count stays inside 38 digits at full scale; values beyond
+    # the decimal are summed as doubles beside it.
+    exact = F.col("value").try_cast("decimal(26,10)")
     first = counted.groupBy("column_name").agg(
         F.sum("_w").alias("count"),
-        F.sum(F.col("value").cast("decimal(28,10)") * F.col("_w")).alias("_sum"),
+        F.try_sum(exact * F.col("_w").cast("decimal(11,0)")).alias("_sum"),
+        F.sum(F.when(exact.isNull(), F.col("value") * F.col("_w"))).alias("_beyond"),
         F.min("value").alias("min"), F.max("value").alias("max"),
-    ).select("*", F.try_divide(F.col("_sum").cast("double"), F.col("count")).alias("mean"))
-    # Bounded: one row per described column.
-    spread = (counted.join(F.broadcast(first.select("column_name", "mean")), "column_name")
+    ).select("*", F.try_divide(total("_sum", "_beyond"), F.col("count")).alias("mean"))
+    spread = (counted.join(first.select("column_name", "mean"), "column_name")
               .groupBy("column_name")
               .agg(F.sum(F.col("_w") * (F.col("value") - F.col("mean")) ** 2).alias("_ss")))
     basic = first.join(spread, "column_name").select(
         "column_name", "count", "mean", "min", "max",
         F.sqrt(F.try_divide(F.col("_ss"), F.when(F.col("count") > 1, F.col("count") - 1))).alias("std"))
-    cum = running_counts(counted, "column_name", "value", "_w")
-    with_n = cum.join(F.broadcast(basic.select("column_name", "count")), "column_name")
+    cum = running_counts(counted, "column_name", "value", "_w", size)
+    with_n = cum.join(basic.select("column_name", "count"), "column_name")
     picks = []
     for label, p in QUANTILES:
         pos = F.lit(p) * (F.col("count") - 1)
@@ -104,7 +110,9 @@ def describe_numeric(df: DataFrame, cols: dict[str, str], places: int = 6) -> Da
         lo_v, hi_v, f = F.col(f"_{label}_lo"), F.col(f"_{label}_hi"), F.col(f"_{label}_f")
         return lo_v + (F.coalesce(hi_v, lo_v) - lo_v) * f
 
-    r = lambda c: round2(c, places)
+    def r(c: Column) -> Column:
+        return F.when(F.abs(c) < LARGE, round2(c, places)).otherwise(F.format_string("%.9e", c).cast("double"))
+
     return out.select(
         "column_name", F.col("count").cast("long").alias("count"), r(F.col("mean")).alias("mean"),
         r(F.col("std")).alias("std"), F.col("min"),
@@ -155,6 +163,15 @@ def column_profile(df: DataFrame, names: dict[str, str] | None = None) -> DataFr
     return counts.select(F.inline(rows))
 
 
+def null_counts(df: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
+    """(column_name, null_count) for every column, one map-side aggregate."""
+    names = names or {}
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_{i}") for i, c in enumerate(df.columns)])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(names.get(c, c)).alias("column_name"), F.col(f"_{i}").cast("long").alias("null_count"))
+        for i, c in enumerate(df.columns)])))
+
+
 def pivot_sum(df: DataFrame, row: str, col: str, values: list[str], measure: Column,
               finish=lambda c: c) -> DataFrame:
     """One row per ``row`` value, one column per listed ``col`` value."""

@@ -27,6 +27,9 @@ REJECT_FLAGS = [
 MISMATCH_FLAGS = ["tax_mismatch", "total_mismatch", "cogs_mismatch", "gross_income_mismatch"]
 FLAGS = REJECT_FLAGS + MISMATCH_FLAGS + ["rejected"]
 
+# The warehouse quantity is a 64-bit integer.
+QUANTITY_LIMIT = 9.2e18
+
 # Metric name for each flag count, in report order.
 FLAG_METRICS = {
     "critical_null": "critical_null_rows",
@@ -109,7 +112,7 @@ def flag_sql(rules: SalesRules, typed: str = "_p_") -> dict[str, str]:
             f"NOT coalesce({ident(col)} IN ({values}), false)")
     price, qty, rating = t["unit_price"], t["quantity"], t["rating"]
     flags["invalid_numeric"] = (
-        f"coalesce({price} <= {rules.price_min!r} OR {qty} < {rules.quantity_min!r} OR {qty} % 1 != 0 "
+        f"coalesce({price} <= {rules.price_min!r} OR {qty} < {rules.quantity_min!r} OR {qty} >= {QUANTITY_LIMIT!r}D "
         f"OR {rating} < {rules.rating_min!r} OR {rating} > {rules.rating_max!r}, true)")
     tax, total, cogs, income = t["tax_amount"], t["total_amount"], t["cogs"], t["gross_income"]
     tax0 = f"coalesce({tax}, 0.0D)"
@@ -140,6 +143,21 @@ def flag_rows(std: DataFrame, rules: SalesRules) -> DataFrame:
     return _with_flags(std, rules, std.columns)
 
 
+RAW = "raw_"
+
+
+def flag_both(std: DataFrame, rules: SalesRules) -> DataFrame:
+    """Raw text columns (prefixed), typed columns and flags: the row set that
+    is written once and read by flags, rejects, metrics and dedup."""
+    typed = std.selectExpr("*", *[f"{ident(c)} AS {ident(RAW + c)}" for c in std.columns])
+    return _with_flags(typed, rules, typed.columns)
+
+
+def typed_rows(both: DataFrame) -> DataFrame:
+    """The typed columns and flags of :func:`flag_both`."""
+    return both.select([c for c in both.columns if not (c.startswith(RAW) and c.removeprefix(RAW) in both.columns)])
+
+
 def flag_table(flagged: DataFrame) -> DataFrame:
     """The per-row flag table: invoice_id and the 14 flags, every row."""
     return flagged.select("invoice_id", *FLAGS)
@@ -154,35 +172,34 @@ def reject_rows(flagged: DataFrame) -> DataFrame:
     return flagged.filter(_any([F.col(f) for f in ["rejected", *MISMATCH_FLAGS]]))
 
 
-def quality_metrics(std: DataFrame, rules: SalesRules) -> DataFrame:
+def quality_metrics(both: DataFrame, rules: SalesRules) -> DataFrame:
     """One row of BIGINT metrics plus a ``null_counts`` map.
 
-    Plan: one shuffle groups identical raw rows (partial aggregation first,
-    so a row repeated a billion times is counted map-side); every metric is
-    a weighted sum over those distinct rows.  A second, much smaller
-    shuffle groups the distinct rows by invoice id.  Both branches read the
-    same exchange (Spark reuses it), and their one-row results are merged by
-    a union and an aggregate, not a join.
+    ``both`` has the raw text and the flags of every row
+    (:func:`flag_both`); flags follow from the raw text, so they are the same
+    in identical rows.  Plan: one shuffle groups identical raw rows (partial
+    aggregation first, so a row repeated a billion times is counted
+    map-side); every metric is a weighted sum over those distinct rows.  A
+    second, much smaller shuffle groups the distinct rows by invoice id.
+    Both branches read the same exchange (Spark reuses it), and their one-row
+    results are merged by a union and an aggregate, not a join.
     """
-    cols = std.columns
-    distinct = std.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    # Null counts are over the raw text, before any parsing.
-    nulls = [f"_null_{i}" for i in range(len(cols))]
-    raw_nulls = distinct.selectExpr("*", *[f"{ident(c)} IS NULL AS _null_{i}" for i, c in enumerate(cols)])
-    weighted = _with_flags(raw_nulls, rules, ["_n", "invoice_id", *nulls])
+    cols = [c.removeprefix(RAW) for c in both.columns if c.startswith(RAW) and c.removeprefix(RAW) in both.columns]
+    raw = [RAW + c for c in cols]
+    weighted = both.groupBy(*raw, *FLAGS).agg(F.count(F.lit(1)).alias("_n"))
 
     def weighted_sum(cond: str) -> str:
         return f"sum(CASE WHEN {cond} THEN _n ELSE 0 END)"
 
-    by_row = weighted.selectExpr("*").agg(
+    by_row = weighted.agg(
         F.expr("sum(_n)").alias("raw_row_count"),
         F.expr("sum(_n - 1)").alias("raw_duplicate_rows"),
         *[F.expr(weighted_sum(f)).alias(FLAG_METRICS[f]) for f in FLAGS],
         F.expr(weighted_sum("NOT rejected")).alias("clean_rows"),
-        *[F.expr(weighted_sum(f"_null_{i}")).alias(f"_null_{i}") for i in range(len(cols))],
+        *[F.expr(weighted_sum(f"{ident(c)} IS NULL")).alias(f"_null_{i}") for i, c in enumerate(raw)],
     )
     by_id = (
-        weighted.groupBy("invoice_id")
+        weighted.groupBy(RAW + "invoice_id")
         .agg(F.expr("sum(_n)").alias("_rows"), F.expr("max(NOT rejected)").alias("_has_clean"))
         .agg(
             F.expr("sum(_rows - 1)").alias("duplicate_invoice_ids"),
@@ -205,11 +222,6 @@ def _raw_names(cols: list[str], rules: SalesRules) -> dict[str, str]:
     return {c: back.get(c, c) for c in cols}
 
 
-def null_counts_long(metrics: DataFrame) -> DataFrame:
-    """(column_name, null_count) rows from the metrics map."""
-    return metrics.select(F.explode("null_counts").alias("column_name", "null_count"))
-
-
 def _warning_array(extra_columns: list[str] | None) -> Column:
     """Warning entries with count > 0, after an optional extra_columns entry."""
     entry = "struct<type:string,count:bigint,columns:array<string>>"
@@ -246,33 +258,23 @@ def quality_report(metrics: DataFrame, extra_columns: list[str] | None = None) -
     )
 
 
-def dedup_first(rows: DataFrame, key: str = "invoice_id", order: list[str] | None = None,
-                keep: str | None = None) -> DataFrame:
+def dedup_first(rows: DataFrame, key: str = "invoice_id", order: list[str] | None = None) -> DataFrame:
     """Keep one row per key: the smallest by ``order``, then every other column.
 
     Implemented as ``min(struct(...))`` per key: an aggregate with map-side
     partial aggregation, so a key holding a third of all rows is reduced in
     every map task before the shuffle instead of landing whole in one task.
-    NULLs sort first in every position.  ``keep`` (SQL condition) restricts
-    the candidates inside the aggregate; keys without any candidate vanish.
+    NULLs sort first in every position.
     """
     order = order if order is not None else ["sale_date", "sale_time"]
     cols = [c for c in rows.columns if c not in FLAGS]
     rest = [c for c in cols if c != key and c not in order]
     best = "struct(" + ", ".join(ident(c) for c in order + rest) + ")"
-    if keep is not None:
-        best = f"CASE WHEN {keep} THEN {best} END"
     picked = rows.groupBy(key).agg(F.expr(f"min({best})").alias("_best"))
-    if keep is not None:
-        picked = picked.filter("_best IS NOT NULL")
     return picked.selectExpr(*[ident(key) if c == key else f"_best.{ident(c)} AS {ident(c)}" for c in cols])
 
 
 def clean_dedup(flagged: DataFrame, key: str = "invoice_id", order: list[str] | None = None) -> DataFrame:
-    """Clean rows, one per invoice.
-
-    The reject test is applied inside the dedup aggregate rather than as a
-    filter: a filter would be pushed below the flag projection and evaluate
-    every parser a second time per row.
-    """
-    return dedup_first(flagged, key, order, keep="NOT rejected")
+    """Clean rows, one per invoice.  On a written flag table the reject test
+    is a filter at the scan, so rejected rows are never sorted or shuffled."""
+    return dedup_first(clean_rows(flagged), key, order)

@@ -2,18 +2,16 @@
 
 The fact is aggregated on its integer dimension keys first (partial
 aggregation on every map task, one small shuffle), and only the aggregated
-rows meet the dimensions, which are left to Spark's size check (they are
-written warehouse tables).  The windows then run over one row per
+rows meet the dimensions.  The windows then run over one row per
 (branch, city, product line), never over fact rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.money import MONEY_SUM_TYPE, percent_of, round2
-from ledgerline.operators.joins import size_checked
+from ledgerline.functions.money import beyond_sum, exact_sum, percent_of, round2, total
 
 REPORT_COLUMNS = [
     "branch_code", "city", "product_line", "transaction_count", "total_units_sold",
@@ -25,10 +23,10 @@ REPORT_COLUMNS = [
 def _sums(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(
         F.count("sales_key").alias("transaction_count"),
-        F.sum("quantity").alias("total_units_sold"),
-        F.sum(F.col("total_amount").cast(MONEY_SUM_TYPE)).alias("_sales"),
-        F.sum(F.col("gross_income").cast(MONEY_SUM_TYPE)).alias("_income"),
-        F.sum(F.col("rating").cast(MONEY_SUM_TYPE)).alias("_rating_sum"),
+        F.sum(F.col("quantity").cast("decimal(20,0)")).alias("total_units_sold"),
+        exact_sum("total_amount").alias("_sales"), beyond_sum("total_amount").alias("_sales_x"),
+        exact_sum("gross_income").alias("_income"), beyond_sum("gross_income").alias("_income_x"),
+        exact_sum("rating").alias("_rating_sum"),
         F.count("rating").alias("_rating_n"),
     )
 
@@ -36,33 +34,39 @@ def _sums(df: DataFrame, keys: list[str]) -> DataFrame:
 def sales_by_branch_product(fact: DataFrame, dim_branch: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Exact per-(branch_code, city, product_line) sums, inner-joined to dims."""
     per_key = _sums(fact, ["branch_key", "product_key"])
-    named = (per_key.join(size_checked(dim_branch), "branch_key")
-             .join(size_checked(dim_product), "product_key"))
+    named = (per_key.join(dim_branch, "branch_key")
+             .join(dim_product, "product_key"))
     return named.groupBy("branch_code", "city", "product_line").agg(
         F.sum("transaction_count").alias("transaction_count"),
         F.sum("total_units_sold").alias("total_units_sold"),
-        F.sum("_sales").alias("_sales"),
-        F.sum("_income").alias("_income"),
+        F.try_sum("_sales").alias("_sales"), F.sum("_sales_x").alias("_sales_x"),
+        F.try_sum("_income").alias("_income"), F.sum("_income_x").alias("_income_x"),
         F.sum("_rating_sum").alias("_rating_sum"),
         F.sum("_rating_n").alias("_rating_n"),
     )
 
 
+def _cents(exact: str, beyond: str) -> Column:
+    """A money total rounded to cents."""
+    return F.when(F.col(beyond).isNull(), round2(exact)).otherwise(round2(total(exact, beyond)))
+
+
 def sales_report(fact: DataFrame, dim_branch: DataFrame, dim_product: DataFrame,
                  ordered: bool = True) -> DataFrame:
     """Per branch, city and product line: counts, sums, average rating, rank
     of sales inside the branch (ties share a rank) and percent of branch sales."""
-    g = sales_by_branch_product(fact, dim_branch, dim_product)
+    g = sales_by_branch_product(fact, dim_branch, dim_product).withColumn("_total", total("_sales", "_sales_x"))
     branch = Window.partitionBy("branch_code")
+    whole = total(F.try_sum("_sales").over(branch), F.sum("_sales_x").over(branch))
     out = g.select(
         "branch_code", "city", "product_line",
         F.col("transaction_count").cast("long").alias("transaction_count"),
-        F.col("total_units_sold").cast("long").alias("total_units_sold"),
-        round2(F.col("_sales")).alias("total_sales"),
-        round2(F.col("_income")).alias("total_gross_income"),
+        F.col("total_units_sold").try_cast("long").alias("total_units_sold"),
+        _cents("_sales", "_sales_x").alias("total_sales"),
+        _cents("_income", "_income_x").alias("total_gross_income"),
         round2(F.try_divide(F.col("_rating_sum").cast("double"), F.col("_rating_n"))).alias("avg_rating"),
-        F.rank().over(branch.orderBy(F.col("_sales").desc())).cast("int").alias("sales_rank_within_branch"),
-        percent_of(F.col("_sales"), F.sum("_sales").over(branch)).alias("pct_of_branch_sales"),
+        F.rank().over(branch.orderBy(F.col("_total").desc(), F.col("_sales").desc())).cast("int").alias("sales_rank_within_branch"),
+        percent_of(F.col("_total"), whole).alias("pct_of_branch_sales"),
     )
     if ordered:
         out = out.orderBy("branch_code", "sales_rank_within_branch", "product_line")
@@ -82,26 +86,26 @@ def head(report: DataFrame, n: int) -> DataFrame:
 
 def revenue_total(fact: DataFrame) -> DataFrame:
     """Scorecard: total revenue over the fact."""
-    return fact.agg(round2(F.sum(F.col("total_amount").cast(MONEY_SUM_TYPE))).alias("total_revenue"))
+    sums = fact.agg(exact_sum("total_amount").alias("_sales"), beyond_sum("total_amount").alias("_x"))
+    return sums.select(_cents("_sales", "_x").alias("total_revenue"))
+
+
+def _named_sums(fact: DataFrame, key: str, measure: str, dim: DataFrame, name: str, out: str) -> DataFrame:
+    """Sums of a measure by a dimension's name: the fact by key first, then the few keys by name."""
+    per_key = fact.groupBy(key).agg(exact_sum(measure).alias("_s"), beyond_sum(measure).alias("_x"))
+    return (per_key.join(dim, key).groupBy(name).agg(F.try_sum("_s").alias("_s"), F.sum("_x").alias("_x"))
+            .select(name, _cents("_s", "_x").alias(out)))
 
 
 def sales_by_product_line(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
-    per_key = fact.groupBy("product_key").agg(
-        F.sum(F.col("total_amount").cast(MONEY_SUM_TYPE)).alias("_sales"))
-    return (per_key.join(size_checked(dim_product), "product_key")
-            .groupBy("product_line").agg(round2(F.sum("_sales")).alias("total_sales")))
+    return _named_sums(fact, "product_key", "total_amount", dim_product, "product_line", "total_sales")
 
 
 def income_by_branch(fact: DataFrame, dim_branch: DataFrame) -> DataFrame:
-    per_key = fact.groupBy("branch_key").agg(
-        F.sum(F.col("gross_income").cast(MONEY_SUM_TYPE)).alias("_income"))
-    return (per_key.join(size_checked(dim_branch), "branch_key")
-            .groupBy("branch_code").agg(round2(F.sum("_income")).alias("total_gross_income")))
+    return _named_sums(fact, "branch_key", "gross_income", dim_branch, "branch_code", "total_gross_income")
 
 
 def rating_by_city(fact: DataFrame, dim_branch: DataFrame) -> DataFrame:
-    per_key = fact.groupBy("branch_key").agg(
-        F.sum(F.col("rating").cast(MONEY_SUM_TYPE)).alias("_s"), F.count("rating").alias("_n"))
-    return (per_key.join(size_checked(dim_branch), "branch_key")
-            .groupBy("city")
+    per_key = fact.groupBy("branch_key").agg(exact_sum("rating").alias("_s"), F.count("rating").alias("_n"))
+    return (per_key.join(dim_branch, "branch_key").groupBy("city")
             .agg(round2(F.try_divide(F.sum("_s").cast("double"), F.sum("_n"))).alias("avg_rating")))

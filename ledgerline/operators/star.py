@@ -2,25 +2,55 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import join_dimension, size_checked
+from ledgerline.functions.money import round_sql
 from ledgerline.operators.keys import dense_key_large, dense_key_small
-from ledgerline.rules import FACT_COLUMNS, SalesRules
-from ledgerline.session import cut_lineage
+from ledgerline.rules import FACT_COLUMNS
+from ledgerline.session import Cut, cut_lineage, cut_table
 
 DIM_BRANCH_COLUMNS = ["branch_key", "branch_code", "city"]
 DIM_PRODUCT_COLUMNS = ["product_key", "product_line"]
 
+Table = DataFrame | Callable[[], DataFrame]
+
 
-@dataclass
 class StarSchema:
-    dim_branch: DataFrame
-    dim_product: DataFrame
-    fact_sales: DataFrame
+    """The three tables; each may be given as a function, called at first use.
+
+    A reader of a dimension therefore never pays for the fact.
+    ``fact_bytes`` is the written size that the fact comes from, which sets
+    the number of its buckets.
+    """
+
+    def __init__(self, dim_branch: Table, dim_product: Table, fact_sales: Table,
+                 fact_bytes: int | Callable[[], int] = 0):
+        self._tables = [t if isinstance(t, DataFrame) else cache(t) for t in (dim_branch, dim_product, fact_sales)]
+        self._bytes = fact_bytes
+
+    def _table(self, i: int) -> DataFrame:
+        t = self._tables[i]
+        return t if isinstance(t, DataFrame) else t()
+
+    @property
+    def dim_branch(self) -> DataFrame:
+        return self._table(0)
+
+    @property
+    def dim_product(self) -> DataFrame:
+        return self._table(1)
+
+    @property
+    def fact_sales(self) -> DataFrame:
+        return self._table(2)
+
+    @property
+    def fact_bytes(self) -> int:
+        return self._bytes if isinstance(self._bytes, int) else self._bytes()
 
 
 def build_dim_branch(clean: DataFrame) -> DataFrame:
@@ -29,53 +59,77 @@ def build_dim_branch(clean: DataFrame) -> DataFrame:
     return dense_key_small(members, ["branch_code", "city"], "branch_key")
 
 
-def build_dim_product(clean: DataFrame) -> DataFrame:
-    """Distinct product lines keyed 1..n in name order."""
-    members = clean.select("product_line").distinct()
-    return dense_key_small(members, ["product_line"], "product_key")
+def build_dim_product(members: Cut) -> DataFrame:
+    """Distinct product lines keyed 1..n in name order.
+
+    Product lines have no list of allowed values, so they are numbered
+    without a single-task window.
+    """
+    lines = members.table.select("product_line").distinct()
+    return dense_key_large(lines, "product_line", "product_key", members.bytes).select(*DIM_PRODUCT_COLUMNS)
 
 
 def fact_projection(keyed: DataFrame) -> DataFrame:
-    """Fact columns in table order with their warehouse types."""
+    """Fact columns in table order with their warehouse types.
+
+    The warehouse quantity is an integer: a fraction is rounded half up.
+    """
     return keyed.select(
         F.col("sales_key").cast("long"), "invoice_id",
         F.col("branch_key").cast("long"), F.col("product_key").cast("long"),
         "sale_date", "sale_time", "customer_type", "gender", "payment_method",
-        "unit_price", F.col("quantity").cast("int").alias("quantity"), "tax_amount",
+        "unit_price", F.expr(f"try_cast({round_sql('quantity', 0)} as bigint)").alias("quantity"), "tax_amount",
         "total_amount", "cogs", "gross_margin_pct", "gross_income", "rating",
     ).select(*FACT_COLUMNS)
 
 
-def attach_dimension_keys(rows: DataFrame, dim_branch: DataFrame, dim_product: DataFrame,
-                          rules: SalesRules | None = None) -> DataFrame:
-    """Left-join the surrogate keys onto sales rows (broadcast, size-checked).
+def attach_dimension_keys(rows: DataFrame, dim_branch: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """Left-join the surrogate keys onto sales rows.
 
-    The branch dimension is bounded by the allowed branch and city lists, so
-    that bound is used directly; the product dimension is left to Spark's
-    size check (it is a written table, or a small union over one).
+    Both dimensions are written tables, so Spark's own size check decides
+    about broadcasting them.
     """
-    bound = len(rules.branches) * len(rules.cities) if rules else None
-    with_branch = join_dimension(
-        rows, dim_branch.withColumnRenamed("branch_code", "branch"), ["branch", "city"],
-        known_bound=bound)
-    return with_branch.join(size_checked(dim_product), ["product_line"], "left")
+    branches = dim_branch.withColumnRenamed("branch_code", "branch")
+    return rows.join(branches, ["branch", "city"], "left").join(dim_product, ["product_line"], "left")
+
 
+def member_rows(rows: DataFrame) -> DataFrame:
+    """One row per (branch, city, product line)."""
+    return rows.groupBy("branch", "city", "product_line").agg(F.count(F.lit(1)).alias("rows"))
 
-def build_star(clean_dedup: DataFrame, rules: SalesRules | None = None,
-               partitions: int | None = None) -> StarSchema:
+
+def build_star(clean_dedup: DataFrame, partitions: int | None = None) -> StarSchema:
     """Dimensions and fact from deduplicated clean rows.
 
-    The deduplicated rows are written once, so the range sampling and the
-    range shuffle of the key assignment read them instead of re-running the
-    scan, the flags and the dedup shuffle.  Both dimensions come from one
-    small aggregate of the written rows (one row per branch, city and
-    product line), which is written too; the fact then joins the two small
-    dimension tables by broadcast.
+    For the fact, the deduplicated rows are written once, so the range
+    sampling and the range shuffle of the key assignment read them instead of
+    re-running the scan, the flags and the dedup shuffle.  Both dimensions
+    come from one small aggregate (one row per branch, city and product line),
+    which is written too.  A reader of the dimensions alone writes only that
+    aggregate and the dimensions.
     """
-    staged = cut_lineage(clean_dedup)
-    members = cut_lineage(staged.groupBy("branch", "city", "product_line").agg(F.count(F.lit(1)).alias("rows")))
-    dim_branch = cut_lineage(build_dim_branch(members))
-    dim_product = cut_lineage(build_dim_product(members))
-    keyed = dense_key_large(staged, "invoice_id", "sales_key", partitions)
-    fact = fact_projection(attach_dimension_keys(keyed, dim_branch, dim_product, rules))
-    return StarSchema(dim_branch, dim_product, fact)
+    made: list[Cut] = []
+
+    def staged() -> Cut:
+        if not made:
+            made.append(cut_table(clean_dedup))
+        return made[0]
+
+    @cache
+    def members() -> Cut:
+        return cut_table(member_rows(made[0].table if made else clean_dedup))
+
+    @cache
+    def dim_branch() -> DataFrame:
+        return cut_lineage(build_dim_branch(members().table))
+
+    @cache
+    def dim_product() -> DataFrame:
+        return cut_lineage(build_dim_product(members()))
+
+    def fact() -> DataFrame:
+        rows = staged()
+        keyed = dense_key_large(rows.table, "invoice_id", "sales_key", rows.bytes, partitions)
+        return fact_projection(attach_dimension_keys(keyed, dim_branch(), dim_product()))
+
+    return StarSchema(dim_branch, dim_product, fact, lambda: staged().bytes)

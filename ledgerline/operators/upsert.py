@@ -7,33 +7,39 @@ continue after the largest existing one, in business-key order; target rows
 absent from the source stay as they are.  A NULL business key never matches,
 as in SQL ``MERGE``.  A business key repeated in the source is an error.
 
-The merge is one full outer join on the business key.  Applying the same
-source twice gives the same table as applying it once.
+Matched rows come from a left join of the target with the source, new rows
+from an anti join of the source with the target's keys; the target is never
+written on the way.  Applying the same source twice gives the same table as
+applying it once.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.keys import dense_key_large, dense_key_small
-from ledgerline.session import cut_lineage
 
 
 def assert_unique_source(source: DataFrame, keys: list[str]) -> None:
-    dup = (source.filter(F.coalesce(*[F.col(k).isNotNull() for k in keys]))
-           .groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).limit(1).collect())
+    """Raise if a business key without any NULL occurs twice."""
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    dup = (source.filter(whole).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > 1).limit(1).collect())
     if dup:
         raise ValueError(f"Source repeats business key {[dup[0][k] for k in keys]}")
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], surrogate: str,
-           large: bool = False, partitions: int | None = None, check_unique: bool = True) -> DataFrame:
+           size: int | None = None, partitions: int | None = None, check_unique: bool = True) -> DataFrame:
     """Merge ``source`` into ``target`` on ``keys``; see the module note.
 
-    ``source`` has every target column except ``surrogate``.  ``large``
-    selects the distributed key assignment for inserted rows (the fact);
-    otherwise inserted rows are numbered in one task (dimensions).
+    ``source`` has every target column except ``surrogate``.  ``size`` (bytes
+    of the written source) selects the distributed key assignment for
+    inserted rows, ordered by the first key; without it they are numbered in
+    one task (dimensions whose members come from fixed lists).
     ``check_unique=False`` skips the source check for a source that is
     unique by construction (deduplicated rows).
     """
@@ -41,30 +47,23 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], surrogate: str
         assert_unique_source(source, keys)
     columns = target.columns
     values = [c for c in columns if c != surrogate and c not in keys]
-    t = target.select(*[F.col(c).alias(f"t_{c}") for c in columns], F.lit(True).alias("_in_t"))
     s = source.select(*[F.col(c).alias(f"s_{c}") for c in keys + values], F.lit(True).alias("_in_s"))
-    cond = [F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys]
-    joined = t.join(s, cond, "full_outer")
+    matched = target.join(s, [F.col(k) == F.col(f"s_{k}") for k in keys], "left")
     in_s = F.col("_in_s").isNotNull()
-    merged = joined.select(
-        F.col("_in_t").isNotNull().alias("_in_t"),
-        F.col(f"t_{surrogate}").alias(surrogate),
-        *[F.when(F.col("_in_t").isNotNull(), F.col(f"t_{k}")).otherwise(F.col(f"s_{k}")).alias(k) for k in keys],
-        *[F.when(in_s, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c) for c in values],
-    )
-    if large:
-        merged = cut_lineage(merged)
-    kept = merged.filter(F.col("_in_t")).select(*columns)
-    fresh = merged.filter(~F.col("_in_t")).drop("_in_t", surrogate)
+    kept = matched.select(*[F.when(in_s, F.col(f"s_{c}")).otherwise(F.col(c)).alias(c) if c in values else F.col(c)
+                            for c in columns])
+    known = target.select(*[F.col(k).alias(f"t_{k}") for k in keys])
+    fresh = source.join(known, [F.col(k) == F.col(f"t_{k}") for k in keys], "left_anti").select(*keys, *values)
     start = target.agg(F.coalesce(F.max(surrogate), F.lit(0)).cast("long").alias("m")).first()["m"]
-    if large:
-        numbered = dense_key_large(fresh, keys[0], surrogate, partitions, start=start)
+    if size is not None:
+        numbered = dense_key_large(fresh, keys[0], surrogate, size, partitions, start=start)
     else:
         numbered = dense_key_small(fresh, keys, surrogate).withColumn(
             surrogate, F.col(surrogate) + F.lit(start))
     return kept.unionByName(numbered.select(*columns))
 
 
-def insert_missing(target: DataFrame, source: DataFrame, keys: list[str], surrogate: str) -> DataFrame:
+def insert_missing(target: DataFrame, source: DataFrame, keys: list[str], surrogate: str,
+                   size: int | None = None) -> DataFrame:
     """Insert-if-absent for a dimension without value columns."""
-    return upsert(target, source.select(*keys).distinct(), keys, surrogate)
+    return upsert(target, source.select(*keys).distinct(), keys, surrogate, size, check_unique=False)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,7 +61,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+class Cut(NamedTuple):
+    """A written table and its total file size."""
+
+    table: DataFrame
+    bytes: int
+
+
+# Folders of this session's written tables, by application.
+_CUTS: dict[str, list[str]] = {}
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
+def cut_table(df: DataFrame) -> Cut:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and
     read it back.
 
@@ -70,9 +87,32 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     upstream shuffle.  A written table costs one job (an eager
     ``checkpoint()`` runs its last stage twice), is columnar, and later
     reads prune columns and push filters into it.  It lives in the shared
-    folder, so executor loss never loses it.
+    folder, so executor loss never loses it; :func:`release_cuts` removes it.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    _CUTS.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Cut(spark.read.schema(df.schema).parquet(path), folder_bytes(spark, path))
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The table of :func:`cut_table`."""
+    return cut_table(df).table
+
+
+def release_cuts(spark: SparkSession, after: int = 0) -> int:
+    """Delete the session's written tables, but for the first ``after``;
+    returns how many.  Called when a job's results are written elsewhere."""
+    paths = _CUTS.get(spark.sparkContext.applicationId, [])
+    gone = paths[after:]
+    del paths[after:]
+    for path in gone:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return len(gone)
+
+
+def cut_count(spark: SparkSession) -> int:
+    """How many written tables the session has (a mark for :func:`release_cuts`)."""
+    return len(_CUTS.get(spark.sparkContext.applicationId, []))
