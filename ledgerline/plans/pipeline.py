@@ -1,32 +1,46 @@
 """The transform: raw rows -> flags -> clean, deduplicated rows -> star schema.
 
-Everything here builds lazy plans, except the fact key assignment, which
-checkpoints once (see ``operators.keys``).
+The flagged rows (raw text, typed values, flags) are written once; flags,
+rejects, metrics and dedup read that table, so raw input is parsed once.
 """
 
 from __future__ import annotations
 
+import logging
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators import quality
+from ledgerline.operators.report import sales_report
 from ledgerline.operators.star import StarSchema, build_star
+from ledgerline.plans.publish import Warehouse, merge_into
 from ledgerline.rules import RETAIL_RULES, SalesRules
+from ledgerline.session import cut_count, cut_lineage, release_cuts
+from ledgerline.sources.csv import read_csv_strings, write_csv, write_json, write_parquet
+
+log = logging.getLogger(__name__)
 
 
 @dataclass
 class Prepared:
-    """Standardized raw rows and everything derived lazily from them."""
+    """Standardized raw rows and everything derived from them."""
 
     rules: SalesRules
     std: DataFrame
     extra_columns: list[str] = field(default_factory=list)
 
     @cached_property
+    def written(self) -> DataFrame:
+        """Raw text, typed values and flags of every row, written at first use."""
+        return cut_lineage(quality.flag_both(self.std, self.rules))
+
+    @property
     def flagged(self) -> DataFrame:
-        return quality.flag_rows(self.std, self.rules)
+        return quality.typed_rows(self.written)
 
     @property
     def clean(self) -> DataFrame:
@@ -46,13 +60,13 @@ class Prepared:
 
     @property
     def metrics(self) -> DataFrame:
-        return quality.quality_metrics(self.std, self.rules)
+        return quality.quality_metrics(self.written, self.rules)
 
     def report(self) -> DataFrame:
         return quality.quality_report(self.metrics, self.extra_columns)
 
     def star(self, partitions: int | None = None) -> StarSchema:
-        return build_star(self.clean_dedup, self.rules, partitions)
+        return build_star(self.clean_dedup, partitions)
 
 
 def prepare(raw: DataFrame, rules: SalesRules = RETAIL_RULES) -> Prepared:
@@ -74,7 +88,7 @@ class RunResult:
     metrics: dict
 
 
-def run(spark, source_dir: str, out_dir: str, warehouse_root: str, rules: SalesRules = RETAIL_RULES,
+def run(spark: SparkSession, source_dir: str, out_dir: str, warehouse_root: str, rules: SalesRules = RETAIL_RULES,
         mode: str = "full", run_id: str | None = None) -> RunResult:
     """Extract -> quality -> star schema -> staged load -> report.
 
@@ -83,33 +97,42 @@ def run(spark, source_dir: str, out_dir: str, warehouse_root: str, rules: SalesR
     (a first run without one is a full load).  Outputs under ``out_dir``:
     ``data_quality_flags`` (every row, CSV), ``data_quality_rejects``
     (rejected or mismatched rows, Parquet), ``data_quality_report`` (JSON),
-    CSV copies of the three tables and ``report`` (one CSV file).
+    CSV copies of the three tables and ``report`` (one CSV file).  A failure
+    is logged and raised again.  The run's intermediate tables are removed
+    at its end.
     """
-    import uuid
+    if mode not in ("full", "merge"):
+        raise ValueError(f"Unknown mode {mode!r}")
+    mark = cut_count(spark)
+    try:
+        return _run(spark, source_dir, out_dir.rstrip("/"), Warehouse(spark, warehouse_root), rules, mode, run_id or uuid.uuid4().hex)
+    except Exception:
+        log.exception("run failed")
+        raise
+    finally:
+        release_cuts(spark, mark)
 
-    from ledgerline.operators.report import sales_report
-    from ledgerline.plans.publish import Warehouse, merge_into
-    from ledgerline.sources.csv import read_csv_strings, write_csv, write_json, write_parquet
 
-    out = out_dir.rstrip("/")
-    run_id = run_id or uuid.uuid4().hex
+def load_star(warehouse: Warehouse, prepared: Prepared, mode: str = "merge") -> Callable[[], StarSchema]:
+    """The tables of the next version: a merge into the current one, or a full load."""
+    def build() -> StarSchema:
+        if mode == "merge" and warehouse.current() is not None:
+            return merge_into(warehouse.tables(), prepared.clean_dedup)
+        return prepared.star()
+
+    return build
+
+
+def _run(spark: SparkSession, source_dir: str, out: str, warehouse: Warehouse, rules: SalesRules, mode: str,
+         run_id: str) -> RunResult:
     prepared = prepare(read_csv_strings(spark, source_dir), rules)
     write_csv(prepared.flags, f"{out}/data_quality_flags")
     write_parquet(prepared.rejects, f"{out}/data_quality_rejects")
-    report_doc = prepared.report()
-    write_json(report_doc, f"{out}/data_quality_report")
-
-    warehouse = Warehouse(spark, warehouse_root)
-    if mode == "merge" and warehouse.current() is not None:
-        star = merge_into(warehouse.tables(), prepared.clean_dedup, rules)
-    elif mode in ("full", "merge"):
-        star = prepared.star()
-    else:
-        raise ValueError(f"Unknown mode {mode!r}")
-    summary = warehouse.load(star, run_id=run_id, export_dir=out)
+    write_json(prepared.report(), f"{out}/data_quality_report")
+    summary = warehouse.load(load_star(warehouse, prepared, mode), run_id=run_id, export_dir=out)
 
     published = warehouse.tables()
     write_csv(sales_report(published.fact_sales, published.dim_branch, published.dim_product),
               f"{out}/report", single_file=True)
-    metrics = report_doc.select("metrics.*").drop("null_counts").first().asDict()
+    metrics = spark.read.json(f"{out}/data_quality_report").select("metrics.*").drop("null_counts").first().asDict()
     return RunResult(run_id, summary.as_dict(), metrics)

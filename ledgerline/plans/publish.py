@@ -1,17 +1,23 @@
 """Staged, all-or-nothing publish of the warehouse tables.
 
-Each run writes every table to ``<root>/versions/<run_id>/<table>``.  The
-version is checked (primary keys, unique keys, foreign keys) and only then
-does a small manifest file name it as current; readers always go through
-the manifest, so a failed run leaves the published version untouched.
-
-The fact is written bucketed by invoice id (the bucket count is recorded in
-the manifest, and readers register the version's files as a bucketed table
-in their session catalog).  A later merge joins new rows to it on invoice
-id: Spark then shuffles only the new rows into the fact's buckets and reads
-the published fact in place, instead of shuffling the whole fact every load.
-Upserts read the current version and write a new one, never their input.
-A load summary (succeeded and failed steps) is written in every case.
+Every attempt to load writes its tables into a folder of its own,
+``<root>/versions/<run_id>-<attempt>``; an existing folder is never written.
+The version is checked (primary keys, unique keys, foreign keys) and only
+then named by a new manifest ``<root>/manifests/<n>.json``.  Manifests are
+numbered and created without overwriting, and readers take the highest
+complete one, so no crash can leave the warehouse without a current version,
+a failed load leaves the published version untouched, and of two loads on the
+same version only one can publish.
+
+The fact is written bucketed by invoice id with at most one file per bucket;
+the bucket count follows the fact's size and is recorded in the manifest, and
+readers register the version's files as a bucketed table in their session
+catalog.  A later merge joins new rows to it on invoice id: Spark then
+shuffles only the new rows into the fact's buckets and reads the published
+fact in place.  Upserts read the current version and write a new one, never
+their input.  A load summary (succeeded and failed steps) is written in every
+case, also when building the tables fails.  After a publish, versions other
+than the newest ``keep_versions`` are removed.
 """
 
 from __future__ import annotations
@@ -19,46 +25,42 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators import checks
-from ledgerline.operators.star import StarSchema, attach_dimension_keys, fact_projection
+from ledgerline.operators.star import StarSchema, attach_dimension_keys, fact_projection, member_rows
 from ledgerline.operators.upsert import insert_missing, upsert
-from ledgerline.rules import SalesRules
-from ledgerline.session import cut_lineage
+from ledgerline.session import cut_lineage, cut_table, folder_bytes
 from ledgerline.sources.csv import write_csv
 
 TABLE_NAMES = ["dim_branch", "dim_product", "fact_sales"]
-MANIFEST = "_current.json"
+BUCKET_BYTES = 128 * 1024 * 1024
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
 def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p = _path(spark, path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file via a temporary name and a rename."""
+def _create_text(spark: SparkSession, path: str, content: str) -> None:
+    """Create a small file; an existing one is an error, never overwritten."""
     fs, p = _fs(spark, path)
-    tmp = spark._jvm.org.apache.hadoop.fs.Path(path + f".tmp-{uuid.uuid4().hex}")
-    out = fs.create(tmp, True)
-    out.write(bytearray(text.encode("utf-8")))
+    out = fs.create(p, False)
+    out.write(bytearray(content.encode("utf-8")))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(tmp, p):
-        raise IOError(f"Could not publish {path}")
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
+def _read_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
     lines = []
     line = reader.readLine()
     while line is not None:
@@ -68,6 +70,12 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
     return "\n".join(lines)
 
 
+def bucket_count(size: int) -> int:
+    """Buckets for a fact of ``size`` bytes: a power of two, so that a
+    growing fact keeps its count for many loads."""
+    return 1 << max(0, -(-size // BUCKET_BYTES) - 1).bit_length()
+
+
 @dataclass
 class LoadSummary:
     succeeded: list[str] = field(default_factory=list)
@@ -80,35 +88,70 @@ class LoadSummary:
 
 
 class Warehouse:
-    """A directory of versioned warehouse tables with a current-version manifest."""
+    """A directory of versioned warehouse tables with numbered manifests."""
 
-    def __init__(self, spark: SparkSession, root: str, fact_buckets: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, fact_buckets: int | None = None, keep_versions: int = 2):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.fact_buckets = fact_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.fact_buckets = fact_buckets
+        self.keep_versions = keep_versions
         self._written: dict[str, int] = {}
 
-    def version_path(self, run_id: str, table: str) -> str:
-        return f"{self.root}/versions/{run_id}/{table}"
+    def version_path(self, version: str, table: str) -> str:
+        return f"{self.root}/versions/{version}/{table}"
+
+    # -- manifests -------------------------------------------------------------
+
+    def _numbers(self) -> list[int]:
+        """Manifest numbers, newest first."""
+        fs, p = _fs(self.spark, f"{self.root}/manifests")
+        if not fs.exists(p):
+            return []
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        return sorted((int(n.removesuffix(".json")) for n in names if n.removesuffix(".json").isdigit()), reverse=True)
 
-    def _manifest(self) -> dict | None:
-        text = _read_text(self.spark, f"{self.root}/{MANIFEST}")
-        return json.loads(text) if text else None
+    def manifests(self) -> list[dict]:
+        """Complete manifests, newest first; one cut short by a crash is passed over."""
+        found = []
+        for n in self._numbers():
+            try:
+                found.append(json.loads(_read_text(self.spark, f"{self.root}/manifests/{n:012d}.json")) | {"number": n})
+            except ValueError:
+                continue
+        return found
+
+    def manifest(self) -> dict | None:
+        return next(iter(self.manifests()), None)
 
     def current(self) -> str | None:
-        manifest = self._manifest()
+        manifest = self.manifest()
         return manifest["version"] if manifest else None
 
-    def _fact_table(self, run_id: str) -> str:
-        tag = hashlib.sha1(f"{self.root}/{run_id}".encode()).hexdigest()[:16]
-        return f"ledgerline_fact_{tag}"
+    def published_epoch(self, stream: str) -> int | None:
+        """The last epoch of a stream that is part of the current version."""
+        return (self.manifest() or {}).get("epochs", {}).get(stream)
+
+    def publish(self, version: str, base: dict | None, epochs: dict[str, int] | None = None) -> None:
+        """Name ``version`` current, after the manifest ``base`` it was built on."""
+        newest = self.manifest()
+        if (newest or {}).get("number") != (base or {}).get("number"):
+            raise RuntimeError("another load was published meanwhile")
+        content = {"version": version, "fact_buckets": self._written.get(version),
+                   "epochs": (base or {}).get("epochs", {}) | (epochs or {})}
+        number = max(self._numbers(), default=0) + 1
+        _create_text(self.spark, f"{self.root}/manifests/{number:012d}.json", json.dumps(content))
 
-    def _fact(self, run_id: str, buckets: int | None) -> DataFrame:
+    # -- tables ----------------------------------------------------------------
+
+    def _table_name(self, version: str) -> str:
+        return "ledgerline_fact_" + hashlib.sha1(f"{self.root}/{version}".encode()).hexdigest()[:16]
+
+    def _fact(self, version: str, buckets: int | None) -> DataFrame:
         """The fact of a version as a bucketed table of this session."""
-        path = self.version_path(run_id, "fact_sales")
-        name = self._fact_table(run_id)
+        path = self.version_path(version, "fact_sales")
         if buckets is None:
             return self.spark.read.parquet(path)
+        name = self._table_name(version)
         if not self.spark.catalog.tableExists(name):
             schema = self.spark.read.parquet(path).schema
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
@@ -116,85 +159,129 @@ class Warehouse:
                            f"CLUSTERED BY (invoice_id) INTO {buckets} BUCKETS LOCATION '{path}'")
         return self.spark.table(name)
 
-    def read(self, table: str, run_id: str | None = None) -> DataFrame:
-        manifest = self._manifest()
-        version = run_id or (manifest or {}).get("version")
-        if version is None:
-            raise FileNotFoundError(f"No published version under {self.root}")
+    def read(self, table: str, version: str | None = None) -> DataFrame:
+        if version is None or version not in self._written:
+            found = [m for m in self.manifests() if version is None or m["version"] == version]
+            if not found and version is None:
+                raise FileNotFoundError(f"No published version under {self.root}")
+            version = version or found[0]["version"]
+            buckets = found[0].get("fact_buckets") if found else None
+        else:
+            buckets = self._written[version]
         if table == "fact_sales":
-            if version in self._written:
-                buckets = self._written[version]
-            elif manifest and manifest.get("version") == version:
-                buckets = manifest.get("fact_buckets")
-            else:
-                buckets = None
             return self._fact(version, buckets)
         return self.spark.read.parquet(self.version_path(version, table))
 
-    def tables(self, run_id: str | None = None) -> StarSchema:
-        return StarSchema(*[self.read(t, run_id) for t in TABLE_NAMES])
+    def tables(self, version: str | None = None) -> StarSchema:
+        version = version or self.current()
+        if version is None:
+            raise FileNotFoundError(f"No published version under {self.root}")
+        return StarSchema(*[self.read(t, version) for t in TABLE_NAMES],
+                          fact_bytes=folder_bytes(self.spark, self.version_path(version, "fact_sales")))
+
+    # -- loading ---------------------------------------------------------------
+
+    def _write_fact(self, star: StarSchema, version: str) -> None:
+        buckets = self.fact_buckets or bucket_count(star.fact_bytes)
+        name = self._table_name(version)
+        # One task per bucket, hence at most one file per bucket.
+        (star.fact_sales.repartition(buckets, "invoice_id").write.bucketBy(buckets, "invoice_id")
+         .option("path", self.version_path(version, "fact_sales")).saveAsTable(name))
+        self._written[version] = buckets
 
-    def stage(self, tables: dict[str, DataFrame], run_id: str, summary: LoadSummary) -> None:
+    def stage(self, star: StarSchema, version: str, summary: LoadSummary) -> None:
         """Write each table in isolation; failures are recorded, not raised."""
-        for name, df in tables.items():
-            step = f"{name}_staging"
-            try:
-                path = self.version_path(run_id, name)
-                if name == "fact_sales":
-                    (df.write.mode("overwrite").bucketBy(self.fact_buckets, "invoice_id")
-                     .option("path", path).saveAsTable(self._fact_table(run_id)))
-                    self._written[run_id] = self.fact_buckets
-                else:
-                    df.write.mode("overwrite").parquet(path)
-                summary.succeeded.append(step)
-            except Exception as exc:  # recorded in the summary, raised after it
-                summary.failed.append(step)
-                summary.errors.append(f"{step}: {exc}")
-
-    def verify(self, run_id: str) -> list[str]:
-        star = self.tables(run_id)
+        # The fact comes first: its rows are written once, and the dimensions are read from them.
+        steps: dict[str, Callable[[], object]] = {
+            "fact_sales": lambda: self._write_fact(star, version),
+            "dim_branch": lambda: star.dim_branch.write.parquet(self.version_path(version, "dim_branch")),
+            "dim_product": lambda: star.dim_product.write.parquet(self.version_path(version, "dim_product")),
+        }
+        for name, write in steps.items():
+            self._step(f"{name}_staging", write, summary)
+
+    @staticmethod
+    def _step(name: str, work: Callable[[], object], summary: LoadSummary):
+        """Run one step; its outcome goes to the summary."""
+        try:
+            result = work()
+        except Exception as exc:  # recorded in the summary, raised after it
+            summary.failed.append(name)
+            summary.errors.append(f"{name}: {exc}")
+            return None
+        summary.succeeded.append(name)
+        return result
+
+    def verify(self, version: str) -> None:
+        star = self.tables(version)
         report = checks.constraint_report(star.dim_branch, star.dim_product, star.fact_sales)
-        hard = report.filter(F.col("check_name").isin("pk_not_null", "pk_unique", "fk_branch_key",
-                                                       "fk_product_key", "natural_key_unique"))
-        return [f"{r['table_name']}.{r['check_name']}: {r['violations']}"
-                for r in hard.filter(F.col("violations") > 0).collect()]
+        problems = [f"{r['table_name']}.{r['check_name']}: {r['violations']}"
+                    for r in report.filter(F.col("violations") > 0).collect()]
+        if problems:
+            raise ValueError("; ".join(problems))
 
-    def publish(self, run_id: str) -> None:
-        _write_text(self.spark, f"{self.root}/{MANIFEST}",
-                    json.dumps({"version": run_id, "fact_buckets": self._written.get(run_id)}))
+    def summary_path(self, run_id: str) -> str:
+        return f"{self.root}/load_summary/{run_id}.json"
 
     def write_summary(self, summary: LoadSummary, run_id: str) -> None:
-        _write_text(self.spark, f"{self.root}/load_summary/{run_id}.json", json.dumps(summary.as_dict()))
+        """The summary of the run's last attempt."""
+        fs, p = _fs(self.spark, self.summary_path(run_id))
+        if fs.exists(p):
+            fs.delete(p, False)
+        _create_text(self.spark, self.summary_path(run_id), json.dumps(summary.as_dict()))
 
-    def export_csv(self, out_dir: str, run_id: str | None = None) -> None:
+    def export_csv(self, out_dir: str, version: str | None = None) -> None:
         for t in TABLE_NAMES:
-            write_csv(self.read(t, run_id), f"{out_dir.rstrip('/')}/{t}")
+            write_csv(self.read(t, version), f"{out_dir.rstrip('/')}/{t}")
 
-    def load(self, star: StarSchema, run_id: str | None = None, export_dir: str | None = None) -> LoadSummary:
-        """Stage, verify and publish a full set of tables (all or nothing)."""
+    def load(self, star: StarSchema | Callable[[], StarSchema], run_id: str | None = None,
+             export_dir: str | None = None, epochs: dict[str, int] | None = None) -> LoadSummary:
+        """Build, stage, verify and publish a full set of tables (all or nothing).
+
+        ``star`` may be a function that builds the tables (for example by
+        merging into the current version); its failure is a failed step.
+        """
         run_id = run_id or uuid.uuid4().hex
-        summary = LoadSummary(total=len(TABLE_NAMES) + 1)
-        self.stage({"dim_branch": star.dim_branch, "dim_product": star.dim_product,
-                    "fact_sales": star.fact_sales}, run_id, summary)
+        version = f"{run_id}-{uuid.uuid4().hex[:12]}"
+        base = self.manifest()
+        summary = LoadSummary(total=len(TABLE_NAMES) + 2)
+        if callable(star):
+            star = self._step("merge", star, summary)
+            summary.total += 1
+        if not summary.failed:
+            self.stage(star, version, summary)
+        if not summary.failed:
+            self._step("constraint_checks", lambda: self.verify(version), summary)
         if not summary.failed:
-            problems = self.verify(run_id)
-            if problems:
-                summary.failed.append("constraint_checks")
-                summary.errors.extend(problems)
-            else:
-                self.publish(run_id)
-                summary.succeeded.append("publish")
+            self._step("publish", lambda: self.publish(version, base, epochs), summary)
         self.write_summary(summary, run_id)
         if summary.failed:
+            self._remove(version)
             raise RuntimeError(f"Load incomplete; succeeded: {summary.succeeded}, failed: {summary.failed}; "
-                               f"published version unchanged")
+                               f"published version unchanged; {'; '.join(summary.errors)}")
+        self.retire()
         if export_dir:
-            self.export_csv(export_dir, run_id)
+            self.export_csv(export_dir, version)
         return summary
 
+    def _remove(self, version: str) -> None:
+        name = self._table_name(version)
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        fs, p = _fs(self.spark, f"{self.root}/versions/{version}")
+        if fs.exists(p):
+            fs.delete(p, True)
+
+    def retire(self) -> list[str]:
+        """Remove the tables of versions older than the newest ``keep_versions``."""
+        old = [m["version"] for m in self.manifests()[self.keep_versions:]]
+        fs, _ = _fs(self.spark, self.root)
+        gone = [v for v in old if fs.exists(_path(self.spark, f"{self.root}/versions/{v}"))]
+        for version in gone:
+            self._remove(version)
+        return gone
+
 
-def merge_into(current: StarSchema, clean_dedup: DataFrame, rules: SalesRules | None = None,
-               branch_keys: tuple[str, ...] = ("branch_code", "city"),
+def merge_into(current: StarSchema, clean_dedup: DataFrame, branch_keys: tuple[str, ...] = ("branch_code", "city"),
                partitions: int | None = None) -> StarSchema:
     """Upsert new clean rows into a current star schema.
 
@@ -203,21 +290,19 @@ def merge_into(current: StarSchema, clean_dedup: DataFrame, rules: SalesRules |
     get keys after the largest one; the merged dimensions are small and
     written too.  The new fact rows then take their keys from the merged
     dimensions and are merged on invoice id (unique after dedup, so the
-    source needs no uniqueness check).
+    source needs no uniqueness check); the merged fact is lazy, so it is
+    written only where it is staged.
     """
-    staged = cut_lineage(clean_dedup)
-    members = cut_lineage(staged.groupBy("branch", "city", "product_line").agg(F.count(F.lit(1)).alias("rows")))
-    branches = members.select(F.col("branch").alias("branch_code"), "city").distinct()
-    keys = list(branch_keys)
-    if len(keys) == 2:
-        dim_branch = insert_missing(current.dim_branch, branches, keys, "branch_key")
-    else:
-        dim_branch = upsert(current.dim_branch, branches, keys, "branch_key")
-    dim_product = insert_missing(current.dim_product, members.select("product_line").distinct(),
-                                 ["product_line"], "product_key")
-    dim_branch, dim_product = cut_lineage(dim_branch), cut_lineage(dim_product)
-    rows = attach_dimension_keys(staged, dim_branch, dim_product, rules)
-    source = fact_projection(rows.withColumn("sales_key", F.lit(None).cast("long"))).drop("sales_key")
-    fact = upsert(current.fact_sales, source, ["invoice_id"], "sales_key", large=True,
-                  partitions=partitions, check_unique=False)
-    return StarSchema(dim_branch, dim_product, fact)
+    staged = cut_table(clean_dedup)
+    members = cut_table(member_rows(staged.table))
+    branches = members.table.select(F.col("branch").alias("branch_code"), "city").distinct()
+    dim_branch = cut_lineage(upsert(current.dim_branch, branches, list(branch_keys), "branch_key"))
+    dim_product = cut_lineage(insert_missing(current.dim_product, members.table, ["product_line"], "product_key", members.bytes))
+
+    def fact() -> DataFrame:
+        rows = attach_dimension_keys(staged.table, dim_branch, dim_product)
+        source = fact_projection(rows.withColumn("sales_key", F.lit(None).cast("long"))).drop("sales_key")
+        return upsert(current.fact_sales, source, ["invoice_id"], "sales_key", size=staged.bytes,
+                      partitions=partitions, check_unique=False)
+
+    return StarSchema(dim_branch, dim_product, fact, lambda: current.fact_bytes + staged.bytes)

@@ -2,16 +2,20 @@
 
 Every CSV file under a directory (recursively, any ``.csv`` case) is read
 with its header and without type inference, so values stay text until the
-coercing parsers run.  Spark maps CSV columns by position, so files are
-grouped by header and each group is read separately, then the groups are
-unioned by column name.  Listing files and reading headers is driver-side
-metadata work; the rows themselves are only ever read by executors.
+coercing parsers run.  Quoted fields follow RFC 4180: quotes are doubled and a
+field may hold commas and line breaks.
+
+Spark maps CSV columns by position and cannot split a file whose records span
+lines, so one distributed pass over the lines finds each file's header and
+whether a quoted field runs over a line end (a line with an odd number of
+quotes).  Files are then grouped by (header, line breaks), each group is read
+with its own header, and the groups are unioned by column name.  The driver
+sees one row per file, like the file listing itself; no file is opened there.
 """
 
 from __future__ import annotations
 
 import csv as pycsv
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,79 +24,62 @@ from pyspark.sql import functions as F
 from ledgerline.functions.parse import null_markers_to_null
 from ledgerline.rules import NULL_MARKERS
 
+CSV_FILES = "*.[cC][sS][vV]"
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
+def file_layouts(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, header, multi_line) of every non-empty CSV file under ``paths``."""
+    reader = spark.read.option("recursiveFileLookup", True)
+    if not all(p.lower().endswith(".csv") for p in paths):
+        reader = reader.option("pathGlobFilter", CSV_FILES)
+    lines = reader.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"), "value").where("value <> ''")
+    # The first block's first line, in reading order, is the header.
+    return lines.groupBy("path").agg(
+        F.min_by("value", F.struct("start", "at")).alias("header"),
+        F.max(F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1).alias("multi_line"))
 
-def list_csv_files(spark: SparkSession, root: str) -> list[str]:
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        raise FileNotFoundError(f"No such directory: {root}")
-    if fs.getFileStatus(p).isFile():
-        return [root] if root.lower().endswith(".csv") else []
-    it = fs.listFiles(p, True)
-    out = []
-    while it.hasNext():
-        st = it.next()
-        name = st.getPath().getName()
-        if name.lower().endswith(".csv") and not name.startswith(("_", ".")):
-            out.append(st.getPath().toString())
-    return sorted(out)
-
-
-def _header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
-    """Column names from the first line of one file (driver-side, first
-    line only; no Spark job).  Spark's reader then maps them the same way."""
-    fs, p = _fs(spark, path)
-    jio = spark._jvm.java.io
-    reader = jio.BufferedReader(jio.InputStreamReader(fs.open(p), "UTF-8"))
-    try:
-        line = reader.readLine()
-    finally:
-        reader.close()
-    if line is None:
-        return None
-    line = line.lstrip("\ufeff")
-    return tuple(next(pycsv.reader([line])))
-
-
-def _reader(spark: SparkSession):
-    return (spark.read.option("header", True).option("inferSchema", False)
-            .option("mode", "PERMISSIVE").option("multiLine", False))
-
-
-def read_csv_strings(spark: SparkSession, root: str, markers: list[str] | None = None) -> DataFrame:
-    """All rows of all CSV files under ``root`` as strings; null markers -> NULL.
-
-    Raises ``FileNotFoundError`` when there is no CSV file.
+
+def _names(header: str) -> tuple[str, ...]:
+    names = next(pycsv.reader([header.removeprefix("\ufeff")], strict=True))
+    return tuple(names)
+
+
+def _reader(spark: SparkSession, multi_line: bool):
+    return (spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
+            .option("quote", '"').option("escape", '"').option("multiLine", multi_line))
+
+
+def read_csv_strings(spark: SparkSession, root: str | list[str], markers: list[str] | None = None) -> DataFrame:
+    """All rows of all CSV files under ``root`` (a folder, a file, or a list
+    of files) as strings; null markers -> NULL.
+
+    Raises ``FileNotFoundError`` when there is no CSV file with a header.
     """
-    files = list_csv_files(spark, root)
-    if not files:
-        raise FileNotFoundError(f"No CSV file found under {root}")
-    groups: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        headers = list(pool.map(lambda f: _header(spark, f), files))
-    for f, header in zip(files, headers):
-        if header is not None:
-            groups.setdefault(header, []).append(f)
+    paths = [root] if isinstance(root, str) else list(root)
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(paths[0]) if paths else None
+    if fs_path is None or not fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path):
+        raise FileNotFoundError(f"No such directory: {root}")
+    groups: dict[tuple[tuple[str, ...], bool], list[str]] = {}
+    for r in file_layouts(spark, paths).collect():
+        groups.setdefault((_names(r.header), r.multi_line), []).append(r.path)
     if not groups:
-        raise FileNotFoundError(f"Only empty CSV files under {root}")
+        raise FileNotFoundError(f"No CSV file with a header under {root}")
     # The header is known, so each group is read with it as an all-string
     # schema (columns by position, the header line skipped): no inference job.
-    frames = [_reader(spark).schema(", ".join("`" + c.replace("`", "``") + "` string" for c in header))
-              .csv(paths) for header, paths in groups.items()]
+    frames = [_reader(spark, multi_line).schema(", ".join("`" + c.replace("`", "``") + "` string" for c in header))
+              .csv(sorted(files)) for (header, multi_line), files in sorted(groups.items())]
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     markers = NULL_MARKERS if markers is None else markers
-    return df.select(*[null_markers_to_null(F.col(f"`{c}`"), markers).alias(c) for c in df.columns])
+    return df.select(*[null_markers_to_null(F.col("`" + c.replace("`", "``") + "`"), markers).alias(c) for c in df.columns])
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Header CSV; ``single_file`` only for small outputs such as reports."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    (out.write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_parquet(df: DataFrame, path: str) -> None:

@@ -8,58 +8,65 @@ rules and merges its clean rows into the current published version through
 the staged, all-or-nothing load.  With ``availableNow`` the query processes
 what has arrived and stops, so a scheduler can start it like a batch job.
 
-A micro-batch that is replayed after a failure merges the same rows into
-whatever version is current; because the merge is an upsert on the invoice
-id, applying it twice gives the same tables as applying it once.
+The stream carries file paths only; each micro-batch reads its files with the
+batch reader, so columns are mapped by each file's own header, missing columns
+raise and extra ones are reported, exactly as in a batch run.
+
+A replayed micro-batch is applied once: the manifest that publishes a version
+also holds the stream's last epoch, and an epoch already in it is skipped.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline.functions.parse import null_markers_to_null
-from ledgerline.plans.pipeline import prepare
-from ledgerline.plans.publish import Warehouse, merge_into
-from ledgerline.rules import NULL_MARKERS, RETAIL_RULES, SalesRules
-
+from ledgerline.plans.pipeline import load_star, prepare
+from ledgerline.plans.publish import Warehouse
+from ledgerline.rules import RETAIL_RULES, SalesRules
+from ledgerline.session import cut_count, release_cuts
+from ledgerline.sources.csv import CSV_FILES, read_csv_strings
 
-def raw_stream(spark: SparkSession, source_dir: str, rules: SalesRules = RETAIL_RULES,
-               max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming rows of new CSV files, every column a string.
 
-    A streaming file source needs its schema up front: the required raw
-    columns in file order, all strings.  Null markers become NULL.
-    """
-    schema = ", ".join(f"`{c}` string" for c in rules.required_columns)
-    reader = (spark.readStream.schema(schema).option("header", True)
-              .option("pathGlobFilter", "*.[cC][sS][vV]").option("recursiveFileLookup", True))
+def file_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming paths of new CSV files; file contents are not read here."""
+    reader = (spark.readStream.format("binaryFile")
+              .schema("path string, modificationTime timestamp, length long, content binary")
+              .option("pathGlobFilter", CSV_FILES).option("recursiveFileLookup", True))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.csv(source_dir)
-    return df.select(*[null_markers_to_null(F.col(f"`{c}`"), NULL_MARKERS).alias(c) for c in df.columns])
+    return reader.load(source_dir).where("length > 0").select("path")
 
 
-def merge_batch(warehouse: Warehouse, rules: SalesRules):
-    """The ``foreachBatch`` function: quality rules, merge, staged publish."""
+def merge_batch(warehouse: Warehouse, rules: SalesRules, stream: str | None = None):
+    """The ``foreachBatch`` function: quality rules, merge, staged publish.
+
+    ``stream`` names the stream in the manifest (default: the query's id,
+    which lives as long as its checkpoint).
+    """
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        prepared = prepare(batch, rules)
-        if warehouse.current() is None:
-            star = prepared.star()
-        else:
-            star = merge_into(warehouse.tables(), prepared.clean_dedup, rules)
-        warehouse.load(star, run_id=f"epoch-{epoch_id:012d}")
+        spark = batch.sparkSession
+        name = stream or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
+        last = warehouse.published_epoch(name)
+        if last is not None and epoch_id <= last:
+            return
+        paths = [r.path for r in batch.collect()]
+        if not paths:
+            return
+        mark = cut_count(spark)
+        prepared = prepare(read_csv_strings(spark, paths), rules)
+        warehouse.load(load_star(warehouse, prepared), run_id=f"{name}-{epoch_id:012d}", epochs={name: epoch_id})
+        release_cuts(spark, mark)
 
     return apply
 
 
 def start_ingest(spark: SparkSession, source_dir: str, warehouse_root: str, checkpoint_location: str,
                  rules: SalesRules = RETAIL_RULES, available_now: bool = True,
-                 processing_time: str | None = None) -> StreamingQuery:
+                 processing_time: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the ingest stream; ``checkpoint_location`` must be shared storage."""
-    writer = (raw_stream(spark, source_dir, rules).writeStream
+    writer = (file_stream(spark, source_dir, max_files_per_trigger).writeStream
               .foreachBatch(merge_batch(Warehouse(spark, warehouse_root), rules))
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
