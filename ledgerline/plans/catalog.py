@@ -18,12 +18,15 @@ from pyspark.sql import functions as F
 from ledgerline.functions.money import round2
 from ledgerline.functions.parse import date_to_iso
 from ledgerline.operators import checks, profile, quality, report
+from ledgerline.functions.naming import replacement_name
+from ledgerline.operators.keys import dense_key_small
 from ledgerline.operators.star import StarSchema
-from ledgerline.plans.pipeline import Prepared, prepare
+from ledgerline.operators.upsert import upsert
+from ledgerline.plans.pipeline import Prepared, prepare, run
 from ledgerline.plans.publish import Warehouse, merge_into
-from ledgerline.rules import NUMERIC_COLUMNS, driver_table_rules
+from ledgerline.rules import FACT_COLUMNS, NUMERIC_COLUMNS, driver_table_rules
 from ledgerline.session import ensure_checkpoint_dir
-from ledgerline.sources.csv import read_csv_strings, write_csv
+from ledgerline.sources.csv import read_csv_strings, write_csv, write_json
 from ledgerline.sources.tables import landed_sales_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,8 +38,17 @@ FIRST_LOAD_BEFORE = "1999-01-01"
 SECOND_LOAD_FROM = "1998-07-01"
 
 
+# Prepared views by the files of their landed table, so that the flagged
+# rows are written once per session as well.
+_PREPARED: dict[str, Prepared] = {}
+
+
 def prepared(spark: SparkSession, sf_dir: str, **batch) -> Prepared:
-    return prepare(landed_sales_view(spark, sf_dir, **batch), driver_table_rules())
+    view = landed_sales_view(spark, sf_dir, **batch)
+    key = f"{spark.sparkContext.applicationId} {view.inputFiles()[:1]}"
+    if key not in _PREPARED:
+        _PREPARED[key] = prepare(view, driver_table_rules())
+    return _PREPARED[key]
 
 
 def star(spark: SparkSession, sf_dir: str) -> StarSchema:
@@ -77,7 +89,7 @@ def q_dq_metrics(spark, sf_dir):
 
 
 def q_dq_null_counts(spark, sf_dir):
-    return quality.null_counts_long(prepared(spark, sf_dir).metrics)
+    return profile.null_counts(landed_sales_view(spark, sf_dir))
 
 
 def q_dq_duplicates(spark, sf_dir):
@@ -200,11 +212,33 @@ def q_column_profile(spark, sf_dir):
 def _two_loads(spark, sf_dir) -> StarSchema:
     first = prepared(spark, sf_dir, ship_before=FIRST_LOAD_BEFORE).star()
     second = prepared(spark, sf_dir, ship_from=SECOND_LOAD_FROM).clean_dedup
-    return merge_into(first, second, driver_table_rules())
+    return merge_into(first, second)
+
+
+def _two_published_loads(spark, sf_dir) -> Warehouse:
+    """The first batch published, then the second merged into it."""
+    wh = Warehouse(spark, scratch_dir(spark) + "/warehouse")
+    wh.load(prepared(spark, sf_dir, ship_before=FIRST_LOAD_BEFORE).star)
+    wh.load(lambda: merge_into(wh.tables(), prepared(spark, sf_dir, ship_from=SECOND_LOAD_FROM).clean_dedup))
+    return wh
 
 
 def q_upsert_fact(spark, sf_dir):
-    return _two_loads(spark, sf_dir).fact_sales
+    return _two_published_loads(spark, sf_dir).tables().fact_sales
+
+
+def q_upsert_branch_city(spark, sf_dir):
+    """Branch dimension matched on branch code alone: changed and NULL cities
+    overwrite, a branch that arrives late is inserted.  Branches are the
+    cities of the clean rows; a branch's one city is a depot named after the
+    load's row count."""
+    def depots(**batch):
+        rows = prepared(spark, sf_dir, **batch).clean_dedup
+        return rows.groupBy(F.col("city").alias("branch_code")).agg(F.count(F.lit(1)).alias("n")).selectExpr(
+            "branch_code", "case when n % 3 = 0 then null else concat('Depot ', cast(n as string)) end as city")
+
+    target = dense_key_small(depots(ship_before=FIRST_LOAD_BEFORE), ["branch_code"], "branch_key")
+    return upsert(target, depots(ship_from=SECOND_LOAD_FROM), ["branch_code"], "branch_key")
 
 
 def q_upsert_dim_branch(spark, sf_dir):
@@ -229,14 +263,92 @@ def q_parquet_roundtrip(spark, sf_dir):
 
 
 def q_staged_publish(spark, sf_dir):
-    """Full load into a fresh warehouse; the report is read back through
-    the published manifest."""
-    wh = Warehouse(spark, scratch_dir(spark) + "/warehouse")
-    wh.load(star(spark, sf_dir))
+    """Full load into a fresh warehouse, then a load that fails while it
+    writes the fact; the report is read back through the manifest and still
+    shows the first load."""
+    wh, _ = _good_and_bad_load(spark, sf_dir)
     t = wh.tables()
     return report.sales_report(t.fact_sales, t.dim_branch, t.dim_product)
 
 
+def _good_and_bad_load(spark, sf_dir) -> tuple[Warehouse, StarSchema]:
+    wh = Warehouse(spark, scratch_dir(spark) + "/warehouse")
+    s = star(spark, sf_dir)
+    wh.load(s, run_id="good")
+    broken = s.fact_sales.withColumn("rating", F.raise_error(F.lit("broken source")).cast("double"))
+    try:
+        wh.load(StarSchema(s.dim_branch, s.dim_product, broken), run_id="bad")
+    except RuntimeError:
+        return wh, s
+    raise AssertionError("the broken load was published")
+
+
+def q_load_summary_json(spark, sf_dir):
+    """The summary documents of a load and of a failed one, and the rows published after both."""
+    wh, _ = _good_and_bad_load(spark, sf_dir)
+    rows = wh.tables().fact_sales.agg(F.count(F.lit(1)).alias("published_rows"))
+    docs = None
+    for name in ("good", "bad"):
+        doc = spark.read.schema("succeeded array<string>, failed array<string>, total long").json(wh.summary_path(name))
+        steps = F.concat(F.transform("succeeded", lambda x: F.struct(x.alias("step"), F.lit("succeeded").alias("outcome"))),
+                         F.transform("failed", lambda x: F.struct(x.alias("step"), F.lit("failed").alias("outcome"))))
+        doc = doc.select(F.lit(name).alias("run"), "total", F.explode(steps).alias("s")).select("run", "s.step", "s.outcome", "total")
+        docs = doc if docs is None else docs.unionByName(doc)
+    # One row of one number on the right.
+    return docs.join(F.broadcast(rows), F.lit(True)).select("run", "step", "outcome", "total", "published_rows")
+
+
+def q_dq_report_json(spark, sf_dir):
+    """The quality report of a file with one extra column, written as JSON and
+    read back: its warnings, metrics and null counts as rows."""
+    raw = landed_sales_view(spark, sf_dir).withColumn("Channel", F.lit("shop"))
+    path = scratch_dir(spark) + "/data_quality_report"
+    write_json(prepare(raw, driver_table_rules()).report(), path)
+    doc = spark.read.json(path)
+    metrics = [F.struct(F.lit("metric").alias("section"), F.lit(m).alias("name"), F.col(f"metrics.{m}").alias("value"))
+               for m in quality.METRIC_COLUMNS]
+    nulls = [f.name for f in doc.schema["metrics"].dataType["null_counts"].dataType]
+    counts = [F.struct(F.lit("null_count").alias("section"), F.lit(n).alias("name"), F.col(f"metrics.null_counts.`{n}`").alias("value"))
+              for n in nulls]
+    warned = F.transform("warnings", lambda w: F.struct(
+        F.lit("warning").alias("section"),
+        F.concat(w["type"], F.coalesce(F.concat(F.lit(": "), F.array_join(w["columns"], ", ")), F.lit(""))).alias("name"),
+        w["count"].alias("value")))
+    return doc.select(F.explode(F.concat(warned, F.array(*metrics, *counts))).alias("r")).select("r.section", "r.name", "r.value")
+
+
+def q_export_roundtrip(spark, sf_dir):
+    """The fact as exported to CSV after a published load, read back with its types."""
+    folder = scratch_dir(spark)
+    wh = Warehouse(spark, folder + "/warehouse")
+    wh.load(star(spark, sf_dir), export_dir=folder + "/export")
+    rows = read_csv_strings(spark, folder + "/export/fact_sales")
+    types = dict(wh.read("fact_sales").dtypes)
+    return rows.select(*[F.col(c).cast(types[c]).alias(c) for c in FACT_COLUMNS])
+
+
+def q_column_replacement_names(spark, sf_dir):
+    """The raw rows under the second naming strategy."""
+    raw = landed_sales_view(spark, sf_dir)
+    return raw.select(*[F.col(c).alias(replacement_name(c)) for c in raw.columns])
+
+
+def q_batch_run(spark, sf_dir):
+    """The whole batch over a folder of CSV files; the report file read back."""
+    folder = scratch_dir(spark)
+    write_csv(landed_sales_view(spark, sf_dir), folder + "/raw")
+    run(spark, folder + "/raw", folder + "/out", folder + "/warehouse", driver_table_rules(), mode="merge")
+    types = {"transaction_count": "long", "total_units_sold": "long", "sales_rank_within_branch": "int"}
+    types |= {c: "double" for c in ("total_sales", "total_gross_income", "avg_rating", "pct_of_branch_sales")}
+    rows = read_csv_strings(spark, folder + "/out/report")
+    return rows.select(*[F.col(c).cast(types.get(c, "string")).alias(c) for c in report.REPORT_COLUMNS])
+
+
+def q_fact_assertions(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return checks.fact_assertions(s.fact_sales, s.dim_branch, s.dim_product, driver_table_rules())
+
+
 def _driver_types(query: Query) -> Query:
     """Emit DATE columns as TIMESTAMP_NTZ at midnight.
 
@@ -294,6 +406,13 @@ _QUERIES: dict[str, Query] = {
     "csv_roundtrip": q_csv_roundtrip,
     "parquet_roundtrip": q_parquet_roundtrip,
     "staged_publish": q_staged_publish,
+    "load_summary_json": q_load_summary_json,
+    "dq_report_json": q_dq_report_json,
+    "export_roundtrip": q_export_roundtrip,
+    "column_replacement_names": q_column_replacement_names,
+    "batch_run": q_batch_run,
+    "fact_assertions": q_fact_assertions,
+    "upsert_branch_city": q_upsert_branch_city,
 }
 
 QUERIES: dict[str, Query] = {name: _driver_types(q) for name, q in _QUERIES.items()}

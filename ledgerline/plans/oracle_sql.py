@@ -12,8 +12,13 @@ from ledgerline.rules import driver_table_rules
 _R = driver_table_rules()
 
 
+def rounded(x: str, places: int) -> str:
+    return (f"coalesce(CAST(ROUND(TRY_CAST({x} AS DECIMAL(28,10)), {places}) AS DOUBLE), "
+            f"round(CAST({x} AS DOUBLE), {places}))")
+
+
 def r2(x: str) -> str:
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(28,10)), 2) AS DOUBLE)"
+    return rounded(x, 2)
 
 
 def _in(values: list[str]) -> str:
@@ -28,15 +33,17 @@ def fixed4(c: str) -> str:
     return f"(CAST(({c}) // 10000 AS VARCHAR) || '.' || lpad(CAST(({c}) % 10000 AS VARCHAR), 4, '0'))"
 
 
-def view_sql(sfx: str = "", where: str = "") -> str:
+def view_sql(sfx: str = "", where: str = "", corrected: bool = False) -> str:
+    withdrawn = "OR l_orderkey % 67 = 0" if corrected else ""
     return f"""
 base{sfx} AS (
-  SELECT l.*, o.*, c.*, n.n_name, r.r_name, p.p_type,
+  SELECT l.*, o.*, c.*, n.n_nationkey, n.n_name, r.r_name, p.p_type,
          CAST(l_quantity AS BIGINT) AS qty,
          CAST(round(l_extendedprice * 100) AS BIGINT) AS ext,
          CAST(round(l_tax * 100) AS BIGINT) AS tax_pct,
-         CAST(round(l_discount * 100) AS BIGINT) AS disc_pct
-  FROM lineitem l
+         CAST(round(l_discount * 100) AS BIGINT) AS disc_pct,
+         coalesce(l_shipdate >= TIMESTAMP '2000-01-01', false) AS late
+  FROM (SELECT *, unnest(range(CASE WHEN l_orderkey % 211 = 0 THEN 2 ELSE 1 END)) AS copy FROM lineitem) l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -55,13 +62,17 @@ raw{sfx} AS (
     CASE WHEN l_orderkey % 101 = 0 AND l_linenumber = 1 THEN NULL
          ELSE 'INV-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END AS invoice_id,
     r_name AS branch,
-    CASE WHEN l_partkey % 89 = 0 THEN NULL ELSE n_name END AS city,
+    CASE WHEN l_partkey % 89 = 0 THEN NULL WHEN n_nationkey = 24 AND NOT late THEN 'NATION_23'
+         ELSE n_name END AS city,
     c_mktsegment AS customer_type,
     CASE WHEN l_partkey % 97 = 0 THEN NULL ELSE l_linestatus END AS gender,
-    p_type AS product_line,
-    CASE WHEN l_partkey % 103 = 0 THEN 'n/a' ELSE {money('price_c')} END AS unit_price,
-    CAST(qty AS VARCHAR) AS quantity,
-    CASE WHEN l_orderkey % 61 = 0 THEN NULL ELSE {money('tax_c')} END AS tax_amount,
+    p_type || CASE WHEN late AND l_partkey % 53 = 0 THEN ' II' ELSE '' END
+           || CASE WHEN l_partkey % 59 = 0 THEN ' "best", new' || chr(10) || 'line' ELSE '' END AS product_line,
+    CASE WHEN l_partkey % 103 = 0 THEN 'n/a' WHEN l_partkey % 107 = 0 THEN '1e30'
+         WHEN l_partkey % 109 = 0 THEN '10d' ELSE {money('price_c')} END AS unit_price,
+    CASE WHEN l_orderkey % 113 = 0 THEN '3000000000' WHEN l_orderkey % 127 = 0 THEN '2.5'
+         ELSE CAST(qty AS VARCHAR) END AS quantity,
+    CASE WHEN l_orderkey % 61 = 0 {withdrawn} THEN NULL ELSE {money('tax_c')} END AS tax_amount,
     {money('ext + tax_c')} AS total_amount,
     CASE WHEN l_orderkey % 41 = 0 THEN strftime(l_shipdate, '%Y-%m-%d')
          ELSE CAST(month(l_shipdate) AS VARCHAR) || '/' || CAST(day(l_shipdate) AS VARCHAR) || '/'
@@ -104,12 +115,12 @@ def _typed_select() -> str:
     return ",\n    ".join(out)
 
 
-def stages(sfx: str = "", where: str = "") -> str:
+def stages(sfx: str = "", where: str = "", corrected: bool = False) -> str:
     """CTEs from the raw view to the fact, names suffixed with ``sfx``."""
     crit = " OR ".join(f"raw{sfx}.{c} IS NULL" for c in CRITICAL)
     tol = _R.tolerance
     order = ", ".join(c + " ASC NULLS FIRST" for c in _DEDUP_ORDER)
-    return view_sql(sfx, where) + f""",
+    return view_sql(sfx, where, corrected) + f""",
 typed{sfx} AS (
   SELECT {_typed_select()},
     ({crit}) AS critical_null
@@ -124,7 +135,7 @@ flagged0{sfx} AS (
     NOT coalesce(customer_type IN ({_in(_R.customer_types)}), false) AS invalid_customer_type,
     NOT coalesce(gender IN ({_in(_R.genders)}), false) AS invalid_gender,
     NOT coalesce(payment_method IN ({_in(_R.payments)}), false) AS invalid_payment,
-    coalesce(unit_price <= {_R.price_min} OR quantity < {_R.quantity_min} OR quantity % 1 <> 0
+    coalesce(unit_price <= {_R.price_min} OR quantity < {_R.quantity_min} OR quantity >= 9.2e18
              OR rating < {_R.rating_min} OR rating > {_R.rating_max}, true) AS invalid_numeric,
     coalesce(abs(tax_amount - {r2(f'cogs * {_R.tax_rate}')}) > {tol}, false) AS tax_mismatch,
     coalesce(abs(total_amount - {r2('cogs + coalesce(tax_amount, 0.0)')}) > {tol}, false) AS total_mismatch,
@@ -165,7 +176,7 @@ _DEDUP_ORDER = ["sale_date", "sale_time"] + [c for c in RAW_COLUMNS if c not in
                                              ("invoice_id", "sale_date", "sale_time")]
 _COLS = ", ".join(RAW_COLUMNS)
 _FACT_BODY = """b.branch_key, p.product_key, d.sale_date, d.sale_time, d.customer_type, d.gender,
-         d.payment_method, d.unit_price, CAST(d.quantity AS INTEGER) AS quantity, d.tax_amount,
+         d.payment_method, d.unit_price, CAST(round(d.quantity) AS BIGINT) AS quantity, d.tax_amount,
          d.total_amount, d.cogs, d.gross_margin_pct, d.gross_income, d.rating"""
 FACT_VALUES = ["branch_key", "product_key", "sale_date", "sale_time", "customer_type", "gender",
                "payment_method", "unit_price", "quantity", "tax_amount", "total_amount", "cogs",
@@ -182,7 +193,7 @@ def _dec(c: str) -> str:
 
 
 def r6(x: str) -> str:
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(28,10)), 6) AS DOUBLE)"
+    return f"CASE WHEN abs({x}) < 1e6 THEN {rounded(x, 6)} ELSE CAST(printf('%.9e', CAST({x} AS DOUBLE)) AS DOUBLE) END"
 
 
 _REPORT_BODY = f"""
@@ -270,13 +281,21 @@ def _describe() -> str:
     long = " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, {c} AS value FROM typed WHERE {c} IS NOT NULL" for c in NUMERIC)
     return with_stages(f""",
-long AS ({long})
-SELECT column_name, CAST(count(value) AS BIGINT) AS count,
-  {r6("CAST(SUM(CAST(value AS DECIMAL(28,10))) AS DOUBLE) / count(value)")} AS mean,
-  {r6("stddev_samp(value)")} AS std, min(value) AS min,
-  {r6("quantile_cont(value, 0.25)")} AS p25, {r6("quantile_cont(value, 0.5)")} AS p50,
-  {r6("quantile_cont(value, 0.75)")} AS p75, max(value) AS max
-FROM long GROUP BY column_name""".replace("\n,\nlong", ",\nlong"))
+long AS ({long}),
+summed AS (
+  SELECT column_name, count(value) AS n, min(value) AS lo, max(value) AS hi,
+    (CAST(coalesce(SUM(TRY_CAST(value AS DECIMAL(26,10))), 0) AS DOUBLE)
+     + coalesce(SUM(CASE WHEN TRY_CAST(value AS DECIMAL(26,10)) IS NULL THEN value END), 0)) / count(value) AS mean,
+    quantile_cont(value, 0.25) AS q25, quantile_cont(value, 0.5) AS q50, quantile_cont(value, 0.75) AS q75
+  FROM long GROUP BY column_name
+),
+spread AS (
+  SELECT l.column_name, CASE WHEN count(*) > 1 THEN sqrt(SUM((l.value - s.mean) * (l.value - s.mean)) / (count(*) - 1)) END AS std
+  FROM long l JOIN summed s USING (column_name) GROUP BY l.column_name
+)
+SELECT column_name, CAST(n AS BIGINT) AS count, {r6("mean")} AS mean, {r6("std")} AS std, lo AS min,
+  {r6("q25")} AS p25, {r6("q50")} AS p50, {r6("q75")} AS p75, hi AS max
+FROM summed JOIN spread USING (column_name)""".replace("\n,\nlong", ",\nlong"))
 
 
 def _histogram() -> str:
@@ -306,7 +325,7 @@ def _pivot(measure: str) -> str:
 
 def _upsert(table: str) -> str:
     first = stages("_a", "WHERE l.l_shipdate < TIMESTAMP '1999-01-01'")
-    second = stages("_b", "WHERE l.l_shipdate >= TIMESTAMP '1998-07-01'")
+    second = stages("_b", "WHERE l.l_shipdate >= TIMESTAMP '1998-07-01' OR l.l_shipdate IS NULL", corrected=True)
     picks = ",\n    ".join(f"CASE WHEN s.invoice_id IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}"
                            for c in FACT_VALUES)
     src_cols = ", ".join(f"s.{c}" for c in FACT_VALUES)
@@ -376,7 +395,72 @@ _CHECKS = [
     ("fact_sales", "fk_product_key", _orphans("product_key", "dim_product")),
 ]
 
+def _count_if(conditions: dict[str, str], table: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{n}' AS assertion, CAST(count(*) FILTER (WHERE {c}) AS BIGINT) AS violations FROM {table}"
+                              for n, c in conditions.items())
+
+
+def _unknown(column: str, allowed: list[str]) -> str:
+    return f"{column} IS NULL OR {column} NOT IN ({_in(allowed)})"
+
+
+_ASSERTIONS = " UNION ALL ".join([
+    _count_if({
+        "total_positive": "total_amount IS NULL OR total_amount <= 0", "quantity_positive": "quantity IS NULL OR quantity <= 0",
+        "unit_price_positive": "unit_price IS NULL OR unit_price <= 0",
+        "rating_in_range": "rating IS NULL OR NOT rating BETWEEN 0 AND 10", "invoice_id_present": "invoice_id IS NULL",
+        "sale_date_present": "sale_date IS NULL", "branch_key_present": "branch_key IS NULL",
+        "product_key_present": "product_key IS NULL", "customer_type_known": _unknown("customer_type", _R.customer_types),
+        "gender_known": _unknown("gender", _R.genders), "payment_known": _unknown("payment_method", _R.payments)}, "fact"),
+    _count_if({"branch_known": _unknown("branch_code", _R.branches), "city_known": _unknown("city", _R.cities)}, "dim_branch"),
+    _count_if({"product_line_present": "product_line IS NULL"}, "dim_product"),
+])
+
+_REPLACED = {"invoice_id": "invoice_id", "branch": "branch", "city": "city", "customer_type": "customer_type", "gender": "gender",
+             "product_line": "product_line", "unit_price": "unit_price", "quantity": "quantity", "tax_amount": "tax_5pct",
+             "total_amount": "total", "sale_date": "date", "sale_time": "time", "payment_method": "payment", "cogs": "cogs",
+             "gross_margin_pct": "gross_margin_percentage", "gross_income": "gross_income", "rating": "rating"}
+
+
+def _branch_city() -> str:
+    """Branches (here: the cities of clean rows) whose one city is a depot named after the load's row count."""
+    def depots(sfx: str) -> str:
+        return (f"SELECT city AS branch_code, CASE WHEN count(*) % 3 = 0 THEN NULL ELSE 'Depot ' || CAST(count(*) AS VARCHAR) END AS city "
+                f"FROM dedup{sfx} GROUP BY city")
+
+    first = stages("_a", "WHERE l.l_shipdate < TIMESTAMP '1999-01-01'")
+    second = stages("_b", "WHERE l.l_shipdate >= TIMESTAMP '1998-07-01' OR l.l_shipdate IS NULL", corrected=True)
+    return "WITH " + first.strip() + "," + second + f""",
+src AS ({depots('_b')}),
+tgt AS (SELECT CAST(row_number() OVER (ORDER BY branch_code) AS BIGINT) AS branch_key, branch_code, city FROM ({depots('_a')}))
+SELECT t.branch_key, t.branch_code, CASE WHEN s.branch_code IS NOT NULL THEN s.city ELSE t.city END AS city
+FROM tgt t LEFT JOIN src s ON t.branch_code = s.branch_code
+UNION ALL
+SELECT (SELECT max(branch_key) FROM tgt) + CAST(row_number() OVER (ORDER BY branch_code) AS BIGINT), branch_code, city
+FROM src s WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.branch_code = s.branch_code)"""
+
+
+_SUMMARY_ROWS = [("good", "fact_sales_staging", "succeeded"), ("good", "dim_branch_staging", "succeeded"),
+                 ("good", "dim_product_staging", "succeeded"), ("good", "constraint_checks", "succeeded"),
+                 ("good", "publish", "succeeded"),
+                 ("bad", "dim_branch_staging", "succeeded"), ("bad", "dim_product_staging", "succeeded"),
+                 ("bad", "fact_sales_staging", "failed")]
+
 ORACLE_SQL: dict[str, str] = {
+    "fact_assertions": with_stages(_ASSERTIONS),
+    "column_replacement_names": with_stages("SELECT " + ", ".join(f"{c} AS {n}" for c, n in _REPLACED.items()) + " FROM raw"),
+    "upsert_branch_city": _branch_city(),
+    "dq_report_json": _with_metrics(
+        "SELECT 'warning' AS section, 'extra_columns: Channel' AS name, CAST(NULL AS BIGINT) AS value FROM metrics UNION ALL "
+        + " UNION ALL ".join(f"SELECT 'warning', '{w}', {m} FROM metrics WHERE {m} > 0" for w, m in WARNINGS) + " UNION ALL "
+        + " UNION ALL ".join(f"SELECT 'metric', '{m}', {m} FROM metrics" for m in METRIC_COLUMNS) + " UNION ALL "
+        + " UNION ALL ".join(f"SELECT 'null_count', '{RAW_NAMES[c]}', CAST(count(*) - count({c}) AS BIGINT) FROM raw" for c in RAW_COLUMNS)
+        + " UNION ALL SELECT 'null_count', 'channel', CAST(0 AS BIGINT) FROM metrics"),
+    "load_summary_json": with_stages(" UNION ALL ".join(
+        f"SELECT '{r}' AS run, '{step}' AS step, '{o}' AS outcome, CAST(5 AS BIGINT) AS total, "
+        "(SELECT CAST(count(*) AS BIGINT) FROM fact) AS published_rows" for r, step, o in _SUMMARY_ROWS)),
+    "export_roundtrip": with_stages("SELECT * FROM fact"),
+    "batch_run": SALES_REPORT,
     "sales_report": SALES_REPORT,
     "report_topn": REPORT_TOPN,
     "report_preview": REPORT_PREVIEW,
@@ -446,7 +530,7 @@ ORACLE_SQL: dict[str, str] = {
 # Queries whose result holds the DATE column sale_date: emitted as TIMESTAMP
 # (midnight), as the Spark catalog does (see ``catalog._driver_types``).
 for _name in ["coerce_dates_times_numbers", "dq_rejects", "clean_sales", "fact_sales",
-              "parquet_roundtrip", "upsert_fact"]:
+              "parquet_roundtrip", "upsert_fact", "export_roundtrip"]:
     _sql = ORACLE_SQL[_name]
     _head, _sep, _body = _sql.rpartition("\nSELECT ")
     ORACLE_SQL[_name] = (_head + "\nSELECT * REPLACE (CAST(sale_date AS TIMESTAMP) AS sale_date) FROM (SELECT "

@@ -21,11 +21,6 @@ TABLES = [
     "conversations",
 ]
 
-# Small dimension tables of the TPC-H schema: 5 regions and 25 nations at
-# every scale factor, so broadcasting them is bounded.
-BOUNDED_TABLES = {"region": 5, "nation": 25}
-
-
 # Parquet schemas already read in this process, by path.  Passing the schema
 # skips Spark's footer-reading job on every read; file listing still runs, so
 # new files are seen.
@@ -54,16 +49,24 @@ def _fixed4(scaled: str) -> str:
             f"lpad(cast(({scaled}) % 10000 as string), 4, '0'))")
 
 
+# From this date on the view has members that earlier rows lack: a city and
+# the second edition of some product lines.
+LATE_MEMBERS_FROM = "2000-01-01"
+
+
 def sales_view(spark: SparkSession, sf_dir: str, ship_from: str | None = None,
                ship_before: str | None = None) -> DataFrame:
     """Raw-shaped sales rows over ``lineitem``.
 
     ``ship_from`` / ``ship_before`` cut the rows into load batches by ship
-    date (the filter reaches the parquet scan); without them every row is used.
+    date (the filter reaches the parquet scan; rows without a date belong to
+    the later batch); without them every row is used.  A later batch
+    (``ship_from``) also withdraws the tax of some orders, as a correction
+    file would.
     """
     li = read_table(spark, sf_dir, "lineitem")
     if ship_from:
-        li = li.filter(F.col("l_shipdate") >= F.lit(ship_from).cast("timestamp_ntz"))
+        li = li.filter((F.col("l_shipdate") >= F.lit(ship_from).cast("timestamp_ntz")) | F.col("l_shipdate").isNull())
     if ship_before:
         li = li.filter(F.col("l_shipdate") < F.lit(ship_before).cast("timestamp_ntz"))
     li = li.select(
@@ -77,11 +80,11 @@ def sales_view(spark: SparkSession, sf_dir: str, ship_from: str | None = None,
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
 
-    geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey", "n_name", "r_name")
     buyer = (orders.join(customer, orders.o_custkey == customer.c_custkey)
-             .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
-             .select("o_orderkey", "c_mktsegment", "n_name", "r_name"))
+             .join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
+             .select("o_orderkey", "c_mktsegment", "n_nationkey", "n_name", "r_name"))
     # Lineitem meets orders in a shuffle join (both grow with the data; AQE
     # splits skewed order keys); Spark's size estimate decides for part.
     rows = (li.join(buyer, li.l_orderkey == buyer.o_orderkey)
@@ -91,7 +94,7 @@ def sales_view(spark: SparkSession, sf_dir: str, ship_from: str | None = None,
     # as SQL expressions: one call builds the whole projection.
     cents = rows.selectExpr(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus",
-        "l_shipdate", "c_mktsegment", "n_name", "r_name", "p_type",
+        "l_shipdate", "c_mktsegment", "n_nationkey", "n_name", "r_name", "p_type",
         "cast(l_quantity as bigint) as qty",
         "cast(round(l_extendedprice * 100) as bigint) as ext",
         "cast(round(l_tax * 100) as bigint) as tax_pct",
@@ -101,18 +104,26 @@ def sales_view(spark: SparkSession, sf_dir: str, ship_from: str | None = None,
         "(ext * 2 + qty) div (qty * 2) as price_c",
         "(ext * tax_pct * 2 + 100) div 200 as tax_c",
         "(tax_pct * 2000000 + tax_pct + 100) div ((tax_pct + 100) * 2) as margin_s",
+        f"coalesce(l_shipdate >= timestamp_ntz'{LATE_MEMBERS_FROM} 00:00:00', false) as late",
+        # Exact duplicate rows.
+        "explode(sequence(1, case when l_orderkey % 211 = 0 then 2 else 1 end)) as copy",
     )
+    withdrawn = "or l_orderkey % 67 = 0" if ship_from else ""
     return cents.selectExpr(
         "case when l_orderkey % 101 = 0 and l_linenumber = 1 then null "
         "else concat('INV-', cast(l_orderkey as string), '-', cast(l_linenumber as string)) end as `Invoice ID`",
         "r_name as `Branch`",
-        "case when l_partkey % 89 = 0 then null else n_name end as `City`",
+        "case when l_partkey % 89 = 0 then null when n_nationkey = 24 and not late then 'NATION_23' "
+        "else n_name end as `City`",
         "c_mktsegment as `Customer type`",
         "case when l_partkey % 97 = 0 then null else l_linestatus end as `Gender`",
-        "p_type as `Product line`",
-        f"case when l_partkey % 103 = 0 then 'n/a' else {_money('price_c')} end as `Unit price`",
-        "cast(qty as string) as `Quantity`",
-        f"case when l_orderkey % 61 = 0 then null else {_money('tax_c')} end as `Tax 5%`",
+        "concat(p_type, case when late and l_partkey % 53 = 0 then ' II' else '' end, "
+        "case when l_partkey % 59 = 0 then ' \"best\", new\\nline' else '' end) as `Product line`",
+        "case when l_partkey % 103 = 0 then 'n/a' when l_partkey % 107 = 0 then '1e30' "
+        f"when l_partkey % 109 = 0 then '10d' else {_money('price_c')} end as `Unit price`",
+        "case when l_orderkey % 113 = 0 then '3000000000' when l_orderkey % 127 = 0 then '2.5' "
+        "else cast(qty as string) end as `Quantity`",
+        f"case when l_orderkey % 61 = 0 {withdrawn} then null else {_money('tax_c')} end as `Tax 5%`",
         f"{_money('ext + tax_c')} as `Total`",
         "case when l_orderkey % 41 = 0 then date_format(l_shipdate, 'yyyy-MM-dd') "
         "else concat_ws('/', cast(month(l_shipdate) as string), cast(day(l_shipdate) as string), "

@@ -1,10 +1,12 @@
-"""Constraint violations, size-checked broadcasts, lineage cuts."""
+"""Constraint violations, value assertions, lineage cuts."""
+
+import os
 
 from pyspark.sql import functions as F
 
 from ledgerline.operators import checks
-from ledgerline.operators.joins import bounded_broadcast
-from ledgerline.session import cut_lineage, ensure_checkpoint_dir
+from ledgerline.rules import RETAIL_RULES
+from ledgerline.session import cut_count, cut_lineage, cut_table, ensure_checkpoint_dir, release_cuts
 
 
 def test_constraint_violations_are_counted(spark):
@@ -27,13 +29,32 @@ def test_constraint_violations_are_counted(spark):
     assert [(r["branch_key"], r["rows"]) for r in dups] == [(1, 2)]
 
 
-def test_bounded_broadcast_falls_back_above_limit(spark):
-    small = spark.range(5)
-    big = spark.range(50)
-    assert "broadcast" in bounded_broadcast(small, max_rows=10)._jdf.queryExecution().logical().toString().lower()
-    assert bounded_broadcast(big, max_rows=10) is big
-    assert "broadcast" in bounded_broadcast(big, max_rows=10, known_bound=8)._jdf.queryExecution() \
-        .logical().toString().lower()
+def test_constraint_report_counts_without_expanding_rows(spark):
+    dim_branch = spark.createDataFrame([(1, "A", "X")], "branch_key long, branch_code string, city string")
+    dim_product = spark.createDataFrame([(1, "p")], "product_key long, product_line string")
+    fact = spark.createDataFrame([(1, "i1", 1, 1)], "sales_key long, invoice_id string, branch_key long, product_key long")
+    plan = checks.constraint_report(dim_branch, dim_product, fact)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+
+
+def test_fact_assertions_find_every_bad_value(spark):
+    good = ("i1", "2019-01-05", 1, 1, "Member", "Male", "Cash", 10.0, 2, 21.0, 7.0)
+    bad = (None, None, None, None, "VIP", None, "Cheque", 0.0, 0, -1.0, 11.0)
+    fact = spark.createDataFrame([good, bad], "invoice_id string, sale_date string, branch_key long, product_key long, customer_type string, "
+                                 "gender string, payment_method string, unit_price double, quantity long, total_amount double, rating double")
+    branches = spark.createDataFrame([("A", "Yangon"), ("D", None)], "branch_code string, city string")
+    products = spark.createDataFrame([("p",), (None,)], "product_line string")
+    got = checks.fact_assertions(fact, branches, products, RETAIL_RULES).collect()
+    assert len(got) == 14 and {r["violations"] for r in got} == {1}
+
+
+def test_written_tables_are_released(spark):
+    mark = cut_count(spark)
+    cut = cut_table(spark.range(10))
+    assert cut.bytes > 0 and cut_count(spark) == mark + 1
+    files = [f.removeprefix("file://") for f in cut.table.inputFiles()]
+    assert release_cuts(spark, mark) == 1 and cut_count(spark) == mark
+    assert not any(os.path.exists(f) for f in files)
 
 
 def test_cut_lineage_writes_under_checkpoint_dir(spark):

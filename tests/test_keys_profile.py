@@ -15,7 +15,7 @@ def test_dense_key_large_matches_sorted_order(spark):
     rng = random.Random(7)
     ids = list({f"K{rng.randrange(10**6):06d}-{rng.randrange(50)}" for _ in range(3000)})
     df = spark.createDataFrame([(i, len(i)) for i in ids], "invoice_id string, n int")
-    keyed = dense_key_large(df, "invoice_id", "k", partitions=7, start=100)
+    keyed = dense_key_large(df, "invoice_id", "k", size=0, partitions=7, start=100)
     got = {r["invoice_id"]: r["k"] for r in keyed.collect()}
     want = {v: 101 + i for i, v in enumerate(sorted(ids))}
     assert got == want
@@ -71,11 +71,26 @@ def test_pivot(spark):
 
 def test_range_partitions_grow_with_written_size(spark, monkeypatch):
     from ledgerline.operators import keys
-    from ledgerline.session import cut_lineage
+    from ledgerline.session import cut_table
 
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    written = cut_lineage(spark.range(50000).selectExpr("id", "uuid() AS u"))
-    assert keys.range_partitions(written) == base                  # small table: the shuffle partitions
+    written, size = cut_table(spark.range(50000).selectExpr("id", "uuid() AS u"))
+    assert keys.range_partitions(written, size) == base            # small table: the shuffle partitions
+    assert keys.range_partitions(written, 1 << 60) == 1 << 33      # no cap
     monkeypatch.setattr(keys, "RANGE_PARTITION_BYTES", 10_000)
-    assert keys.range_partitions(written) > base                   # large relative to the target
-    assert keys.range_partitions(spark.range(5)) == base
+    assert keys.range_partitions(written, size) > base             # large relative to the target
+
+
+def test_describe_is_exact_for_small_and_huge_values(spark):
+    df = spark.createDataFrame([(4.9e-7, 1e30), (4.9e-7, 1.0), (4.9e-7, None)], "a double, b double")
+    got = {r["column_name"]: r for r in profile.describe_numeric(df, {"a": "a", "b": "b"}, places=9).collect()}
+    assert got["a"]["mean"] == 4.9e-7 and got["a"]["std"] == 0.0
+    assert got["b"]["mean"] == 5e29 and got["b"]["max"] == 1e30
+
+
+def test_null_counts_shuffle_no_rows(spark):
+    df = spark.createDataFrame([("a", 1.0), (None, 2.0), (None, None)], "s string, d double")
+    counts = profile.null_counts(df, {"s": "S"})
+    assert [tuple(r) for r in counts.collect()] == [("S", 2), ("d", 1)]
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 
 from conftest import SAMPLE_ROWS, good_row, raw_frame
-from ledgerline.operators import quality
+from ledgerline.operators import quality, report
 from ledgerline.plans.pipeline import prepare
 from ledgerline.rules import RETAIL_RULES
 
@@ -42,7 +42,15 @@ CASES = [
     ("price zero", {"Unit price": "0"}, {"invalid_numeric", "cogs_mismatch", R}),
     ("price negative", {"Unit price": "-1"}, {"invalid_numeric", "cogs_mismatch", R}),
     ("qty zero", {"Quantity": "0"}, {"invalid_numeric", "cogs_mismatch", R}),
-    ("qty fraction", {"Quantity": "2.5"}, {"invalid_numeric", "cogs_mismatch", R}),
+    ("qty fraction", {"Quantity": "2.5"}, {"cogs_mismatch"}),
+    ("qty large", {"Quantity": "3000000000"}, {"cogs_mismatch"}),
+    ("qty beyond", {"Quantity": "1e30"}, {"invalid_numeric", "cogs_mismatch", R}),
+    ("price huge", {"Unit price": "1e30"}, {"cogs_mismatch"}),
+    ("price suffix d", {"Unit price": "10d"}, {"invalid_numeric", R}),
+    ("price suffix f", {"Unit price": "10F"}, {"invalid_numeric", R}),
+    ("price spaces", {"Unit price": " 1.0e1 "}, set()),
+    ("cogs huge", {"cogs": "1e30"}, {"tax_mismatch", "total_mismatch", "cogs_mismatch"}),
+    ("total infinite", {"Total": "inf"}, {"total_mismatch"}),
     ("rating low", {"Rating": "-0.1"}, {"invalid_numeric", R}),
     ("rating high", {"Rating": "10.1"}, {"invalid_numeric", R}),
     ("rating bounds", {"Rating": "10"}, set()),
@@ -62,7 +70,8 @@ def flagged_cases(spark):
             else good_row(**changes) for i, (_, changes, _) in enumerate(CASES)]
     raw = raw_frame(spark, rows)
     p = prepare(raw, RETAIL_RULES)
-    return p, p.flagged.collect()
+    by_id = {r["invoice_id"]: r for r in p.flagged.collect()}
+    return p, [by_id[row[0]] for row in rows]
 
 
 @pytest.mark.parametrize("i", range(len(CASES)), ids=[c[0] for c in CASES])
@@ -153,3 +162,21 @@ def test_empty_input(spark):
     p = prepare(raw_frame(spark, []), RETAIL_RULES)
     m = p.metrics.first()
     assert m["raw_row_count"] == 0 and m["rejected_rows"] == 0 and m["clean_rows_after_invoice_dedup"] == 0
+
+
+def test_rejected_rows_are_dropped_at_the_scan(flagged_cases):
+    p, _ = flagged_cases
+    plan = p.clean_dedup._jdf.queryExecution().executedPlan().toString()
+    below = plan.split("Exchange", 1)[1]
+    assert "Filter NOT rejected" in below and "PushedFilters: [Not(EqualTo(rejected,true))]" in below
+
+
+def test_huge_amounts_do_not_stop_star_and_report(spark):
+    rows = [good_row(), good_row(**{"Invoice ID": "INV-101", "Unit price": "1e30", "Total": "1e30", "Quantity": "3000000000"}),
+            good_row(**{"Invoice ID": "INV-102", "Quantity": "2.5", "Branch": "B", "City": "Mandalay"})]
+    star = prepare(raw_frame(spark, rows), RETAIL_RULES).star()
+    fact = {r["invoice_id"]: r for r in star.fact_sales.collect()}
+    assert [fact[f"INV-10{i}"]["quantity"] for i in range(3)] == [2, 3_000_000_000, 3]
+    got = {r["branch_code"]: r for r in report.sales_report(star.fact_sales, star.dim_branch, star.dim_product).collect()}
+    assert got["A"]["total_sales"] == 1e30 and got["B"]["total_sales"] == 21.0
+    assert report.revenue_total(star.fact_sales).first()["total_revenue"] == 1e30

@@ -3,11 +3,14 @@
 import json
 import os
 
+import pytest
+
 from conftest import SAMPLE_ROWS
 from ledgerline.plans.pipeline import run
 from ledgerline.plans.publish import Warehouse
-from ledgerline.rules import RETAIL_REQUIRED_COLUMNS
-from ledgerline.streaming.incremental import start_ingest
+from ledgerline.rules import RETAIL_REQUIRED_COLUMNS, RETAIL_RULES
+from ledgerline.session import cut_count
+from ledgerline.streaming.incremental import merge_batch, start_ingest
 
 HEADER = ",".join(RETAIL_REQUIRED_COLUMNS)
 
@@ -65,3 +68,60 @@ def test_incremental_stream_is_idempotent(spark, tmp_path):
     q = start_ingest(spark, str(src), wh, ck)           # nothing new: no new version
     q.awaitTermination(300)
     assert warehouse.read("fact_sales").count() == 4
+
+
+def test_run_parses_the_files_once_and_leaves_no_intermediate_table(spark, tmp_path, monkeypatch):
+    _csv(tmp_path / "src" / "sales.csv", SAMPLE_ROWS)
+    mark = cut_count(spark)
+    scans = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        scans.add(1)
+        yield from batches
+
+    from ledgerline.plans import pipeline
+
+    read = pipeline.read_csv_strings
+    monkeypatch.setattr(pipeline, "read_csv_strings",
+                        lambda *a: (df := read(*a).coalesce(1)).mapInArrow(counted, df.schema))
+    run(spark, str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "wh"))
+    assert scans.value == 1
+    assert cut_count(spark) == mark
+
+
+def test_replayed_epoch_is_applied_once(spark, tmp_path):
+    _csv(tmp_path / "in" / "a.csv", SAMPLE_ROWS[:2])
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    batch = spark.createDataFrame([(str(tmp_path / "in" / "a.csv"),)], "path string")
+    apply = merge_batch(wh, RETAIL_RULES, stream="s")
+    apply(batch, 0)
+    version = wh.current()
+    assert wh.published_epoch("s") == 0
+    apply(batch, 0)                                       # replay: nothing is written
+    assert wh.current() == version and wh.read("fact_sales").count() == 2
+    _csv(tmp_path / "in" / "b.csv", SAMPLE_ROWS[2:])
+    apply(spark.createDataFrame([(str(tmp_path / "in" / "b.csv"),)], "path string"), 1)
+    assert wh.read("fact_sales").count() == 4 and wh.published_epoch("s") == 1
+    # Another stream (a new checkpoint) has epochs of its own.
+    merge_batch(wh, RETAIL_RULES, stream="t")(batch, 0)
+    assert wh.manifest()["epochs"] == {"s": 1, "t": 0} and wh.read("fact_sales").count() == 4
+
+
+def test_stream_maps_columns_by_header(spark, tmp_path):
+    columns = list(RETAIL_REQUIRED_COLUMNS)
+    i, j = columns.index("Total"), columns.index("cogs")
+    row = list(SAMPLE_ROWS[0])
+    columns[i], columns[j], row[i], row[j] = columns[j], columns[i], row[j], row[i]
+    path = tmp_path / "in" / "swapped.csv"
+    path.parent.mkdir()
+    path.write_text(",".join(columns) + "\n" + ",".join(row) + "\n")
+    start_ingest(spark, str(tmp_path / "in"), str(tmp_path / "wh"), str(tmp_path / "ck")).awaitTermination(300)
+    fact = Warehouse(spark, str(tmp_path / "wh")).read("fact_sales").first()
+    assert (fact["total_amount"], fact["cogs"]) == (10.5, 10.0)
+
+
+def test_failed_run_is_logged(spark, tmp_path, caplog):
+    (tmp_path / "src").mkdir()
+    with pytest.raises(FileNotFoundError):
+        run(spark, str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "wh"))
+    assert "run failed" in caplog.text

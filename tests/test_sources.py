@@ -4,7 +4,7 @@ import pytest
 
 from ledgerline.plans.pipeline import prepare
 from ledgerline.rules import RETAIL_REQUIRED_COLUMNS, RETAIL_RULES
-from ledgerline.sources.csv import read_csv_strings
+from ledgerline.sources.csv import file_layouts, read_csv_strings, write_csv
 
 HEADER = ",".join(RETAIL_REQUIRED_COLUMNS)
 ROW = "INV-001,A,Yangon,Member,Female,Food and beverages,10,2,1.0,21,1/5/2019,9:05,Cash,20,4.76,1.0,7"
@@ -44,13 +44,29 @@ def test_different_headers_are_unioned_by_name(spark, tmp_path):
 def test_header_with_spaces_and_extra_column(spark, tmp_path):
     header = HEADER.replace("Total", " Total ") + ",Note"
     _write(tmp_path / "s.csv", header + "\n" + ROW + ",hello\n")
-    p = prepare(read_csv_strings(spark, str(tmp_path)), RETAIL_RULES.with_(
-        required_columns=[c if c != "Total" else " Total " for c in RETAIL_REQUIRED_COLUMNS]))
+    p = prepare(read_csv_strings(spark, str(tmp_path)), RETAIL_RULES)
     assert "total_amount" in p.std.columns
     assert p.extra_columns == ["Note"]
     assert p.clean_dedup.count() == 1
 
 
+def test_quoted_fields(spark, tmp_path):
+    """Doubled quotes, commas and line breaks, in a file beside a plain one."""
+    _write(tmp_path / "q.csv", HEADER + "\n" + ROW.replace("Food and beverages", '"Foo ""x"", y"') + "\n"
+           + ROW.replace("INV-001", "INV-002").replace("Food and beverages", '"Foo\nbar, ""z"""') + "\n")
+    _write(tmp_path / "r.csv", "\n" + HEADER + "\n\n" + ROW.replace("INV-001", "INV-003") + "\n")
+    got = {r["Invoice ID"]: (r["Product line"], r["Rating"]) for r in read_csv_strings(spark, str(tmp_path)).collect()}
+    assert got == {"INV-001": ('Foo "x", y', "7"), "INV-002": ('Foo\nbar, "z"', "7"), "INV-003": ("Food and beverages", "7")}
+    flags = {r["path"].rsplit("/", 1)[1]: r["multi_line"] for r in file_layouts(spark, [str(tmp_path)]).collect()}
+    assert flags == {"q.csv": True, "r.csv": False}
+
+
+def test_written_csv_reads_back_the_same(spark, tmp_path):
+    rows = [('a "b"', " x ", "1"), ("c,d", "e\nf", None), ("\\", "g\r\nh", "2")]
+    write_csv(spark.createDataFrame(rows, "a string, b string, c string"), str(tmp_path / "w"))
+    assert sorted(tuple(r) for r in read_csv_strings(spark, str(tmp_path / "w"), markers=[""]).collect()) == sorted(rows)
+
+
 def test_missing_column_and_empty_file(spark, tmp_path):
     _write(tmp_path / "m" / "h.csv", ",".join(RETAIL_REQUIRED_COLUMNS[:-1]) + "\n")
     with pytest.raises(ValueError, match="Rating"):

@@ -69,7 +69,7 @@ def test_value_ranges_and_domains(star):
 
 def test_fact_types(star):
     types = dict(star.fact_sales.dtypes)
-    assert types["sales_key"] == "bigint" and types["quantity"] == "int"
+    assert types["sales_key"] == "bigint" and types["quantity"] == "bigint"
     assert types["sale_date"] == "date" and types["sale_time"] == "string"
     assert types["unit_price"] == "double"
 

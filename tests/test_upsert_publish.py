@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from conftest import SAMPLE_ROWS, good_row, raw_frame
 from ledgerline.operators.upsert import upsert
 from ledgerline.plans.pipeline import prepare, transform
-from ledgerline.plans.publish import Warehouse, merge_into
+from ledgerline.plans.publish import Warehouse, bucket_count, merge_into
 from ledgerline.rules import RETAIL_RULES
+from ledgerline.session import cut_count
 
 
 def _dim(spark, rows):
@@ -52,7 +53,7 @@ def test_merge_into_keeps_keys_and_inserts(spark):
     new_row = good_row(**{"Invoice ID": "INV-000", "Branch": "C", "City": "Naypyitaw",
                           "Product line": "Electronic accessories"})
     second = prepare(raw_frame(spark, [changed, new_row]), RETAIL_RULES).clean_dedup
-    merged = merge_into(first, second, RETAIL_RULES)
+    merged = merge_into(first, second)
     fact = {r["invoice_id"]: r for r in merged.fact_sales.collect()}
     assert fact["INV-001"]["sales_key"] == 1 and fact["INV-002"]["sales_key"] == 2
     assert fact["INV-002"]["rating"] == 9.5
@@ -70,7 +71,8 @@ def test_staged_publish_and_failure_keeps_published_version(spark, tmp_path):
     star, _ = transform(raw_frame(spark, SAMPLE_ROWS), RETAIL_RULES)
     summary = wh.load(star, run_id="v1", export_dir=str(tmp_path / "csv"))
     assert summary.failed == [] and "publish" in summary.succeeded
-    assert wh.current() == "v1"
+    v1 = wh.current()
+    assert v1.startswith("v1-")
     assert wh.read("fact_sales").count() == 4
     assert os.path.isdir(tmp_path / "csv" / "fact_sales")
     with open(tmp_path / "wh" / "load_summary" / "v1.json") as fh:
@@ -81,7 +83,7 @@ def test_staged_publish_and_failure_keeps_published_version(spark, tmp_path):
     broken = type(star)(star.dim_branch, star.dim_product, bad)
     with pytest.raises(RuntimeError, match="published version unchanged"):
         wh.load(broken, run_id="v2")
-    assert wh.current() == "v1"
+    assert wh.current() == v1
     with open(tmp_path / "wh" / "load_summary" / "v2.json") as fh:
         assert json.load(fh)["failed"] == ["constraint_checks"]
 
@@ -90,7 +92,7 @@ def test_staged_publish_and_failure_keeps_published_version(spark, tmp_path):
                          star.fact_sales.withColumn("sales_key", F.raise_error(F.lit("disk full"))))
     with pytest.raises(RuntimeError):
         wh.load(failing, run_id="v3")
-    assert wh.current() == "v1"
+    assert wh.current() == v1
     with open(tmp_path / "wh" / "load_summary" / "v3.json") as fh:
         assert json.load(fh)["failed"] == ["fact_sales_staging"]
 
@@ -111,3 +113,112 @@ def test_published_fact_is_bucketed_so_merges_shuffle_only_new_rows(spark, tmp_p
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
     assert "Bucketed: true" in plan
     assert plan.count("Exchange hashpartitioning") == 1            # the new rows only
+
+
+def test_composite_null_keys_never_match(spark):
+    target = spark.createDataFrame([(1, "Z", None, 1)], "k long, code string, city string, v int")
+    source = spark.createDataFrame([("Z", None, 2), ("Z", None, 3)], "code string, city string, v int")
+    out = upsert(target, source, ["code", "city"], "k").collect()
+    assert sorted((r["k"], r["v"]) for r in out) in ([(1, 1), (2, 2), (3, 3)], [(1, 1), (2, 3), (3, 2)])
+
+
+def _summary(root, run_id):
+    with open(os.path.join(root, "load_summary", f"{run_id}.json")) as fh:
+        return json.load(fh)
+
+
+def test_failed_load_under_a_published_run_id_leaves_it_intact(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    wh = Warehouse(spark, root)
+    star, _ = transform(raw_frame(spark, SAMPLE_ROWS), RETAIL_RULES)
+    wh.load(star, run_id="same")
+    failing = type(star)(star.dim_branch, star.dim_product,
+                         star.fact_sales.withColumn("rating", F.raise_error(F.lit("broken")).cast("double")))
+    for _ in range(2):
+        with pytest.raises(RuntimeError, match="published version unchanged"):
+            wh.load(failing, run_id="same")
+    assert Warehouse(spark, root).read("fact_sales").count() == 4
+    assert Warehouse(spark, root).read("dim_branch").count() == 3
+    assert len(os.listdir(os.path.join(root, "versions"))) == 1       # failed attempts leave nothing behind
+    wh.load(star, run_id="same")                                      # a repeated id gets a folder of its own
+    assert len(wh.manifests()) == 2
+
+
+def test_failed_merge_is_in_the_summary(spark, tmp_path):
+    root = str(tmp_path / "wh")
+
+    def broken():
+        raise ValueError("no such batch")
+
+    with pytest.raises(RuntimeError, match="no such batch"):
+        Warehouse(spark, root).load(broken, run_id="m")
+    assert _summary(root, "m") == {"succeeded": [], "failed": ["merge"], "total": 6}
+
+
+def test_torn_or_lost_manifest_falls_back_to_the_last_complete_one(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    wh = Warehouse(spark, root, keep_versions=3)
+    star, _ = transform(raw_frame(spark, SAMPLE_ROWS), RETAIL_RULES)
+    wh.load(star, run_id="a")
+    first = wh.current()
+    (tmp_path / "wh" / "manifests" / "000000000002.json").write_text('{"version": "b')
+    assert Warehouse(spark, root).current() == first
+    assert Warehouse(spark, root).read("fact_sales").count() == 4
+    wh.load(star, run_id="c")                                         # the torn number is never reused
+    assert wh.manifest()["number"] == 3 and wh.current().startswith("c-")
+
+
+def test_two_loads_on_one_version_publish_once(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    star, _ = transform(raw_frame(spark, SAMPLE_ROWS), RETAIL_RULES)
+    wh.load(star, run_id="a")
+    base = wh.manifest()
+    wh.load(star, run_id="b")
+    with pytest.raises(RuntimeError, match="another load"):
+        wh.publish("c", base)
+
+
+def test_old_versions_are_removed(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"), keep_versions=2)
+    star, _ = transform(raw_frame(spark, SAMPLE_ROWS), RETAIL_RULES)
+    for name in "abc":
+        wh.load(star, run_id=name)
+    assert sorted(v[0] for v in os.listdir(tmp_path / "wh" / "versions")) == ["b", "c"]
+
+
+def test_bucketed_write_has_at_most_one_file_per_bucket(spark, tmp_path):
+    rows = [good_row(**{"Invoice ID": f"INV-{i:04d}"}) for i in range(400)]
+    star = prepare(raw_frame(spark, rows).repartition(8), RETAIL_RULES).star(partitions=12)
+    wh = Warehouse(spark, str(tmp_path / "wh"), fact_buckets=4)
+    wh.load(star, run_id="f")
+    files = [f for f in os.listdir(wh.version_path(wh.current(), "fact_sales")) if f.endswith(".parquet")]
+    assert 0 < len(files) <= 4
+    assert wh.read("fact_sales").count() == 400
+
+
+def test_bucket_count_follows_the_size():
+    assert [bucket_count(n << 20) for n in (0, 1, 128, 129, 300, 1 << 20)] == [1, 1, 1, 2, 4, 8192]
+
+
+def test_merge_reads_the_published_fact_in_its_buckets(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"), fact_buckets=4)
+    star, _ = transform(raw_frame(spark, SAMPLE_ROWS), RETAIL_RULES)
+    wh.load(star, run_id="a")
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        second = prepare(raw_frame(spark, [good_row()]), RETAIL_RULES).clean_dedup
+        plan = merge_into(wh.tables(), second).fact_sales._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+    assert "Bucketed: true" in plan
+    fact_side = plan.split("Bucketed: true")[0].rsplit("SortMergeJoin", 1)[-1]
+    assert "Exchange" not in fact_side
+
+
+def test_dimensions_do_not_build_the_fact(spark):
+    star = prepare(raw_frame(spark, SAMPLE_ROWS), RETAIL_RULES).star()
+    mark = cut_count(spark)
+    assert star.dim_branch.count() == 3
+    assert cut_count(spark) - mark == 2                               # flagged rows are written before; members, branches
+    assert star.fact_sales.count() == 4
