@@ -27,7 +27,7 @@ from ledgerline.plans.publish import Warehouse, merge_into
 from ledgerline.rules import FACT_COLUMNS, NUMERIC_COLUMNS, driver_table_rules
 from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sources.csv import read_csv_strings, write_csv, write_json
-from ledgerline.sources.tables import landed_sales_view
+from ledgerline.sources.tables import landed_sales_view, view_key
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,16 +38,15 @@ FIRST_LOAD_BEFORE = "1999-01-01"
 SECOND_LOAD_FROM = "1998-07-01"
 
 
-# Prepared views by the files of their landed table, so that the flagged
-# rows are written once per session as well.
-_PREPARED: dict[str, Prepared] = {}
+# Prepared views by the key of their landed table, so that the flagged rows
+# are written once per session as well.
+_PREPARED: dict[tuple, Prepared] = {}
 
 
 def prepared(spark: SparkSession, sf_dir: str, **batch) -> Prepared:
-    view = landed_sales_view(spark, sf_dir, **batch)
-    key = f"{spark.sparkContext.applicationId} {view.inputFiles()[:1]}"
+    key = view_key(spark, sf_dir, **batch)
     if key not in _PREPARED:
-        _PREPARED[key] = prepare(view, driver_table_rules())
+        _PREPARED[key] = prepare(landed_sales_view(spark, sf_dir, **batch), driver_table_rules())
     return _PREPARED[key]
 
 

@@ -19,7 +19,7 @@ from ledgerline.operators.report import sales_report
 from ledgerline.operators.star import StarSchema, build_star
 from ledgerline.plans.publish import Warehouse, merge_into
 from ledgerline.rules import RETAIL_RULES, SalesRules
-from ledgerline.session import cut_count, cut_lineage, release_cuts
+from ledgerline.session import cut_lineage, cut_scope
 from ledgerline.sources.csv import read_csv_strings, write_csv, write_json, write_parquet
 
 log = logging.getLogger(__name__)
@@ -103,14 +103,13 @@ def run(spark: SparkSession, source_dir: str, out_dir: str, warehouse_root: str,
     """
     if mode not in ("full", "merge"):
         raise ValueError(f"Unknown mode {mode!r}")
-    mark = cut_count(spark)
     try:
-        return _run(spark, source_dir, out_dir.rstrip("/"), Warehouse(spark, warehouse_root), rules, mode, run_id or uuid.uuid4().hex)
+        with cut_scope(spark):
+            return _run(spark, source_dir, out_dir.rstrip("/"), Warehouse(spark, warehouse_root), rules, mode,
+                        run_id or uuid.uuid4().hex)
     except Exception:
         log.exception("run failed")
         raise
-    finally:
-        release_cuts(spark, mark)
 
 
 def load_star(warehouse: Warehouse, prepared: Prepared, mode: str = "merge") -> Callable[[], StarSchema]:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,8 +71,23 @@ class Cut(NamedTuple):
     bytes: int
 
 
-# Folders of this session's written tables, by application.
-_CUTS: dict[str, list[str]] = {}
+# Folders of the tables written inside the innermost cut_scope of this thread.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("cut_scope", default=None)
+
+
+@contextmanager
+def cut_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove the tables that :func:`cut_table` writes inside the block when it
+    ends; for jobs whose results are written elsewhere by then."""
+    made: list[str] = []
+    token = _SCOPE.set(made)
+    try:
+        yield made
+    finally:
+        _SCOPE.reset(token)
+        for path in made:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def folder_bytes(spark: SparkSession, path: str) -> int:
@@ -87,11 +105,13 @@ def cut_table(df: DataFrame) -> Cut:
     upstream shuffle.  A written table costs one job (an eager
     ``checkpoint()`` runs its last stage twice), is columnar, and later
     reads prune columns and push filters into it.  It lives in the shared
-    folder, so executor loss never loses it; :func:`release_cuts` removes it.
+    folder, so executor loss never loses it; :func:`cut_scope` removes it.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
-    _CUTS.setdefault(spark.sparkContext.applicationId, []).append(path)
+    made = _SCOPE.get()
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return Cut(spark.read.schema(df.schema).parquet(path), folder_bytes(spark, path))
 
@@ -99,20 +119,3 @@ def cut_table(df: DataFrame) -> Cut:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The table of :func:`cut_table`."""
     return cut_table(df).table
-
-
-def release_cuts(spark: SparkSession, after: int = 0) -> int:
-    """Delete the session's written tables, but for the first ``after``;
-    returns how many.  Called when a job's results are written elsewhere."""
-    paths = _CUTS.get(spark.sparkContext.applicationId, [])
-    gone = paths[after:]
-    del paths[after:]
-    for path in gone:
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-    return len(gone)
-
-
-def cut_count(spark: SparkSession) -> int:
-    """How many written tables the session has (a mark for :func:`release_cuts`)."""
-    return len(_CUTS.get(spark.sparkContext.applicationId, []))

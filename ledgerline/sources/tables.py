@@ -15,6 +15,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.session import ensure_checkpoint_dir
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -159,12 +161,15 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
     return tuple(out)
 
 
+def view_key(spark: SparkSession, sf_dir: str, ship_from: str | None = None, ship_before: str | None = None) -> tuple:
+    """What identifies a landed view: the application, the input files and the batch."""
+    return spark.sparkContext.applicationId, _fingerprint(spark, sf_dir), ship_from, ship_before
+
+
 def landed_sales_view(spark: SparkSession, sf_dir: str, ship_from: str | None = None,
                       ship_before: str | None = None) -> DataFrame:
     """:func:`sales_view`, written once per session and read back."""
-    from ledgerline.session import ensure_checkpoint_dir
-
-    key = (spark.sparkContext.applicationId, _fingerprint(spark, sf_dir), ship_from, ship_before)
+    key = view_key(spark, sf_dir, ship_from, ship_before)
     path = _LANDED.get(key)
     view = sales_view(spark, sf_dir, ship_from, ship_before)
     if path is None:

@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerline.plans.pipeline import load_star, prepare
 from ledgerline.plans.publish import Warehouse
 from ledgerline.rules import RETAIL_RULES, SalesRules
-from ledgerline.session import cut_count, release_cuts
+from ledgerline.session import cut_scope
 from ledgerline.sources.csv import CSV_FILES, read_csv_strings
 
 
@@ -54,10 +54,9 @@ def merge_batch(warehouse: Warehouse, rules: SalesRules, stream: str | None = No
         paths = [r.path for r in batch.collect()]
         if not paths:
             return
-        mark = cut_count(spark)
-        prepared = prepare(read_csv_strings(spark, paths), rules)
-        warehouse.load(load_star(warehouse, prepared), run_id=f"{name}-{epoch_id:012d}", epochs={name: epoch_id})
-        release_cuts(spark, mark)
+        with cut_scope(spark):
+            prepared = prepare(read_csv_strings(spark, paths), rules)
+            warehouse.load(load_star(warehouse, prepared), run_id=f"{name}-{epoch_id:012d}", epochs={name: epoch_id})
 
     return apply
 

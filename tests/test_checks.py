@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import checks
 from ledgerline.rules import RETAIL_RULES
-from ledgerline.session import cut_count, cut_lineage, cut_table, ensure_checkpoint_dir, release_cuts
+from ledgerline.session import cut_lineage, cut_scope, cut_table, ensure_checkpoint_dir
 
 
 def test_constraint_violations_are_counted(spark):
@@ -49,12 +49,14 @@ def test_fact_assertions_find_every_bad_value(spark):
 
 
 def test_written_tables_are_released(spark):
-    mark = cut_count(spark)
-    cut = cut_table(spark.range(10))
-    assert cut.bytes > 0 and cut_count(spark) == mark + 1
-    files = [f.removeprefix("file://") for f in cut.table.inputFiles()]
-    assert release_cuts(spark, mark) == 1 and cut_count(spark) == mark
+    kept = cut_table(spark.range(10))
+    with cut_scope(spark) as made:
+        cut = cut_table(spark.range(10))
+        assert cut.bytes > 0 and len(made) == 1
+        files = [f.removeprefix("file://") for f in cut.table.inputFiles()]
+        assert files and all(os.path.exists(f) for f in files)
     assert not any(os.path.exists(f) for f in files)
+    assert kept.table.count() == 10
 
 
 def test_cut_lineage_writes_under_checkpoint_dir(spark):
