@@ -58,6 +58,18 @@ def words_of(text: str) -> list[str]:
     return _LATIN_WORD.findall(text.lower())
 
 
+class WordNumbers(dict):
+    """Words of a block, numbered in order of first use."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+    def numbers(self, text: str) -> np.ndarray:
+        found = words_of(text)
+        return np.fromiter(map(self.__getitem__, found), np.uint32, len(found))
+
+
 def _tokenizer(path: str):
     import os
 
@@ -70,18 +82,20 @@ def _tokenizer(path: str):
     return model
 
 
+def _id_type(model) -> np.dtype:
+    return np.dtype("<u2" if model.get_vocab_size() <= 1 << 16 else "<u4")
+
+
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list[np.ndarray], dict[str, int]]]:
     """(block id, doc ids, word numbers per document, words) of the task's blocks."""
     block = TaskContext.get().partitionId() << 24
-    doc_ids, numbers, words, chars = [], [], {}, 0
+    doc_ids, numbers, words, chars = [], [], WordNumbers(), 0
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
             if chars and chars + len(text) > BLOCK_CHARS:
                 yield block, doc_ids, numbers, words
-                block, doc_ids, numbers, words, chars = block + 1, [], [], {}, 0
-            found = words_of(text)
-            number = words.setdefault
-            numbers.append(np.fromiter((number(w, len(words)) for w in found), np.uint32, len(found)))
+                block, doc_ids, numbers, words, chars = block + 1, [], [], WordNumbers(), 0
+            numbers.append(words.numbers(text))
             doc_ids.append(doc_id)
             chars += len(text)
     if doc_ids:
@@ -92,10 +106,39 @@ def _checksum(words: dict[str, int]) -> int:
     return zlib.crc32("\n".join(words).encode())
 
 
+def _ranks(numbers: list[np.ndarray], n: int) -> np.ndarray:
+    """New numbers by falling frequency, which take fewer bytes."""
+    counts = np.bincount(np.concatenate(numbers), minlength=n)
+    ranks = np.empty(n, np.uint32)
+    ranks[np.argsort(-counts, kind="stable")] = np.arange(n, dtype=np.uint32)
+    return ranks
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Seven bits a byte, the low ones first, compressed."""
+    digits = (numbers[:, None] >> np.arange(0, 35, 7, dtype=np.uint32)).astype(np.uint32)
+    used = digits > 0
+    used[:, 0] = True
+    more = np.zeros_like(used)
+    more[:, :-1] = used[:, 1:]
+    return zlib.compress(((digits & 127) | (more.astype(np.uint32) << 7)).astype(np.uint8)[used].tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    coded = np.frombuffer(zlib.decompress(data), np.uint8)
+    last = coded < 128
+    ends = np.flatnonzero(last)
+    starts = np.concatenate([[0], ends + 1])[:-1] if len(ends) else ends
+    place = np.arange(len(coded)) - np.repeat(starts, ends - starts + 1)
+    return np.add.reduceat((coded & 127).astype(np.int64) << (7 * place), starts) if len(ends) else np.zeros(0, np.int64)
+
+
 def _block_words(batches):
-    for block, _, _, words in blocks(batches):
+    for block, _, numbers, words in blocks(batches):
         sums = _checksum(words)
+        order = np.argsort(_ranks(numbers, len(words)), kind="stable")
         units = list(words)
+        units = [units[i] for i in order.tolist()]
         for at in range(0, len(units), 50_000):
             part = units[at:at + 50_000]
             yield pa.RecordBatch.from_arrays(
@@ -107,34 +150,30 @@ def _block_words(batches):
 def _block_documents(kind: pa.DataType):
     def run(batches):
         for block, doc_ids, numbers, words in blocks(batches):
-            sums = _checksum(words)
+            sums, ranks = _checksum(words), _ranks(numbers, len(words))
             for at in range(0, len(doc_ids), 1_000):
-                part = numbers[at:at + 1_000]
+                part = [_packed(ranks[n]) for n in numbers[at:at + 1_000]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(part), block)), pa.array(doc_ids[at:at + 1_000], kind),
-                     pa.array([zlib.compress(n.reshape(-1, 1).view(np.uint8).T.tobytes(), 1) for n in part], pa.binary()),
+                     pa.array(part, pa.binary()),
                      pa.array(np.full(len(part), sums, np.int64))],
                     names=["block", "doc_id", "numbers", "checksum"])
     return run
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view(np.uint32).ravel()
-
-
 def encode_words(rows: DataFrame, path: str) -> DataFrame:
-    """Add ``ids`` (little-endian 32-bit) to rows of words; each distinct word is encoded once."""
+    """Replace the words by ``ids`` (``_id_type`` of the vocabulary); each distinct word is encoded once."""
 
     def encode(batches):
         model = _tokenizer(path)
+        kind = _id_type(model)
         last, last_ids = None, b""
         for batch in batches:
             words = batch.column(2).to_pylist()
             new = list(dict.fromkeys(w for w in words if w != last))
             codes = {last: last_ids}
             for w, code in zip(new, model.encode_batch(new, add_special_tokens=False)):
-                codes[w] = np.array(code.ids, "<u4").tobytes()
+                codes[w] = np.array(code.ids, kind).tobytes()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([codes[w] for w in words], pa.binary()), batch.column(3)],
                 names=["block", "number", "ids", "checksum"])
@@ -189,12 +228,13 @@ def _through_blocks(docs: DataFrame, path: str, columns: str, output) -> DataFra
             if len(seen) > 1:
                 raise RuntimeError("a block was split differently when read again")
         entries = table.column("ids").to_pylist()
-        lengths = np.array([len(e) // 4 for e in entries], np.int64)
-        flat = np.frombuffer(b"".join(entries), "<u4")
+        kind = _id_type(model)
+        lengths = np.array([len(e) // kind.itemsize for e in entries], np.int64)
+        flat = np.frombuffer(b"".join(entries), kind).astype(np.uint32)
         starts = np.concatenate([[0], np.cumsum(lengths)])[:-1].astype(np.int64)
         # The id-to-piece join of the block's distinct words.
         piece = {i: model.id_to_token(i) for i in np.unique(flat).tolist()}
-        plain = model.decoder is None
+        plain, whole = model.decoder is None, bool(lengths.all())
         pieces = [" ".join(map(piece.__getitem__, flat[s:s + n].tolist())) for s, n in zip(starts.tolist(), lengths.tolist())]
         result = []
         for data in documents.column("numbers").to_pylist():
@@ -203,7 +243,7 @@ def _through_blocks(docs: DataFrame, path: str, columns: str, output) -> DataFra
             ends = np.cumsum(n)
             ids = flat[np.repeat(starts[at] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
             if plain:
-                decoded = " ".join(filter(None, map(pieces.__getitem__, at.tolist())))
+                decoded = " ".join(map(pieces.__getitem__, at.tolist()) if whole else filter(None, map(pieces.__getitem__, at.tolist())))
             else:
                 decoded = model.decoder.decode(list(map(piece.__getitem__, ids.tolist())))
             result.append(output(ids, decoded))
