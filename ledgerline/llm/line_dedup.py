@@ -70,7 +70,10 @@ def _with_cleaned(docs: DataFrame, columns: list[Column], site: str, min_sites:
             .groupBy("text_hash").agg(F.collect_list(F.struct("h1", "keeper")).alias("hits")))
     hits = written(hits)
     rows = docs.select(*columns, F.col("text").alias("body"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("own_id"),
-                       F.xxhash64("text").alias("text_hash")).join(hits, "text_hash", "left")
+                       F.xxhash64("text").alias("text_hash"))
+    # The hits of a partition's texts are a small part of the texts, so they
+    # are hashed and the texts need no sort; the same plan at every size.
+    rows = rows.join(hits.hint("shuffle_hash"), "text_hash", "left")
     # A text's hits are at most its lines.
     drop = F.transform(F.filter("hits", lambda h: h["keeper"] != F.col("own_id")), lambda h: h["h1"])
     rows = rows.withColumn("drop", F.coalesce(drop, F.array().cast("array<long>"))).withColumn("lines", _lines(F.col("body")))
