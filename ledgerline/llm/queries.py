@@ -75,7 +75,53 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # op2, op3 and op7 need the tokenizer libraries, op5 a trained model and op9
 # XXH64: their tests compare them with brute force instead.
+_SPACE = r"\x20\x09-\x0D"
+_QUOTED_CLOSING = "".join(c.replace("'", "''") for c in quality_rules.CLOSING)
+
 ORACLE_SQL: dict[str, str] = {
+    "op6_quality_rules": rf"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+        ), words AS (
+            SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS p
+            FROM (SELECT r, regexp_extract_all(t, '[^{_SPACE}]+') AS ws FROM d)
+        ), windows AS (
+            SELECT r, p, w || ' ' || lead(w) OVER o || ' ' || lead(w, 2) OVER o AS k FROM words WINDOW o AS (PARTITION BY r ORDER BY p)
+        ), twice AS (
+            SELECT r, p FROM (SELECT *, count(*) OVER (PARTITION BY r, k) AS c FROM windows WHERE k IS NOT NULL) WHERE c > 1
+        ), covered AS (
+            SELECT r, count(DISTINCT p + i) AS n_repeat FROM twice, (VALUES (0), (1), (2)) AS v(i) GROUP BY r
+        ), lines AS (
+            SELECT r, line, len(regexp_extract_all(line, '[^{_SPACE}]+')) AS n,
+                   regexp_replace(line, '[{_SPACE}]+$', '') AS finish,
+                   len(regexp_extract_all(line, '[#*$%&|<>]')) AS symbols
+            FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
+        ), judged AS (
+            SELECT *, (n >= 8 AND NOT regexp_matches(line, '[.!?。！？]') AND NOT contains('{_QUOTED_CLOSING}', right(finish, 1)))
+                   OR (n >= 5 AND 2 * len(regexp_extract_all(line, '!')) >= n)
+                   OR (n >= 2 AND symbols > CAST(0.2 AS DOUBLE) * n)
+                   OR (len(regexp_extract_all(line, '[|>»›•·]')) >= 2
+                       AND len(list_filter(regexp_split_to_array(line, '[|>»›•·]'), lambda x: regexp_matches(x, '[^{_SPACE}]'))) >= 3)
+                   OR (n <= 30 AND regexp_matches(lower(line), '{"|".join(quality_rules.BOILERPLATE)}')) AS failed
+            FROM lines WHERE n > 0
+        ), per AS (
+            SELECT r, sum(n) AS n_words, count(*) - count(DISTINCT line) AS n_dup, coalesce(sum(n) FILTER (failed), 0) AS lost,
+                   count(*) FILTER (failed) AS n_removed
+            FROM judged GROUP BY r
+        ), base AS (
+            SELECT d.doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words,
+                   CAST(length(regexp_replace(t, '[{_SPACE}]+', '', 'g')) AS BIGINT) AS word_chars,
+                   CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(coalesce(n_dup, 0) AS BIGINT) AS n_dup_lines,
+                   CAST(coalesce(n_repeat, 0) AS BIGINT) AS n_repeat_words, coalesce(lost, 0) AS lost,
+                   CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed_lines
+            FROM d LEFT JOIN per USING (r) LEFT JOIN covered USING (r)
+        ), verdict AS (
+            SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND lost <= 0.5 * n_words AS kept, n_removed_lines
+        FROM verdict
+    """,
     "op1_line_dedup": """
         WITH l AS (
             SELECT d.doc_id, d.source, u.pos, u.line
