@@ -264,7 +264,10 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int =
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    ranked = pieces.join(offsets.select("part", "length", "before"), ["part", "length"]).select(
+    # The offsets grow with the partitions, so they are not broadcast: a
+    # partition's share of them is hashed, and the pieces need no sort.
+    starts = offsets.select("part", "length", "before").hint("shuffle_hash")
+    ranked = pieces.join(starts, ["part", "length"]).select(
         "doc_id", "doc_tokens", "start", "length", "ids_crc32", "local_rank", "before", "tail")
     return map_batches(ranked, assign, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
                                        "sequence_id long, offset long")
