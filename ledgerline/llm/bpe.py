@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import map_batches, small_batches, texts_of
+from .common import map_batches, texts_of
 
 BLOCK_CHARS = 24_000_000
 
@@ -181,17 +181,12 @@ def encode_words(rows: DataFrame, path: str) -> DataFrame:
                 last, last_ids = words[-1], codes[words[-1]]
 
     together = rows.repartition("word").sortWithinPartitions("word")
-    small_batches(rows.sparkSession)
-    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
-    return together.mapInArrow(encode, "block long, number int, ids binary, checksum long")
+    return map_batches(together, encode, "block long, number int, ids binary, checksum long")
 
 
 def encode_decode(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, ids (array of int) and decoded text digests of every row.
-
-    Returns doc_id, n_tokens, ids_sha256 and decoded_sha256; ``assemble`` below
-    is where the ids and the decoded text themselves are at hand.
-    """
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row; the ids and
+    the decoded texts themselves come from :func:`encode`."""
     return _through_blocks(docs, path, "n_tokens long, ids_sha256 string, decoded_sha256 string", _digests)
 
 

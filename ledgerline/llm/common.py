@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from ledgerline.session import cut_lineage
 
-# Rows of one Arrow batch: texts may be megabytes long, so batches are small.
-BATCH_ROWS = 256
+# Bytes of one Arrow batch: whole texts are sent, and may be megabytes long.
+BATCH_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +19,9 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the rows sent to a Python worker at once (whole texts are sent)."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Bound what is sent to a Python worker at once, by bytes: a batch of
+    short rows stays large, a batch of long texts holds few of them."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def written(df: DataFrame) -> DataFrame:

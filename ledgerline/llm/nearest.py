@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import map_batches, written
 
 BLOCK = 1_024           # vectors of one block, and queries of one product tile
 QUERY_GROUP = 65_536    # query rows of one cell
@@ -159,12 +159,10 @@ def _search_cell(k: int, kind: np.dtype):
 
 def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id and score: the k nearest rows of every row whose id is divisible by ``every``."""
-    spark = vectors.sparkSession
     kind = np.dtype(np.float32 if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else np.float64)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")
-    blocks = written(vectors.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(
-        _pack(kind), "block long, dim int, ids binary, vectors binary"))
-    queries = written(blocks.mapInArrow(_queries(every, kind), "row long, dim int, query_id long, vector binary"))
+    blocks = written(map_batches(vectors.select(F.col("vec_id").cast("long"), "embedding"), _pack(kind),
+                                 "block long, dim int, ids binary, vectors binary"))
+    queries = written(map_batches(blocks, _queries(every, kind), "row long, dim int, query_id long, vector binary"))
     n_queries = -(-queries.count() // QUERY_GROUP) or 1
     n_cells = -(-blocks.count() // CANDIDATE_GROUP) or 1
     # Each side is sent to every group of the other: a grid of bounded cells.
