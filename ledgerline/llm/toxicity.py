@@ -12,7 +12,7 @@ order, several epochs, so the weights are the same on every run.  Scoring
 covers all rows in one pass without a shuffle.
 
 Defined results: a row with a NULL id is not held out and has no label; of
-several labels of one id the larger counts; NULL and empty texts have no
+several labels of one id the larger counts, of several texts the smallest; NULL and empty texts have no
 features and get the bias's score; repeated rows each get their own score; an
 empty or one-sided label table gives the bias alone; extra columns are ignored
 by ``score`` and carried along by ``keep_clean``.
@@ -36,7 +36,7 @@ MIN_ROWS = 5        # a feature of fewer sampled rows is not learnt
 EPOCHS = 8
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 8.0, 1.0
 THRESHOLD = 0.3
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 100_000
 
 _EDGES = re.compile(r"^\W+|\W+$")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -71,10 +71,14 @@ def features(text: str) -> np.ndarray:
 
 
 def fit(rows: list[tuple[np.ndarray, int]], epochs: int = EPOCHS) -> tuple[float, dict[int, float]]:
-    """FTRL-proximal: the bias and the weights that are not zero."""
+    """FTRL-proximal: the bias and the weights that are not zero.  ``rows`` is used up."""
     size = 1 << BITS
-    found = np.bincount(np.concatenate([x for x, _ in rows]), minlength=size) >= MIN_ROWS
-    rows = [(x[found[x]], y) for x, y in rows]
+    held = np.zeros(size, np.int32)
+    for x, _ in rows:
+        held[x] += 1  # the features of a row are distinct
+    found = held >= MIN_ROWS
+    for k, (x, y) in enumerate(rows):
+        rows[k] = x[found[x]], y  # in place: the sample is held once
     z, n = np.zeros(size + 1), np.zeros(size + 1)  # the last coordinate is the bias, without penalty
 
     def weights(i: np.ndarray) -> np.ndarray:
@@ -104,10 +108,12 @@ def train(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE) -> t
     small_batches(docs.sparkSession)
     known = labels.select("doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL")
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").where(~held_out())
+    known = known.join(docs.select("doc_id"), "doc_id", "left_semi").where(~held_out())
     sample = known.withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id").limit(max_sample)
-    # At most max_sample rows of three numbers.
-    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    # At most max_sample rows of three numbers are broadcast; an id that many
+    # rows share gives one text, chosen before anything is brought together.
+    found = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+             .groupBy("order", "doc_id", "toxic").agg(F.min("text").alias("text")))
 
     @F.arrow_udf("binary")
     def extract(texts: pa.Array) -> pa.Array:
