@@ -26,6 +26,7 @@ import json
 import os
 import re
 import zlib
+from functools import cached_property
 
 import numpy as np
 import public_tokenizers
@@ -56,14 +57,11 @@ class IdEncoder:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
-        self.model.no_truncation()
-        self.model.no_padding()
-        self.special = re.compile("|".join(re.escape(t.content) for t in self.model.get_added_tokens_decoder().values()) or "(?!)")
+        self.path = path
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or "(?!)")
         self.fast = None
         if self._plain(spec):
             letters = {c: b for b, c in enumerate(byte_letters())}
@@ -71,6 +69,16 @@ class IdEncoder:
                      if not self.special.fullmatch(piece)}
             self.fast = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def model(self):
+        """The file's own library, loaded by the first text that needs it."""
+        from tokenizers import Tokenizer
+
+        model = Tokenizer.from_file(self.path)
+        model.no_truncation()
+        model.no_padding()
+        return model
+
     @staticmethod
     def _plain(spec: dict) -> bool:
         model, cut = spec["model"], spec["pre_tokenizer"] or {}
