@@ -96,42 +96,46 @@ class BKTree:
         return new
 
 
-def _stars(nodes: list[int], queries: list[int], radius: int) -> list[tuple[int, int]]:
-    """(member, smallest member) of the groups that the tree of ``nodes`` links."""
-    tree, parent = BKTree(radius), {}
+class Links:
+    """Groups of fingerprints that one tree links; unlinked queries leave nothing behind."""
 
-    def root(x: int) -> int:
+    def __init__(self, radius: int):
+        self.tree, self.nodes, self.parent = BKTree(radius), [], {}
+
+    def _root(self, x: int) -> int:
+        parent = self.parent
         while parent.setdefault(x, x) != x:
             parent[x] = x = parent[parent[x]]
         return x
 
-    def link(value: int) -> None:
-        for i in tree.search(value & 0xFFFFFFFFFFFFFFFF):
-            a, b = root(nodes[i]), root(value)
-            parent[max(a, b)] = min(a, b)
+    def query(self, value: int) -> None:
+        for i in self.tree.search(value & 0xFFFFFFFFFFFFFFFF):
+            a, b = self._root(self.nodes[i]), self._root(value)
+            self.parent[max(a, b)] = min(a, b)
+
+    def add(self, value: int) -> None:
+        self.query(value)
+        self.tree.add(value & 0xFFFFFFFFFFFFFFFF)
+        self.nodes.append(value)
 
-    for value in nodes:
-        link(value)
-        tree.add(value & 0xFFFFFFFFFFFFFFFF)
-    for value in queries:
-        link(value)
-    return [(x, r) for x in list(parent) if (r := root(x)) != x]
+    def stars(self) -> list[tuple[int, int]]:
+        """(member, smallest member) of every group."""
+        return [(x, r) for x in list(self.parent) if (r := self._root(x)) != x]
 
 
 def _search_trees(radius: int):
+    """Rows come by tree, its nodes before its queries."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, nodes, queries = None, [], []
+        at, links = None, Links(radius)
         for batch in batches:
             found = []
             for bucket, tree, value, is_node in zip(*(c.to_pylist() for c in batch.columns)):
                 if (bucket, tree) != at:
-                    if len(nodes) + len(queries) > 1:
-                        found += _stars(nodes, queries, radius)
-                    at, nodes, queries = (bucket, tree), [], []
-                (nodes if is_node else queries).append(value)
+                    found += links.stars()
+                    at, links = (bucket, tree), Links(radius)
+                (links.add if is_node else links.query)(value)
             yield _pairs(found)
-        if len(nodes) + len(queries) > 1:
-            yield _pairs(_stars(nodes, queries, radius))
+        yield _pairs(links.stars())
     return run
 
 
@@ -160,9 +164,8 @@ def star_edges(nodes: DataFrame, radius: int) -> DataFrame:
         F.shiftleft(F.shiftleft(F.col("pair").cast("long"), width).bitwiseOR(F.col("x")), width).bitwiseOR(F.col("y")).alias("bucket"),
         "fp", "home", F.explode(F.sequence(F.lit(0), F.col("home").cast("int"))).alias("tree"))
     sent = sent.select("bucket", "tree", "fp", (F.col("tree") == F.col("home")).alias("is_node"))
-    sorted_rows = sent.repartition("bucket", "tree").sortWithinPartitions("bucket", "tree")
-    nodes.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
-    return sorted_rows.mapInArrow(_search_trees(radius), "a long, b long")
+    sorted_rows = sent.repartition("bucket", "tree").sortWithinPartitions("bucket", "tree", F.desc("is_node"))
+    return map_batches(sorted_rows, _search_trees(radius), "a long, b long")
 
 
 def connected(edges: DataFrame) -> DataFrame:
