@@ -28,7 +28,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many sources share; emptied ones go."""
-    return line_dedup.drop_emptied(docs)
+    return line_dedup.drop_emptied(docs, long_sites=line_dedup.LONG_SITES)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

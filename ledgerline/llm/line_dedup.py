@@ -6,9 +6,11 @@ DataFrame functions only.
    The hashes (no text) are written once: text hash, line hash, site, id.
 2. A HyperLogLog sketch of the sites per line hash is built map-side and
    merged by the aggregation.  Lines whose estimate lies within ``margin`` of
-   ``min_sites`` get an exact distinct count; the others are decided by the
-   estimate, whose relative error is far below the margin.
-3. A line on ``min_sites`` or more sites is boilerplate.  Its first document
+   the sites they need get an exact distinct count; the others are decided by
+   the estimate, whose relative error is far below the margin.
+3. A line on ``min_sites`` or more sites is boilerplate; with ``long_sites``,
+   a line of ``LONG_WORDS`` words or ``LONG_CHARS`` characters or more already
+   is on that many, since chance rarely repeats it.  Its first document
    (smallest id) keeps it, so no content leaves the corpus altogether; all
    other documents lose every occurrence.
 
@@ -30,6 +32,9 @@ from pyspark.sql import functions as F
 from .common import written
 
 MIN_SITES = 10
+LONG_SITES = 3     # chance repeats of long lines seldom reach three sites
+LONG_WORDS = 3
+LONG_CHARS = 24    # scripts without spaces
 MARGIN = 0.2       # a dozen standard errors of the sketch
 SKETCH_BITS = 12
 NO_ID = 2 ** 63 - 1
@@ -43,29 +48,39 @@ def _line_hash(line: Column) -> Column:
     return F.xxhash64(F.trim(line))
 
 
-def boilerplate(docs: DataFrame, site: str, min_sites: int, margin: float) -> tuple[DataFrame, DataFrame]:
+def _sites_needed(line: Column, min_sites: int, long_sites: int | None) -> Column:
+    if long_sites is None:
+        return F.lit(min_sites)
+    # Possessive and anchored: one pass over a line of any length.
+    words = F.trim(line).rlike(rf"^(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){{{LONG_WORDS - 1}}}[^\x20\x09-\x0D]")
+    return F.when(words | (F.char_length(F.trim(line)) >= LONG_CHARS), long_sites).otherwise(min_sites)
+
+
+def boilerplate(docs: DataFrame, site: str, min_sites: int, margin: float, long_sites: int | None) -> tuple[DataFrame, DataFrame]:
     """(line occurrences, boilerplate lines with the id that keeps each)."""
     lines = docs.where("text IS NOT NULL").select(
         F.xxhash64("text").alias("text_hash"), F.col(site).alias("site"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
         F.explode(_lines(F.col("text"))).alias("line")).where(F.trim("line") != "")
-    occurrences = written(lines.select("text_hash", _line_hash(F.col("line")).alias("h1"), F.hash(F.trim("line")).alias("h2"), "site", "id"))
+    occurrences = written(lines.select("text_hash", _line_hash(F.col("line")).alias("h1"), F.hash(F.trim("line")).alias("h2"), "site", "id",
+                                       _sites_needed(F.col("line"), min_sites, long_sites).alias("needed")))
 
     spread = occurrences.groupBy("h1", "h2").agg(
-        F.hll_sketch_agg("site", SKETCH_BITS).alias("sketch"), F.min("id").alias("keeper"))
-    spread = written(spread.select("h1", "h2", F.hll_sketch_estimate("sketch").alias("sites"), "keeper")
-                     .where(F.col("sites") >= min_sites * (1 - margin)))
-    near = spread.where(F.col("sites") < min_sites * (1 + margin))
+        F.hll_sketch_agg("site", SKETCH_BITS).alias("sketch"), F.min("id").alias("keeper"), F.max("needed").alias("needed"))
+    spread = written(spread.select("h1", "h2", F.hll_sketch_estimate("sketch").alias("sites"), "keeper", "needed")
+                     .where(F.col("sites") >= F.col("needed") * (1 - margin)))
+    near = spread.where(F.col("sites") < F.col("needed") * (1 + margin)).drop("sites")
     exact = (occurrences.select("h1", "h2", "site").where("site IS NOT NULL").distinct()
              .join(near, ["h1", "h2"]).groupBy("h1", "h2")
-             .agg(F.count("*").alias("sites"), F.first("keeper").alias("keeper")).where(F.col("sites") >= min_sites))
-    sure = spread.where(F.col("sites") >= min_sites * (1 + margin))
+             .agg(F.count("*").alias("sites"), F.first("keeper").alias("keeper"), F.first("needed").alias("needed"))
+             .where("sites >= needed"))
+    sure = spread.where(F.col("sites") >= F.col("needed") * (1 + margin))
     return occurrences, written(sure.select("h1", "h2", "keeper").union(exact.select("h1", "h2", "keeper")))
 
 
-def _with_cleaned(docs: DataFrame, columns: list[Column], site: str, min_sites: int, margin: float) -> DataFrame:
+def _with_cleaned(docs: DataFrame, columns: list[Column], site: str, min_sites: int, margin: float, long_sites: int | None) -> DataFrame:
     """``columns`` with ``n_lines``, ``n_removed`` and ``cleaned``."""
-    occurrences, common = boilerplate(docs, site, min_sites, margin)
+    occurrences, common = boilerplate(docs, site, min_sites, margin, long_sites)
     hits = (occurrences.select("text_hash", "h1", "h2").distinct().join(common, ["h1", "h2"])
             .groupBy("text_hash").agg(F.collect_list(F.struct("h1", "keeper")).alias("hits")))
     hits = written(hits)
@@ -87,16 +102,18 @@ def _with_cleaned(docs: DataFrame, columns: list[Column], site: str, min_sites:
         F.array_join("kept_lines", "\n").alias("cleaned"))
 
 
-def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, margin: float = MARGIN) -> DataFrame:
+def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, margin: float = MARGIN,
+                       long_sites: int | None = None) -> DataFrame:
     """doc_id, n_lines, n_removed and the cleaned text of every row."""
     docs = docs.select("doc_id", "text", site)
-    return _with_cleaned(docs, [F.col("doc_id")], site, min_sites, margin).withColumnRenamed("cleaned", "text")
+    return _with_cleaned(docs, [F.col("doc_id")], site, min_sites, margin, long_sites).withColumnRenamed("cleaned", "text")
 
 
-def drop_emptied(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, margin: float = MARGIN) -> DataFrame:
+def drop_emptied(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, margin: float = MARGIN,
+                 long_sites: int | None = None) -> DataFrame:
     """All columns with the cleaned text and its n_chars, without rows that lost all their words."""
     named = [F.col(c).alias(f"d{i}") for i, c in enumerate(docs.columns)]
-    rows = _with_cleaned(docs, named, site, min_sites, margin)
+    rows = _with_cleaned(docs, named, site, min_sites, margin, long_sites)
     rows = rows.where((F.col("n_removed") == 0) | (F.regexp_replace("cleaned", "\\s+", "") != ""))
     changed = {"text": F.col("cleaned"), "n_chars": F.char_length("cleaned").cast("long")}
     return rows.select([

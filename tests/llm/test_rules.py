@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 from hypothesis import given, settings, strategies as st
 
+import corpus_pipeline
 from ledgerline.llm import line_dedup, quality_rules, url_filter
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -147,3 +148,27 @@ def test_emptied_documents_go(make_docs):
     assert got[0].text == "shared line" and got[50].text == "own words" and got[50].n_chars == 9
     assert line_dedup.drop_emptied(docs).columns == docs.columns
     assert line_dedup.remove_boilerplate(make_docs([])).collect() == []
+
+
+def test_long_lines_need_three_sites(make_docs):
+    passage = " ".join(f"passage{i}" for i in range(93))
+    unspaced = "これは空白のない長い文章であり多くの場所に写されている。"
+    spread = {passage: 9, passage + " b": 6, passage + " c": 3, passage + " d": 2, "All rights reserved.": 3, unspaced: 3,
+              "Of.": 9, "And so.": 9, "Le mot.": 10, "x" * 23: 9}
+    rows = []
+    for line, n in spread.items():
+        # The hot source holds it many times, the others once.
+        for site in [0] * 20 + list(range(1, n)):
+            rows.append((len(rows), f"{line}\nown words {len(rows)}", f"s{site}"))
+    docs = make_docs(rows)
+    left = Counter(r.text.split("\n")[0] for r in line_dedup.drop_emptied(docs, long_sites=3).collect())
+    common = {line for line in spread if left[line] == 1}
+    assert common == {passage, passage + " b", passage + " c", "All rights reserved.", unspaced, "Le mot."}
+    assert all(left[line] == 19 + n for line, n in spread.items() if line not in common)
+
+
+def test_pipeline_removes_passages_on_few_sites(spark, make_docs):
+    passage = " ".join(f"passage{i}" for i in range(60))
+    rows = [(i, f"{passage}\nown words {i}", f"s{i % 3}") for i in range(30)] + [(50, passage, "s1")]
+    got = {r.doc_id: r.text for r in corpus_pipeline.without_boilerplate(spark, make_docs(rows), "").collect()}
+    assert got == {0: rows[0][1]} | {i: f"own words {i}" for i in range(1, 30)}
