@@ -2,7 +2,7 @@
 
 DataFrame functions only.
 
-1. Each text is split into trimmed lines; a line is known by 96 bits of hash.
+1. Each text is split into stripped lines; a line is known by 96 bits of hash.
    The hashes (no text) are written once: text hash, line hash, site, id.
 2. A HyperLogLog sketch of the sites per line hash is built map-side and
    merged by the aggregation.  Lines whose estimate lies within ``margin`` of
@@ -17,7 +17,8 @@ DataFrame functions only.
 Hot lines are combined before every shuffle; the joins are plain shuffle joins
 on written tables, which adaptive execution splits where a key is hot.
 
-Defined results: NULL text stays NULL with zero lines; blank lines are neither
+Defined results: NULL text stays NULL with zero lines; lines are compared
+without the ASCII white space at their ends, and blank lines are neither
 counted nor removed; a NULL site counts as no site; rows with a NULL id sort
 last and keep a line only if no row with an id holds it; repeated rows count
 once and are treated alike; extra columns are ignored by ``remove_boilerplate``
@@ -38,22 +39,27 @@ LONG_CHARS = 24    # scripts without spaces
 MARGIN = 0.2       # a dozen standard errors of the sketch
 SKETCH_BITS = 12
 NO_ID = 2 ** 63 - 1
+SPACES = " \t\n\v\f\r"
 
 
 def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
+def _strip(line: Column) -> Column:
+    return F.trim(line, F.lit(SPACES))
+
+
 def _line_hash(line: Column) -> Column:
-    return F.xxhash64(F.trim(line))
+    return F.xxhash64(_strip(line))
 
 
 def _sites_needed(line: Column, min_sites: int, long_sites: int | None) -> Column:
     if long_sites is None:
         return F.lit(min_sites)
     # Possessive and anchored: one pass over a line of any length.
-    words = F.trim(line).rlike(rf"^(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){{{LONG_WORDS - 1}}}[^\x20\x09-\x0D]")
-    return F.when(words | (F.char_length(F.trim(line)) >= LONG_CHARS), long_sites).otherwise(min_sites)
+    words = _strip(line).rlike(rf"^(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){{{LONG_WORDS - 1}}}[^\x20\x09-\x0D]")
+    return F.when(words | (F.char_length(_strip(line)) >= LONG_CHARS), long_sites).otherwise(min_sites)
 
 
 def boilerplate(docs: DataFrame, site: str, min_sites: int, margin: float, long_sites: int | None) -> tuple[DataFrame, DataFrame]:
@@ -61,8 +67,8 @@ def boilerplate(docs: DataFrame, site: str, min_sites: int, margin: float, long_
     lines = docs.where("text IS NOT NULL").select(
         F.xxhash64("text").alias("text_hash"), F.col(site).alias("site"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
-        F.explode(_lines(F.col("text"))).alias("line")).where(F.trim("line") != "")
-    occurrences = written(lines.select("text_hash", _line_hash(F.col("line")).alias("h1"), F.hash(F.trim("line")).alias("h2"), "site", "id",
+        F.explode(_lines(F.col("text"))).alias("line")).where(_strip(F.col("line")) != "")
+    occurrences = written(lines.select("text_hash", _line_hash(F.col("line")).alias("h1"), F.hash(_strip(F.col("line"))).alias("h2"), "site", "id",
                                        _sites_needed(F.col("line"), min_sites, long_sites).alias("needed")))
 
     spread = occurrences.groupBy("h1", "h2").agg(
@@ -93,7 +99,7 @@ def _with_cleaned(docs: DataFrame, columns: list[Column], site: str, min_sites:
     drop = F.transform(F.filter("hits", lambda h: h["keeper"] != F.col("own_id")), lambda h: h["h1"])
     rows = rows.withColumn("drop", F.coalesce(drop, F.array().cast("array<long>"))).withColumn("lines", _lines(F.col("body")))
     keep = F.when(F.size("drop") == 0, F.col("lines")).otherwise(
-        F.filter("lines", lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("drop"), _line_hash(x))))
+        F.filter("lines", lambda x: (_strip(x) == "") | ~F.array_contains(F.col("drop"), _line_hash(x))))
     rows = rows.withColumn("kept_lines", keep)
     return rows.select(
         *[c for c in rows.columns if c not in ("text_hash", "body", "own_id", "hits", "drop", "lines", "kept_lines")],

@@ -172,3 +172,12 @@ def test_pipeline_removes_passages_on_few_sites(spark, make_docs):
     rows = [(i, f"{passage}\nown words {i}", f"s{i % 3}") for i in range(30)] + [(50, passage, "s1")]
     got = {r.doc_id: r.text for r in corpus_pipeline.without_boilerplate(spark, make_docs(rows), "").collect()}
     assert got == {0: rows[0][1]} | {i: f"own words {i}" for i in range(1, 30)}
+
+
+def test_line_ends_do_not_split_a_line(make_docs):
+    ends = ["", "\r", "\t", " \x0b\x0c\r"]
+    rows = [(i, f"\tfirst {i}\r\n\r\n\t\nshared line{ends[i % 4]}\nlast {i}", f"s{i}") for i in range(12)]
+    got = {r.doc_id: r for r in line_dedup.remove_boilerplate(make_docs(rows)).collect()}
+    assert got[0].text == rows[0][1] and got[0].n_removed == 0
+    for i in range(1, 12):
+        assert got[i].text == f"\tfirst {i}\r\n\r\n\t\nlast {i}" and (got[i].n_lines, got[i].n_removed) == (5, 1)
