@@ -20,6 +20,7 @@ from ledgerline.session import cut_lineage, cut_table
 
 QUANTILES = [("p25", 0.25), ("p50", 0.5), ("p75", 0.75)]
 LARGE = 1e6
+COUNT_PART = 10 ** 11
 DESCRIBE_COLUMNS = ["column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"]
 
 
@@ -75,16 +76,26 @@ def describe_numeric(df: DataFrame, cols: dict[str, str], places: int = 6) -> Da
     pandas.  Results are rounded to ``places`` (from ``LARGE`` on, to ten
     significant digits).
     """
-    counted, size = cut_table(_long_form(df, cols).groupBy("column_name", "value")
-                              .agg(F.count(F.lit(1)).alias("_w")))
-    # Value times count stays inside 38 digits at full scale; values beyond
-    # the decimal are summed as doubles beside it.
+    return describe_counted(*cut_table(_long_form(df, cols).groupBy("column_name", "value")
+                                       .agg(F.count(F.lit(1)).alias("_w"))), places)
+
+
+def describe_counted(counted: DataFrame, size: int, places: int = 6) -> DataFrame:
+    """:func:`describe_numeric` of a written table of (column_name, value, _w)
+    triples and its byte size."""
+    # A count of any size is summed in two parts, so that value times part
+    # stays inside 38 digits; values beyond the decimal are summed as doubles
+    # beside it.
     exact = F.col("value").try_cast("decimal(26,10)")
+    high, low = F.expr(f"_w DIV {COUNT_PART}"), F.col("_w") % COUNT_PART
     first = counted.groupBy("column_name").agg(
         F.sum("_w").alias("count"),
-        F.try_sum(exact * F.col("_w").cast("decimal(11,0)")).alias("_sum"),
+        F.try_sum(exact * high.cast("decimal(11,0)")).alias("_high"),
+        F.try_sum(exact * low.cast("decimal(11,0)")).alias("_low"),
         F.sum(F.when(exact.isNull(), F.col("value") * F.col("_w"))).alias("_beyond"),
         F.min("value").alias("min"), F.max("value").alias("max"),
+    ).withColumn("_sum", F.when(F.col("_high") == 0, F.col("_low").cast("double"))
+                 .otherwise(F.col("_high").cast("double") * COUNT_PART + F.col("_low").cast("double"))
     ).select("*", F.try_divide(total("_sum", "_beyond"), F.col("count")).alias("mean"))
     spread = (counted.join(first.select("column_name", "mean"), "column_name")
               .groupBy("column_name")

@@ -1,6 +1,7 @@
 """Distributed key assignment and exact profiles against brute force."""
 
 import random
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -94,3 +95,20 @@ def test_null_counts_shuffle_no_rows(spark):
     assert [tuple(r) for r in counts.collect()] == [("S", 2), ("d", 1)]
     plan = counts._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" not in plan
+
+
+def test_describe_counts_beyond_eleven_digits(spark):
+    from ledgerline.session import cut_table
+
+    hot, rest = 3 * 10 ** 13 + 7, 2 * 10 ** 11
+    rows = [("a", 0.1, hot), ("a", 12.5, rest), ("b", -0.3, rest + 1), ("b", 0.3, rest + 1), ("b", 6.0, 2), ("c", 1e30, rest), ("c", 9e15, hot), ("d", 0.25, 3)]
+    counted, size = cut_table(spark.createDataFrame(rows, "column_name string, value double, _w long"))
+    got = {r["column_name"]: r for r in profile.describe_counted(counted, size, places=9).collect()}
+    assert {c: r["count"] for c, r in got.items()} == {"a": hot + rest, "b": 2 * rest + 4, "c": hot + rest, "d": 3}
+    assert got["a"]["mean"] == float(round((Fraction(1, 10) * hot + Fraction(25, 2) * rest) / (hot + rest), 9))
+    assert (got["a"]["min"], got["a"]["p25"], got["a"]["p75"], got["a"]["max"]) == (0.1, 0.1, 0.1, 12.5)
+    assert got["b"]["mean"] == 0 and (got["b"]["p25"], got["b"]["p75"]) == (-0.3, 0.3)
+    assert got["c"]["mean"] == pytest.approx((1e30 * rest + 9e15 * hot) / (hot + rest), rel=1e-9)
+    assert got["d"]["mean"] == 0.25 and got["d"]["std"] == 0
+    # The plain cast, by the same count.
+    assert spark.sql(f"SELECT try_cast({rest}L AS decimal(11,0))").first()[0] is None
