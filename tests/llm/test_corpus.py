@@ -1,19 +1,27 @@
 """The classifier, the pipeline and the registered queries."""
 
+import math
 import random
 import re
+import struct
 import zlib
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from ledgerline.llm import queries, toxicity
+from ledgerline.llm import quality_rules, queries, toxicity
 from ledgerline.llm.common import read
 
+from .test_rules import WORD, slow_counts
+from .test_search import slow_components, slow_fingerprint
+from .test_tokens import check_packing
+
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
@@ -116,3 +124,140 @@ def test_all_queries_are_registered():
     for n in range(1, 11):
         assert sum(bool(re.match(f"op{n}_", q)) for q in found) == 1
     assert "pipeline" in found
+
+
+def slow_features(text):
+    h = [xxhash.xxh64_intdigest(re.sub(r"^\W+|\W+$", "", w).encode()) for w in text.lower().split()]
+    grams = h + [3 * a + b for a, b in zip(h, h[1:])] + [5 * a + b for a, b in zip(h, h[2:])]
+    return {(g % 2 ** 64 * 0x9E3779B97F4A7C15) % 2 ** 64 >> 44 for g in grams}
+
+
+def slow_scores(rows, labels):
+    """Scores of (id, text) rows by FTRL-proximal over dictionaries."""
+    texts, truth = {}, {}
+    for i, text in rows:
+        if i is not None:
+            texts[i] = min([t for t in (texts.get(i), text) if t is not None], default=None)
+    for i, _, y in labels:
+        if i in texts and y is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+            truth[i] = max(y, truth.get(i, 0))
+    spark_hash = lambda i: xxhash.xxh64_intdigest(struct.pack("<q", i), 42)
+    order = sorted(truth, key=lambda i: ((spark_hash(i) ^ 1 << 63), i))  # as signed numbers
+    found = {i: slow_features(texts[i] or "") for i in order}
+    held = Counter(f for x in found.values() for f in x)
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(f):
+        rate = (1.0 + math.sqrt(n[f])) / 2.0
+        if f == "bias":
+            return -z[f] / rate
+        return 0.0 if abs(z[f]) <= 8.0 else (math.copysign(8.0, z[f]) - z[f]) / (rate + 1.0)
+
+    sigmoid = lambda x: 1 / (1 + math.exp(-max(-35, min(35, x))))
+    for _ in range(8):
+        for i in order:
+            x = [*(f for f in found[i] if held[f] >= 5), "bias"]
+            w = {f: weight(f) for f in x}
+            g = sigmoid(sum(w.values())) - truth[i]
+            for f in x:
+                z[f] += g - (math.sqrt(n[f] + g * g) - math.sqrt(n[f])) / 2.0 * w[f]
+                n[f] += g * g
+    used = set(z) - {"bias"}
+    return [sigmoid(weight("bias") + sum(weight(f) for f in slow_features(t or "") & used)) for _, t in rows]
+
+
+def test_scores_equal_a_plain_learner(spark, make_docs):
+    rows, labels = labelled(400, seed=4)
+    rows += [(1000, None), (1001, ""), (None, "idiot scum moron"), (2, rows[2][1] + " more")]
+    labels += [(2, 0, None), (None, 0, 1), (9999, 0, 1), (1000, 0, 0), (5, 0, 1)]
+    got = toxicity.score(make_docs(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    want = sorted((str(i), t or "", s) for (i, t), s in zip(rows, slow_scores(rows, labels)))
+    assert sorted((str(r.doc_id), round(r.score, 6)) for r in got) == sorted((i, round(s, 6)) for i, _, s in want)
+    assert len({round(r.score, 6) for r in got}) > 15
+
+
+def slow_clean(text):
+    """The text without the lines that fail the quality rules; None where it is rejected."""
+    n_words, *_, base_failed = slow_counts(text)
+    kept, lost = [], 0
+    for line in text.split("\n"):
+        n, end = len(WORD.findall(line)), line.strip(" \t\n\v\f\r")
+        fails = n and (
+            n >= 8 and not any(c in end for c in ".!?。！？") and end[-1] not in '.!?:;"\')]}”’»…。！？'
+            or n >= 5 and 2 * line.count("!") >= n
+            or n >= 2 and sum(line.count(c) for c in "#*$%&|<>") > 0.2 * n
+            or len(re.findall("[|>»›•·]", line)) >= 2 and sum(bool(WORD.search(x)) for x in re.split("[|>»›•·]", line)) >= 3
+            or n <= 30 and any(b in line.lower() for b in quality_rules.BOILERPLATE))
+        lost += n if fails else 0
+        kept += [] if fails else [line]
+    return None if base_failed or lost > 0.5 * n_words else "\n".join(kept)
+
+
+def slow_lines(docs):
+    """{id: (text, source)} without boilerplate: three sites for long lines, ten for others."""
+    sites, keeper = defaultdict(set), {}
+    for i in sorted(docs):
+        for line in map(str.strip, docs[i][0].split("\n")):
+            sites[line].add(docs[i][1])
+            keeper.setdefault(line, i)
+    out = {}
+    for i, (text, source) in docs.items():
+        lines = text.split("\n")
+        kept = [x for x in lines if not (s := x.strip()) or keeper[s] == i
+                or len(sites[s]) < (3 if len(s.split()) >= 3 or len(s) >= 24 else 10)]
+        if len(kept) == len(lines) or "".join(kept).strip():
+            out[i] = "\n".join(kept), source
+    return out
+
+
+def pipeline_fixture():
+    rnd, rows = random.Random(12), []
+    vocabulary, bad = [f"word{i}" for i in range(400)], ["idiot", "scum", "moron"]
+    sentence = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(n)).capitalize() + "."
+    passages, short = [sentence(60) for _ in range(6)], ["So.", "And on."]
+    for i in range(260):
+        lines, toxic = [sentence(rnd.randint(12, 30)) for _ in range(rnd.randint(3, 7))], rnd.random() < .2
+        if toxic:
+            lines = [x[:-1] + " " + " ".join(rnd.choices(bad, k=2)) + "." for x in lines]
+        lines += rnd.choices(["Home | About | Contact", "Read more", "no mark at the end of this line of words"], k=rnd.randint(0, 2))
+        if rnd.random() < .2:  # passage k is on k sites or so
+            lines.append(passages[k := rnd.randrange(6)])
+            rows.append((i, lines, k, toxic))
+        else:
+            rows.append((i, lines + ([rnd.choice(short)] if rnd.random() < .6 else []), None, toxic))
+    docs = [(i, "\n".join(lines), f"s{i % (k + 1) if k is not None else i % 12}") for i, lines, k, _ in rows]
+    for i, text, source in docs[:12]:
+        docs.append((300 + i, text, source))                                          # copies on one site
+        docs.append((400 + i, text.replace("\n", " ", 1) + " Word7 more.", source))    # near copies
+    docs += [(500, "too short.", "s1"), (501, "", "s1")]
+    toxic = {i: t for i, _, _, t in rows}
+    return docs, [(i, 1, int(t)) for i, t in toxic.items() if i % 5]
+
+
+def test_pipeline_equals_plain_python(spark, make_docs, tmp_path):
+    docs, labels = pipeline_fixture()
+    make_docs(docs, extra=False).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+
+    scores = slow_scores([(i, t) for i, t, _ in docs], labels)
+    assert all(abs(s - .3) > 1e-6 for s in scores)
+    clean = {i: (t, s) for (i, t, s), score in zip(docs, scores) if score < .3}
+    good = {i: (c, s) for i, (t, s) in clean.items() if (c := slow_clean(t)) is not None}
+    lines = slow_lines(good)
+    prints = {i: slow_fingerprint(t) for i, (t, _) in lines.items()}
+    group = slow_components(list(prints.values()), 3)
+    first = {}
+    for i in sorted(lines):
+        first.setdefault(group[prints[i]], i)
+    one = {i: lines[i] for i in first.values()}
+    want = [clean, good, lines, one]
+    assert len(docs) > len(clean) > len(good) > len(one) and len(lines) > len(one)
+    assert sum(lines[i] != good[i] for i in lines) > 5
+
+    now = read(spark, str(tmp_path), "documents")
+    for (name, stage), rows in zip(corpus_pipeline.STAGES[:-1], want):
+        now = spark.createDataFrame(stage(spark, now, str(tmp_path)).collect(), now.schema)
+        got = now.collect()
+        assert sorted((r.doc_id, r.text, r.source) for r in got) == sorted((i, *v) for i, v in rows.items()), name
+        assert all(r.n_chars == len(r.text) for r in got), name
+    check_packing(corpus_pipeline.run(spark, str(tmp_path)).collect(), [(i, t) for i, (t, _) in one.items()], 1024)
