@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.session import ensure_checkpoint_dir
 
-from . import bpe, line_dedup, nearest, packing, quality_rules, simhash, token_counts, toxicity, url_filter, warc
+from . import alignment, bpe, lexical_search, line_dedup, nearest, packing, quality_rules, sharding, simhash, token_counts, toxicity, url_filter, warc
 from .common import read
 
 URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -69,12 +69,28 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 24 shards by its id; ``grown_shard`` with a 25th."""
+    dealt = sharding.assign(sharding.measured(read(spark, sf_dir, "documents")), 24)
+    return dealt.withColumn("law", F.lit("key"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_line_dedup, op2_token_counts, op3_packing, op4_nearest, op5_toxicity, op6_quality_rules, op7_bpe, op8_warc,
-                            op9_simhash, op10_url_filter)}
+                            op9_simhash, op10_url_filter, op11_sharding, op12_alignment, op13_lexical_search)}
 
-# op2, op3 and op7 need the tokenizer libraries, op5 a trained model and op9
-# XXH64: their tests compare them with brute force instead.
+# op2, op3, op7 and op12 need the tokenizer libraries, op5 a trained model, op9
+# and op11 XXH64 (and op11's slots depend on the tasks): their tests compare
+# them with brute force instead.
 _SPACE = r"\x20\x09-\x0D"
 _QUOTED_CLOSING = "".join(c.replace("'", "''") for c in quality_rules.CLOSING)
 
@@ -187,4 +203,32 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT a.page_id, a.host, a.path, f.rule, coalesce(f.verdict, 'allow') AS verdict FROM a LEFT JOIN fits f USING (page_id)
     """,
+    "op13_lexical_search": rf"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(translate(text, '{lexical_search.UPPER}', '{lexical_search.LOWER}'), '{lexical_search.TERM}') AS ws
+            FROM documents
+        ), whole AS (
+            SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(ws)) AS BIGINT) AS terms FROM d WHERE len(ws) > 0
+        ), item_terms AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{lexical_search.UPPER}', '{lexical_search.LOWER}'),
+                                                               '{lexical_search.TERM}')) AS w
+            FROM benchmark
+        ), tf AS (
+            SELECT r, w, count(*) AS tf FROM (SELECT r, unnest(ws) AS w FROM d) WHERE w IN (SELECT w FROM item_terms) GROUP BY r, w
+        ), weight AS (
+            SELECT w, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight
+            FROM tf, whole GROUP BY w
+        ), part AS (
+            SELECT r, w, weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * len(ws) * docs) // terms))) AS part
+            FROM tf JOIN weight USING (w) JOIN d USING (r), whole
+        ), scored AS (
+            SELECT item_id, r, sum(part) AS score FROM part JOIN item_terms USING (w) GROUP BY item_id, r HAVING sum(part) > 0
+        ), ranked AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+                   doc_id, CAST(score AS BIGINT) AS score
+            FROM scored JOIN d USING (r)
+        )
+        SELECT * FROM ranked WHERE rank <= 10
+    """,
 }

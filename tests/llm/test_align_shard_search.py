@@ -1,0 +1,253 @@
+"""Sharding, alignment and lexical search against brute force."""
+
+import hashlib
+import math
+import random
+import re
+import struct
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+import sentencepiece
+import xxhash
+from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
+
+from ledgerline.llm import alignment, lexical_search, packing, sharding
+
+BYTES, PIECES = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
+ODD = [None, "", " ", "   ", "a", " a", "a ", "a  b   c ", "\n", "a\nb\n\n c", "▁", "a▁b ▁", "<s> </s> <unk>", "x<|endoftext|> y",
+       "<|startoftext|>A<|ENDOFTEXT|>", "ＡＢＣ ﬁ", "日本語 текст Σίσυφος", "é é", "\x00\x1c\x85\xa0 z", "it's IT'S don''t !'s", "🙂🙂 ok",
+       "ab" * 2_000, "word " * 3_000, "same same words", "same same words", "x\n \ny", "1234567890 ²³ ½", "a b　c", ".,;:!? --- ...!"]
+ROWS = [(i, t) for i, t in enumerate(ODD)] + [(None, "no id"), (None, "same same words"), (3, "   "), (3, "   ")]
+TEXT = st.text(st.sampled_from(list(" \n\t\x1c\x85\xa0▁abcABCéßÿŸ0189²½'sdtrvel.,!-–€\r\x00<|>Σσςиが")), max_size=60)
+
+
+# -- sharding ------------------------------------------------------------------
+
+def slow_shard(key, weights):
+    text = ('["' + str(key) + '"]' if key is not None else "[null]").encode()
+    best = None
+    for s, w in enumerate(weights):
+        h = xxhash.xxh64_intdigest(struct.pack("<i", s), seed=xxhash.xxh64_intdigest(text, seed=42))
+        bid = (-w / math.log(((h >> 11) + .5) / 2 ** 53), -s)
+        best = max(best, bid) if best else bid
+    return -best[1]
+
+
+def test_rendezvous(make_docs):
+    rows = ROWS + [(1000 + i, f"text {i}") for i in range(2_000)] + [(7, "hot")] * 1_500
+    docs = make_docs(rows).repartition(7)
+    got = sharding.assign(sharding.measured(docs), 24).collect()
+    assert sorted(map(str, ((r.doc_id, r.size, r.text_crc32) for r in got))) == sorted(
+        map(str, ((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in rows)))
+    slots = defaultdict(list)
+    for r in got:
+        assert r.shard == slow_shard(r.doc_id, [1.0] * 24) and r.grown_shard == slow_shard(r.doc_id, [1.0] * 25)
+        assert r.grown_shard in (r.shard, 24)
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert any(r.grown_shard == 24 for r in got)
+
+
+def test_weights_share_the_keys(spark):
+    weights = [1.0, 2.0, 0.5, 4.5]
+    docs = spark.range(40_000).selectExpr("id as doc_id", "1 as other")
+    got = sharding.assign(docs, weights, grown=2.0)
+    found = {r.shard: r["count"] for r in got.groupBy("shard").count().collect()}
+    assert all(abs(found[s] / 40_000 - w / 8) < .01 for s, w in enumerate(weights))
+    moved = got.where("shard <> grown_shard").groupBy("grown_shard").count().collect()
+    assert [r.grown_shard for r in moved] == [4] and abs(moved[0]["count"] / 40_000 - .2) < .01
+    fewer = {r.doc_id: r.shard for r in sharding.assign(docs, weights[:3], grown=None).collect()}
+    assert all(fewer[r.doc_id] == r.shard for r in got.collect() if r.shard < 3)
+
+
+def test_sharding_of_other_rows(spark, make_docs, tmp_path):
+    docs = make_docs([(i, f"t{i}") for i in range(500)])
+    dealt = sharding.assign(docs, 3, key=["doc_id", "lang"], grown=None)
+    assert dealt.columns == [*docs.columns, "shard", "slot"]
+    sharding.write_shards(dealt, f"{tmp_path}/out", file_rows=50)
+    back = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted(r.text for r in back.collect()) == sorted(f"t{i}" for i in range(500))
+    assert {p.name for p in (tmp_path / "out").glob("shard=*")} == {"shard=0", "shard=1", "shard=2"}
+    assert all(r.n <= 50 for r in back.selectExpr("input_file_name() f").groupBy("f").count().selectExpr("count as n").collect())
+    assert sharding.assign(make_docs([]), 4).collect() == []
+    with pytest.raises(ValueError):
+        sharding.assign(docs.withColumnRenamed("lang", "Slot"), 3)
+    with pytest.raises(ValueError):
+        sharding.assign(docs, [1.0, 0.0])
+
+
+# -- alignment -----------------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def sides():
+    return alignment.Sides(BYTES, PIECES)
+
+
+class Slow:
+    """Tokens by the libraries on whole texts, groups and links by comparing byte ranges."""
+
+    def __init__(self):
+        self.a = Tokenizer.from_file(BYTES)
+        self.a.encode_special_tokens = True
+        self.b = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+        self.letters = {c: b for b, c in enumerate(packing.byte_letters())}
+
+    def tokens(self, text):
+        if not text:
+            return [], []
+        a = [(i, bytes(self.letters[c] for c in self.a.id_to_token(i))) for i in self.a.encode(" " + text, add_special_tokens=False).ids]
+        b = []
+        for i in self.b.encode(text):
+            p = self.b.id_to_piece(i)
+            b.append((i, bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace("▁", " ").encode()))
+        whole = (" " + text).encode()
+        if b"".join(x for _, x in a) != whole or b"".join(x for _, x in b) != whole:
+            return [], []
+        return a, b
+
+    def align(self, text):
+        a, b = self.tokens(text)
+        spans = []
+        for side in (a, b):
+            at, own = 0, []
+            for i, x in side:
+                own.append((at, at + len(x), i))
+                at += len(x)
+            spans.append(own)
+        cuts = sorted({e for _, e, _ in spans[0]} & {e for _, e, _ in spans[1]})
+        groups, start = [], 0
+        for cut in cuts:
+            groups.append("|".join(",".join(str(i) for s, e, i in side if start < e <= cut) for side in spans))
+            start = cut
+        links = []
+        for s, e, i in spans[0]:
+            links += [(i, j) for t, f, j in spans[1] if t < e and s < f]
+        return len(a), len(b), groups, links
+
+
+def slow_alignment(rows):
+    slow = Slow()
+    found = [(i, *slow.align(t)) for i, t in rows]
+    counts = Counter(link for *_, links in found for link in links)
+    highest = Counter()
+    for (_, b), n in counts.items():
+        highest[b] = max(highest[b], n)
+    return sorted((str(i), n_a, n_b, len(groups), len(links), sum(counts[x] == highest[x[1]] for x in links), sum(counts[x] for x in links),
+                   hashlib.sha256(";".join(groups).encode()).hexdigest() if n_a else "") for i, n_a, n_b, groups, links in found)
+
+
+def short(rows):
+    """Brute force compares all spans, so its long texts are shorter."""
+    return [(i, t[:600] if t else t) for i, t in rows]
+
+
+@pytest.mark.parametrize("max_pairs,chars", [(1 << 20, 10 ** 6), (40, 50), (0, 10 ** 6)])
+def test_alignment(make_docs, monkeypatch, max_pairs, chars):
+    monkeypatch.setattr(alignment, "CACHE_CHARS", chars)
+    rnd = random.Random(3)
+    words = ["the", "Haus", "ciónes,", "über", "naïve.\nNext", "tokenization", "123,456", "x" * 300]
+    rows = short(ROWS) + [(500 + i, " ".join(rnd.choices(words, k=rnd.randint(1, 25)))) for i in range(60)]
+    got = alignment.align(make_docs(rows).repartition(3), BYTES, PIECES, max_pairs=max_pairs)
+    assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    assert sorted((str(r[0]), *r[1:]) for r in got.collect()) == slow_alignment(rows)
+
+
+def test_groups_as_text(make_docs):
+    rows = short(ROWS)
+    slow = Slow()
+    got = alignment.groups(make_docs(rows), BYTES, PIECES).collect()
+    assert sorted((str(r.doc_id), r.groups) for r in got) == sorted((str(i), ";".join(slow.align(t)[2])) for i, t in rows)
+    assert alignment.align(make_docs([]), BYTES, PIECES).collect() == []
+    assert alignment.align(make_docs([(1, None), (2, "")]), BYTES, PIECES).count() == 2
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXT)
+def test_units_cut_like_the_whole_text(text):
+    sides = alignment.Sides.__dict__.get("shared") or alignment.Sides(BYTES, PIECES)
+    alignment.Sides.shared = sides
+    units = sides.units(text)
+    if not text:
+        assert units == []
+        return
+    assert sides.cuttable and " ".join(units) == text
+    whole_a = sides.a.model.encode(" " + text, add_special_tokens=False).ids
+    assert sides.a_ids(units)[0].tolist() == whole_a
+    assert sides.b_ids(units)[0].tolist() == sides.b.encode(text)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.integers(1, 40)), st.sets(st.integers(1, 40)))
+def test_pointer_jumping_finds_the_cuts(a, b):
+    a_end, b_end = (np.array(sorted(x | {41})) for x in (a, b))
+    last, _, _ = alignment.terminals(a_end, b_end)
+    cuts = np.intersect1d(a_end, b_end)
+    ends = np.concatenate([a_end, b_end])
+    assert (b_end[last - len(a_end)] == cuts[np.searchsorted(cuts, ends)]).all()
+
+
+def test_long_chain_takes_few_rounds():
+    a_end, b_end = np.append(np.arange(2, 200_000, 2), 200_001), np.append(np.arange(1, 200_000, 2), 200_001)
+    last, _, _ = alignment.terminals(a_end, b_end)
+    assert (last == last[-1]).all()
+
+
+# -- lexical search ------------------------------------------------------------
+
+def slow_search(rows, items, k):
+    pattern = re.compile("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+")
+
+    def terms(t):
+        return pattern.findall((t or "").translate({c: c + 32 for c in range(65, 91)}))
+
+    docs = [(i, terms(t)) for i, t in rows]
+    docs = [(i, t) for i, t in docs if t]
+    total = sum(len(t) for _, t in docs)
+    df = Counter(w for _, t in docs for w in set(t))
+    own = defaultdict(set)
+    for i, t in items:
+        own[i].update(terms(t))
+    out = []
+    for item, wanted in own.items():
+        scored = []
+        for i, t in docs:
+            m = 100 - 90 + (90 * len(t) * len(docs)) // total
+            tf = Counter(t)
+            score = sum(math.floor(1000 * math.log((2 * len(docs) + 2) / (2 * df[w] + 1))) * ((10 ** 9 * tf[w]) // (1000 * tf[w] + 8 * m))
+                        for w in wanted if w in tf)
+            if score > 0:
+                scored.append((-score, i is None, i))
+        out += [(str(item), n, str(i), -s) for n, (s, _, i) in enumerate(sorted(scored, key=lambda x: (x[0], x[1], x[2] or 0))[:k], 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("postings", [10 ** 6, 20])
+def test_lexical_search(spark, make_docs, postings):
+    rnd = random.Random(9)
+    words = ["Apple", "pear", "FIG", "kiwi9", "ciónes", "Ñandú", "日本", "straße", "a", "of"]
+    rows = ROWS + [(300 + i, "-".join(rnd.choices(words, k=rnd.randint(1, 40)))) for i in range(200)]
+    rows += [(900, rows[60][1]), (600, rows[60][1]), (600, rows[60][1]), (None, rows[60][1])]
+    items = [(i, " ".join(rnd.choices(words + ["zzz"], k=3))) for i in range(15)] + [(3, "pear_word"), (None, "kiwi9"), (77, None), (78, ""), (79, "absent")]
+    found = spark.createDataFrame([(i, t, 1, 2) for i, t in items], "item_id long, text string, score int, doc_id int")
+    got = lexical_search.search(make_docs(rows).repartition(5), found, k=10, block_postings=postings)
+    assert got.columns == ["item_id", "rank", "doc_id", "score"] and dict(got.dtypes)["rank"] == "int"
+    assert sorted((str(r.item_id), r.rank, str(r.doc_id), r.score) for r in got.collect()) == slow_search(rows, items, 10)
+
+
+def test_lexical_search_of_nothing(spark, make_docs):
+    items = spark.createDataFrame([(1, "pear")], "item_id long, text string")
+    assert lexical_search.search(make_docs([]), items).collect() == []
+    assert lexical_search.search(make_docs([(1, "pear")]), items.limit(0)).collect() == []
+
+
+def test_large_scores_stay_exact():
+    index = lexical_search.ItemIndex([(1, "a"), (1, "b"), (2, "b")])
+    index.weigh(10, 100, {0: 1, 1: 1})
+    small = index.scores([b"a", b"b", b"b"]).tolist()
+    index.weight = index.weight * 10 ** 7
+    assert index.scores([b"a", b"b", b"b"]).tolist() == [10 ** 7 * x for x in small]
