@@ -97,23 +97,42 @@ class Sides:
             return []
         return text.split(" ") if self.cuttable and not _UNEVEN.search(" " + text) else [text]
 
+    def _usual(self, units: list[str]) -> np.ndarray:
+        """Which units the rank-based encoder may read one after another."""
+        usual = np.full(len(units), self.cuttable)
+        for at in range(0, len(units) if self.cuttable else 0, 256):
+            part = units[at:at + 256]
+            if _UNUSUAL.search("".join(part)) or max(map(len, part)) > LONGEST_WORD:
+                usual[at:at + 256] = [len(u) <= LONGEST_WORD and not _UNUSUAL.search(u) for u in part]
+        return usual
+
     def a_ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """A's ids of space + unit, and how many each unit has."""
-        usual = [i for i, u in enumerate(units) if len(u) <= LONGEST_WORD and not _UNUSUAL.search(u)] if self.cuttable else []
-        found: list[np.ndarray | None] = [None] * len(units)
-        if usual:
+        usual = self._usual(units)
+        n = np.zeros(len(units), np.int64)
+        ids = np.zeros(0, np.int64)
+        if usual.any():
+            words = units if usual.all() else [u for u, own in zip(units, usual.tolist()) if own]
             # Words one after another are a text whose tokens end where words end.
-            ids = self.a.fast.encode_to_numpy("".join([" " + units[i] for i in usual]), disallowed_special=()).astype(np.int64)
+            ids = self.a.fast.encode_to_numpy(" " + " ".join(words), disallowed_special=()).astype(np.int64)
             ends = np.cumsum(self.a_sizes[ids])
-            want = np.cumsum([1 + len(units[i].encode()) for i in usual])
+            want = np.cumsum([1 + len(u.encode()) for u in words])
             at = np.searchsorted(ends, want)
             if at[-1] < len(ends) and (ends[at] == want).all():
-                for i, part in zip(usual, np.split(ids, at[:-1] + 1)):
-                    found[i] = part
-        rest = [i for i, x in enumerate(found) if x is None]
-        for i, code in zip(rest, self.a.model.encode_batch([" " + units[i] for i in rest], add_special_tokens=False) if rest else ()):
-            found[i] = np.array(code.ids, np.int64)
-        return np.concatenate(found), np.array([len(x) for x in found], np.int64)
+                n[usual] = np.diff(at, prepend=-1)
+            else:
+                usual[:] = False
+                ids = ids[:0]
+        if usual.all():
+            return ids, n
+        rest = np.flatnonzero(~usual)
+        codes = [c.ids for c in self.a.model.encode_batch([" " + units[i] for i in rest.tolist()], add_special_tokens=False)]
+        n[rest] = [len(c) for c in codes]
+        out = np.zeros(int(n.sum()), np.int64)
+        own = np.repeat(usual, n)
+        out[own] = ids
+        out[~own] = np.fromiter(chain.from_iterable(codes), np.int64)
+        return out, n
 
     def b_ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = self.b.encode(units, num_threads=1)
@@ -217,7 +236,7 @@ class UnitTable:
         raise NotImplementedError
 
     def numbers(self, texts: list[str], before_clear=lambda: ()) -> Iterator:
-        """Unit numbers of each text; yields what ``before_clear`` gives first."""
+        """Units of each text and their numbers; yields what ``before_clear`` gives first."""
         cut = [self.sides.units(t) for t in texts]
         known = self.number
         new = [u for u in dict.fromkeys(chain.from_iterable(cut)) if u not in known]
@@ -230,7 +249,7 @@ class UnitTable:
             self.learn(new, Aligned(self.sides, new))
             known.update(zip(new, range(len(known), len(known) + len(new))))
             self.chars += sum(map(len, new))
-        yield [np.fromiter(map(known.__getitem__, units), np.int64, len(units)) for units in cut]
+        yield [(units, np.fromiter(map(known.__getitem__, units), np.int64, len(units))) for units in cut]
 
 
 class PairCounter(UnitTable):
@@ -246,8 +265,8 @@ class PairCounter(UnitTable):
         self.good = np.concatenate([self.good, found.good])
         self.times = np.concatenate([self.times, np.zeros(len(units), np.int64)])
 
-    def add(self, numbers: list[np.ndarray]) -> None:
-        whole = [n for n in numbers if len(n) and self.good[n].all()]
+    def add(self, found: list[tuple[list[str], np.ndarray]]) -> None:
+        whole = [n for _, n in found if len(n) and self.good[n].all()]
         if whole:
             self.times += np.bincount(np.concatenate(whole), minlength=len(self.times))
 
@@ -276,8 +295,8 @@ class Scorer(UnitTable):
         super().__init__(sides)
 
     def forget(self) -> None:
-        self.sums, self.good = np.zeros((0, 6), np.int64), np.zeros(0, bool)
-        self.texts: list[str] = []
+        self.sums, self.good, self.all_good = np.zeros((0, 6), np.int64), np.zeros(0, bool), True
+        self.texts: dict[str, str] = {}
         self.rare: dict[int, np.ndarray] = {}
 
     def learn(self, units, found):
@@ -291,28 +310,31 @@ class Scorer(UnitTable):
             total = np.concatenate([[0], np.cumsum(values)])
             return total[ends] - total[ends - found.n_links]
 
-        known = len(self.texts)
+        known = len(self.sums)
         counted = np.where(hit, counts[at], 0) if len(keys) else np.zeros(len(hit), np.int64)
         won = hit & best[at] if len(keys) else hit
         self.sums = np.concatenate([self.sums, np.stack([found.n_a, found.n_b, found.n_groups, found.n_links,
                                                          per_unit(won.astype(np.int64)), per_unit(counted)], axis=1)])
         self.good = np.concatenate([self.good, found.good])
-        self.texts += found.texts(self.numerals)
+        self.all_good = bool(self.good.all())
+        self.texts.update(zip(units, found.texts(self.numerals)))
         for u in np.flatnonzero(per_unit((~hit).astype(np.int64))).tolist():
             links = slice(ends[u] - found.n_links[u], ends[u])
             self.rare[known + u] = found.links[links][~hit[links]]
 
-    def row(self, numbers: np.ndarray) -> tuple:
+    def whole(self, numbers: np.ndarray) -> bool:
+        return bool(len(numbers)) and (self.all_good or bool(self.good[numbers].all()))
+
+    def row(self, units: list[str], numbers: np.ndarray) -> tuple:
         """The six sums, the digest, and the pairs without a known count."""
-        if not len(numbers) or not self.good[numbers].all():
+        if not self.whole(numbers):
             return 0, 0, 0, 0, 0, 0, "", None
-        listed = numbers.tolist()
-        digest = hashlib.sha256(";".join([self.texts[i] for i in listed]).encode()).hexdigest()
-        rare = [self.rare[i] for i in listed if i in self.rare] if self.rare else []
+        digest = hashlib.sha256(self.groups(units, numbers).encode()).hexdigest()
+        rare = [self.rare[i] for i in numbers.tolist() if i in self.rare] if self.rare else []
         return *self.sums[numbers].sum(axis=0).tolist(), digest, np.concatenate(rare).tolist() if rare else None
 
-    def groups(self, numbers: np.ndarray) -> str:
-        return ";".join([self.texts[i] for i in numbers.tolist()]) if self.good[numbers].all() else ""
+    def groups(self, units: list[str], numbers: np.ndarray) -> str:
+        return ";".join(map(self.texts.__getitem__, units)) if self.whole(numbers) else ""
 
 
 # One table per run and pass in each worker process, kept between tasks.
@@ -376,8 +398,8 @@ def align(docs: DataFrame, a_path: str, b_path: str, max_pairs: int = MAX_PAIRS)
     def score(batches):
         table = _table((run, "scores"), lambda: Scorer(Sides(a_path, b_path), shared.value))
         for batch in batches:
-            (numbers,) = table.numbers(texts_of(batch.column(1)))
-            columns = list(zip(*map(table.row, numbers))) or [()] * 8
+            (found,) = table.numbers(texts_of(batch.column(1)))
+            columns = list(zip(*[table.row(*x) for x in found])) or [()] * 8
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c, pa.int64()) for c in columns[:6]), pa.array(columns[6], pa.string()),
                  pa.array(columns[7], pa.list_(pa.int64()))], names=["doc_id", *names, "groups_sha256", "rare"])
@@ -405,8 +427,8 @@ def groups(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def listed(batches):
         table = _table((run, "groups"), lambda: Scorer(Sides(a_path, b_path), nothing))
         for batch in batches:
-            (numbers,) = table.numbers(texts_of(batch.column(1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([table.groups(n) for n in numbers], pa.string())],
+            (found,) = table.numbers(texts_of(batch.column(1)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([table.groups(*x) for x in found], pa.string())],
                                              names=["doc_id", "groups"])
 
     return map_batches(docs, listed, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, groups string")
