@@ -7,7 +7,8 @@ order column, sorted inside each partition and written; a row's key is then
 the number of rows in all earlier partitions plus its position in its own
 partition.  The written table fixes partition contents, so the per-partition
 counts and positions come from the very same rows even if an executor is lost
-and tasks re-run.
+and tasks re-run.  The numbers of earlier rows are a two-level prefix sum on
+the executors (:func:`prefix_sums`); none of them passes through the driver.
 """
 
 from __future__ import annotations
@@ -17,6 +18,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.session import cut_lineage
 
+# Partitions whose counts one window of the prefix sum adds up.
+SCAN_BLOCK = 1024
+
 # Target size of one range partition, in bytes of the written (compressed)
 # input: roughly half a gigabyte once decoded.
 RANGE_PARTITION_BYTES = 128 * 1024 * 1024
@@ -30,6 +34,25 @@ def range_partitions(df: DataFrame, size: int) -> int:
     return max(base, -(-size // RANGE_PARTITION_BYTES))
 
 
+def prefix_sums(counts: DataFrame, order: str, weight: str, group: str | None = None) -> DataFrame:
+    """(order[, group], _off): the sum of ``weight`` over the rows of smaller
+    ``order`` (a whole number, unique within a group), restarting at every group.
+
+    Two levels: blocks of ``SCAN_BLOCK`` neighbours are added up inside, each
+    in a window of its own; a second window runs over one row per block.  With
+    800,000 partitions the larger window holds 1,024 rows, the other 782.
+    """
+    own = [group] if group else []
+    rows = counts.select(order, *own, F.col(weight).alias("_w"), F.expr(f"`{order}` DIV {SCAN_BLOCK}").alias("_block"))
+    earlier = (Window.unboundedPreceding, -1)
+    blocks = rows.groupBy(*own, "_block").agg(F.sum("_w").alias("_t"))
+    blocks = blocks.select(*own, "_block", F.coalesce(
+        F.sum("_t").over(Window.partitionBy(*own).orderBy("_block").rowsBetween(*earlier)), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*own, "_block").orderBy(order).rowsBetween(*earlier)
+    rows = rows.withColumn("_inside", F.coalesce(F.sum("_w").over(inside), F.lit(0)))
+    return rows.join(blocks, [*own, "_block"]).select(order, *own, (F.col("_before") + F.col("_inside")).alias("_off"))
+
+
 def dense_key_small(df: DataFrame, order: list[str], key: str) -> DataFrame:
     """``key`` = 1..n by ``order`` (nulls first) over a bounded dimension."""
     w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order])
@@ -44,21 +67,16 @@ def dense_key_large(df: DataFrame, order: str, key: str, size: int, partitions:
     the number of range partitions unless ``partitions`` does.  ``order`` must identify rows (the fact's invoice id after dedup); ties
     would still get distinct keys, in an unspecified order.
     """
-    spark = df.sparkSession
     n = partitions or range_partitions(df, size)
     ranged = (df.repartitionByRange(n, F.col(order).asc_nulls_first())
               .sortWithinPartitions(F.col(order).asc_nulls_first()))
     tagged = cut_lineage(ranged.select(
         "*", F.spark_partition_id().alias("_pid"),
         F.monotonically_increasing_id().alias("_mid")))
-    # One count per partition: bounded by the partition count, not by the
-    # data.  The offsets become a small table.
-    counts = dict(tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
-    rows, running = [], 0
-    for pid in sorted(counts):
-        rows.append((pid, running))
-        running += counts[pid]
-    offsets = spark.createDataFrame(rows or [(0, 0)], "_pid int, _off long")
+    # One count per partition, and a written table of their prefix sums: its
+    # known size lets Spark decide how to join it.
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = cut_lineage(prefix_sums(counts, "_pid", "_n"))
     tagged = tagged.join(offsets, "_pid")
     offset = F.col("_off")
     position = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)

@@ -1,22 +1,24 @@
 """Profiles of a frame: value counts, numeric summary, histogram, pivots.
 
-Exact quantiles are computed without gathering a column into one task: the
-column is reduced to (value, count) pairs with partial aggregation, the pairs
-are range-partitioned and written, and running counts come from
-per-partition totals plus a running sum inside each partition.  The rows at
-the wanted ranks are then picked with a filter.
+The numeric summary's quartiles are exact and never gather, explode or range
+partition a column: sketches bracket each rank and exact counts narrow the
+brackets (see ``quantiles``).  For data that is already (value, count) pairs,
+the pairs are range-partitioned and written, and running counts come from
+per-partition totals plus a running sum inside each partition.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.money import round2, total
-from ledgerline.operators.keys import range_partitions
-from ledgerline.session import cut_lineage, cut_table
+from ledgerline.operators.keys import prefix_sums, range_partitions
+from ledgerline.operators.quantiles import SORT_ROWS, Span, as_double, order_statistics
+from ledgerline.session import cut_lineage
 
 QUANTILES = [("p25", 0.25), ("p50", 0.5), ("p75", 0.75)]
 LARGE = 1e6
@@ -32,57 +34,80 @@ def value_counts(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
             .orderBy(F.col("count").desc(), F.col(name)))
 
 
-def _long_form(df: DataFrame, cols: dict[str, str]) -> DataFrame:
-    """(column_name, value) rows for every non-null value of the given columns."""
-    pairs = F.array(*[F.struct(F.lit(label).alias("column_name"), F.col(c).cast("double").alias("value"))
-                      for label, c in cols.items()])
-    return df.select(F.inline(pairs)).filter(F.col("value").isNotNull())
-
-
 def running_counts(counted: DataFrame, group: str, order: str, weight: str, size: int,
                    partitions: int | None = None) -> DataFrame:
     """Adds ``_cum``: the running sum of ``weight`` in (group, order) order,
     restarting at every group.  ``size`` is the byte size of the written table
     that ``counted`` reads.  Distributed; see the module note."""
-    spark = counted.sparkSession
     n = partitions or range_partitions(counted, size)
     ranged = counted.repartitionByRange(n, group, order).sortWithinPartitions(group, order)
     tagged = cut_lineage(ranged.select("*", F.spark_partition_id().alias("_pid")))
-    # One total per (partition, group): bounded by partitions x groups, not
-    # by the data.  The offsets become a small table.
-    totals = sorted(tagged.groupBy("_pid", group).agg(F.sum(weight).alias("_t")).collect(),
-                    key=lambda r: r["_pid"])
-    running: dict = {}
-    rows = []
-    for r in totals:
-        g = r[group]
-        rows.append((r["_pid"], g, running.get(g, 0)))
-        running[g] = running.get(g, 0) + r["_t"]
-    group_type = dict(tagged.dtypes)[group]
-    offsets = spark.createDataFrame(rows, f"_pid int, `{group}` {group_type}, _off long")
+    totals = tagged.groupBy("_pid", group).agg(F.sum(weight).alias("_t"))
+    offsets = cut_lineage(prefix_sums(totals, "_pid", "_t", group))
     inside = Window.partitionBy("_pid", group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return (tagged.join(offsets, ["_pid", group])
             .select(*counted.columns, (F.col("_off") + F.sum(weight).over(inside)).alias("_cum")))
 
 
-def describe_numeric(df: DataFrame, cols: dict[str, str], places: int = 6) -> DataFrame:
+def describe_numeric(df: DataFrame, cols: dict[str, str], places: int = 6, sort_rows: int = SORT_ROWS) -> DataFrame:
     """count, mean, sample std, min, exact interpolated quartiles, max.
 
-    ``cols`` maps the reported name to a numeric column.  Every statistic
-    comes from (column, value, count) triples, computed once with partial
-    aggregation and written: the mean is an exact decimal sum over the
-    count, the standard deviation a second pass over the triples, and the
-    quantiles interpolate linearly between the two neighbouring ranks, like
-    pandas.  Results are rounded to ``places`` (from ``LARGE`` on, to ten
-    significant digits).
+    ``cols`` maps the reported name to a numeric column.  One pass gives
+    counts, bounds and exact decimal sums, a second the squared deviations
+    from the means; the quartiles interpolate linearly between two neighbouring
+    ranks, like pandas, and come from :func:`order_statistics`.  Every pass is
+    one aggregate whose tasks send one row; ``df`` should be a written table,
+    since each pass reads it.  Results are rounded to ``places`` (from
+    ``LARGE`` on, to ten significant digits).  NULLs are left out; a column
+    without values has no row.
     """
-    return describe_counted(*cut_table(_long_form(df, cols).groupBy("column_name", "value")
-                                       .agg(F.count(F.lit(1)).alias("_w"))), places)
+    spark = df.sparkSession
+    stats = []
+    for c in cols.values():
+        v, exact = as_double(c), as_double(c).try_cast("decimal(26,10)")
+        # A sum beyond 36 digits is NULL and gives way to the double sum.
+        summed = F.coalesce(F.try_sum(exact).cast("double"), F.sum(F.when(exact.isNotNull(), v)))
+        beyond = F.sum(F.when(exact.isNull(), v))
+        stats += [F.count(v), F.count_if(F.isnan(v)), F.min(v), F.max(v), F.try_divide(total(summed, beyond), F.count(v))]
+    first = df.agg(*[x.alias(f"_{i}") for i, x in enumerate(stats)]).first()
+    seen = {name: first[5 * i:5 * i + 5] for i, name in enumerate(cols) if first[5 * i]}
+    schema = ", ".join(["column_name string", "count long"] + [f"{c} double" for c in DESCRIBE_COLUMNS[2:]])
+    if not seen:
+        return spark.createDataFrame([], schema)
+    spread = df.agg(*[F.sum((as_double(cols[name]) - F.lit(mean)) ** 2).alias(f"_{i}")
+                      for i, (name, (*_, mean)) in enumerate(seen.items())]).first()
+    ranks = {name: {label: p * (n - 1) for label, p in QUANTILES} for name, (n, *_) in seen.items()}
+    wanted: dict[str, set[int]] = {}
+    for name, at in ranks.items():
+        n = seen[name][0]
+        wanted.setdefault(cols[name], set()).update(r for x in at.values() for r in (math.floor(x), min(math.floor(x) + 1, n - 1)))
+    whole = {cols[name]: Span(cols[name], None, None, 0, n - nan, None) for name, (n, nan, *_) in seen.items()}
+    values = order_statistics(df, wanted, whole, sort_rows)
+
+    def quantile(name: str, at: float) -> float:
+        low = math.floor(at)
+        lower, upper = (values[cols[name], r] for r in (low, min(low + 1, seen[name][0] - 1)))
+        return lower if lower == upper else lower + (upper - lower) * (at - low)
+
+    rows = []
+    for (name, (n, _, lo, hi, mean)), ss in zip(seen.items(), spread):
+        std = math.sqrt(ss / (n - 1)) if n > 1 and ss is not None else None
+        rows.append((name, n, mean, std, lo, *[quantile(name, at) for at in ranks[name].values()], hi))
+
+    # One row per column.
+    out = spark.createDataFrame(rows, schema)
+    return out.select("column_name", "count", *[_rounded(F.col(c), places).alias(c) if c not in ("min", "max") else c
+                                                for c in DESCRIBE_COLUMNS[2:]])
+
+
+def _rounded(c: Column, places: int) -> Column:
+    return F.when(F.abs(c) < LARGE, round2(c, places)).otherwise(F.format_string("%.9e", c).try_cast("double"))
 
 
 def describe_counted(counted: DataFrame, size: int, places: int = 6) -> DataFrame:
-    """:func:`describe_numeric` of a written table of (column_name, value, _w)
-    triples and its byte size."""
+    """The statistics of :func:`describe_numeric` for data that is already
+    counted: a written table of (column_name, value, _w) triples and its byte
+    size."""
     # A count of any size is summed in two parts, so that value times part
     # stays inside 38 digits; values beyond the decimal are summed as doubles
     # beside it.
@@ -121,13 +146,10 @@ def describe_counted(counted: DataFrame, size: int, places: int = 6) -> DataFram
         lo_v, hi_v, f = F.col(f"_{label}_lo"), F.col(f"_{label}_hi"), F.col(f"_{label}_f")
         return lo_v + (F.coalesce(hi_v, lo_v) - lo_v) * f
 
-    def r(c: Column) -> Column:
-        return F.when(F.abs(c) < LARGE, round2(c, places)).otherwise(F.format_string("%.9e", c).cast("double"))
-
     return out.select(
-        "column_name", F.col("count").cast("long").alias("count"), r(F.col("mean")).alias("mean"),
-        r(F.col("std")).alias("std"), F.col("min"),
-        *[r(interp(label)).alias(label) for label, _ in QUANTILES], F.col("max"),
+        "column_name", F.col("count").cast("long").alias("count"), _rounded(F.col("mean"), places).alias("mean"),
+        _rounded(F.col("std"), places).alias("std"), F.col("min"),
+        *[_rounded(interp(label), places).alias(label) for label, _ in QUANTILES], F.col("max"),
     )
 
 

@@ -18,6 +18,7 @@ from ledgerline.functions.money import round_sql
 from ledgerline.functions.naming import require_columns, standardize
 from ledgerline.functions.parse import date_sql, ident, number_sql, text, time_sql
 from ledgerline.rules import CATEGORY_RULES, NUMERIC_COLUMNS, SalesRules
+from ledgerline.session import cut_lineage
 
 REJECT_FLAGS = [
     "critical_null", "invalid_date", "invalid_time", "invalid_branch",
@@ -172,52 +173,84 @@ def reject_rows(flagged: DataFrame) -> DataFrame:
     return flagged.filter(_any([F.col(f) for f in ["rejected", *MISMATCH_FLAGS]]))
 
 
-def quality_metrics(both: DataFrame, rules: SalesRules) -> DataFrame:
-    """One row of BIGINT metrics plus a ``null_counts`` map.
+def _raw_columns(columns: list[str]) -> list[str]:
+    """Canonical names of the columns whose raw text a flagged frame carries."""
+    return [c.removeprefix(RAW) for c in columns if c.startswith(RAW) and c.removeprefix(RAW) in columns]
+
+
+def row_counts(columns: list[str]) -> list[Column]:
+    """Aggregates of :func:`flag_both` rows that need no grouping: rows, flags
+    and NULLs.  They can be observed while the rows are written."""
+    return [
+        F.count(F.lit(1)).alias("raw_row_count"),
+        *[F.count_if(F.col(f)).alias(FLAG_METRICS[f]) for f in FLAGS],
+        F.count_if(~F.col("rejected")).alias("clean_rows"),
+        *[F.count_if(F.col(RAW + c).isNull()).alias(f"_null_{i}") for i, c in enumerate(_raw_columns(columns))],
+    ]
+
+
+def row_hash(raw: list[str]) -> list[Column]:
+    """128 bits of hash of a raw row, as two numbers.  The hash function skips
+    NULLs, so which columns are NULL is hashed first."""
+    nulls = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in raw])
+    return [F.xxhash64(F.lit(seed), nulls, *raw).alias(f"_h{seed}") for seed in (1, 2)]
+
 
-    ``both`` has the raw text and the flags of every row
-    (:func:`flag_both`); flags follow from the raw text, so they are the same
-    in identical rows.  Plan: one shuffle groups identical raw rows (partial
-    aggregation first, so a row repeated a billion times is counted
-    map-side); every metric is a weighted sum over those distinct rows.  A
-    second, much smaller shuffle groups the distinct rows by invoice id.
-    Both branches read the same exchange (Spark reuses it), and their one-row
-    results are merged by a union and an aggregate, not a join.
+def duplicate_rows(both: DataFrame) -> DataFrame:
+    """One row: ``raw_duplicate_rows``, the raw rows beyond the first of every
+    set of identical ones.
+
+    Rows are grouped by 128 bits of hash (combined in every task first), never
+    by their text.  Only rows whose hash occurs twice are then compared in
+    full, so equal hashes of different rows change nothing.  The repeated
+    hashes are written; the rows meet them in a join that Spark broadcasts by
+    its size, hence rows without a double stay where they are.
     """
-    cols = [c.removeprefix(RAW) for c in both.columns if c.startswith(RAW) and c.removeprefix(RAW) in both.columns]
-    raw = [RAW + c for c in cols]
-    weighted = both.groupBy(*raw, *FLAGS).agg(F.count(F.lit(1)).alias("_n"))
-
-    def weighted_sum(cond: str) -> str:
-        return f"sum(CASE WHEN {cond} THEN _n ELSE 0 END)"
-
-    by_row = weighted.agg(
-        F.expr("sum(_n)").alias("raw_row_count"),
-        F.expr("sum(_n - 1)").alias("raw_duplicate_rows"),
-        *[F.expr(weighted_sum(f)).alias(FLAG_METRICS[f]) for f in FLAGS],
-        F.expr(weighted_sum("NOT rejected")).alias("clean_rows"),
-        *[F.expr(weighted_sum(f"{ident(c)} IS NULL")).alias(f"_null_{i}") for i, c in enumerate(raw)],
-    )
-    by_id = (
-        weighted.groupBy(RAW + "invoice_id")
-        .agg(F.expr("sum(_n)").alias("_rows"), F.expr("max(NOT rejected)").alias("_has_clean"))
-        .agg(
-            F.expr("sum(_rows - 1)").alias("duplicate_invoice_ids"),
-            F.expr("count_if(_rows > 1)").alias("invoice_ids_with_duplicates"),
-            F.expr("count_if(_has_clean)").alias("clean_rows_after_invoice_dedup"),
-        )
+    raw = [RAW + c for c in _raw_columns(both.columns)]
+    hashed = both.select(*raw, *row_hash(raw))
+    keys = ["_h1", "_h2"]
+    seen_twice = cut_lineage(hashed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*keys))
+    same = hashed.join(seen_twice, keys, "left_semi").groupBy(*raw).agg(F.count(F.lit(1)).alias("_n"))
+    return same.agg(F.expr("sum(_n - 1)").alias("raw_duplicate_rows"))
+
+
+def duplicate_ids(both: DataFrame) -> DataFrame:
+    """One row of counts over the invoice ids; only an id, a count and a flag
+    per task and id are shuffled."""
+    by_id = both.groupBy(RAW + "invoice_id").agg(F.count(F.lit(1)).alias("_rows"), F.expr("max(NOT rejected)").alias("_has_clean"))
+    return by_id.agg(
+        F.expr("sum(_rows - 1)").alias("duplicate_invoice_ids"),
+        F.expr("count_if(_rows > 1)").alias("invoice_ids_with_duplicates"),
+        F.expr("count_if(_has_clean)").alias("clean_rows_after_invoice_dedup"),
     )
-    merged = by_row.unionByName(by_id, allowMissingColumns=True)
-    raw_names = _raw_names(cols, rules)
+
+
+def quality_metrics(both: DataFrame, rules: SalesRules, counts: dict[str, int] | None = None) -> DataFrame:
+    """One row of BIGINT metrics plus a ``null_counts`` map.
+
+    ``both`` has the raw text and the flags of every row (:func:`flag_both`);
+    it is read up to three times, so it should be a written table.  ``counts``
+    are the values of :func:`row_counts` if they were observed while ``both``
+    was written; otherwise one aggregate finds them, one row a task.  The
+    one-row results are merged by a union and an aggregate, not a join.
+    """
+    cols = _raw_columns(both.columns)
+    if counts is None:
+        by_row = both.agg(*row_counts(both.columns))
+    else:
+        by_row = both.sparkSession.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in counts.items()])
+    merged = (by_row.unionByName(duplicate_rows(both), allowMissingColumns=True)
+              .unionByName(duplicate_ids(both), allowMissingColumns=True))
+    raw_names = _canonical_to_raw(cols, rules)
     keys = ", ".join(text(raw_names[c]) for c in cols)
     nulls = ", ".join(f"CAST(coalesce(max(_null_{i}), 0) AS BIGINT)" for i in range(len(cols)))
-    return merged.selectExpr("*").agg(
+    return merged.agg(
         *[F.expr(f"CAST(coalesce(max({m}), 0) AS BIGINT)").alias(m) for m in METRIC_COLUMNS],
         F.expr(f"map_from_arrays(array({keys}), array({nulls}))").alias("null_counts"),
     )
 
 
-def _raw_names(cols: list[str], rules: SalesRules) -> dict[str, str]:
+def _canonical_to_raw(cols: list[str], rules: SalesRules) -> dict[str, str]:
     back = {rules.canonical(r): r for r in rules.required_columns}
     return {c: back.get(c, c) for c in cols}
 

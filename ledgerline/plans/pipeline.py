@@ -1,7 +1,8 @@
 """The transform: raw rows -> flags -> clean, deduplicated rows -> star schema.
 
 The flagged rows (raw text, typed values, flags) are written once; flags,
-rejects, metrics and dedup read that table, so raw input is parsed once.
+rejects, metrics and dedup read that table, so raw input is parsed once.  Rows,
+flags and NULLs are counted while that table is written.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ledgerline.operators import quality
 from ledgerline.operators.report import sales_report
@@ -34,9 +35,21 @@ class Prepared:
     extra_columns: list[str] = field(default_factory=list)
 
     @cached_property
+    def _landed(self) -> tuple[DataFrame, dict[str, int]]:
+        """The written flagged rows, and the counts observed on the way.
+
+        The observed aggregate is part of the writing tasks; a task that runs
+        again is counted once, since Spark takes an output task's counts only
+        when it first completes.
+        """
+        flagged = quality.flag_both(self.std, self.rules)
+        seen = Observation()
+        return cut_lineage(flagged.observe(seen, *quality.row_counts(flagged.columns))), seen.get
+
+    @property
     def written(self) -> DataFrame:
         """Raw text, typed values and flags of every row, written at first use."""
-        return cut_lineage(quality.flag_both(self.std, self.rules))
+        return self._landed[0]
 
     @property
     def flagged(self) -> DataFrame:
@@ -58,9 +71,9 @@ class Prepared:
     def flags(self) -> DataFrame:
         return quality.flag_table(self.flagged)
 
-    @property
+    @cached_property
     def metrics(self) -> DataFrame:
-        return quality.quality_metrics(self.written, self.rules)
+        return quality.quality_metrics(self.written, self.rules, self._landed[1])
 
     def report(self) -> DataFrame:
         return quality.quality_report(self.metrics, self.extra_columns)

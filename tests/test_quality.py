@@ -180,3 +180,54 @@ def test_huge_amounts_do_not_stop_star_and_report(spark):
     got = {r["branch_code"]: r for r in report.sales_report(star.fact_sales, star.dim_branch, star.dim_product).collect()}
     assert got["A"]["total_sales"] == 1e30 and got["B"]["total_sales"] == 21.0
     assert report.revenue_total(star.fact_sales).first()["total_revenue"] == 1e30
+
+
+def duplicate_sets():
+    """Rows of which some repeat, some differ in one column, some only in where a NULL stands."""
+    rows = [good_row(**{"Invoice ID": f"D-{i % 40}", "Quantity": str(1 + i % 3)}) for i in range(400)]
+    rows += [good_row(**{"Branch": None, "City": "A"}), good_row(**{"Branch": "A", "City": None})]
+    rows += [good_row(**{"Gender": None, "Payment": "Male"})] * 3
+    return rows
+
+
+@pytest.mark.parametrize("kinds", [None, 1, 3])
+def test_duplicate_rows_survive_hash_collisions(spark, monkeypatch, kinds):
+    """``kinds`` hashes for all rows: every row collides with others."""
+    if kinds:
+        from pyspark.sql import functions as F
+
+        monkeypatch.setattr(quality, "row_hash", lambda raw: [
+            F.pmod(F.xxhash64(*raw), F.lit(kinds)).alias("_h1"), F.lit(0).alias("_h2")])
+    rows = duplicate_sets()
+    p = prepare(raw_frame(spark, rows), RETAIL_RULES)
+    m = p.metrics.first()
+    ids = [r[0] for r in rows]
+    assert m["raw_row_count"] == len(rows)
+    assert m["raw_duplicate_rows"] == len(rows) - len(set(map(tuple, rows)))
+    assert m["duplicate_invoice_ids"] == len(ids) - len(set(ids))
+    assert m["null_counts"]["Branch"] == 1 and m["null_counts"]["Gender"] == 3
+
+
+def test_observed_counts_equal_the_aggregate(spark):
+    p = prepare(raw_frame(spark, duplicate_sets()), RETAIL_RULES)
+    observed = p.metrics.first().asDict()
+    assert observed == quality.quality_metrics(p.written, p.rules).first().asDict()
+    assert observed["raw_row_count"] == observed["clean_rows"] + observed["rejected_rows"]
+
+
+def test_metrics_shuffle_hashes_and_ids_only(spark):
+    """No exchange of the metrics' first steps carries the raw text of all rows."""
+    p = prepare(raw_frame(spark, duplicate_sets()), RETAIL_RULES)
+    both = p.written
+    plan = quality.duplicate_ids(both)._jdf.queryExecution().optimizedPlan().toString()
+    assert "raw_invoice_id" in plan and "raw_city" not in plan.split("Relation")[0]
+    raw = [c for c in both.columns if c.startswith(quality.RAW)]
+    hashes = both.select(*raw, *quality.row_hash(raw)).groupBy("_h1", "_h2").count()
+    text = hashes._jdf.queryExecution().executedPlan().toString()
+    exchanged = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanged and all("_h1" in line and "raw_" not in line for line in exchanged)
+
+
+def test_metrics_of_no_rows(spark):
+    m = prepare(raw_frame(spark, []), RETAIL_RULES).metrics.first()
+    assert all(m[c] == 0 for c in quality.METRIC_COLUMNS) and set(m["null_counts"].values()) == {0}
