@@ -8,11 +8,13 @@ DataFrame functions only.
    merged by the aggregation.  Lines whose estimate lies within ``margin`` of
    the sites they need get an exact distinct count; the others are decided by
    the estimate, whose relative error is far below the margin.
-3. A line on ``min_sites`` or more sites is boilerplate; with ``long_sites``,
-   a line of ``LONG_WORDS`` words or ``LONG_CHARS`` characters or more already
-   is on that many, since chance rarely repeats it.  Its first document
+3. A line on ``min_sites`` or more sites is boilerplate; a line of
+   ``LONG_WORDS`` words or ``LONG_CHARS`` characters or more already is on
+   ``long_sites``, since chance rarely repeats it.  Its first document
    (smallest id) keeps it, so no content leaves the corpus altogether; all
    other documents lose every occurrence.
+4. The places of boilerplate lines in a text come from the written hashes, so
+   a text is cut in time proportional to its lines.
 
 Hot lines are combined before every shuffle; the joins are plain shuffle joins
 on written tables, which adaptive execution splits where a key is hot.
@@ -67,8 +69,8 @@ def boilerplate(docs: DataFrame, site: str, min_sites: int, margin: float, long_
     lines = docs.where("text IS NOT NULL").select(
         F.xxhash64("text").alias("text_hash"), F.col(site).alias("site"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
-        F.explode(_lines(F.col("text"))).alias("line")).where(_strip(F.col("line")) != "")
-    occurrences = written(lines.select("text_hash", _line_hash(F.col("line")).alias("h1"), F.hash(_strip(F.col("line"))).alias("h2"), "site", "id",
+        F.posexplode(_lines(F.col("text"))).alias("pos", "line")).where(_strip(F.col("line")) != "")
+    occurrences = written(lines.select("text_hash", "pos", _line_hash(F.col("line")).alias("h1"), F.hash(_strip(F.col("line"))).alias("h2"), "site", "id",
                                        _sites_needed(F.col("line"), min_sites, long_sites).alias("needed")))
 
     spread = occurrences.groupBy("h1", "h2").agg(
@@ -87,19 +89,19 @@ def boilerplate(docs: DataFrame, site: str, min_sites: int, margin: float, long_
 def _with_cleaned(docs: DataFrame, columns: list[Column], site: str, min_sites: int, margin: float, long_sites: int | None) -> DataFrame:
     """``columns`` with ``n_lines``, ``n_removed`` and ``cleaned``."""
     occurrences, common = boilerplate(docs, site, min_sites, margin, long_sites)
-    hits = (occurrences.select("text_hash", "h1", "h2").distinct().join(common, ["h1", "h2"])
-            .groupBy("text_hash").agg(F.collect_list(F.struct("h1", "keeper")).alias("hits")))
+    hits = (occurrences.select("text_hash", "pos", "h1", "h2").distinct().join(common, ["h1", "h2"])
+            .groupBy("text_hash").agg(F.collect_list(F.struct("pos", "keeper")).alias("hits")))
     hits = written(hits)
     rows = docs.select(*columns, F.col("text").alias("body"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("own_id"),
                        F.xxhash64("text").alias("text_hash"))
     # The hits of a partition's texts are a small part of the texts, so they
     # are hashed and the texts need no sort; the same plan at every size.
     rows = rows.join(hits.hint("shuffle_hash"), "text_hash", "left")
-    # A text's hits are at most its lines.
-    drop = F.transform(F.filter("hits", lambda h: h["keeper"] != F.col("own_id")), lambda h: h["h1"])
-    rows = rows.withColumn("drop", F.coalesce(drop, F.array().cast("array<long>"))).withColumn("lines", _lines(F.col("body")))
-    keep = F.when(F.size("drop") == 0, F.col("lines")).otherwise(
-        F.filter("lines", lambda x: (_strip(x) == "") | ~F.array_contains(F.col("drop"), _line_hash(x))))
+    # A text's hits are at most its lines; array_except hashes its arguments.
+    drop = F.transform(F.filter("hits", lambda h: h["keeper"] != F.col("own_id")), lambda h: h["pos"])
+    rows = rows.withColumn("drop", F.coalesce(drop, F.array().cast("array<int>"))).withColumn("lines", _lines(F.col("body")))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "drop")
+    keep = F.when(F.size("drop") == 0, F.col("lines")).otherwise(F.transform(stay, lambda i: F.get("lines", i)))
     rows = rows.withColumn("kept_lines", keep)
     return rows.select(
         *[c for c in rows.columns if c not in ("text_hash", "body", "own_id", "hits", "drop", "lines", "kept_lines")],
@@ -109,14 +111,14 @@ def _with_cleaned(docs: DataFrame, columns: list[Column], site: str, min_sites:
 
 
 def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, margin: float = MARGIN,
-                       long_sites: int | None = None) -> DataFrame:
+                       long_sites: int | None = LONG_SITES) -> DataFrame:
     """doc_id, n_lines, n_removed and the cleaned text of every row."""
     docs = docs.select("doc_id", "text", site)
     return _with_cleaned(docs, [F.col("doc_id")], site, min_sites, margin, long_sites).withColumnRenamed("cleaned", "text")
 
 
 def drop_emptied(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, margin: float = MARGIN,
-                 long_sites: int | None = None) -> DataFrame:
+                 long_sites: int | None = LONG_SITES) -> DataFrame:
     """All columns with the cleaned text and its n_chars, without rows that lost all their words."""
     named = [F.col(c).alias(f"d{i}") for i, c in enumerate(docs.columns)]
     rows = _with_cleaned(docs, named, site, min_sites, margin, long_sites)

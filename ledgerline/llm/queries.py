@@ -22,7 +22,8 @@ URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the lines that MIN_SITES or more sources share."""
+    """Every document without the lines that many sources share: LONG_SITES for
+    a longer line, MIN_SITES for any."""
     return line_dedup.remove_boilerplate(read(spark, sf_dir, "documents"))
 
 
@@ -138,17 +139,20 @@ ORACLE_SQL: dict[str, str] = {
                NOT base_failed AND lost <= 0.5 * n_words AS kept, n_removed_lines
         FROM verdict
     """,
-    "op1_line_dedup": """
+    "op1_line_dedup": rf"""
         WITH l AS (
-            SELECT d.doc_id, d.source, u.pos, u.line
+            SELECT d.doc_id, d.source, u.pos, u.line, regexp_replace(u.line, '^[{_SPACE}]+|[{_SPACE}]+$', '', 'g') AS stripped
             FROM documents d, LATERAL (SELECT unnest(string_split(d.text, chr(10))) AS line,
                                               generate_subscripts(string_split(d.text, chr(10)), 1) AS pos) u
         ), common AS (
-            SELECT trim(line) AS line, min(doc_id) AS keeper FROM l WHERE trim(line) <> ''
-            GROUP BY trim(line) HAVING count(DISTINCT source) >= 10
+            SELECT stripped, min(doc_id) AS keeper FROM l WHERE stripped <> '' GROUP BY stripped
+            HAVING count(DISTINCT source) >= {line_dedup.MIN_SITES}
+                OR (count(DISTINCT source) >= {line_dedup.LONG_SITES}
+                    AND (length(stripped) >= {line_dedup.LONG_CHARS}
+                         OR len(regexp_extract_all(stripped, '[^{_SPACE}]+')) >= {line_dedup.LONG_WORDS}))
         ), judged AS (
-            SELECT l.doc_id, l.pos, l.line, (c.line IS NOT NULL AND c.keeper <> l.doc_id) AS removed
-            FROM l LEFT JOIN common c ON c.line = trim(l.line)
+            SELECT l.doc_id, l.pos, l.line, (c.stripped IS NOT NULL AND c.keeper <> l.doc_id) AS removed
+            FROM l LEFT JOIN common c ON c.stripped = l.stripped
         ), grouped AS (
             SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed,
                    string_agg(line, chr(10) ORDER BY pos) FILTER (NOT removed) AS text

@@ -6,20 +6,29 @@ learning rate per coordinate and an L1 penalty, so only few weights are not
 zero; those are broadcast (at most ``2 ** BITS`` numbers).
 
 The classifier is fitted on a bounded sample of the labelled rows that are not
-held out: the ``MAX_SAMPLE`` ids with the smallest hash.  Features of the
-sampled texts are extracted in parallel; one task learns from them in hash
-order, several epochs, so the weights are the same on every run.  Scoring
-covers all rows in one pass without a shuffle.
+held out: the ``MAX_SAMPLE`` ids with the smallest hash, texts of at most
+``SAMPLE_TEXT_BYTES``, and of them, in hash order, as many as have
+``SAMPLE_FEATURES`` features together.  Features of the sampled texts are
+extracted in parallel; one task learns from them in hash order, several epochs,
+so the weights are the same on every run.  Scoring covers all rows, whole
+texts of any length, in one pass without a shuffle.
+
+A sample with fewer than ``MIN_CLASS`` rows of either label teaches nothing:
+without a usable model every score is practically 0 and no text is toxic.  With
+one, a text none of whose features has a weight gives no evidence, and its score
+is at most ``NO_EVIDENCE`` whatever share of the sample is toxic.
 
 Defined results: a row with a NULL id is not held out and has no label; of
-several labels of one id the larger counts, of several texts the smallest; NULL and empty texts have no
-features and get the bias's score; repeated rows each get their own score; an
-empty or one-sided label table gives the bias alone; extra columns are ignored
-by ``score`` and carried along by ``keep_clean``.
+several labels of one id the larger counts, of several texts the smallest; NULL
+and empty texts have no features; repeated rows each get their own score; an
+empty, tiny or one-sided label table is no usable model; an empty table of
+documents gives no rows; extra columns are ignored by ``score`` and carried
+along by ``keep_clean``.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -32,8 +41,13 @@ from .common import map_batches, small_batches, texts_of
 
 BITS = 20
 MAX_SAMPLE = 12_000
-# The settings below are the best of twelve on an inner split of the rows that
-# may be learnt from (ids of remainder 0 and 1 against 3).
+SAMPLE_TEXT_BYTES = 1 << 18
+SAMPLE_FEATURES = 100_000_000  # of 4 bytes each, held by the learning task
+MIN_CLASS = 10                 # sampled rows of each label that a model needs
+NO_EVIDENCE = 0.1
+NO_MODEL = (-35.0, {})         # a bias that no score survives
+# The settings below are chosen on an inner split of the rows that may be
+# learnt from (ids of remainder 0 and 1 against 3), see the README.
 MIN_ROWS = 5        # a feature of fewer sampled rows is not learnt
 EPOCHS = 8
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 8.0, 1.0
@@ -114,7 +128,8 @@ def train(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE) -> t
     sample = known.withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id").limit(max_sample)
     # At most max_sample rows of three numbers are broadcast; an id that many
     # rows share gives one text, chosen before anything is brought together.
-    found = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    short = F.coalesce(F.octet_length("text"), F.lit(0)) <= SAMPLE_TEXT_BYTES
+    found = (docs.select("doc_id", "text").where(short).join(F.broadcast(sample), "doc_id")
              .groupBy("order", "doc_id", "toxic").agg(F.min("text").alias("text")))
 
     @F.arrow_udf("binary")
@@ -124,8 +139,14 @@ def train(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE) -> t
     rows = found.select("order", "doc_id", "toxic", extract("text").alias("x"))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sample = [(np.frombuffer(x, np.int32), y) for b in batches for x, y in zip(b.column(3).to_pylist(), b.column(2).to_pylist())]
-        if not sample:
+        sample, held = [], 0
+        for b in batches:
+            for x, y in zip(b.column(3).to_pylist(), b.column(2).to_pylist()):
+                held += len(x) // 4
+                if held <= SAMPLE_FEATURES:
+                    sample.append((np.frombuffer(x, np.int32), int(y > 0)))
+        toxic = sum(y for _, y in sample)
+        if min(toxic, len(sample) - toxic) < MIN_CLASS:
             return
         bias, weights = fit(sample)
         yield pa.RecordBatch.from_arrays([pa.array([-1, *weights], pa.int64()), pa.array([bias, *weights.values()], pa.float64())],
@@ -133,11 +154,12 @@ def train(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE) -> t
 
     one = rows.repartition(1).sortWithinPartitions("order", "doc_id", "x")
     model = {r.feature: r.weight for r in map_batches(one, learn, "feature long, weight double").collect()}
-    return model.pop(-1, 0.0), model
+    return (model.pop(-1), model) if model else NO_MODEL
 
 
 def score_column(text: Column, bias: float, weights: dict[int, float], spark) -> Column:
-    """Probability of the toxic class, by the broadcast non-zero weights."""
+    """Probability of the toxic class, by the broadcast non-zero weights; without any, at most ``NO_EVIDENCE``."""
+    plain = min(bias, math.log(NO_EVIDENCE / (1 - NO_EVIDENCE)))
     shared = spark.sparkContext.broadcast((np.array(sorted(weights), np.int32), np.array([weights[k] for k in sorted(weights)])))
 
     @F.arrow_udf("double")
@@ -149,7 +171,7 @@ def score_column(text: Column, bias: float, weights: dict[int, float], spark) ->
             at = np.searchsorted(index, x)
             at[at == len(index)] = 0
             hit = index[at] == x if len(index) else np.zeros(len(x), bool)
-            out.append(bias + float(value[at[hit]].sum()) if len(index) else bias)
+            out.append(bias + float(value[at[hit]].sum()) if hit.any() else plain)
         return pa.array(1 / (1 + np.exp(-np.clip(np.array(out), -35, 35))), pa.float64())
 
     return toxicity(text)

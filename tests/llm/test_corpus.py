@@ -67,13 +67,56 @@ def test_held_out_labels_change_nothing(spark, make_docs):
     assert scores[0] == scores[1]
 
 
-def test_no_labels(spark, make_docs):
-    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-    got = toxicity.score(make_docs([(1, "a"), (2, None)]), none).collect()
-    assert {r.score for r in got} == {0.5}
-    docs = make_docs([(1, "a"), (2, None)])
-    assert toxicity.keep_clean(docs, none, threshold=.6).count() == 2
-    assert toxicity.score(make_docs([]), none).collect() == []
+def clean_and_toxic(n=40):
+    """Toxic and clean documents, and label tables that teach nothing."""
+    rows = [(i, f"clean words number {i} and more") if i % 4 else (i, f"idiot scum moron {i}") for i in range(n)]
+    labels = [(i, 1, int(i % 4 == 0)) for i in range(n)]
+    learnable = [x for x in labels if zlib.crc32(str(x[0]).encode()) % 4 != 2]
+    few = [x for x in learnable if x[2]][:toxicity.MIN_CLASS - 1] + [x for x in learnable if not x[2]]
+    return rows, {"empty": [], "tiny": labels[:8], "all toxic": [(i, 1, 1) for i in range(n)], "all clean": [(i, 1, 0) for i in range(n)],
+                  "nine toxic": few, "unknown ids": [(10 ** 6 + i, 1, y) for i, _, y in labels], "no values": [(i, 1, None) for i in range(n)]}
+
+
+@pytest.mark.parametrize("kind", ["empty", "tiny", "all toxic", "all clean", "nine toxic", "unknown ids", "no values"])
+def test_without_a_usable_model_nothing_is_toxic(spark, make_docs, kind):
+    rows, tables = clean_and_toxic(160 if kind == "nine toxic" else 40)
+    labels = spark.createDataFrame(tables[kind], "doc_id long, quality int, toxic int")
+    docs = make_docs(rows + [(500, None), (501, "")])
+    got = toxicity.score(docs, labels).collect()
+    assert len(got) == len(rows) + 2 and all(0 <= r.score < .01 and r.predicted == 0 for r in got)
+    assert toxicity.keep_clean(docs, labels).count() == len(rows) + 2
+    assert toxicity.score(make_docs([]), labels).collect() == []
+
+
+def test_a_mostly_toxic_sample_does_not_condemn_unknown_words(spark, make_docs):
+    rows = [(i, f"idiot scum moron {i}" if i % 4 else f"kind words {i}") for i in range(200)]
+    rows += [(1000 + i, f"nothing{i} seen{i} before{i}") for i in range(20)] + [(2000, None), (2001, "")]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 > 0)) for i in range(200)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in toxicity.score(make_docs(rows), labels).collect()}
+    assert all(got[i].score <= toxicity.NO_EVIDENCE + 1e-9 for i in got if i >= 1000)
+    assert all(got[i].predicted == int(i % 4 > 0) for i in range(200))
+
+
+def test_sample_is_bounded_in_bytes(spark, make_docs, monkeypatch):
+    rows, labels = labelled(300)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    whole = toxicity.train(make_docs(rows), table)
+    monkeypatch.setattr(toxicity, "SAMPLE_TEXT_BYTES", 200)
+    short = [(i, t) for i, t in rows if len(t) <= 200]
+    assert 0 < len(short) < len(rows)
+    assert toxicity.train(make_docs(rows), table) == toxicity.train(make_docs(short), table) != whole
+    monkeypatch.setattr(toxicity, "SAMPLE_FEATURES", 30)
+    assert toxicity.train(make_docs(rows), table) == toxicity.NO_MODEL
+
+
+def test_pipeline_keeps_clean_documents_without_labels(spark, make_docs, tmp_path):
+    docs, labels = pipeline_fixture()
+    for name, table in (("none", []), ("few", labels[:8])):
+        make_docs(docs, extra=False).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame(table, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        kept = corpus_pipeline.not_toxic(spark, read(spark, f"{tmp_path}/{name}", "documents"), f"{tmp_path}/{name}")
+        assert kept.count() == len(docs)
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").agg(F.countDistinct("doc_id")).first()[0] > 100
 
 
 def test_features_of_short_texts():
@@ -103,7 +146,7 @@ def test_pipeline_stages(spark):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "labels"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{MEDIUM}/{t}.parquet')")
     return con
 
@@ -121,7 +164,7 @@ def test_queries_match_their_sql(spark, duck, name):
 
 def test_all_queries_are_registered():
     found = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(bool(re.match(f"op{n}_", q)) for q in found) == 1
     assert "pipeline" in found
 
@@ -163,7 +206,11 @@ def slow_scores(rows, labels):
                 z[f] += g - (math.sqrt(n[f] + g * g) - math.sqrt(n[f])) / 2.0 * w[f]
                 n[f] += g * g
     used = set(z) - {"bias"}
-    return [sigmoid(weight("bias") + sum(weight(f) for f in slow_features(t or "") & used)) for _, t in rows]
+    out = []
+    for _, t in rows:
+        w = [x for f in slow_features(t or "") & used if (x := weight(f))]
+        out.append(sigmoid(weight("bias") + sum(w)) if w else min(.1, sigmoid(weight("bias"))))
+    return out
 
 
 def test_scores_equal_a_plain_learner(spark, make_docs):

@@ -2,12 +2,14 @@
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
+import duckdb
 from hypothesis import given, settings, strategies as st
 
 import corpus_pipeline
-from ledgerline.llm import line_dedup, quality_rules, url_filter
+from ledgerline.llm import line_dedup, quality_rules, queries, url_filter
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -131,7 +133,7 @@ def test_line_dedup(make_docs):
     rows += [(1000, None, "a"), (1001, "", "a"), (1002, "\n \n", None), (5, rows[5][1], rows[5][2]), (5, rows[5][1], rows[5][2])]
     docs = make_docs(rows)
     for least in (3, 10, 25):
-        got = line_dedup.remove_boilerplate(docs, min_sites=least)
+        got = line_dedup.remove_boilerplate(docs, min_sites=least, long_sites=None)
         assert sorted(str(tuple(r)) for r in got.collect()) == slow_dedup(rows, least)
 
 
@@ -181,3 +183,32 @@ def test_line_ends_do_not_split_a_line(make_docs):
     assert got[0].text == rows[0][1] and got[0].n_removed == 0
     for i in range(1, 12):
         assert got[i].text == f"\tfirst {i}\r\n\r\n\t\nlast {i}" and (got[i].n_lines, got[i].n_removed) == (5, 1)
+
+
+def test_query_and_sql_have_one_rule(spark, make_docs, tmp_path):
+    """Lines on two to twelve sites, short and long, with all kinds of line ends."""
+    lines = {f"a line of several words {n}": n for n in range(2, 13)} | {f"w{n}.": n for n in range(2, 13)} | {f"{n} two": n for n in range(8, 13)}
+    lines |= {"一" * 24: 3, "二" * 23: 9}
+    ends, rows = ["", "\r", "\t", " \x0b\x0c\r", "  "], []
+    for line, n in lines.items():
+        for site in range(n):
+            rows.append((len(rows), f"own {len(rows)}\r\n{ends[len(rows) % 5]}{line}{ends[len(rows) % 4]}\n\t\n{line}", f"s{site}"))
+    rows += [(5_000, None, "s1"), (5_001, "", "s1"), (5_002, "\r\n\r", "s2")]
+    make_docs(rows, extra=False).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op1_line_dedup(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    res = con.execute(queries.ORACLE_SQL["op1_line_dedup"])
+    at = [[d[0] for d in res.description].index(c) for c in got.columns]
+    want = sorted(str([r[i] for i in at]) for r in res.fetchall())
+    assert sorted(str(list(r)) for r in got.collect()) == want
+    assert got.where("n_removed > 0").count() == sum(n - 1 for x, n in lines.items() if n >= (3 if len(x.split()) > 2 or len(x) >= 24 else 10))
+
+
+def test_a_long_text_of_boilerplate_is_cut_in_linear_time(make_docs):
+    shared = "\n".join(f"shared line {i}" for i in range(30_000))
+    rows = [(i, f"{shared}\nown {i}", f"s{i}") for i in range(4)]
+    begun = time.monotonic()
+    got = {r.doc_id: r for r in line_dedup.remove_boilerplate(make_docs(rows)).collect()}
+    assert got[0].n_removed == 0 and all(got[i].text == f"own {i}" and got[i].n_removed == 30_000 for i in (1, 2, 3))
+    assert time.monotonic() - begun < 60
