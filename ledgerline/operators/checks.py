@@ -92,6 +92,28 @@ def assert_counts(counts: DataFrame, expected: dict[str, tuple[int | None, int |
     return failures
 
 
+def expected_counts(counts: DataFrame, expected: dict[str, tuple[int | None, int | None]]) -> DataFrame:
+    """(table_name, row_count, least, most, as_expected) for every expected
+    table; a table without a count has a NULL one and is not as expected."""
+    rows = [(table, lo, hi) for table, (lo, hi) in expected.items()]
+    wanted = counts.sparkSession.createDataFrame(rows, "table_name string, least bigint, most bigint")
+    n = F.col("row_count")
+    met = n.isNotNull() & F.coalesce(n >= F.col("least"), F.lit(True)) & F.coalesce(n <= F.col("most"), F.lit(True))
+    return wanted.join(counts, "table_name", "left").select("table_name", "row_count", "least", "most", met.alias("as_expected"))
+
+
+def required_columns(df: DataFrame, required: list[str]) -> DataFrame:
+    """(column_name, present, non_null) for every required raw column, found by
+    its trimmed name; a missing one has no count.  One aggregate over the rows."""
+    found = {c.strip(): c for c in df.columns}
+    held = {r: found[r.strip()] for r in required if r.strip() in found}
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(ident(c))).alias(f"_{i}") for i, c in enumerate(held.values())])
+    place = {r: i for i, r in enumerate(held)}
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(r).alias("column_name"), F.lit(r in held).alias("present"),
+                 (F.col(f"_{place[r]}") if r in held else F.lit(None)).cast("long").alias("non_null")) for r in required])))
+
+
 def fact_assertions(fact: DataFrame, dim_branch: DataFrame, dim_product: DataFrame, rules) -> DataFrame:
     """(assertion, violations): value rules that every published fact row keeps.
 

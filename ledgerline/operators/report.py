@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.money import beyond_sum, exact_sum, percent_of, round2, total
+from ledgerline.functions.money import MONEY_SUM_TYPE, beyond_sum, exact_sum, percent_of, round2, round_sql, total
 
 REPORT_COLUMNS = [
     "branch_code", "city", "product_line", "transaction_count", "total_units_sold",
@@ -73,6 +73,59 @@ def sales_report(fact: DataFrame, dim_branch: DataFrame, dim_product: DataFrame,
     return out
 
 
+def _exact(c: str) -> str:
+    return f"try_sum(try_cast({c} AS {MONEY_SUM_TYPE}))"
+
+
+def _beyond(c: str) -> str:
+    return f"sum(CASE WHEN try_cast({c} AS {MONEY_SUM_TYPE}) IS NULL THEN {c} END)"
+
+
+def _total(exact: str, beyond: str) -> str:
+    return (f"CASE WHEN {beyond} IS NULL THEN cast({exact} AS double) "
+            f"ELSE coalesce(cast({exact} AS double), 0D) + {beyond} END")
+
+
+def report_sql(fact: str, dim_branch: str, dim_product: str) -> str:
+    """The text of :func:`sales_report` over named tables, for a catalog view.
+
+    The same plan: the fact by its integer keys, the dimensions joined to the
+    sums, windows over one row per branch, city and product line.
+    """
+    def cents(exact: str, beyond: str) -> str:
+        return f"CASE WHEN {beyond} IS NULL THEN {round_sql(exact)} ELSE {round_sql(_total(exact, beyond))} END"
+
+    branch = "PARTITION BY branch_code"
+    whole = f"CASE WHEN sum(sales_x) OVER ({branch}) IS NULL THEN cast(try_sum(sales) OVER ({branch}) AS double) " \
+            f"ELSE coalesce(cast(try_sum(sales) OVER ({branch}) AS double), 0D) + sum(sales_x) OVER ({branch}) END"
+    return f"""
+WITH per_key AS (
+  SELECT branch_key, product_key, count(sales_key) AS n, sum(cast(quantity AS decimal(20,0))) AS units,
+         {_exact("total_amount")} AS sales, {_beyond("total_amount")} AS sales_x,
+         {_exact("gross_income")} AS income, {_beyond("gross_income")} AS income_x,
+         {_exact("rating")} AS rating_sum, count(rating) AS rating_n
+  FROM {fact} GROUP BY branch_key, product_key
+), named AS (
+  SELECT branch_code, city, product_line, sum(n) AS n, sum(units) AS units, try_sum(sales) AS sales, sum(sales_x) AS sales_x,
+         try_sum(income) AS income, sum(income_x) AS income_x, sum(rating_sum) AS rating_sum, sum(rating_n) AS rating_n
+  FROM per_key JOIN {dim_branch} USING (branch_key) JOIN {dim_product} USING (product_key)
+  GROUP BY branch_code, city, product_line
+), totals AS (
+  SELECT *, {_total("sales", "sales_x")} AS whole_sales FROM named
+), shares AS (
+  SELECT *, {whole} AS branch_sales,
+         rank() OVER ({branch} ORDER BY whole_sales DESC, sales DESC) AS place
+  FROM totals
+)
+SELECT branch_code, city, product_line, n AS transaction_count, try_cast(units AS bigint) AS total_units_sold,
+       {cents("sales", "sales_x")} AS total_sales, {cents("income", "income_x")} AS total_gross_income,
+       {round_sql("try_divide(cast(rating_sum AS double), rating_n)")} AS avg_rating,
+       cast(place AS int) AS sales_rank_within_branch,
+       {round_sql("try_divide(whole_sales * 100D, CASE WHEN branch_sales <> 0 THEN branch_sales END)")} AS pct_of_branch_sales
+FROM shares
+"""
+
+
 def top_products_per_branch(report: DataFrame, n: int) -> DataFrame:
     """The top-``n`` ranked rows of every branch (ties at the cut included)."""
     return report.filter(F.col("sales_rank_within_branch") <= n)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.money import round2
 from ledgerline.functions.parse import date_to_iso
-from ledgerline.operators import checks, profile, quality, report
+from ledgerline.operators import checks, profile, quality, quantiles, report
 from ledgerline.functions.naming import replacement_name
 from ledgerline.operators.keys import dense_key_small
 from ledgerline.operators.star import StarSchema
@@ -28,9 +28,17 @@ from ledgerline.rules import FACT_COLUMNS, NUMERIC_COLUMNS, driver_table_rules
 from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sources.csv import read_csv_strings, write_csv, write_json
 from ledgerline.sources.tables import landed_sales_view, view_key
+from ledgerline.streaming.incremental import start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Expected rows of the published tables (least, most): a fact worth a report,
+# at most one branch per nation, one product line or more.
+EXPECTED_ROWS = {"dim_branch": (1, 25), "dim_product": (1, None), "fact_sales": (1000, None), "dim_customer": (1, None)}
+
+# Raw columns that the schema check's file lacks or has under another name.
+DROPPED, RENAMED = ["Rating", "gross income"], {"City": "Town"}
+
 # Load batches for the upsert queries: the first load holds rows shipped
 # before 1999, the second rows shipped from mid-1998 on, so half a year of
 # invoices arrives twice (matched keys) and the rest is new.
@@ -270,8 +278,8 @@ def q_staged_publish(spark, sf_dir):
     return report.sales_report(t.fact_sales, t.dim_branch, t.dim_product)
 
 
-def _good_and_bad_load(spark, sf_dir) -> tuple[Warehouse, StarSchema]:
-    wh = Warehouse(spark, scratch_dir(spark) + "/warehouse")
+def _good_and_bad_load(spark, sf_dir, view: str | None = None) -> tuple[Warehouse, StarSchema]:
+    wh = Warehouse(spark, scratch_dir(spark) + "/warehouse", view=view)
     s = star(spark, sf_dir)
     wh.load(s, run_id="good")
     broken = s.fact_sales.withColumn("rating", F.raise_error(F.lit("broken source")).cast("double"))
@@ -347,6 +355,59 @@ def q_fact_assertions(spark, sf_dir):
     return checks.fact_assertions(s.fact_sales, s.dim_branch, s.dim_product, driver_table_rules())
 
 
+def q_report_view(spark, sf_dir):
+    """The report view, selected with SQL after a published load and a failed one."""
+    view = f"vw_sales_report_{uuid.uuid4().hex}"
+    wh, _ = _good_and_bad_load(spark, sf_dir, view)
+    return spark.sql(f"SELECT * FROM {view}")
+
+
+def q_stream_rerun(spark, sf_dir):
+    """Two batches of CSV files taken in by the stream, one run each, then a
+    run without new files: the published fact."""
+    folder = scratch_dir(spark)
+    for batch in ({"ship_before": FIRST_LOAD_BEFORE}, {"ship_from": SECOND_LOAD_FROM}, None):
+        if batch is not None:
+            write_csv(landed_sales_view(spark, sf_dir, **batch), f"{folder}/in/{next(iter(batch))}")
+        query = start_ingest(spark, f"{folder}/in", f"{folder}/warehouse", f"{folder}/stream", driver_table_rules())
+        query.awaitTermination()
+        if query.exception():
+            raise query.exception()
+    return Warehouse(spark, f"{folder}/warehouse").read("fact_sales")
+
+
+def q_required_columns(spark, sf_dir):
+    """Which required raw columns a file has that lacks two and renamed one."""
+    raw = landed_sales_view(spark, sf_dir).drop(*DROPPED).withColumnsRenamed(RENAMED)
+    return checks.required_columns(raw, driver_table_rules().required_columns)
+
+
+def q_expected_counts(spark, sf_dir):
+    """Row counts of the tables against what is expected; one table is missing."""
+    return checks.expected_counts(q_row_counts(spark, sf_dir), EXPECTED_ROWS)
+
+
+def q_approx_quantiles(spark, sf_dir):
+    """Quantiles from the sketches that two loads stored, without their rows;
+    ``within_error`` is the exact test of each value's rank over all rows."""
+    path = scratch_dir(spark) + "/sketches"
+    cols = {c: c for c in NUMERIC_COLUMNS}
+    flagged = prepared(spark, sf_dir).flagged
+    second = F.coalesce(F.year("sale_date") >= 1996, F.lit(False))
+    for load in (flagged.where(~second), flagged.where(second)):
+        quantiles.column_sketches(load, cols).write.mode("append").parquet(path)
+    merged = quantiles.sketch_quantiles(quantiles.merge_sketches(spark.read.parquet(path)), profile.QUANTILES).collect()
+    values = {(r["column_name"], label): r[label] for r in merged for label, _ in profile.QUANTILES}
+    shares = quantiles.rank_shares(flagged, cols, values)
+    rows = []
+    for label, p in profile.QUANTILES:
+        for r in merged:
+            below, upto, n = shares[r["column_name"], label]
+            close = below - quantiles.RANK_ERROR * n <= p * n <= upto + quantiles.RANK_ERROR * n
+            rows.append((r["column_name"], p, r["count"], r["min"], r["max"], close and r["count"] == n))
+    return spark.createDataFrame(rows, "column_name string, quantile double, count long, min double, max double, within_error boolean")
+
+
 def _driver_types(query: Query) -> Query:
     """Emit DATE columns as TIMESTAMP_NTZ at midnight.
 
@@ -411,6 +472,11 @@ _QUERIES: dict[str, Query] = {
     "batch_run": q_batch_run,
     "fact_assertions": q_fact_assertions,
     "upsert_branch_city": q_upsert_branch_city,
+    "report_view": q_report_view,
+    "stream_rerun": q_stream_rerun,
+    "required_columns": q_required_columns,
+    "expected_counts": q_expected_counts,
+    "approx_quantiles": q_approx_quantiles,
 }
 
 QUERIES: dict[str, Query] = {name: _driver_types(q) for name, q in _QUERIES.items()}

@@ -299,23 +299,19 @@ FROM summed JOIN spread USING (column_name)""".replace("\n,\nlong", ",\nlong"))
 
 
 def _histogram() -> str:
+    """Every value compared with the edges of all bins; the last bin is closed."""
     def edge(i: str) -> str:
         return f"CASE WHEN {i} = 20 THEN hi ELSE CAST({i} AS DOUBLE) * ((hi - lo) / 20.0) + lo END"
 
-    i0 = "LEAST(CAST(floor((rating - lo) / (hi - lo) * 20.0) AS INTEGER), 19)"
-    i1 = f"CASE WHEN rating < {edge('i0')} THEN i0 - 1 ELSE i0 END"
-    i2 = f"CASE WHEN rating >= {edge('i1 + 1')} AND i1 <> 19 THEN i1 + 1 ELSE i1 END"
     return with_stages(f""",
 bounds0 AS (SELECT min(rating) AS lo0, max(rating) AS hi0 FROM typed),
 bounds AS (SELECT CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo,
                   CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM bounds0),
-b0 AS (SELECT rating, lo, hi, {i0} AS i0 FROM typed, bounds WHERE rating IS NOT NULL),
-b1 AS (SELECT *, {i1} AS i1 FROM b0),
-counts AS (SELECT {i2} AS bin, count(*) AS n FROM b1 GROUP BY 1),
-bins AS (SELECT CAST(range AS INTEGER) AS bin FROM range(20))
-SELECT bins.bin, {edge('bins.bin')} AS lower_edge, {edge('bins.bin + 1')} AS upper_edge,
-       CAST(coalesce(n, 0) AS BIGINT) AS "count"
-FROM bins CROSS JOIN bounds LEFT JOIN counts ON bins.bin = counts.bin""")
+bins AS (SELECT CAST(range AS INTEGER) AS bin, {edge("range")} AS lower_edge, {edge("range + 1")} AS upper_edge
+         FROM range(20), bounds)
+SELECT bin, any_value(lower_edge) AS lower_edge, any_value(upper_edge) AS upper_edge, CAST(count(rating) AS BIGINT) AS "count"
+FROM bins LEFT JOIN typed ON rating >= lower_edge AND (rating < upper_edge OR bin = 19 AND rating = upper_edge)
+GROUP BY bin""")
 
 
 def _pivot(measure: str) -> str:
@@ -460,6 +456,21 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT '{r}' AS run, '{step}' AS step, '{o}' AS outcome, CAST(5 AS BIGINT) AS total, "
         "(SELECT CAST(count(*) AS BIGINT) FROM fact) AS published_rows" for r, step, o in _SUMMARY_ROWS)),
     "export_roundtrip": with_stages("SELECT * FROM fact"),
+    "report_view": SALES_REPORT,
+    "stream_rerun": _upsert("fact_m"),
+    "required_columns": with_stages(" UNION ALL ".join(
+        f"SELECT '{RAW_NAMES[c]}' AS column_name, " + ("false AS present, CAST(NULL AS BIGINT) AS non_null FROM (SELECT count(*) FROM raw)"
+        if RAW_NAMES[c] in ("Rating", "gross income", "City") else f"true AS present, CAST(count({c}) AS BIGINT) AS non_null FROM raw")
+        for c in RAW_COLUMNS)),
+    "expected_counts": with_stages(
+        "SELECT 'dim_branch' AS table_name, CAST(count(*) AS BIGINT) AS row_count, CAST(1 AS BIGINT) AS least, CAST(25 AS BIGINT) AS most, "
+        "count(*) BETWEEN 1 AND 25 AS as_expected FROM dim_branch "
+        "UNION ALL SELECT 'dim_product', count(*), 1, NULL, count(*) >= 1 FROM dim_product "
+        "UNION ALL SELECT 'fact_sales', count(*), 1000, NULL, count(*) >= 1000 FROM fact "
+        "UNION ALL SELECT 'dim_customer', NULL, 1, NULL, false FROM (SELECT count(*) FROM raw)"),
+    "approx_quantiles": with_stages(" UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({p} AS DOUBLE) AS quantile, CAST(count({c}) AS BIGINT) AS count, min({c}) AS min, max({c}) AS max, "
+        f"true AS within_error FROM typed" for c in NUMERIC for p in (0.25, 0.5, 0.75))),
     "batch_run": SALES_REPORT,
     "sales_report": SALES_REPORT,
     "report_topn": REPORT_TOPN,
@@ -530,7 +541,7 @@ ORACLE_SQL: dict[str, str] = {
 # Queries whose result holds the DATE column sale_date: emitted as TIMESTAMP
 # (midnight), as the Spark catalog does (see ``catalog._driver_types``).
 for _name in ["coerce_dates_times_numbers", "dq_rejects", "clean_sales", "fact_sales",
-              "parquet_roundtrip", "upsert_fact", "export_roundtrip"]:
+              "parquet_roundtrip", "upsert_fact", "export_roundtrip", "stream_rerun"]:
     _sql = ORACLE_SQL[_name]
     _head, _sep, _body = _sql.rpartition("\nSELECT ")
     ORACLE_SQL[_name] = (_head + "\nSELECT * REPLACE (CAST(sale_date AS TIMESTAMP) AS sale_date) FROM (SELECT "

@@ -18,6 +18,11 @@ fact in place.  Upserts read the current version and write a new one, never
 their input.  A load summary (succeeded and failed steps) is written in every
 case, also when building the tables fails.  After a publish, versions other
 than the newest ``keep_versions`` are removed.
+
+With ``view`` set, the sales report is a view of that name in the session
+catalog: plain SQL over the published version's tables.  Each publish points
+it at the new version before the old one can be removed; a failed load leaves
+it as it is, and a new session gets it back with :meth:`Warehouse.point_view`.
 """
 
 from __future__ import annotations
@@ -32,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators import checks
+from ledgerline.operators.report import report_sql
 from ledgerline.operators.star import StarSchema, attach_dimension_keys, fact_projection, member_rows
 from ledgerline.operators.upsert import insert_missing, upsert
 from ledgerline.session import cut_lineage, cut_table, folder_bytes
@@ -90,11 +96,13 @@ class LoadSummary:
 class Warehouse:
     """A directory of versioned warehouse tables with numbered manifests."""
 
-    def __init__(self, spark: SparkSession, root: str, fact_buckets: int | None = None, keep_versions: int = 2):
+    def __init__(self, spark: SparkSession, root: str, fact_buckets: int | None = None, keep_versions: int = 2,
+                 view: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.fact_buckets = fact_buckets
         self.keep_versions = keep_versions
+        self.view = view
         self._written: dict[str, int] = {}
 
     def version_path(self, version: str, table: str) -> str:
@@ -179,6 +187,25 @@ class Warehouse:
         return StarSchema(*[self.read(t, version) for t in TABLE_NAMES],
                           fact_bytes=folder_bytes(self.spark, self.version_path(version, "fact_sales")))
 
+    # -- the report as a view --------------------------------------------------
+
+    def point_view(self) -> None:
+        """Create or replace the report view over the published version."""
+        if self.view is None:
+            return
+        version = self.current()
+        if version is None:
+            raise FileNotFoundError(f"No published version under {self.root}")
+        self.read("fact_sales", version)  # registers the version's fact
+        buckets = (self.manifest() or {}).get("fact_buckets")
+        fact = self._table_name(version) if buckets is not None else self._files(version, "fact_sales")
+        text = report_sql(fact, self._files(version, "dim_branch"), self._files(version, "dim_product"))
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.view} AS {text}")
+
+    def _files(self, version: str, table: str) -> str:
+        """A table of a version as SQL names Parquet files."""
+        return "parquet.`" + self.version_path(version, table).replace("`", "``") + "`"
+
     # -- loading ---------------------------------------------------------------
 
     def _write_fact(self, star: StarSchema, version: str) -> None:
@@ -259,6 +286,7 @@ class Warehouse:
             self._remove(version)
             raise RuntimeError(f"Load incomplete; succeeded: {summary.succeeded}, failed: {summary.failed}; "
                                f"published version unchanged; {'; '.join(summary.errors)}")
+        self.point_view()
         self.retire()
         if export_dir:
             self.export_csv(export_dir, version)
