@@ -50,7 +50,7 @@ NO_MODEL = (-35.0, {})         # a bias that no score survives
 # learnt from (ids of remainder 0 and 1 against 3), see the README.
 MIN_ROWS = 5        # a feature of fewer sampled rows is not learnt
 EPOCHS = 8
-ALPHA, BETA, L1, L2 = 2.0, 1.0, 8.0, 1.0
+ALPHA, BETA, L1, L2 = 4.0, 1.0, 8.0, 1.0
 THRESHOLD = 0.3
 CACHE_ENTRIES = 100_000
 

@@ -191,7 +191,7 @@ def slow_scores(rows, labels):
     z, n = defaultdict(float), defaultdict(float)
 
     def weight(f):
-        rate = (1.0 + math.sqrt(n[f])) / 2.0
+        rate = (1.0 + math.sqrt(n[f])) / 4.0
         if f == "bias":
             return -z[f] / rate
         return 0.0 if abs(z[f]) <= 8.0 else (math.copysign(8.0, z[f]) - z[f]) / (rate + 1.0)
@@ -203,7 +203,7 @@ def slow_scores(rows, labels):
             w = {f: weight(f) for f in x}
             g = sigmoid(sum(w.values())) - truth[i]
             for f in x:
-                z[f] += g - (math.sqrt(n[f] + g * g) - math.sqrt(n[f])) / 2.0 * w[f]
+                z[f] += g - (math.sqrt(n[f] + g * g) - math.sqrt(n[f])) / 4.0 * w[f]
                 n[f] += g * g
     used = set(z) - {"bias"}
     out = []
