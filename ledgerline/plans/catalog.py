@@ -131,7 +131,7 @@ def q_fk_orphans(spark, sf_dir):
 
 def q_constraint_checks(spark, sf_dir):
     s = star(spark, sf_dir)
-    return checks.constraint_report(s.dim_branch, s.dim_product, s.fact_sales)
+    return checks.constraint_report(s.dim_branch, s.dim_product, s.fact_sales, in_key_order=True)
 
 
 def q_row_counts(spark, sf_dir):

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from ledgerline.operators import checks
@@ -69,3 +71,69 @@ def test_cut_lineage_writes_under_checkpoint_dir(spark):
         return uri.split(":", 1)[-1].lstrip("/")
 
     assert all(path(f).startswith(path(folder)) for f in cut.inputFiles())
+
+
+def keyed_fact(spark, keys, parts=4):
+    """A fact whose rows lie in the given order, ``parts`` tasks of neighbours."""
+    rows = [(k, f"i{n}", 1 + n % 3, 1 + n % 2) for n, k in enumerate(keys)]
+    return spark.createDataFrame(spark.sparkContext.parallelize(rows, parts), "sales_key long, invoice_id string, branch_key long, product_key long")
+
+
+def dims(spark):
+    return (spark.createDataFrame([(i, f"b{i}", "x") for i in (1, 2, 3)], "branch_key long, branch_code string, city string"),
+            spark.createDataFrame([(i, f"p{i}") for i in (1, 2)], "product_key long, product_line string"))
+
+
+@pytest.mark.parametrize("name,keys,proved", [
+    ("dense", list(range(1, 401)), True),
+    ("shuffled tasks", [*range(301, 401), *range(1, 101), *range(201, 301), *range(101, 201)], True),
+    ("gap between runs", [*range(1, 101), *range(500, 800)], True),
+    ("repeated run", [*range(1, 101), *range(1, 101), *range(101, 201), *range(101, 201)], True),
+    ("overlap", [*range(1, 101), *range(51, 151), *range(140, 340)], True),
+    ("one key twice", [*range(1, 51), 50, *range(51, 400)], True),
+    ("one key for all", [7] * 400, True),
+    ("hole", [1, 2, 900, 4, 5, 900, 7, 8, 9, 10] * 40, False),
+    ("NULL keys", [*range(1, 200), None, *range(201, 399), None, None], True),
+    ("empty", [], True),
+])
+def test_runs_count_repeats_exactly(spark, name, keys, proved):
+    fact = keyed_fact(spark, keys)
+    held = [k for k in keys if k is not None]
+    cells = cut_lineage(checks.key_runs(fact, "sales_key", ["branch_key", "product_key"]))
+    repeats = checks.repeats_of_runs(cells)
+    assert (repeats is not None) == proved
+    assert repeats is None or repeats == len(held) - len(set(held))
+    got = {tuple(r)[:2]: r["violations"] for r in checks.constraint_report(*dims(spark), fact, in_key_order=True).collect()}
+    plain = {tuple(r)[:2]: r["violations"] for r in checks.constraint_report(*dims(spark), fact).collect()}
+    assert got == plain and got["fact_sales", "pk_unique"] == len(held) - len(set(held))
+    assert got["fact_sales", "pk_not_null"] == len(keys) - len(held)
+
+
+def test_many_runs_fall_back(spark, monkeypatch):
+    monkeypatch.setattr(checks, "MAX_RUNS", 3)
+    fact = keyed_fact(spark, [*range(1, 101), *range(51, 151), *range(200, 400)])
+    assert checks.repeats_of_runs(cut_lineage(checks.key_runs(fact, "sales_key", []))) is None
+    got = {tuple(r)[:2]: r["violations"] for r in checks.constraint_report(*dims(spark), fact, in_key_order=True).collect()}
+    assert got["fact_sales", "pk_unique"] == 50
+
+
+def test_no_exchange_of_the_keys_in_order(spark):
+    """A fact as the key assignment leaves it has about one run a task."""
+    from ledgerline.operators.keys import dense_key_large
+
+    ids = spark.range(20_000).selectExpr("concat('I', id) AS invoice_id", "1L AS branch_key", "1L AS product_key")
+    fact = dense_key_large(ids, "invoice_id", "sales_key", size=0, partitions=12)
+    cells = checks.key_runs(fact, "sales_key", ["branch_key", "product_key"])
+    assert cells.count() <= 24
+    text = cells._jdf.queryExecution().executedPlan().toString()
+    assert all("sales_key" not in line for line in text.splitlines() if "Exchange hashpartitioning" in line)
+
+
+def test_expected_counts_and_required_columns(spark):
+    counts = spark.createDataFrame([("a", 5), ("b", 0), ("c", 9)], "table_name string, row_count long")
+    got = checks.expected_counts(counts, {"a": (1, 5), "b": (1, None), "c": (None, 8), "d": (None, None)})
+    assert {r["table_name"]: (r["row_count"], r["as_expected"]) for r in got.collect()} == {
+        "a": (5, True), "b": (0, False), "c": (9, False), "d": (None, False)}
+    raw = spark.createDataFrame([("x", None), ("y", "1"), (None, "2")], "` Total ` string, other string")
+    assert [tuple(r) for r in checks.required_columns(raw, ["Total", "Rating"]).collect()] == [("Total", True, 2), ("Rating", False, None)]
+    assert [tuple(r) for r in checks.required_columns(raw.limit(0), ["Total"]).collect()] == [("Total", True, 0)]

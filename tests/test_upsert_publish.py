@@ -222,3 +222,36 @@ def test_dimensions_do_not_build_the_fact(spark):
         assert star.dim_branch.count() == 3
         assert len(made) == 2                                         # the members and the branches
         assert star.fact_sales.count() == 4
+
+
+def test_report_view_follows_the_published_version(spark, tmp_path):
+    from ledgerline.operators.report import sales_report
+
+    def shown(wh):
+        t = wh.tables()
+        want = sorted(map(tuple, sales_report(t.fact_sales, t.dim_branch, t.dim_product).collect()))
+        got = spark.sql("SELECT * FROM vw_report_test")
+        assert got.dtypes == sales_report(t.fact_sales, t.dim_branch, t.dim_product).dtypes
+        assert sorted(map(tuple, got.collect())) == want
+        return want
+
+    root = str(tmp_path / "wh")
+    wh = Warehouse(spark, root, keep_versions=1, view="vw_report_test")
+    with pytest.raises(FileNotFoundError):
+        wh.point_view()
+    wh.load(transform(raw_frame(spark, SAMPLE_ROWS[:2]), RETAIL_RULES)[0])
+    first = shown(wh)
+    star = transform(raw_frame(spark, SAMPLE_ROWS), RETAIL_RULES)[0]
+    broken = type(star)(star.dim_branch, star.dim_product, star.fact_sales.withColumn(
+        "rating", F.raise_error(F.lit("broken source")).cast("double")))
+    with pytest.raises(RuntimeError):
+        wh.load(broken)
+    assert shown(wh) == first                        # a failed load leaves the view
+    huge = good_row(**{"Invoice ID": "INV-900", "Total": "1e30", "gross income": "1e28", "cogs": "0", "Tax 5%": "0"})
+    second = prepare(raw_frame(spark, [*SAMPLE_ROWS, huge]), RETAIL_RULES).clean_dedup
+    wh.load(lambda: merge_into(wh.tables(), second))
+    assert shown(wh) != first                        # the first version is gone, the view shows the second
+    spark.sql("DROP VIEW vw_report_test")
+    Warehouse(spark, root, view="vw_report_test").point_view()
+    shown(wh)
+    spark.sql("DROP VIEW vw_report_test")
