@@ -21,7 +21,10 @@ token marks are lower-cased and cut by the tokenizer's pattern; any other text
 is cut at ASCII white space only and left to the library inside the words.
 
 Defined results: NULL text is empty (no tokens, digests of nothing); repeated
-rows and NULL ids keep their own row; extra columns are ignored.
+rows and NULL ids keep their own row; a text longer than a block is a block of
+its own; an empty table gives no rows; extra columns are ignored.  The table is
+read twice and must come in the same order both times, as a scan or a written
+table does; an order that changes is found by the checksum and raises.
 """
 
 from __future__ import annotations

@@ -38,12 +38,3 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable
 def texts_of(column: pa.Array) -> list[str]:
     """Python strings of a text column, NULL as empty."""
     return [t or "" for t in column.to_pylist()]
-
-
-def fresh(df: DataFrame, base: str) -> str:
-    """A column name that no column of ``df`` has in any letter case."""
-    taken = {c.lower() for c in df.columns}
-    name = base
-    while name.lower() in taken:
-        name += "_"
-    return name

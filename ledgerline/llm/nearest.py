@@ -19,7 +19,8 @@ Defined results: a vector that is NULL, empty, all zero or holds a NULL or
 non-finite component, and any row with a NULL id, takes no part; vectors of
 different lengths are not compared; equal scores go to the smaller id, then
 to the earlier row; repeated rows are candidates of each other; a query with
-fewer candidates than k gets them all; extra columns are ignored.
+fewer candidates than k gets them all; an empty table gives no rows; extra
+columns are ignored.
 """
 
 from __future__ import annotations

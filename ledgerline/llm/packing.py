@@ -16,8 +16,9 @@ and one shorter tail.  Tails are packed by non-negative least squares:
    (greedy filling), which pads at most the last window.
 
 Defined results: NULL text is empty, so its document is the end id alone;
-repeated rows and NULL ids are packed like any other row; an empty table gives
-no pieces; extra columns are ignored.
+repeated rows and NULL ids are packed like any other row; a text of any length
+is cut into as many windows as it needs; an empty table gives no pieces; extra
+columns are ignored.
 """
 
 from __future__ import annotations

@@ -15,8 +15,9 @@ Line rules (a line without a word is neither judged nor removed):
 * boilerplate - one of ``BOILERPLATE`` in a line of at most 30 words.
 
 Defined results: NULL and empty texts have no words and fail the base checks;
-repeated rows and NULL ids keep their own row; extra columns are ignored by
-``judge`` and carried along by ``clean``.
+repeated rows and NULL ids keep their own row; a text of any length is judged
+whole, by the task that reads it; an empty table gives no rows; extra columns
+are ignored by ``judge`` and carried along by ``clean``.
 """
 
 from __future__ import annotations

@@ -52,10 +52,14 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archives of all pages, read back: payload sizes and digests as the reader found them."""
+    """Archives of all pages, read back: payload sizes and digests as the reader found them.
+
+    Responses and revisits are read apart, each by a predicate on the record
+    type that the source takes over; only responses' payloads are hashed."""
     path = f"{ensure_checkpoint_dir(spark)}/warc/{uuid.uuid4().hex}"
     warc.write(read(spark, sf_dir, "pages"), path)
-    found = warc.read(spark, path, payload="digest")
+    found = (warc.read(spark, path, payload="digest").where("warc_type = 'response'")
+             .unionByName(warc.read(spark, path, payload="skip").where("warc_type = 'revisit'")))
     return found.select(
         warc.page_number(F.col("record_id")).alias("page_id"), "payload_bytes",
         F.coalesce("computed_digest", "payload_digest").alias("payload_digest"), F.col("warc_type").alias("record_type"),

@@ -21,7 +21,8 @@ corpus, so none is broadcast to all executors.
 Defined results: NULL and word-less texts have fingerprint zero and link to
 each other (and to any fingerprint within the radius); repeated rows are
 copies of each other; a NULL id never becomes a component id unless every row
-of the component has a NULL id; extra columns are ignored.
+of the component has a NULL id; a text of any length has one fingerprint, of
+all its shingles; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -1,10 +1,11 @@
 """Token counts of whole texts under a SentencePiece model.
 
-Two tiers of a map-side lookup; no pre-token is ever shuffled:
+Two tiers of a map-side lookup; the pre-tokens of the texts are not shuffled:
 
 1. A first pass counts pre-tokens inside each task with bounded memory and
-   emits only the task's heaviest ones.  Pre-tokens holding at least
-   1 / ``TABLE_SHARE`` of all emitted occurrences (so at most ``TABLE_SHARE``
+   emits only the task's heaviest ones, at most ``TASK_HEAVY``; these reports
+   are the only ones that are shuffled, to be added up, and are written.
+   Pre-tokens holding at least 1 / ``TABLE_SHARE`` of all emitted occurrences (so at most ``TABLE_SHARE``
    of them, whatever the corpus size) get their lengths from the model and
    become a broadcast hash table.
 2. The counting pass adds up lengths per text; a pre-token that misses the
@@ -15,7 +16,9 @@ cut is exact as long as no piece holds a space mark after another character,
 which is checked against the vocabulary; otherwise texts are encoded whole.
 
 Defined results: NULL text counts as empty (0 bytes, 0 tokens); repeated rows
-and NULL ids keep their own row; extra columns are ignored.
+and NULL ids keep their own row; texts of any length are counted whole, words of
+more than ``LONGEST_KEPT`` characters without being kept; an empty table gives
+no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, texts_of
+from .common import map_batches, texts_of, written
 
 SPACE_MARK = "▁"
 TABLE_SHARE = 65_536     # the broadcast table has at most this many entries
@@ -118,13 +121,10 @@ def frequent_lengths(docs: DataFrame, model_path: str) -> dict[str, int]:
                 names=["unit", "length"])
 
     # The share is of what the tasks reported, so at most TABLE_SHARE pass.
-    totals = totals.persist()
-    try:
-        whole = totals.agg(F.sum("n")).first()[0] or 0
-        heavy = totals.where(F.col("n") * TABLE_SHARE >= F.lit(whole)).select("unit")
-        return {r.unit: r.length for r in map_batches(heavy, lengths, "unit string, length long").collect()}
-    finally:
-        totals.unpersist()
+    totals = written(totals)
+    whole = totals.agg(F.sum("n")).first()[0] or 0
+    heavy = totals.where(F.col("n") * TABLE_SHARE >= F.lit(whole)).select("unit")
+    return {r.unit: r.length for r in map_batches(heavy, lengths, "unit string, length long").collect()}
 
 
 def token_counts(docs: DataFrame, model_path: str, over: int = 4096) -> DataFrame:

@@ -11,7 +11,8 @@ which joins every URL's own prefixes with the rule table.
 
 Defined results: a NULL URL or one without ``://`` has an empty host and path
 and matches no rule; repeated rows and NULL ids keep their own row; an empty
-rule list gives ``default``; extra columns are ignored.
+rule list gives ``default``; a URL of any length is judged whole; an empty table
+gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -7,18 +7,20 @@ the record separator as line separator, writes gzip archives through its own
 commit protocol, to any store that Spark can write.
 
 Reading (``spark.read.format("warc")`` after ``register``): partitions are
-planned from the archive sizes, small archives together.  Filters on the
-record type and on header columns are taken over by the source; a record's
-headers are parsed first, and the payload of an unwanted record is skipped,
-not decoded.  Column pruning does not reach a Python data source, so the
+planned from the archive sizes, small archives together as long as every core
+has some (option ``parallelism``).  Filters on the record type and on header
+columns are taken over by the source; a record's headers are parsed first, and
+the payload of an unwanted record is passed over: inflated with its stream,
+since an archive is one gzip stream, but neither kept, hashed nor decoded.  Column pruning does not reach a Python data source, so the
 option ``payload`` says what to do with the wanted payloads: ``skip``,
 ``digest`` (hash them) or ``bytes``.
 
 Defined results: a NULL html is an empty payload; a NULL url gives a record
 without target URI; line breaks inside a URL are percent-encoded; rows with a
 NULL page id are always responses; repeated rows with the largest id are all
-responses; an empty table gives an archive without records; extra columns are
-ignored.  A damaged archive raises an error that names it.
+responses; a payload is held whole by the task that reads it, so the longest
+text bounds a task's memory; an empty table gives an archive without records;
+extra columns are ignored.  A damaged archive raises an error that names it.
 """
 
 from __future__ import annotations
@@ -83,7 +85,8 @@ class ArchivePartition(InputPartition):
 
 
 class WarcSource(DataSource):
-    """Options: path (a folder of archives or one archive), payload (skip, digest or bytes)."""
+    """Options: path (a folder of archives or one archive), payload (skip, digest
+    or bytes), parallelism (partitions worth having if there are archives for them)."""
 
     @classmethod
     def name(cls) -> str:
@@ -93,14 +96,14 @@ class WarcSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return WarcReader(self.options["path"], self.options.get("payload", "bytes"))
+        return WarcReader(self.options["path"], self.options.get("payload", "bytes"), int(self.options.get("parallelism", "1")))
 
 
 class WarcReader(DataSourceReader):
-    def __init__(self, path: str, payload: str):
+    def __init__(self, path: str, payload: str, parallelism: int = 1):
         if payload not in ("skip", "digest", "bytes"):
             raise ValueError(f"unknown payload option {payload}")
-        self.path, self.payload, self.wanted = path, payload, []
+        self.path, self.payload, self.parallelism, self.wanted = path, payload, parallelism, []
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
@@ -122,9 +125,10 @@ class WarcReader(DataSourceReader):
         if found[0].type == fs.FileType.Directory:
             found = store.get_file_info(fs.FileSelector(root, recursive=True))
         files = sorted(((f.size, f.path) for f in found if f.is_file and f.base_name[0] not in "._"), reverse=True)
+        most = min(PARTITION_BYTES, sum(n for n, _ in files) // max(1, self.parallelism))
         parts, size = [[]], 0
         for n, path in files:
-            if parts[-1] and size + n > PARTITION_BYTES:
+            if parts[-1] and size + n > most:
                 parts.append([])
                 size = 0
             parts[-1].append(path)
@@ -232,7 +236,7 @@ def register(spark: SparkSession) -> None:
 
 def read(spark: SparkSession, path: str, payload: str = "bytes") -> DataFrame:
     register(spark)
-    return spark.read.format("warc").option("payload", payload).load(path)
+    return spark.read.format("warc").option("payload", payload).option("parallelism", spark.sparkContext.defaultParallelism).load(path)
 
 
 def page_number(record_id):
