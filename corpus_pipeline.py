@@ -3,6 +3,17 @@
 Each stage takes (spark, docs, sf_dir), works on every row that the stage
 before it kept, and returns a DataFrame; its rows are written as Parquet and
 read again as the next stage's ``docs``.
+
+Every stage but the last returns the columns of its input, and keeps columns
+that it does not know as they are, whatever their names.  Cases:
+
+* NULL and empty texts: not toxic; rejected by the quality rules.
+* NULL ids: kept as rows of their own; of a group of copies, a row with an id
+  stays before one without.
+* Repeated rows: judged alike; the near-dedup keeps one of them.
+* Very long texts: every stage judges them whole; packing cuts them.
+* An empty table: no rows, in every stage.
+* Empty, tiny or one-sided labels: no model, and no document is toxic.
 """
 
 from __future__ import annotations
@@ -17,7 +28,8 @@ from ledgerline.llm.common import read, written
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score stays below the threshold."""
+    """Documents whose toxicity score stays below the threshold; all of them
+    where the labels allow no model."""
     return toxicity.keep_clean(docs, read(spark, sf_dir, "labels"))
 
 
