@@ -308,3 +308,30 @@ def test_pipeline_equals_plain_python(spark, make_docs, tmp_path):
         assert sorted((r.doc_id, r.text, r.source) for r in got) == sorted((i, *v) for i, v in rows.items()), name
         assert all(r.n_chars == len(r.text) for r in got), name
     check_packing(corpus_pipeline.run(spark, str(tmp_path)).collect(), [(i, t) for i, (t, _) in one.items()], 1024)
+
+
+def test_stages_take_odd_rows(spark, make_docs, tmp_path):
+    """NULL ids and texts, repeated rows, a very long text, clashing columns, an empty table."""
+    docs, labels = pipeline_fixture()
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    clean = next(t for i, t, _ in docs if not any(w in t for w in ("idiot", "scum", "moron")) and len(t.split()) > 60)
+    rnd = random.Random(3)
+    long = "\n".join(" ".join(f"long{rnd.randrange(9_000)}" for _ in range(20)).capitalize() + "." for _ in range(3_000))
+    odd = [(None, clean + " Null id."), (None, None), (900, None), (901, ""), (902, long), (902, long), (10, docs[10][1])]
+    table = make_docs([*docs, *[(i, t, "s1") for i, t in odd]]).withColumnRenamed("drop", "held_out").selectExpr("*", "1 AS slot", "2 AS shard", "'y' AS text_hash")
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        empty = stage(spark, table.limit(0), str(tmp_path))
+        assert empty.columns == table.columns and empty.collect() == [], name
+        kept = stage(spark, table, str(tmp_path))
+        assert kept.columns == table.columns and kept.dtypes == table.dtypes, name
+        table = spark.createDataFrame(kept.collect(), kept.schema)
+        seen[name] = table.collect()
+    ids = {name: Counter(r.doc_id for r in rows) for name, rows in seen.items()}
+    assert ids["toxicity"][900] == ids["toxicity"][901] == 1 and ids["toxicity"][902] == 2 and ids["toxicity"][None] == 2
+    assert ids["quality rules"][900] == 0 and ids["quality rules"][901] == 0 and ids["quality rules"][902] == 2 and ids["quality rules"][None] == 1
+    last = ids["SimHash near-dedup"]
+    assert last[902] == 1 and max(last.values()) == 1
+    assert {(r.score, r.kept, r.slot, r.text_hash) for r in seen["SimHash near-dedup"]} == {(1, 2, 1, "y")}
+    pieces = corpus_pipeline.STAGES[-1][1](spark, table, str(tmp_path)).collect()
+    assert {r.doc_id for r in pieces} == set(last) and sum(r.doc_id == 902 for r in pieces) > 10
