@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,7 +81,7 @@ def _with_grids(df: DataFrame, spans: list[Span]) -> list[Span]:
     """The spans with a grid each; one pass for those that lack it."""
     missing = [s for s in spans if s.grid is None]
     if missing:
-        grids = _one_row(df, [grid_of(F.when(s.inside(v), v)) for s in missing for v in [_finite_order(as_double(s.column))]])
+        grids = _one_row(df, [grid_of(F.when(s.inside(v), v)) for s in missing for v in [F.col(s.column)]])
         filled = {s: Span(s.column, s.above, s.below, s.before, s.rows, tuple(g)) for s, g in zip(missing, grids)}
         spans = [filled.get(s, s) for s in spans]
     return spans
@@ -89,7 +90,7 @@ def _with_grids(df: DataFrame, spans: list[Span]) -> list[Span]:
 def _narrow(df: DataFrame, open_ranks: dict[Span, list[int]], found: dict) -> dict[Span, list[int]]:
     """One pass of exact counts at the ends of every rank's bracket."""
     probes = sorted({(s.column, end) for s, ranks in open_ranks.items() for r in ranks for end in s.bracket(r)})
-    counts = _one_row(df, [F.count_if(test) for c, end in probes for v in [_finite_order(as_double(c))] for test in (v < end, v <= end)])
+    counts = _one_row(df, [F.count_if(test) for c, end in probes for v in [F.col(c)] for test in (v < end, v <= end)])
     less = {p: counts[2 * i] for i, p in enumerate(probes)}
     upto = {p: counts[2 * i + 1] for i, p in enumerate(probes)}
     parts: dict[Span, list[int]] = {}
@@ -116,8 +117,9 @@ def _put_in_order(df: DataFrame, open_ranks: dict[Span, list[int]], found: dict)
     """Ranks inside spans of few rows: (value, count) pairs and running counts."""
     spans = list(open_ranks)
     entries = F.array(*[F.when(s.inside(v), F.struct(F.lit(i).alias("span"), v.alias("value")))
-                        for i, s in enumerate(spans) for v in [_finite_order(as_double(s.column))]])
-    pairs = (df.select(F.inline(F.filter(entries, lambda e: e.isNotNull())))
+                        for i, s in enumerate(spans) for v in [F.col(s.column)]])
+    somewhere = reduce(lambda a, b: a | b, [F.coalesce(s.inside(F.col(s.column)), F.lit(False)) for s in spans])
+    pairs = (df.where(somewhere).select(F.inline(F.filter(entries, lambda e: e.isNotNull())))
              .groupBy("span", "value").agg(F.count("*").alias("n")))
     running = Window.partitionBy("span").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     pairs = pairs.withColumn("upto", F.sum("n").over(running))
@@ -134,6 +136,8 @@ def order_statistics(df: DataFrame, wanted: dict[str, set[int]], known: dict[str
 
     A rank at or beyond a span's rows is NaN: the rows that are NaN come last.
     """
+    # One projection for all passes: doubles, without NaN.
+    df = df.select(*[_finite_order(as_double(c)).alias(c) for c in wanted])
     found: dict[tuple[str, int], float] = {}
     open_ranks: dict[Span, list[int]] = {}
     for column, ranks in wanted.items():
