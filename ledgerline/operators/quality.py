@@ -291,23 +291,61 @@ def quality_report(metrics: DataFrame, extra_columns: list[str] | None = None) -
     )
 
 
-def dedup_first(rows: DataFrame, key: str = "invoice_id", order: list[str] | None = None) -> DataFrame:
-    """Keep one row per key: the smallest by ``order``, then every other column.
+# Sale date and time as one number of seconds, NULLs first as in the sort order.
+# The time is the parser's HH:mm:ss.
+SALE_SECOND = (
+    "coalesce(CAST(unix_date(sale_date) AS BIGINT), -1000000000) * 86401 + coalesce("
+    "1 + try_cast(substr(sale_time, 1, 2) AS INT) * 3600 + try_cast(substr(sale_time, 4, 2) AS INT) * 60"
+    " + try_cast(substr(sale_time, 7, 2) AS INT), 0)")
+
+
+def repeated_keys(rows: DataFrame, key: str, instant: str) -> DataFrame:
+    """(_key, _first): the keys of two rows or more and their least ``instant``.
 
-    Implemented as ``min(struct(...))`` per key: an aggregate with map-side
-    partial aggregation, so a key holding a third of all rows is reduced in
-    every map task before the shuffle instead of landing whole in one task.
-    NULLs sort first in every position.
+    The buffer is two longs beside the key, so this is a hash aggregate that
+    reduces every task's rows in place; no other column is read or shuffled.
     """
-    order = order if order is not None else ["sale_date", "sale_time"]
-    cols = [c for c in rows.columns if c not in FLAGS]
-    rest = [c for c in cols if c != key and c not in order]
+    return (rows.groupBy(F.col(key).alias("_key")).agg(F.expr(f"min({instant})").alias("_first"), F.count(F.lit(1)).alias("_n"))
+            .where("_n > 1").select("_key", "_first"))
+
+
+def _least_rows(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """One row per key by ``min(struct(...))``, combined in every task first."""
+    rest = [c for c in rows.columns if c != key and c not in order]
     best = "struct(" + ", ".join(ident(c) for c in order + rest) + ")"
     picked = rows.groupBy(key).agg(F.expr(f"min({best})").alias("_best"))
-    return picked.selectExpr(*[ident(key) if c == key else f"_best.{ident(c)} AS {ident(c)}" for c in cols])
+    return picked.selectExpr(*[ident(key) if c == key else f"_best.{ident(c)} AS {ident(c)}" for c in rows.columns])
+
+
+def dedup_first(rows: DataFrame, key: str = "invoice_id", order: list[str] | None = None,
+                instant: str | None = None) -> DataFrame:
+    """Keep one row per key: the smallest by ``order``, then every other column.
+    NULLs sort first in every position; rows of a NULL key are one group.
+
+    ``instant`` is SQL of a long that never falls along ``order`` (it may tie).
+    With it, keys of several rows and their least instant are found by a hash
+    aggregate over key and instant and written; rows of a key that occurs once
+    pass through, and of the others only those at their key's least instant are
+    compared in full.  Spark broadcasts the written keys by their size, hence
+    with few repeated keys whole rows are neither sorted nor shuffled; beyond
+    that size the rows meet them in shuffle joins whose hot partitions adaptive
+    execution splits.  Without ``instant`` all rows are compared in full.
+
+    The full comparison has map-side partial aggregation, so a key holding a
+    third of all rows is reduced in every task before the shuffle.
+    """
+    order = order if order is not None else ["sale_date", "sale_time"]
+    rows = rows.select([c for c in rows.columns if c not in FLAGS])
+    if instant is None:
+        return _least_rows(rows, key, order)
+    repeated = cut_lineage(repeated_keys(rows, key, instant))
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    once = rows.join(repeated, same, "left_anti")
+    first = rows.join(repeated, same & (F.expr(instant) == F.col("_first")), "left_semi")
+    return once.unionByName(_least_rows(first, key, order))
 
 
-def clean_dedup(flagged: DataFrame, key: str = "invoice_id", order: list[str] | None = None) -> DataFrame:
+def clean_dedup(flagged: DataFrame) -> DataFrame:
     """Clean rows, one per invoice.  On a written flag table the reject test
     is a filter at the scan, so rejected rows are never sorted or shuffled."""
-    return dedup_first(clean_rows(flagged), key, order)
+    return dedup_first(clean_rows(flagged), instant=SALE_SECOND)

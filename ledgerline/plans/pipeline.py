@@ -59,7 +59,7 @@ class Prepared:
     def clean(self) -> DataFrame:
         return quality.clean_rows(self.flagged)
 
-    @property
+    @cached_property
     def clean_dedup(self) -> DataFrame:
         return quality.clean_dedup(self.flagged)
 

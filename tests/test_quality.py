@@ -231,3 +231,60 @@ def test_metrics_shuffle_hashes_and_ids_only(spark):
 def test_metrics_of_no_rows(spark):
     m = prepare(raw_frame(spark, []), RETAIL_RULES).metrics.first()
     assert all(m[c] == 0 for c in quality.METRIC_COLUMNS) and set(m["null_counts"].values()) == {0}
+
+
+def _kept_by_hand(rows):
+    """(id, date, time, n) kept by sorting in Python, NULLs first."""
+    best = {}
+    for r in rows:
+        rank = [(v is not None, v) for v in (*r[1:],)]
+        if r[0] not in best or rank < best[r[0]][0]:
+            best[r[0]] = (rank, r)
+    return sorted((r for _, r in best.values()), key=str)
+
+
+@pytest.mark.parametrize("broadcast", ["10485760", "-1"])
+def test_keep_first_by_instant_equals_the_full_order(spark, broadcast):
+    """NULLs in every column, ties, a hot key, copies, ids that occur once; by
+    broadcast and by shuffle joins."""
+    import random
+
+    rng = random.Random(7)
+    days = [None, dt.date(1960, 2, 29), dt.date(2019, 1, 5), dt.date(2019, 1, 6)]
+    times = [None, "00:00:00", "09:05:00", "23:59:59"]
+    ids = [None, "hot"] + [f"i{n}" for n in range(300)]
+    rows = [(rng.choice(ids), rng.choice(days), rng.choice(times), rng.choice([None, 1, 2, 3])) for _ in range(500)]
+    rows += [("hot", rng.choice(days[2:]), rng.choice(times), n % 5) for n in range(400)] + [(None, None, None, None)] * 3
+    df = spark.createDataFrame(rows, "invoice_id string, sale_date date, sale_time string, n int").repartition(6)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        got = sorted((tuple(r) for r in quality.dedup_first(df, instant=quality.SALE_SECOND).collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == _kept_by_hand(rows)
+    assert got == sorted((tuple(r) for r in quality.dedup_first(df).collect()), key=str)
+    assert quality.dedup_first(df.limit(0), instant=quality.SALE_SECOND).count() == 0
+
+
+def test_instants_follow_the_sale_order(spark):
+    days = [None, dt.date(1, 1, 1), dt.date(1969, 12, 31), dt.date(2019, 1, 5), dt.date(9999, 12, 31)]
+    times = [None, "00:00:00", "00:00:59", "00:01:00", "23:59:59"]
+    df = spark.createDataFrame([(i * 10 + j, d, t) for i, d in enumerate(days) for j, t in enumerate(times)],
+                               "place int, sale_date date, sale_time string")
+    seconds = [r[0] for r in df.orderBy("place").selectExpr(quality.SALE_SECOND).collect()]
+    assert all(a < b for a, b in zip(seconds, seconds[1:]))
+
+
+def test_keep_first_moves_no_row_of_an_id_that_occurs_once(spark):
+    rows = [good_row(**{"Invoice ID": f"INV-{n}"}) for n in range(200)] + [good_row(**{"Invoice ID": "INV-7", "Rating": "3"})]
+    p = prepare(raw_frame(spark, rows), RETAIL_RULES)
+    keys = quality.repeated_keys(quality.clean_rows(p.flagged), "invoice_id", quality.SALE_SECOND)
+    assert [r["_key"] for r in keys.collect()] == ["INV-7"]
+    by_key = keys._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in by_key and "SortAggregate" not in by_key and "rating" not in by_key
+    plan = p.clean_dedup._jdf.queryExecution().executedPlan().toString()
+    once, tied = plan.split("Union", 1)[1].split("SortAggregate", 1)
+    assert "LeftAnti" in once and "Exchange hashpartitioning" not in once
+    assert "LeftSemi" in tied
+    assert {r["rating"] for r in p.clean_dedup.where("invoice_id = 'INV-7'").collect()} == {3.0}
