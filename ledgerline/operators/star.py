@@ -24,13 +24,19 @@ class StarSchema:
 
     A reader of a dimension therefore never pays for the fact.
     ``fact_bytes`` is the written size that the fact comes from, which sets
-    the number of its buckets.
+    the number of its buckets.  ``fact_buckets`` is the bucket count of the
+    table that the fact reads, if it is bucketed by invoice id; a merged fact
+    then has ``fact_parts``: the rows of the old fact, still in its buckets,
+    and the new rows.
     """
 
     def __init__(self, dim_branch: Table, dim_product: Table, fact_sales: Table,
-                 fact_bytes: int | Callable[[], int] = 0):
+                 fact_bytes: int | Callable[[], int] = 0, fact_buckets: int | None = None,
+                 fact_parts: Callable[[], tuple[DataFrame, DataFrame]] | None = None):
         self._tables = [t if isinstance(t, DataFrame) else cache(t) for t in (dim_branch, dim_product, fact_sales)]
         self._bytes = fact_bytes
+        self.fact_buckets = fact_buckets
+        self.fact_parts = fact_parts
 
     def _table(self, i: int) -> DataFrame:
         t = self._tables[i]

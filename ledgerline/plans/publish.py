@@ -32,6 +32,7 @@ import json
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import checks
 from ledgerline.operators.report import report_sql
 from ledgerline.operators.star import StarSchema, attach_dimension_keys, fact_projection, member_rows
-from ledgerline.operators.upsert import insert_missing, upsert
+from ledgerline.operators.upsert import insert_missing, upsert, upsert_parts
 from ledgerline.session import cut_lineage, cut_table, folder_bytes
 from ledgerline.sources.csv import write_csv
 
@@ -167,17 +168,18 @@ class Warehouse:
                            f"CLUSTERED BY (invoice_id) INTO {buckets} BUCKETS LOCATION '{path}'")
         return self.spark.table(name)
 
+    def _buckets(self, version: str) -> int | None:
+        """The bucket count of a version's fact."""
+        if version in self._written:
+            return self._written[version]
+        return next((m.get("fact_buckets") for m in self.manifests() if m["version"] == version), None)
+
     def read(self, table: str, version: str | None = None) -> DataFrame:
-        if version is None or version not in self._written:
-            found = [m for m in self.manifests() if version is None or m["version"] == version]
-            if not found and version is None:
-                raise FileNotFoundError(f"No published version under {self.root}")
-            version = version or found[0]["version"]
-            buckets = found[0].get("fact_buckets") if found else None
-        else:
-            buckets = self._written[version]
+        version = version or self.current()
+        if version is None:
+            raise FileNotFoundError(f"No published version under {self.root}")
         if table == "fact_sales":
-            return self._fact(version, buckets)
+            return self._fact(version, self._buckets(version))
         return self.spark.read.parquet(self.version_path(version, table))
 
     def tables(self, version: str | None = None) -> StarSchema:
@@ -185,7 +187,8 @@ class Warehouse:
         if version is None:
             raise FileNotFoundError(f"No published version under {self.root}")
         return StarSchema(*[self.read(t, version) for t in TABLE_NAMES],
-                          fact_bytes=folder_bytes(self.spark, self.version_path(version, "fact_sales")))
+                          fact_bytes=folder_bytes(self.spark, self.version_path(version, "fact_sales")),
+                          fact_buckets=self._buckets(version))
 
     # -- the report as a view --------------------------------------------------
 
@@ -209,13 +212,25 @@ class Warehouse:
     # -- loading ---------------------------------------------------------------
 
     def _write_fact(self, star: StarSchema, version: str) -> None:
+        """Write the fact in its buckets, at most two files each.
+
+        A fact merged into one with the same buckets is written from where it
+        lies: every task holds one bucket of the old rows, and only the new
+        rows are shuffled.  Any other fact is shuffled into its buckets.
+        """
         buckets = self.fact_buckets or bucket_count(star.fact_bytes)
-        name = self._table_name(version)
-        # One task per bucket, hence at most one file per bucket.
-        (star.fact_sales.repartition(buckets, "invoice_id").write.bucketBy(buckets, "invoice_id")
-         .option("path", self.version_path(version, "fact_sales")).saveAsTable(name))
+        if star.fact_parts is not None and star.fact_buckets == buckets:
+            kept, new = star.fact_parts()
+            self._append_fact(kept, version, buckets)
+            self._append_fact(new.repartition(buckets, "invoice_id"), version, buckets)
+        else:
+            self._append_fact(star.fact_sales.repartition(buckets, "invoice_id"), version, buckets)
         self._written[version] = buckets
 
+    def _append_fact(self, rows: DataFrame, version: str, buckets: int) -> None:
+        (rows.write.mode("append").bucketBy(buckets, "invoice_id")
+         .option("path", self.version_path(version, "fact_sales")).saveAsTable(self._table_name(version)))
+
     def stage(self, star: StarSchema, version: str, summary: LoadSummary) -> None:
         """Write each table in isolation; failures are recorded, not raised."""
         # The fact comes first: its rows are written once, and the dimensions are read from them.
@@ -320,6 +335,10 @@ def merge_into(current: StarSchema, clean_dedup: DataFrame, branch_keys: tuple[s
     dimensions and are merged on invoice id (unique after dedup, so the
     source needs no uniqueness check); the merged fact is lazy, so it is
     written only where it is staged.
+
+    Into a fact in buckets, new rows of at most a quarter of its size are
+    hashed bucket by bucket while the fact streams past; more are merged by
+    sorting, since a bucket's hash table would then outgrow its task.
     """
     staged = cut_table(clean_dedup)
     members = cut_table(member_rows(staged.table))
@@ -327,10 +346,16 @@ def merge_into(current: StarSchema, clean_dedup: DataFrame, branch_keys: tuple[s
     dim_branch = cut_lineage(upsert(current.dim_branch, branches, list(branch_keys), "branch_key"))
     dim_product = cut_lineage(insert_missing(current.dim_product, members.table, ["product_line"], "product_key", members.bytes))
 
-    def fact() -> DataFrame:
+    join = None
+    if current.fact_buckets is not None:
+        join = "shuffle_hash" if 4 * staged.bytes <= current.fact_bytes else "merge"
+
+    @cache
+    def parts() -> tuple[DataFrame, DataFrame]:
         rows = attach_dimension_keys(staged.table, dim_branch, dim_product)
         source = fact_projection(rows.withColumn("sales_key", F.lit(None).cast("long"))).drop("sales_key")
-        return upsert(current.fact_sales, source, ["invoice_id"], "sales_key", size=staged.bytes,
-                      partitions=partitions, check_unique=False)
+        return upsert_parts(current.fact_sales, source, ["invoice_id"], "sales_key", size=staged.bytes,
+                            partitions=partitions, check_unique=False, join=join)
 
-    return StarSchema(dim_branch, dim_product, fact, lambda: current.fact_bytes + staged.bytes)
+    return StarSchema(dim_branch, dim_product, lambda: parts()[0].unionByName(parts()[1]),
+                      lambda: current.fact_bytes + staged.bytes, current.fact_buckets, parts)

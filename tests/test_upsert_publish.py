@@ -255,3 +255,73 @@ def test_report_view_follows_the_published_version(spark, tmp_path):
     Warehouse(spark, root, view="vw_report_test").point_view()
     shown(wh)
     spark.sql("DROP VIEW vw_report_test")
+
+
+def _files_per_bucket(path):
+    """Files of each bucket, by the bucket number in their names."""
+    buckets = {}
+    for f in os.listdir(path):
+        if f.endswith(".parquet"):
+            buckets.setdefault(f.rsplit("_", 1)[1][:5], []).append(f)
+    return buckets
+
+
+def test_merge_streams_the_fact_past_the_new_rows_and_writes_it_in_place(spark, tmp_path):
+    """Neither the join nor the write of a merge shuffles or sorts the old fact,
+    and the number of files stays bounded over many merges."""
+    wh = Warehouse(spark, str(tmp_path / "wh"), fact_buckets=4)
+    rows = {f"INV-{i:05d}": good_row(**{"Invoice ID": f"INV-{i:05d}", "Unit price": str(1 + i % 97), "cogs": str(i)})
+            for i in range(4000)}
+    wh.load(prepare(raw_frame(spark, list(rows.values())), RETAIL_RULES).star())
+    keys = {r.invoice_id: r.sales_key for r in wh.read("fact_sales").collect()}
+    for batch in range(3):
+        changed = {i: good_row(**{"Invoice ID": i, "Rating": "9"}) for i in (f"INV-{batch:05d}", f"INV-{3000 + batch:05d}")}
+        added = {f"NEW-{batch}-{n}": good_row(**{"Invoice ID": f"NEW-{batch}-{n}", "Rating": "5"}) for n in range(3)}
+        second = prepare(raw_frame(spark, [*changed.values(), *added.values()]), RETAIL_RULES).clean_dedup
+        merged = merge_into(wh.tables(), second.coalesce(1))    # one small file: less than a quarter of the fact
+        kept, new = merged.fact_parts()
+        assert new.count() == 3
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and "Bucketed: true" in plan
+        fact_side = plan.split("Bucketed: true")[0].rsplit("ShuffledHashJoin", 1)[-1]
+        assert "Exchange" not in fact_side and "Sort" not in fact_side
+        wh.load(merged)
+        found = _files_per_bucket(wh.version_path(wh.current(), "fact_sales"))
+        assert len(found) <= 4 and all(len(files) <= 2 for files in found.values())
+        fact = {r.invoice_id: r for r in wh.read("fact_sales").collect()}
+        assert len(fact) == 4000 + 3 * (batch + 1) == wh.read("fact_sales").count()
+        assert all(fact[i].sales_key == k for i, k in keys.items())
+        assert all(float(fact[i].rating) == 9.0 for i in changed)
+        assert sorted(fact[i].sales_key for i in added) == [4001 + 3 * batch + n for n in range(3)]
+
+
+def test_a_large_batch_merges_by_sorting_and_a_new_bucket_count_shuffles(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"), fact_buckets=4)
+    wh.load(transform(raw_frame(spark, SAMPLE_ROWS), RETAIL_RULES)[0])
+    rows = [good_row(**{"Invoice ID": f"INV-{i:05d}"}) for i in range(300)]
+    merged = merge_into(wh.tables(), prepare(raw_frame(spark, rows), RETAIL_RULES).clean_dedup)
+    assert "SortMergeJoin" in merged.fact_parts()[0]._jdf.queryExecution().executedPlan().toString()
+    wider = Warehouse(spark, str(tmp_path / "wh"), fact_buckets=8)
+    wider.load(merged)
+    assert wider.manifest()["fact_buckets"] == 8
+    found = _files_per_bucket(wider.version_path(wider.current(), "fact_sales"))
+    assert 4 < len(found) <= 8 and all(len(files) == 1 for files in found.values())
+    assert wider.read("fact_sales").count() == 304
+
+
+@pytest.mark.parametrize("join", [None, "shuffle_hash", "merge"])
+def test_upsert_is_the_same_by_every_join(spark, join):
+    """NULL keys on both sides, NULL values, keys on one side only, an empty side."""
+    target = spark.createDataFrame([(n, f"k{n}" if n % 5 else None, n) for n in range(1, 40)], "key long, id string, v int")
+    source = spark.createDataFrame([(f"k{n}", None if n % 7 == 0 else -n) for n in range(30, 60)] + [(None, 1), (None, 2)],
+                                   "id string, v int")
+    new = {f"k{n}": None if n % 7 == 0 else -n for n in range(30, 60)}
+    got = upsert(target, source, ["id"], "key", join=join).collect()
+    want = sorted((n, f"k{n}" if n % 5 else None, new.get(f"k{n}" if n % 5 else None, n)) for n in range(1, 40))
+    assert sorted((r.key, r.id, r.v) for r in got if r.key < 40) == want
+    old = {f"k{n}" for n in range(1, 40) if n % 5}
+    assert sorted(((r.id, r.v) for r in got if r.key >= 40), key=str) == sorted(
+        [(k, v) for k, v in new.items() if k not in old] + [(None, 1), (None, 2)], key=str)
+    assert sorted(r.key for r in got) == list(range(1, len(got) + 1))
+    assert upsert(target, source.limit(0), ["id"], "key", join=join).count() == 39
+    assert upsert(target.limit(0), source, ["id"], "key", join=join).count() == 32
