@@ -22,9 +22,11 @@ is cut at ASCII white space only and left to the library inside the words.
 
 Defined results: NULL text is empty (no tokens, digests of nothing); repeated
 rows and NULL ids keep their own row; a text longer than a block is a block of
-its own; an empty table gives no rows; extra columns are ignored.  The table is
-read twice and must come in the same order both times, as a scan or a written
-table does; an order that changes is found by the checksum and raises.
+its own; an empty table gives no rows; extra columns are ignored.  The rows are
+read twice and must come in the same order both times.  A scan of a table does
+that and is read in place with ``fixed_order=True``; any other input may come in
+another order (after a shuffle or a lost executor), so ids and texts are first
+written to the shared folder.  The checksum still guards a wrong promise.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import map_batches, texts_of
+from .common import map_batches, texts_of, written
 
 BLOCK_CHARS = 24_000_000
 
@@ -187,15 +189,15 @@ def encode_words(rows: DataFrame, path: str) -> DataFrame:
     return map_batches(together, encode, "block long, number int, ids binary, checksum long")
 
 
-def encode_decode(docs: DataFrame, path: str) -> DataFrame:
+def encode_decode(docs: DataFrame, path: str, fixed_order: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row; the ids and
     the decoded texts themselves come from :func:`encode`."""
-    return _through_blocks(docs, path, "n_tokens long, ids_sha256 string, decoded_sha256 string", _digests)
+    return _through_blocks(docs, path, "n_tokens long, ids_sha256 string, decoded_sha256 string", _digests, fixed_order)
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
+def encode(docs: DataFrame, path: str, fixed_order: bool = False) -> DataFrame:
     """doc_id, ids (array of int) and decoded text of every row."""
-    return _through_blocks(docs, path, "ids array<int>, decoded string", _outputs)
+    return _through_blocks(docs, path, "ids array<int>, decoded string", _outputs, fixed_order)
 
 
 def _digests(ids: np.ndarray, decoded: str) -> tuple:
@@ -206,8 +208,10 @@ def _outputs(ids: np.ndarray, decoded: str) -> tuple:
     return ids.tolist(), decoded
 
 
-def _through_blocks(docs: DataFrame, path: str, columns: str, output) -> DataFrame:
+def _through_blocks(docs: DataFrame, path: str, columns: str, output, fixed_order: bool) -> DataFrame:
     docs = docs.select("doc_id", "text")
+    if not fixed_order:
+        docs = written(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
     from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 

@@ -147,3 +147,27 @@ def test_no_rows(make_docs):
     empty = make_docs([])
     assert token_counts.token_counts(empty, PIECES).collect() == []
     assert bpe.encode_decode(empty, WORDS).collect() == []
+
+
+def test_input_without_fixed_order(spark, monkeypatch):
+    """Rows that come in another order at every read: the promise of a fixed
+    order is refuted, without it the ids and texts are right."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(bpe, "BLOCK_CHARS", 2_000)
+
+    def mixed(batches):
+        rows = [r for b in batches for r in b.to_pylist()]
+        random.SystemRandom().shuffle(rows)
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("doc_id", pa.int64()), ("text", pa.string())]))
+
+    texts = [(i, f"word{i} and word{i * 7 % 50}, then Straße {i % 3}") for i in range(300)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(2).mapInArrow(mixed, "doc_id long, text string")
+    model = bpe._tokenizer(WORDS)
+    want = {i: model.encode(t, add_special_tokens=False).ids for i, t in texts}
+    got = bpe.encode(docs, WORDS).collect()
+    assert {r.doc_id: list(r.ids) for r in got} == want and len(got) == 300
+    assert all(r.decoded == model.decode(want[r.doc_id], skip_special_tokens=False) for r in got)
+    with pytest.raises(Exception, match="split differently"):
+        bpe.encode(docs, WORDS, fixed_order=True).collect()
