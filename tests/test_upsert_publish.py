@@ -267,7 +267,7 @@ def _files_per_bucket(path):
 
 
 def test_merge_streams_the_fact_past_the_new_rows_and_writes_it_in_place(spark, tmp_path):
-    """Neither the join nor the write of a merge shuffles or sorts the old fact,
+    """The join of a merge neither shuffles nor sorts the old fact,
     and the number of files stays bounded over many merges."""
     wh = Warehouse(spark, str(tmp_path / "wh"), fact_buckets=4)
     rows = {f"INV-{i:05d}": good_row(**{"Invoice ID": f"INV-{i:05d}", "Unit price": str(1 + i % 97), "cogs": str(i)})
