@@ -2,21 +2,25 @@
 
 1. Every text gets a 64-bit fingerprint (one Arrow pass); equal fingerprints
    become one node.
-2. Two fingerprints within ``radius`` bits agree in at least two of
-   ``radius + 2`` bit blocks, so each node goes to one bucket per pair of
-   blocks.  Buckets of one node are dropped.
+2. Two fingerprints within ``radius`` bits agree in at least one of
+   ``radius + 1`` slices of the 64 bits, so each node goes to one bucket per
+   slice.  Buckets of one node are dropped.
 3. A bucket's nodes form BK-trees: children hang under their integer Hamming
    distance to the parent, and a search follows only edges whose distance lies
    within the radius of the query's own.  A bucket with more than ``SHARD``
    nodes is dealt over several shard trees; every node is sent to its own tree
    and, as a query, to the trees before it, so no task holds a large bucket
-   and no pair is lost.
-4. A tree reports each found group as a star (member, smallest member), never
+   and no link is lost.
+4. The nodes of a bucket so large that dealing would copy them more often
+   already agree in its bits; the same argument over the bits left free cuts it
+   into finer buckets first, ``REFINEMENTS`` times at most.
+5. A tree reports each found group as a star (member, smallest member), never
    its pairs; stars are merged into components by alternating large-star and
    small-star rounds over written tables.
 
-Trees travel with their queries by shuffle: their total size grows with the
-corpus, so none is broadcast to all executors.
+Shard trees travel to their tasks by shuffle: their total size grows with the
+corpus, so broadcasting them would pass every fingerprint through the driver,
+and every query would have to search every shard.
 
 Defined results: NULL and word-less texts have fingerprint zero and link to
 each other (and to any fingerprint within the radius); repeated rows are
@@ -28,8 +32,8 @@ all its shingles; an empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
-from itertools import combinations, islice
+from functools import lru_cache, partial
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +42,10 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, small_batches, texts_of, written
 
-SHARD = 2_048          # nodes of one BK-tree
+SHARD = 1_024          # nodes of one BK-tree
+REFINEMENTS = 2        # times that a large bucket is cut finer
 CHUNK = 32_768         # shingle hashes held at once
+ALL_BITS = (1 << 64) - 1
 
 
 def fingerprint(text: str, words: int = 3) -> int:
@@ -110,13 +116,13 @@ class Links:
         return x
 
     def query(self, value: int) -> None:
-        for i in self.tree.search(value & 0xFFFFFFFFFFFFFFFF):
+        for i in self.tree.search(value & ALL_BITS):
             a, b = self._root(self.nodes[i]), self._root(value)
             self.parent[max(a, b)] = min(a, b)
 
     def add(self, value: int) -> None:
         self.query(value)
-        self.tree.add(value & 0xFFFFFFFFFFFFFFFF)
+        self.tree.add(value & ALL_BITS)
         self.nodes.append(value)
 
     def stars(self) -> list[tuple[int, int]]:
@@ -130,10 +136,10 @@ def _search_trees(radius: int):
         at, links = None, Links(radius)
         for batch in batches:
             found = []
-            for bucket, tree, value, is_node in zip(*(c.to_pylist() for c in batch.columns)):
-                if (bucket, tree) != at:
+            for mask, part, tree, value, is_node in zip(*(c.to_pylist() for c in batch.columns)):
+                if (mask, part, tree) != at:
                     found += links.stars()
-                    at, links = (bucket, tree), Links(radius)
+                    at, links = (mask, part, tree), Links(radius)
                 (links.add if is_node else links.query)(value)
             yield _pairs(found)
         yield _pairs(links.stars())
@@ -145,28 +151,50 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
                                       names=["a", "b"])
 
 
-def _bucket_keys(fp: str, radius: int) -> Column:
-    """One bucket per pair of the ``radius + 2`` bit blocks."""
-    n = radius + 2
-    edges = [64 * i // n for i in range(n + 1)]
-    block = [F.shiftrightunsigned(F.col(fp), edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1)) for i in range(n)]
-    return F.array(*(F.struct(F.lit(n * i + j).alias("pair"), block[i].alias("x"), block[j].alias("y")) for i, j in combinations(range(n), 2)))
+@lru_cache(maxsize=65_536)
+def finer_masks(mask: int, radius: int) -> list[int]:
+    """The signed bit mask with each of ``radius + 1`` slices of its free bits added."""
+    free = [b for b in range(64) if not mask >> b & 1]
+    edges = [len(free) * i // (radius + 1) for i in range(radius + 2)]
+    masks = [(mask & ALL_BITS) | sum(1 << b for b in free[lo:hi]) for lo, hi in zip(edges, edges[1:])]
+    return [m - (1 << 64) if m >> 63 else m for m in masks]
+
+
+def _refine(radius: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            masks = [finer_masks(m, radius) for m in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.array(masks, np.int64).ravel()), pa.array(np.repeat(batch.column(1).to_numpy(), radius + 1))],
+                names=["mask", "fp"])
+    return run
+
+
+def buckets(nodes: DataFrame, radius: int) -> DataFrame:
+    """(mask, part, fp, n): buckets of n > 1 nodes that agree in the bits of
+    ``mask``; any two nodes within ``radius`` bits share one."""
+    # Dealing a bucket copies a node n / (2 * SHARD) times, cutting it finer radius + 1 times or a few times that.
+    large = 4 * (radius + 1) * SHARD
+    keyed, found = nodes.select("fp", F.explode(F.array(*map(F.lit, finer_masks(0, radius)))).alias("mask")), None
+    for left in range(REFINEMENTS, -1, -1):
+        keyed = keyed.withColumn("part", F.col("fp").bitwiseAND(F.col("mask")))
+        sizes = written(keyed.groupBy("mask", "part").agg(F.count("*").alias("n")).where("n > 1"))
+        members = keyed.join(sizes, ["mask", "part"]).select("mask", "part", "fp", "n")
+        can_cut = (F.col("n") > large) & (64 - F.bit_count("mask") > radius) if left else F.lit(False)
+        fitting = members.where(~can_cut)
+        found = fitting if found is None else found.union(fitting)
+        if not left or sizes.where(can_cut).isEmpty():
+            return found
+        keyed = written(map_batches(members.where(can_cut).select("mask", "fp"), _refine(radius), "mask long, fp long"))
 
 
 def star_edges(nodes: DataFrame, radius: int) -> DataFrame:
     """Stars over the distinct fingerprints (column ``fp``) that connect all pairs within ``radius`` bits."""
-    keyed = nodes.select("fp", F.explode(_bucket_keys("fp", radius)).alias("bucket")).select("bucket.*", "fp")
-    sizes = keyed.groupBy("pair", "x", "y").agg(F.count("*").alias("n")).where("n > 1")
-    members = keyed.join(sizes, ["pair", "x", "y"]).withColumn(
-        "home", F.pmod(F.xxhash64("fp"), F.ceil(F.col("n") / SHARD)))
-    # The bucket's name as one number: the pair and both block values.
-    width = -(-64 // (radius + 2))
-    sent = members.select(
-        F.shiftleft(F.shiftleft(F.col("pair").cast("long"), width).bitwiseOR(F.col("x")), width).bitwiseOR(F.col("y")).alias("bucket"),
-        "fp", "home", F.explode(F.sequence(F.lit(0), F.col("home").cast("int"))).alias("tree"))
-    sent = sent.select("bucket", "tree", "fp", (F.col("tree") == F.col("home")).alias("is_node"))
-    sorted_rows = sent.repartition("bucket", "tree").sortWithinPartitions("bucket", "tree", F.desc("is_node"))
-    return map_batches(sorted_rows, _search_trees(radius), "a long, b long")
+    dealt = buckets(nodes, radius).withColumn("home", F.pmod(F.xxhash64("fp"), F.ceil(F.col("n") / SHARD)))
+    sent = dealt.select("mask", "part", F.explode(F.sequence(F.lit(0), F.col("home").cast("int"))).alias("tree"), "fp", "home")
+    sent = sent.select("mask", "part", "tree", "fp", (F.col("tree") == F.col("home")).alias("is_node"))
+    trees = sent.repartition("mask", "part", "tree").sortWithinPartitions("mask", "part", "tree", F.desc("is_node"))
+    return map_batches(trees, _search_trees(radius), "a long, b long")
 
 
 def connected(edges: DataFrame) -> DataFrame:

@@ -110,6 +110,33 @@ def test_links_of_planted_fingerprints(spark, monkeypatch, shard):
     assert {v: found.get(v, v) for v in values} == want
 
 
+@pytest.mark.parametrize("radius", [0, 1, 3])
+def test_hot_bucket_is_cut_finer(spark, monkeypatch, radius):
+    """Near-constant fingerprints, all of them in one bucket at first: links stay whole, copies far below all pairs."""
+    monkeypatch.setattr(simhash, "SHARD", 4)
+    rnd = random.Random(radius)
+    centre = rnd.getrandbits(62)
+    values = {centre} | {centre ^ sum(1 << b for b in rnd.sample(range(40), rnd.randint(2, 6))) for _ in range(400)}
+    values |= {rnd.getrandbits(62) for _ in range(50)}
+    nodes = spark.createDataFrame([(v,) for v in values], "fp long")
+    sizes = simhash.buckets(nodes, radius).groupBy("mask", "part", "n").agg({"fp": "count"}).collect()
+    assert all(r[2] == r[3] > 1 for r in sizes)
+    assert {r[0] for r in sizes} - set(simhash.finer_masks(0, radius)) or radius == 0  # the hot bucket was cut
+    found = {r.a: r.b for r in simhash.connected(simhash.star_edges(nodes, radius)).collect()}
+    assert {v: found.get(v, v) for v in values} == slow_components(values, radius)
+
+
+@pytest.mark.parametrize("radius", [0, 1, 3, 6])
+def test_finer_masks_cover_the_free_bits(radius):
+    masks = [m & simhash.ALL_BITS for m in simhash.finer_masks(0x00FF00F0, radius)]
+    assert len(masks) == radius + 1 and sum((m & ~0x00FF00F0).bit_count() for m in masks) == 64 - 12
+    whole = 0
+    for m in masks:
+        assert m & 0x00FF00F0 == 0x00FF00F0
+        whole |= m
+    assert whole == simhash.ALL_BITS
+
+
 def test_near_duplicates(make_docs):
     rnd = random.Random(2)
     vocabulary = [f"w{i}" for i in range(400)]
