@@ -7,12 +7,16 @@ One Arrow pass over whole texts, no shuffle.
 
 Line rules (a line without a word is neither judged nor removed):
 
-* punctuation - ``min_sentence`` or more words without a sentence mark inside
-  or a closing mark at the end, or half as many ``!`` or more as words in a line of five or more words;
+* punctuation - ``min_sentence`` or more words without a sentence mark before
+  white space (a dot in ``3.5`` is none) or a closing mark at the end, or half
+  as many ``!`` or more as words in a line of five or more words;
 * symbols - more than ``max_symbols`` of ``#*$%&|<>`` per word, in a line of
   two or more words;
 * navigation - three or more items parted by ``|``, ``>``, a guillemet or a bullet;
-* boilerplate - one of ``BOILERPLATE`` in a line of at most 30 words.
+* boilerplate, in a line of at most 30 words and in any language - a line that
+  its text already held twice (running heads and feet; the first two stay), a
+  copyright mark or a ``(c)`` with a year, or one of ``PHRASES``; in a line of
+  at most three words also a web or e-mail address.
 
 Defined results: NULL and empty texts have no words and fail the base checks;
 repeated rows and NULL ids keep their own row; a text of any length is judged
@@ -36,11 +40,26 @@ from .common import map_batches, small_batches
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
 CLOSING = tuple('.!?:;"\')]}”’»…。！？')
-BOILERPLATE = ("cookie policy", "privacy policy", "terms of use", "terms of service", "enable javascript",
-               "click here", "read more", "sign up", "log in", "subscribe to our", "share this")
-_SENTENCE = re.compile("[.!?。！？]")
+# Notices of web pages in the corpus's four languages.
+PHRASES = {
+    "en": ("cookie policy", "privacy policy", "terms of use", "terms of service", "enable javascript",
+           "click here", "read more", "sign up", "log in", "subscribe to our", "share this"),
+    "de": ("datenschutzerklärung", "nutzungsbedingungen", "cookie-richtlinie", "allgemeine geschäftsbedingungen",
+           "alle rechte vorbehalten", "javascript aktivieren", "hier klicken", "mehr erfahren", "newsletter abonnieren"),
+    "fr": ("politique de confidentialité", "politique de cookies", "conditions d'utilisation", "mentions légales",
+           "tous droits réservés", "activer javascript", "cliquez ici", "lire la suite", "abonnez-vous"),
+    "es": ("política de privacidad", "política de cookies", "términos de uso", "condiciones de uso", "aviso legal",
+           "todos los derechos reservados", "activar javascript", "haga clic aquí", "leer más", "suscríbete"),
+}
+BOILERPLATE = tuple(p for language in PHRASES.values() for p in language)
+# Patterns that Python and RE2 read alike.
+SENTENCE_PATTERN = r"""[.!?][\"')\]}”’»]*[\x20\x09-\x0D]|[。！？]"""
+RIGHTS_PATTERN = r"©|\(c\) ?(19|20)[0-9][0-9]"
+ADDRESS_PATTERN = r"https?://|www\.|[^\x20\x09-\x0D@]@[^\x20\x09-\x0D@]+\.[a-z]"
+_SENTENCE = re.compile(SENTENCE_PATTERN)
 _NAVIGATION = re.compile("[|>»›•·]")
-_BOILERPLATE = re.compile("|".join(map(re.escape, BOILERPLATE)))
+_BOILERPLATE = re.compile("|".join([RIGHTS_PATTERN, *map(re.escape, BOILERPLATE)]))
+_ADDRESS = re.compile(ADDRESS_PATTERN)
 
 
 @dataclass(frozen=True)
@@ -52,7 +71,8 @@ class Rules:
     max_lost: float = 0.5
 
 
-def line_fails(line: str, n_words: int, rules: Rules) -> bool:
+def line_fails(line: str, n_words: int, rules: Rules, earlier: int = 0) -> bool:
+    """Whether a line of ``n_words`` words fails, ``earlier`` equal ones having come before it in its text."""
     end = line.rstrip(SPACES)
     if n_words >= rules.min_sentence and not (end.endswith(CLOSING) or _SENTENCE.search(end)):
         return True
@@ -62,7 +82,10 @@ def line_fails(line: str, n_words: int, rules: Rules) -> bool:
         return True
     if len(_NAVIGATION.findall(line)) >= 2 and sum(1 for x in _NAVIGATION.split(line) if x.strip(SPACES)) >= 3:
         return True
-    return n_words <= 30 and _BOILERPLATE.search(line.lower()) is not None
+    if n_words > 30:
+        return False
+    lower = line.lower()
+    return earlier >= 2 or _BOILERPLATE.search(lower) is not None or (n_words <= 3 and _ADDRESS.search(lower) is not None)
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -94,15 +117,16 @@ def measure(text: str, rules: Rules) -> tuple[int, int, int, int, int, bool, boo
     """Base counts, base verdict, final verdict, and the numbers of the removed lines."""
     words = text.encode().split()  # bytes: ASCII white space only
     lines = text.split("\n")
-    seen: set[str] = set()
+    seen: dict[str, int] = {}
     duplicates, lost, removed = 0, 0, []
     for i, line in enumerate(lines):
         n = len(line.encode().split()) if len(lines) > 1 else len(words)
         if not n:
             continue
-        duplicates += line in seen
-        seen.add(line)
-        if line_fails(line, n, rules):
+        earlier = seen.get(line, 0)
+        seen[line] = earlier + 1
+        duplicates += earlier > 0
+        if line_fails(line, n, rules, earlier):
             lost += n
             removed.append(i)
     repeats = repeated_words(words)

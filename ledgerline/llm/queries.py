@@ -98,6 +98,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # them with brute force instead.
 _SPACE = r"\x20\x09-\x0D"
 _QUOTED_CLOSING = "".join(c.replace("'", "''") for c in quality_rules.CLOSING)
+_QUOTED_SENTENCE = quality_rules.SENTENCE_PATTERN.replace("'", "''")
+_NOTICES = "|".join([quality_rules.RIGHTS_PATTERN, *quality_rules.BOILERPLATE]).replace("'", "''")
 
 ORACLE_SQL: dict[str, str] = {
     "op6_quality_rules": rf"""
@@ -115,15 +117,17 @@ ORACLE_SQL: dict[str, str] = {
         ), lines AS (
             SELECT r, line, len(regexp_extract_all(line, '[^{_SPACE}]+')) AS n,
                    regexp_replace(line, '[{_SPACE}]+$', '') AS finish,
-                   len(regexp_extract_all(line, '[#*$%&|<>]')) AS symbols
+                   len(regexp_extract_all(line, '[#*$%&|<>]')) AS symbols,
+                   row_number() OVER (PARTITION BY r, line) - 1 AS earlier
             FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
         ), judged AS (
-            SELECT *, (n >= 8 AND NOT regexp_matches(line, '[.!?。！？]') AND NOT contains('{_QUOTED_CLOSING}', right(finish, 1)))
+            SELECT *, (n >= 8 AND NOT regexp_matches(line, '{_QUOTED_SENTENCE}') AND NOT contains('{_QUOTED_CLOSING}', right(finish, 1)))
                    OR (n >= 5 AND 2 * len(regexp_extract_all(line, '!')) >= n)
                    OR (n >= 2 AND symbols > CAST(0.2 AS DOUBLE) * n)
                    OR (len(regexp_extract_all(line, '[|>»›•·]')) >= 2
                        AND len(list_filter(regexp_split_to_array(line, '[|>»›•·]'), lambda x: regexp_matches(x, '[^{_SPACE}]'))) >= 3)
-                   OR (n <= 30 AND regexp_matches(lower(line), '{"|".join(quality_rules.BOILERPLATE)}')) AS failed
+                   OR (n <= 30 AND (earlier >= 2 OR regexp_matches(lower(line), '{_NOTICES}')
+                                    OR (n <= 3 AND regexp_matches(lower(line), '{quality_rules.ADDRESS_PATTERN}')))) AS failed
             FROM lines WHERE n > 0
         ), per AS (
             SELECT r, sum(n) AS n_words, count(*) - count(DISTINCT line) AS n_dup, coalesce(sum(n) FILTER (failed), 0) AS lost,

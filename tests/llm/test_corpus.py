@@ -226,15 +226,19 @@ def test_scores_equal_a_plain_learner(spark, make_docs):
 def slow_clean(text):
     """The text without the lines that fail the quality rules; None where it is rejected."""
     n_words, *_, base_failed = slow_counts(text)
-    kept, lost = [], 0
-    for line in text.split("\n"):
-        n, end = len(WORD.findall(line)), line.strip(" \t\n\v\f\r")
+    kept, lost, lines = [], 0, text.split("\n")
+    for at, line in enumerate(lines):
+        found, end, low = WORD.findall(line), line.strip(" \t\n\v\f\r"), line.lower()
+        n = len(found)
+        ended = any(w.rstrip("\"')]}”’»")[-1:] in (".", "!", "?") for w in found[:-1]) or any(c in line for c in "。！？")
         fails = n and (
-            n >= 8 and not any(c in end for c in ".!?。！？") and end[-1] not in '.!?:;"\')]}”’»…。！？'
+            n >= 8 and not ended and end[-1] not in '.!?:;"\')]}”’»…。！？'
             or n >= 5 and 2 * line.count("!") >= n
             or n >= 2 and sum(line.count(c) for c in "#*$%&|<>") > 0.2 * n
             or len(re.findall("[|>»›•·]", line)) >= 2 and sum(bool(WORD.search(x)) for x in re.split("[|>»›•·]", line)) >= 3
-            or n <= 30 and any(b in line.lower() for b in quality_rules.BOILERPLATE))
+            or n <= 30 and (lines[:at].count(line) >= 2 or "©" in line or re.search(r"\(c\) ?(19|20)\d\d", low)
+                            or any(b in low for p in quality_rules.PHRASES.values() for b in p))
+            or n <= 3 and ("www." in low or "http://" in low or "https://" in low or re.search(r"[^\s@]@[^\s@]+\.[a-z]", low)))
         lost += n if fails else 0
         kept += [] if fails else [line]
     return None if base_failed or lost > 0.5 * n_words else "\n".join(kept)

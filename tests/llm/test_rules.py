@@ -6,6 +6,7 @@ import time
 from collections import Counter, defaultdict
 
 import duckdb
+import pytest
 from hypothesis import given, settings, strategies as st
 
 import corpus_pipeline
@@ -52,6 +53,40 @@ def test_verdicts(make_docs):
     assert {r.doc_id for r in got if r.base_failed} == {4, 5, 7}
 
 
+LINES = [  # (line, fails)
+    ("Version 3.5 of the thing came out with many new parts", True), ("It rose to 3.5. Then it fell and nobody knew the reason", False),
+    ('He said "stop." and went away without any further word', False), ("Überall gilt unsere Datenschutzerklärung.", True),
+    ("Tous droits réservés.", True), ("Lea nuestra política de cookies.", True), ("© Beispiel GmbH", True), ("(c) 2019 Somebody", True),
+    ("(c) the third point of the list.", False), ("www.example.org", True), ("mail@example.org", True),
+    ("See https://example.org for the rest of it.", False), ("Twitter user @someone.", False), ("3 @ 4.5 each", False)]
+
+
+@pytest.mark.parametrize("line,fails", LINES)
+def test_lines(line, fails):
+    assert quality_rules.line_fails(line, len(WORD.findall(line)), quality_rules.Rules()) == fails
+
+
+def test_running_heads_go_but_the_first_two(make_docs, spark):
+    head = "Kapitel eins"
+    text = "\n".join(x for line in PROSE.split("\n") for x in (head, line))
+    long = "A line of more than thirty words " + "and so on " * 10 + "stays however often it comes back."
+    rows = [(1, text), (2, "\n".join([PROSE] * 1 + [long] * 3)), (3, "\n".join(x for x, _ in LINES) + "\n" + PROSE)]
+    got = {r.doc_id: r for r in quality_rules.judge(make_docs(rows)).collect()}
+    assert got[1].n_removed_lines == 10 and got[1].n_dup_lines == 11 and got[1].kept
+    assert got[2].n_removed_lines == 0 and got[3].n_removed_lines == sum(f for _, f in LINES)
+    kept = {r.doc_id: r.text for r in quality_rules.clean(make_docs(rows)).collect()}
+    assert kept[1].split("\n").count(head) == 2 and kept[1].replace(head + "\n", "") == PROSE
+
+
+def test_quality_sql_on_the_lines(make_docs):
+    rows = [(i, "\n".join([x, PROSE, x, x, "\t" + x])) for i, (x, _) in enumerate(LINES)] + [(99, None), (100, "a\n\na\na")]
+    db = duckdb.connect()
+    db.register("documents", make_docs(rows).toPandas())
+    result = db.sql(queries.ORACLE_SQL["op6_quality_rules"])
+    want = sorted(tuple(r) for r in result.fetchall())
+    assert sorted(tuple(r) for r in quality_rules.judge(make_docs(rows)).select(*result.columns).collect()) == want
+
+
 def test_clean_removes_the_failing_lines(make_docs):
     docs = make_docs([(1, "Home | About | Contact\n" + PROSE), (2, "short"), (None, PROSE)])
     got = {r.doc_id: r for r in quality_rules.clean(docs).collect()}
