@@ -18,7 +18,7 @@ from ledgerline.functions.money import round_sql
 from ledgerline.functions.naming import require_columns, standardize
 from ledgerline.functions.parse import date_sql, ident, number_sql, text, time_sql
 from ledgerline.rules import CATEGORY_RULES, NUMERIC_COLUMNS, SalesRules
-from ledgerline.session import cut_lineage
+from ledgerline.session import broadcast_if_small, cut_lineage
 
 REJECT_FLAGS = [
     "critical_null", "invalid_date", "invalid_time", "invalid_branch",
@@ -203,13 +203,14 @@ def duplicate_rows(both: DataFrame) -> DataFrame:
     Rows are grouped by 128 bits of hash (combined in every task first), never
     by their text.  Only rows whose hash occurs twice are then compared in
     full, so equal hashes of different rows change nothing.  The repeated
-    hashes are written; the rows meet them in a join that Spark broadcasts by
-    its size, hence rows without a double stay where they are.
+    hashes are written, measured and broadcast up to a size, hence rows without
+    a double stay where they are.
     """
     raw = [RAW + c for c in _raw_columns(both.columns)]
     hashed = both.select(*raw, *row_hash(raw))
     keys = ["_h1", "_h2"]
     seen_twice = cut_lineage(hashed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*keys))
+    seen_twice = broadcast_if_small(seen_twice)
     same = hashed.join(seen_twice, keys, "left_semi").groupBy(*raw).agg(F.count(F.lit(1)).alias("_n"))
     return same.agg(F.expr("sum(_n - 1)").alias("raw_duplicate_rows"))
 
@@ -326,10 +327,10 @@ def dedup_first(rows: DataFrame, key: str = "invoice_id", order: list[str] | Non
     With it, keys of several rows and their least instant are found by a hash
     aggregate over key and instant and written; rows of a key that occurs once
     pass through, and of the others only those at their key's least instant are
-    compared in full.  Spark broadcasts the written keys by their size, hence
-    with few repeated keys whole rows are neither sorted nor shuffled; beyond
-    that size the rows meet them in shuffle joins whose hot partitions adaptive
-    execution splits.  Without ``instant`` all rows are compared in full.
+    compared in full.  The written keys are measured and broadcast up to
+    ``BROADCAST_BYTES``, hence with few repeated keys whole rows are neither
+    sorted nor shuffled; beyond that size the rows meet them in shuffle joins
+    whose hot partitions adaptive execution splits.  Without ``instant`` all rows are compared in full.
 
     The full comparison has map-side partial aggregation, so a key holding a
     third of all rows is reduced in every task before the shuffle.
@@ -338,7 +339,7 @@ def dedup_first(rows: DataFrame, key: str = "invoice_id", order: list[str] | Non
     rows = rows.select([c for c in rows.columns if c not in FLAGS])
     if instant is None:
         return _least_rows(rows, key, order)
-    repeated = cut_lineage(repeated_keys(rows, key, instant))
+    repeated = broadcast_if_small(cut_lineage(repeated_keys(rows, key, instant)))
     same = F.col(key).eqNullSafe(F.col("_key"))
     once = rows.join(repeated, same, "left_anti")
     first = rows.join(repeated, same & (F.expr(instant) == F.col("_first")), "left_semi")

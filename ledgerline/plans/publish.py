@@ -41,7 +41,7 @@ from ledgerline.operators import checks
 from ledgerline.operators.report import report_sql
 from ledgerline.operators.star import StarSchema, attach_dimension_keys, fact_projection, member_rows
 from ledgerline.operators.upsert import insert_missing, upsert, upsert_parts
-from ledgerline.session import cut_lineage, cut_table, folder_bytes
+from ledgerline.session import TABLE_CODEC, cut_lineage, cut_table, folder_bytes
 from ledgerline.sources.csv import write_csv
 
 TABLE_NAMES = ["dim_branch", "dim_product", "fact_sales"]
@@ -218,7 +218,8 @@ class Warehouse:
         lies: every task holds one bucket of the old rows, and only the new
         rows are shuffled.  Any other fact is shuffled into its buckets.
         """
-        buckets = self.fact_buckets or bucket_count(star.fact_bytes)
+        # The size is that of zstd files; a bucket's rows decode to what 128 MB of Spark's default codec does.
+        buckets = self.fact_buckets or bucket_count(star.fact_bytes * 3 // 2)
         if star.fact_parts is not None and star.fact_buckets == buckets:
             kept, new = star.fact_parts()
             self._append_fact(kept, version, buckets)
@@ -228,7 +229,7 @@ class Warehouse:
         self._written[version] = buckets
 
     def _append_fact(self, rows: DataFrame, version: str, buckets: int) -> None:
-        (rows.write.mode("append").bucketBy(buckets, "invoice_id")
+        (rows.write.mode("append").bucketBy(buckets, "invoice_id").option("compression", TABLE_CODEC)
          .option("path", self.version_path(version, "fact_sales")).saveAsTable(self._table_name(version)))
 
     def stage(self, star: StarSchema, version: str, summary: LoadSummary) -> None:

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from conftest import SAMPLE_ROWS, good_row, raw_frame
+from ledgerline import session
 from ledgerline.operators import quality, report
 from ledgerline.plans.pipeline import prepare
 from ledgerline.rules import RETAIL_RULES
@@ -267,6 +268,37 @@ def test_keep_first_by_instant_equals_the_full_order(spark, broadcast):
     assert quality.dedup_first(df.limit(0), instant=quality.SALE_SECOND).count() == 0
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_keep_first_shuffles_whole_rows_only_beyond_the_measured_size(spark, monkeypatch, limit):
+    """Whatever the session's threshold, few repeated keys leave the other rows where they are; many give the same rows."""
+    rows = [(f"i{n % 90}", dt.date(2019, 1, 1 + n % 3), "09:05:00", n) for n in range(100)] + [(None, None, None, 1)] * 2
+    df = spark.createDataFrame(rows, "invoice_id string, sale_date date, sale_time string, n int").repartition(4)
+    monkeypatch.setattr(session, "BROADCAST_BYTES", limit)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = quality.dedup_first(df, instant=quality.SALE_SECOND)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        got = sorted((tuple(r) for r in kept.collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == _kept_by_hand(rows)
+    assert ("BroadcastHashJoin" in plan and "SortMergeJoin" not in plan) == (limit > 0)
+
+
+def test_whole_raw_doubles_are_found_without_shuffling_single_rows(spark):
+    rows = [good_row(**{"Invoice ID": f"INV-{n % 45}", "Rating": str(n % 45 % 10)}) for n in range(50)]
+    p = prepare(raw_frame(spark, rows), RETAIL_RULES)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        doubles = quality.duplicate_rows(p.written)
+        assert "SortMergeJoin" not in doubles._jdf.queryExecution().executedPlan().toString()
+        assert doubles.first()["raw_duplicate_rows"] == 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_instants_follow_the_sale_order(spark):
     days = [None, dt.date(1, 1, 1), dt.date(1969, 12, 31), dt.date(2019, 1, 5), dt.date(9999, 12, 31)]
     times = [None, "00:00:00", "00:00:59", "00:01:00", "23:59:59"]
