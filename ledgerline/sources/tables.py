@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.session import TABLE_CODEC, ensure_checkpoint_dir
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -85,12 +85,13 @@ def sales_view(spark: SparkSession, sf_dir: str, ship_from: str | None = None,
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey", "n_name", "r_name")
     buyer = (orders.join(customer, orders.o_custkey == customer.c_custkey)
-             .join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
-             .select("o_orderkey", "c_mktsegment", "n_nationkey", "n_name", "r_name"))
+             .select("o_orderkey", "c_mktsegment", "c_nationkey"))
     # Lineitem meets orders in a shuffle join (both grow with the data; AQE
-    # splits skewed order keys); Spark's size estimate decides for part.
+    # splits skewed order keys); Spark's size estimate decides for part.  The
+    # names of the few nations come last, so that no shuffle carries them.
     rows = (li.join(buyer, li.l_orderkey == buyer.o_orderkey)
-            .join(part, li.l_partkey == part.p_partkey))
+            .join(part, li.l_partkey == part.p_partkey)
+            .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")))
 
     # Integer cents and percents first, then the raw text columns.  Written
     # as SQL expressions: one call builds the whole projection.
@@ -174,6 +175,6 @@ def landed_sales_view(spark: SparkSession, sf_dir: str, ship_from: str | None =
     view = sales_view(spark, sf_dir, ship_from, ship_before)
     if path is None:
         path = f"{ensure_checkpoint_dir(spark)}/landed/{uuid.uuid4().hex}"
-        view.write.parquet(path)
+        view.write.option("compression", TABLE_CODEC).parquet(path)
         _LANDED[key] = path
     return spark.read.schema(view.schema).parquet(path)

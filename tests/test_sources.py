@@ -2,9 +2,12 @@
 
 import pytest
 
+from conftest import SF_SMALL
 from ledgerline.plans.pipeline import prepare
 from ledgerline.rules import RETAIL_REQUIRED_COLUMNS, RETAIL_RULES
+from ledgerline.session import cut_table
 from ledgerline.sources.csv import file_layouts, read_csv_strings, write_csv
+from ledgerline.sources.tables import sales_view
 
 HEADER = ",".join(RETAIL_REQUIRED_COLUMNS)
 ROW = "INV-001,A,Yangon,Member,Female,Food and beverages,10,2,1.0,21,1/5/2019,9:05,Cash,20,4.76,1.0,7"
@@ -80,3 +83,28 @@ def test_no_csv_raises(spark, tmp_path):
     _write(tmp_path / "x.txt", "x")
     with pytest.raises(FileNotFoundError):
         read_csv_strings(spark, str(tmp_path))
+
+
+def test_no_shuffle_of_the_raw_view_carries_names_of_nations(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sales_view(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    # The first join of the plan is the last one made.
+    assert "BroadcastHashJoin" in joins[0] and "n_nationkey" in joins[0]
+
+
+def test_files_read_back_smaller_than_the_default_codec(spark):
+    rows = spark.range(20000).selectExpr("concat('INV-', cast(id as string), '-1') as invoice_id")
+    assert cut_table(rows).bytes < cut_table(rows, codec="snappy").bytes
+    assert cut_table(rows).table.distinct().count() == 20000
+
+
+def test_quotes_are_counted_by_line(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,y\n"a ""b""",1\n')
+    (tmp_path / "b.csv").write_text('x,y\n"a\nb",1\n')
+    found = {r["path"][-5:]: (r["header"], r["multi_line"]) for r in file_layouts(spark, [str(tmp_path)]).collect()}
+    assert found == {"a.csv": ("x,y", False), "b.csv": ("x,y", True)}
