@@ -23,7 +23,7 @@ SCAN_BLOCK = 1024
 
 # Target size of one range partition, in bytes of the written (compressed)
 # input: roughly half a gigabyte once decoded.
-RANGE_PARTITION_BYTES = 80 * 1024 * 1024
+RANGE_PARTITION_BYTES = 128 * 1024 * 1024
 
 
 def range_partitions(df: DataFrame, size: int) -> int:
@@ -67,7 +67,8 @@ def dense_key_large(df: DataFrame, order: str, key: str, size: int, partitions:
     the number of range partitions unless ``partitions`` does.  ``order`` must identify rows (the fact's invoice id after dedup); ties
     would still get distinct keys, in an unspecified order.
     """
-    n = partitions or range_partitions(df, size)
+    # The size is that of zstd files, which decode to half as much again as the target supposes.
+    n = partitions or range_partitions(df, size * 3 // 2)
     ranged = (df.repartitionByRange(n, F.col(order).asc_nulls_first())
               .sortWithinPartitions(F.col(order).asc_nulls_first()))
     tagged = cut_lineage(ranged.select(
