@@ -18,7 +18,7 @@ from ledgerline.functions.money import round_sql
 from ledgerline.functions.naming import require_columns, standardize
 from ledgerline.functions.parse import date_sql, ident, number_sql, text, time_sql
 from ledgerline.rules import CATEGORY_RULES, NUMERIC_COLUMNS, SalesRules
-from ledgerline.session import broadcast_if_small, cut_lineage
+from ledgerline.session import broadcast_if_small, cut_lineage, is_small
 
 REJECT_FLAGS = [
     "critical_null", "invalid_date", "invalid_time", "invalid_branch",
@@ -329,8 +329,8 @@ def dedup_first(rows: DataFrame, key: str = "invoice_id", order: list[str] | Non
     pass through, and of the others only those at their key's least instant are
     compared in full.  The written keys are measured and broadcast up to
     ``BROADCAST_BYTES``, hence with few repeated keys whole rows are neither
-    sorted nor shuffled; beyond that size the rows meet them in shuffle joins
-    whose hot partitions adaptive execution splits.  Without ``instant`` all rows are compared in full.
+    sorted nor shuffled; beyond that size all rows are compared in full, one
+    shuffle of what each task has kept, where two joins would need two.  Without ``instant`` all rows are compared in full.
 
     The full comparison has map-side partial aggregation, so a key holding a
     third of all rows is reduced in every task before the shuffle.
@@ -339,7 +339,10 @@ def dedup_first(rows: DataFrame, key: str = "invoice_id", order: list[str] | Non
     rows = rows.select([c for c in rows.columns if c not in FLAGS])
     if instant is None:
         return _least_rows(rows, key, order)
-    repeated = broadcast_if_small(cut_lineage(repeated_keys(rows, key, instant)))
+    keys = cut_lineage(repeated_keys(rows, key, instant))
+    if not is_small(keys):
+        return _least_rows(rows, key, order)
+    repeated = F.broadcast(keys)
     same = F.col(key).eqNullSafe(F.col("_key"))
     once = rows.join(repeated, same, "left_anti")
     first = rows.join(repeated, same & (F.expr(instant) == F.col("_first")), "left_semi")

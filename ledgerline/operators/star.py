@@ -135,7 +135,9 @@ def build_star(clean_dedup: DataFrame, partitions: int | None = None) -> StarSch
 
     def fact() -> DataFrame:
         rows = staged()
-        keyed = dense_key_large(rows.table, "invoice_id", "sales_key", rows.bytes, partitions)
-        return fact_projection(attach_dimension_keys(keyed, dim_branch(), dim_product()))
+        # The dimension keys come first: the range shuffle carries them and not the names.
+        named = attach_dimension_keys(rows.table, dim_branch(), dim_product())
+        source = fact_projection(named.withColumn("sales_key", F.lit(None).cast("long"))).drop("sales_key")
+        return dense_key_large(source, "invoice_id", "sales_key", rows.bytes, partitions).select(*FACT_COLUMNS)
 
     return StarSchema(dim_branch, dim_product, fact, lambda: staged().bytes)

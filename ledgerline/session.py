@@ -133,6 +133,16 @@ def cut_lineage(df: DataFrame, codec: str | None = TABLE_CODEC) -> DataFrame:
     return cut_table(df, codec).table
 
 
+def is_small(table: DataFrame) -> bool:
+    """Whether a written table's rows, as measured, take no more than ``BROADCAST_BYTES``."""
+    width = F.lit(ROW_BYTES)
+    for f in table.schema.fields:
+        if f.dataType.typeName() in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+    size = table.agg(F.sum(width.cast("long")).alias("n")).first()["n"] or 0
+    return size <= BROADCAST_BYTES
+
+
 def broadcast_if_small(table: DataFrame) -> DataFrame:
     """A written table, marked for broadcast if it is known to be small.
 
@@ -140,9 +150,4 @@ def broadcast_if_small(table: DataFrame) -> DataFrame:
     send the other, large side of a join through a shuffle for the sake of a
     few keys.  Above ``BROADCAST_BYTES`` Spark chooses the join.
     """
-    width = F.lit(ROW_BYTES)
-    for f in table.schema.fields:
-        if f.dataType.typeName() in ("string", "binary"):
-            width = width + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
-    size = table.agg(F.sum(width.cast("long")).alias("n")).first()["n"] or 0
-    return F.broadcast(table) if size <= BROADCAST_BYTES else table
+    return F.broadcast(table) if is_small(table) else table
