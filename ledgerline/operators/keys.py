@@ -59,6 +59,29 @@ def dense_key_small(df: DataFrame, order: list[str], key: str) -> DataFrame:
     return df.select(F.row_number().over(w).cast("long").alias(key), *df.columns)
 
 
+def in_key_order(ranged: DataFrame, order: str) -> DataFrame:
+    """Rows in ranges of ``order`` (NULLs first), sorted inside each; a sort that is there already is not done again."""
+    return ranged.sortWithinPartitions(F.col(order).asc_nulls_first())
+
+
+def place_rows(ordered: DataFrame) -> DataFrame:
+    """Rows with their partition and position, to be written as they lie."""
+    return ordered.select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid"))
+
+
+def number_rows(placed: DataFrame, key: str, start: Column | int = 0) -> DataFrame:
+    """``key`` = start + 1..n of a written table of :func:`place_rows`, in its order."""
+    # One count per partition, and a written table of their prefix sums: its
+    # known size lets Spark decide how to join it.
+    counts = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = cut_lineage(prefix_sums(counts, "_pid", "_n"))
+    tagged = placed.join(offsets, "_pid")
+    offset = F.col("_off")
+    position = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    base = start if isinstance(start, Column) else F.lit(start).cast("long")
+    return tagged.select((base + offset + position + 1).alias(key), *[c for c in placed.columns if c not in ("_pid", "_mid")])
+
+
 def dense_key_large(df: DataFrame, order: str, key: str, size: int, partitions: int | None = None,
                     start: Column | int = 0) -> DataFrame:
     """``key`` = start + 1..n by ``order`` over a table of any size.
@@ -69,17 +92,5 @@ def dense_key_large(df: DataFrame, order: str, key: str, size: int, partitions:
     """
     # The size is that of zstd files, which decode to half as much again as the target supposes.
     n = partitions or range_partitions(df, size * 3 // 2)
-    ranged = (df.repartitionByRange(n, F.col(order).asc_nulls_first())
-              .sortWithinPartitions(F.col(order).asc_nulls_first()))
-    tagged = cut_lineage(ranged.select(
-        "*", F.spark_partition_id().alias("_pid"),
-        F.monotonically_increasing_id().alias("_mid")))
-    # One count per partition, and a written table of their prefix sums: its
-    # known size lets Spark decide how to join it.
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = cut_lineage(prefix_sums(counts, "_pid", "_n"))
-    tagged = tagged.join(offsets, "_pid")
-    offset = F.col("_off")
-    position = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    base = start if isinstance(start, Column) else F.lit(start).cast("long")
-    return tagged.select((base + offset + position + 1).alias(key), *df.columns)
+    ranged = in_key_order(df.repartitionByRange(n, F.col(order).asc_nulls_first()), order)
+    return number_rows(cut_lineage(place_rows(ranged)), key, start)

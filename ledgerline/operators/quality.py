@@ -10,6 +10,7 @@ mismatch that cannot be computed is not a mismatch.  Hence
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.money import round_sql
 from ledgerline.functions.naming import require_columns, standardize
 from ledgerline.functions.parse import date_sql, ident, number_sql, text, time_sql
+from ledgerline.operators.keys import in_key_order, range_partitions
 from ledgerline.rules import CATEGORY_RULES, NUMERIC_COLUMNS, SalesRules
 from ledgerline.session import broadcast_if_small, cut_lineage, is_small
 
@@ -28,6 +30,9 @@ REJECT_FLAGS = [
 MISMATCH_FLAGS = ["tax_mismatch", "total_mismatch", "cogs_mismatch", "gross_income_mismatch"]
 FLAGS = REJECT_FLAGS + MISMATCH_FLAGS + ["rejected"]
 
+# Rows from which on a key is reduced before its rows are brought together.
+HOT_ROWS = 10_000
+
 # The warehouse quantity is a 64-bit integer.
 QUANTITY_LIMIT = 9.2e18
 
@@ -150,10 +155,25 @@ RAW = "raw_"
 def flag_both(std: DataFrame, rules: SalesRules) -> DataFrame:
     """Raw text columns (prefixed), typed columns and flags: the row set that
     is written once and read by flags, rejects, metrics and dedup."""
-    typed = std.selectExpr("*", *[f"{ident(c)} AS {ident(RAW + c)}" for c in std.columns])
+    return with_raw(flag_stored(std, rules), std.columns)
+
+
+def flag_stored(std: DataFrame, rules: SalesRules) -> DataFrame:
+    """The part of :func:`flag_both` that is written: a column that is not
+    parsed is its own raw text, so only parsed ones are there twice."""
+    parsed = parsed_sql(rules)
+    typed = std.selectExpr("*", *[f"{ident(c)} AS {ident(RAW + c)}" for c in std.columns if c in parsed])
     return _with_flags(typed, rules, typed.columns)
 
 
+def with_raw(stored: DataFrame, columns: list[str]) -> DataFrame:
+    """:func:`flag_both` from its stored part; ``columns`` are the standardized ones."""
+    held = set(stored.columns)
+    raw = [F.col(ident(RAW + c if RAW + c in held else c)).alias(RAW + c) for c in columns]
+    rest = [F.col(ident(c)) for c in stored.columns if c not in {RAW + c for c in columns}]
+    return stored.select(*rest, *raw)
+
+
 def typed_rows(both: DataFrame) -> DataFrame:
     """The typed columns and flags of :func:`flag_both`."""
     return both.select([c for c in both.columns if not (c.startswith(RAW) and c.removeprefix(RAW) in both.columns)])
@@ -178,14 +198,16 @@ def _raw_columns(columns: list[str]) -> list[str]:
     return [c.removeprefix(RAW) for c in columns if c.startswith(RAW) and c.removeprefix(RAW) in columns]
 
 
-def row_counts(columns: list[str]) -> list[Column]:
+def row_counts(columns: list[str], std: list[str] | None = None) -> list[Column]:
     """Aggregates of :func:`flag_both` rows that need no grouping: rows, flags
-    and NULLs.  They can be observed while the rows are written."""
+    and NULLs.  They can be observed while the rows are written; of stored rows
+    (:func:`flag_stored`) ``std`` names the standardized columns."""
+    raw = [RAW + c for c in _raw_columns(columns)] if std is None else [RAW + c if RAW + c in columns else c for c in std]
     return [
         F.count(F.lit(1)).alias("raw_row_count"),
         *[F.count_if(F.col(f)).alias(FLAG_METRICS[f]) for f in FLAGS],
         F.count_if(~F.col("rejected")).alias("clean_rows"),
-        *[F.count_if(F.col(RAW + c).isNull()).alias(f"_null_{i}") for i, c in enumerate(_raw_columns(columns))],
+        *[F.count_if(F.col(ident(c)).isNull()).alias(f"_null_{i}") for i, c in enumerate(raw)],
     ]
 
 
@@ -301,13 +323,13 @@ SALE_SECOND = (
 
 
 def repeated_keys(rows: DataFrame, key: str, instant: str) -> DataFrame:
-    """(_key, _first): the keys of two rows or more and their least ``instant``.
+    """(_key, _first, _n): the keys of two rows or more, their least ``instant`` and their rows.
 
     The buffer is two longs beside the key, so this is a hash aggregate that
     reduces every task's rows in place; no other column is read or shuffled.
     """
     return (rows.groupBy(F.col(key).alias("_key")).agg(F.expr(f"min({instant})").alias("_first"), F.count(F.lit(1)).alias("_n"))
-            .where("_n > 1").select("_key", "_first"))
+            .where("_n > 1"))
 
 
 def _least_rows(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -318,8 +340,22 @@ def _least_rows(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     return picked.selectExpr(*[ident(key) if c == key else f"_best.{ident(c)} AS {ident(c)}" for c in rows.columns])
 
 
+class Kept(NamedTuple):
+    """The rows of :func:`keep_first`, and whether they lie in key order over
+    the partitions and inside each."""
+
+    rows: DataFrame
+    in_key_order: bool
+
+
 def dedup_first(rows: DataFrame, key: str = "invoice_id", order: list[str] | None = None,
                 instant: str | None = None) -> DataFrame:
+    """The rows of :func:`keep_first`."""
+    return keep_first(rows, key, order, instant).rows
+
+
+def keep_first(rows: DataFrame, key: str = "invoice_id", order: list[str] | None = None,
+               instant: str | None = None, size: int = 0) -> Kept:
     """Keep one row per key: the smallest by ``order``, then every other column.
     NULLs sort first in every position; rows of a NULL key are one group.
 
@@ -329,27 +365,38 @@ def dedup_first(rows: DataFrame, key: str = "invoice_id", order: list[str] | Non
     pass through, and of the others only those at their key's least instant are
     compared in full.  The written keys are measured and broadcast up to
     ``BROADCAST_BYTES``, hence with few repeated keys whole rows are neither
-    sorted nor shuffled; beyond that size all rows are compared in full, one
-    shuffle of what each task has kept, where two joins would need two.  Without ``instant`` all rows are compared in full.
-
-    The full comparison has map-side partial aggregation, so a key holding a
-    third of all rows is reduced in every task before the shuffle.
+    sorted nor shuffled.  Beyond that size all rows are brought into ranges of
+    the key, one shuffle, and compared in full there, so a step that wants them
+    in key order needs no second one; ``size`` (bytes of the written table that
+    is read) sets the number of ranges.  Keys of ``HOT_ROWS`` or more are
+    reduced before that.  Without ``instant`` all rows are compared in full.
+
+    The full comparison of the hot keys, and without ``instant``, has map-side
+    partial aggregation, so a key holding a third of all rows is reduced in
+    every task before the shuffle.
     """
     order = order if order is not None else ["sale_date", "sale_time"]
     rows = rows.select([c for c in rows.columns if c not in FLAGS])
     if instant is None:
-        return _least_rows(rows, key, order)
+        return Kept(_least_rows(rows, key, order), False)
     keys = cut_lineage(repeated_keys(rows, key, instant))
-    if not is_small(keys):
-        return _least_rows(rows, key, order)
-    repeated = F.broadcast(keys)
-    same = F.col(key).eqNullSafe(F.col("_key"))
-    once = rows.join(repeated, same, "left_anti")
-    first = rows.join(repeated, same & (F.expr(instant) == F.col("_first")), "left_semi")
-    return once.unionByName(_least_rows(first, key, order))
-
-
-def clean_dedup(flagged: DataFrame) -> DataFrame:
+    small = is_small(keys)
+    reduced = keys if small else keys.where(F.col("_n") >= HOT_ROWS)
+    if small or reduced.limit(1).count():
+        # Beyond the measured size: the hot keys, one for HOT_ROWS rows at the most.
+        repeated = F.broadcast(reduced)
+        same = F.col(key).eqNullSafe(F.col("_key"))
+        others = rows.join(repeated, same, "left_anti")
+        first = rows.join(repeated, same & (F.expr(instant) == F.col("_first")), "left_semi")
+        rows = others.unionByName(_least_rows(first, key, order))
+    if small:
+        return Kept(rows, False)
+    n = range_partitions(rows, size * 3 // 2)  # zstd files, as in dense_key_large
+    ranged = rows.repartitionByRange(n, F.col(key).asc_nulls_first())
+    return Kept(in_key_order(_least_rows(ranged, key, order), key), True)
+
+
+def clean_dedup(flagged: DataFrame, size: int = 0) -> Kept:
     """Clean rows, one per invoice.  On a written flag table the reject test
     is a filter at the scan, so rejected rows are never sorted or shuffled."""
-    return dedup_first(clean_rows(flagged), instant=SALE_SECOND)
+    return keep_first(clean_rows(flagged), instant=SALE_SECOND, size=size)

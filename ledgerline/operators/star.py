@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.money import round_sql
-from ledgerline.operators.keys import dense_key_large, dense_key_small
+from ledgerline.operators.keys import dense_key_large, dense_key_small, in_key_order, number_rows, place_rows, range_partitions
 from ledgerline.rules import FACT_COLUMNS
 from ledgerline.session import Cut, cut_lineage, cut_table
 
@@ -104,21 +104,28 @@ def member_rows(rows: DataFrame) -> DataFrame:
     return rows.groupBy("branch", "city", "product_line").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def build_star(clean_dedup: DataFrame, partitions: int | None = None) -> StarSchema:
+def build_star(clean_dedup: DataFrame, partitions: int | None = None, in_order: bool = False, size: int = 0) -> StarSchema:
     """Dimensions and fact from deduplicated clean rows.
 
-    For the fact, the deduplicated rows are written once, so the range
-    sampling and the range shuffle of the key assignment read them instead of
-    re-running the scan, the flags and the dedup shuffle.  Both dimensions
-    come from one small aggregate (one row per branch, city and product line),
-    which is written too.  A reader of the dimensions alone writes only that
-    aggregate and the dimensions.
+    For the fact, the deduplicated rows are written once, in the order of
+    their invoice ids: a row's key is its place there, and the dimension keys
+    are joined on when the fact is read.  Rows that the dedup left in that
+    order (``in_order``) are written as they lie, others take one range
+    shuffle, into as many ranges as ``partitions`` or the ``size`` of the
+    written table they are read from ask for.  Both dimensions come from one
+    small aggregate (one row per branch, city and product line), which is
+    written too.  A reader of the dimensions alone writes only that aggregate
+    and the dimensions.
     """
     made: list[Cut] = []
 
     def staged() -> Cut:
         if not made:
-            made.append(cut_table(clean_dedup))
+            rows = clean_dedup
+            if partitions or not in_order:
+                n = partitions or range_partitions(rows, size * 3 // 2)  # zstd files, as in dense_key_large
+                rows = in_key_order(rows.repartitionByRange(n, F.col("invoice_id").asc_nulls_first()), "invoice_id")
+            made.append(cut_table(place_rows(rows)))
         return made[0]
 
     @cache
@@ -134,10 +141,7 @@ def build_star(clean_dedup: DataFrame, partitions: int | None = None) -> StarSch
         return cut_lineage(build_dim_product(members()))
 
     def fact() -> DataFrame:
-        rows = staged()
-        # The dimension keys come first: the range shuffle carries them and not the names.
-        named = attach_dimension_keys(rows.table, dim_branch(), dim_product())
-        source = fact_projection(named.withColumn("sales_key", F.lit(None).cast("long"))).drop("sales_key")
-        return dense_key_large(source, "invoice_id", "sales_key", rows.bytes, partitions).select(*FACT_COLUMNS)
+        numbered = number_rows(staged().table, "sales_key")
+        return fact_projection(attach_dimension_keys(numbered, dim_branch(), dim_product()))
 
     return StarSchema(dim_branch, dim_product, fact, lambda: staged().bytes)

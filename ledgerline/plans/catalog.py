@@ -4,7 +4,7 @@ Each query takes ``(spark, sf_dir)`` and returns a DataFrame computed from
 the whole of the driver tables through the raw sales view (see
 ``sources.tables``), with the driver-table rule set.  The view is landed
 once per session (like the raw files of a production run) and read by
-every query.
+every query that goes over raw rows; the others read the flagged rows.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from ledgerline.plans.publish import Warehouse, merge_into
 from ledgerline.rules import FACT_COLUMNS, NUMERIC_COLUMNS, driver_table_rules
 from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sources.csv import read_csv_strings, write_csv, write_json
-from ledgerline.sources.tables import landed_sales_view, view_key
+from ledgerline.sources.tables import landed_sales_view, raw_sales_view, view_key
 from ledgerline.streaming.incremental import start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,18 +46,24 @@ FIRST_LOAD_BEFORE = "1999-01-01"
 SECOND_LOAD_FROM = "1998-07-01"
 
 
-# Prepared views by the key of their landed table, so that the flagged rows
-# are written once per session as well.
+# Prepared views by the key of their raw rows, so that the flagged rows are
+# written once per session.  They hold every raw value, so the raw rows need
+# not be landed before them.
 _PREPARED: dict[tuple, Prepared] = {}
 
 
 def prepared(spark: SparkSession, sf_dir: str, **batch) -> Prepared:
     key = view_key(spark, sf_dir, **batch)
     if key not in _PREPARED:
-        _PREPARED[key] = prepare(landed_sales_view(spark, sf_dir, **batch), driver_table_rules())
+        _PREPARED[key] = prepare(raw_sales_view(spark, sf_dir, **batch), driver_table_rules())
     return _PREPARED[key]
 
 
+def standard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed raw rows under their canonical names."""
+    return quality.standardized(landed_sales_view(spark, sf_dir), driver_table_rules())[0]
+
+
 def star(spark: SparkSession, sf_dir: str) -> StarSchema:
     return prepared(spark, sf_dir).star()
 
@@ -70,7 +76,7 @@ def scratch_dir(spark: SparkSession) -> str:
 # -- naming, parsing, quality ------------------------------------------------
 
 def q_column_standardize(spark, sf_dir):
-    return prepared(spark, sf_dir).std
+    return standard_rows(spark, sf_dir)
 
 
 def q_coerce_dates_times_numbers(spark, sf_dir):
@@ -194,11 +200,11 @@ def q_pivot_avg_rating(spark, sf_dir):
 # -- profiles of the raw rows ------------------------------------------------
 
 def q_value_counts_branch(spark, sf_dir):
-    return profile.value_counts(prepared(spark, sf_dir).std, "branch")
+    return profile.value_counts(standard_rows(spark, sf_dir), "branch")
 
 
 def q_value_counts_product_line(spark, sf_dir):
-    return profile.value_counts(prepared(spark, sf_dir).std, "product_line")
+    return profile.value_counts(standard_rows(spark, sf_dir), "product_line")
 
 
 def q_describe_numeric(spark, sf_dir):

@@ -20,7 +20,7 @@ from ledgerline.operators.report import sales_report
 from ledgerline.operators.star import StarSchema, build_star
 from ledgerline.plans.publish import Warehouse, merge_into
 from ledgerline.rules import RETAIL_RULES, SalesRules
-from ledgerline.session import cut_lineage, cut_scope
+from ledgerline.session import Cut, cut_scope, cut_table
 from ledgerline.sources.csv import read_csv_strings, write_csv, write_json, write_parquet
 
 log = logging.getLogger(__name__)
@@ -35,21 +35,21 @@ class Prepared:
     extra_columns: list[str] = field(default_factory=list)
 
     @cached_property
-    def _landed(self) -> tuple[DataFrame, dict[str, int]]:
+    def _landed(self) -> tuple[Cut, dict[str, int]]:
         """The written flagged rows, and the counts observed on the way.
 
         The observed aggregate is part of the writing tasks; a task that runs
         again is counted once, since Spark takes an output task's counts only
         when it first completes.
         """
-        flagged = quality.flag_both(self.std, self.rules)
+        stored = quality.flag_stored(self.std, self.rules)
         seen = Observation()
-        return cut_lineage(flagged.observe(seen, *quality.row_counts(flagged.columns))), seen.get
+        return cut_table(stored.observe(seen, *quality.row_counts(stored.columns, self.std.columns))), seen.get
 
     @property
     def written(self) -> DataFrame:
         """Raw text, typed values and flags of every row, written at first use."""
-        return self._landed[0]
+        return quality.with_raw(self._landed[0].table, self.std.columns)
 
     @property
     def flagged(self) -> DataFrame:
@@ -60,8 +60,12 @@ class Prepared:
         return quality.clean_rows(self.flagged)
 
     @cached_property
+    def _kept(self) -> quality.Kept:
+        return quality.clean_dedup(self.flagged, self._landed[0].bytes)
+
+    @property
     def clean_dedup(self) -> DataFrame:
-        return quality.clean_dedup(self.flagged)
+        return self._kept.rows
 
     @property
     def rejects(self) -> DataFrame:
@@ -79,7 +83,7 @@ class Prepared:
         return quality.quality_report(self.metrics, self.extra_columns)
 
     def star(self, partitions: int | None = None) -> StarSchema:
-        return build_star(self.clean_dedup, partitions)
+        return build_star(self.clean_dedup, partitions, self._kept.in_key_order, self._landed[0].bytes)
 
 
 def prepare(raw: DataFrame, rules: SalesRules = RETAIL_RULES) -> Prepared:
