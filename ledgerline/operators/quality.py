@@ -10,6 +10,7 @@ mismatch that cannot be computed is not a mismatch.  Hence
 from __future__ import annotations
 
 from functools import reduce
+from math import prod
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -396,7 +397,61 @@ def keep_first(rows: DataFrame, key: str = "invoice_id", order: list[str] | None
     return Kept(in_key_order(_least_rows(ranged, key, order), key), True)
 
 
-def clean_dedup(flagged: DataFrame, size: int = 0) -> Kept:
+def category_runs(columns: list[str], rules: SalesRules) -> list[list[tuple[str, list[str]]]]:
+    """The category columns with their allowed values in order, neighbours together
+    as long as their combinations can be numbered."""
+    fields = dict(CATEGORY_RULES)
+    runs: list[list[tuple[str, list[str]]]] = []
+    for before, c in zip([None, *columns], columns):
+        if c in fields:
+            values = sorted(set(rules.allowed(fields[c])))
+            if before not in fields or prod(len(v) for _, v in runs[-1]) * len(values) >= 1 << 62:
+                runs.append([])
+            runs[-1].append((c, values))
+    return runs
+
+
+def code_categories(clean: DataFrame, rules: SalesRules) -> DataFrame:
+    """Clean rows with one number ``_cat<i>`` in the place of each run of
+    neighbouring category columns.
+
+    A clean row's categories are of the allowed values, so the number names them
+    exactly, and numbers fall in the order of the columns' values.
+    """
+    runs = category_runs(clean.columns, rules)
+    first = {run[0][0]: i for i, run in enumerate(runs)}
+    out = []
+    for c in clean.columns:
+        if c in first:
+            code = "0L"
+            for name, values in runs[first[c]]:
+                listed = ", ".join(text(v) for v in values)
+                code = f"({code}) * {len(values)} + array_position(array({listed}), {ident(name)}) - 1"
+            out.append(f"{code} AS _cat{first[c]}")
+        elif not any(c == name for run in runs for name, _ in run):
+            out.append(ident(c))
+    return clean.selectExpr(*out)
+
+
+def name_categories(coded: DataFrame, columns: list[str], rules: SalesRules) -> DataFrame:
+    """The ``columns`` of clean rows from :func:`code_categories`."""
+    named = {}
+    for i, run in enumerate(category_runs(columns, rules)):
+        below = 1
+        for name, values in reversed(run):
+            listed = ", ".join(text(v) for v in values)
+            named[name] = f"element_at(array({listed}), CAST(_cat{i} DIV {below} % {len(values)} AS INT) + 1) AS {ident(name)}"
+            below *= len(values)
+    return coded.selectExpr(*[named.get(c, ident(c)) for c in columns])
+
+
+def clean_dedup(flagged: DataFrame, size: int = 0, rules: SalesRules | None = None) -> Kept:
     """Clean rows, one per invoice.  On a written flag table the reject test
-    is a filter at the scan, so rejected rows are never sorted or shuffled."""
-    return keep_first(clean_rows(flagged), instant=SALE_SECOND, size=size)
+    is a filter at the scan, so rejected rows are never sorted or shuffled; rows
+    without flags are clean.  With ``rules`` the rows travel with their
+    categories as numbers."""
+    clean = clean_rows(flagged) if "rejected" in flagged.columns else flagged
+    if rules is None:
+        return keep_first(clean, instant=SALE_SECOND, size=size)
+    kept = keep_first(code_categories(clean, rules), instant=SALE_SECOND, size=size)
+    return Kept(name_categories(kept.rows, clean.columns, rules), kept.in_key_order)

@@ -25,6 +25,10 @@ from ledgerline.sources.csv import read_csv_strings, write_csv, write_json, writ
 
 log = logging.getLogger(__name__)
 
+# Bytes of the table of all flagged rows for a byte of the clean rows alone, which
+# hold each value once; it only sets the number of range partitions.
+CLEAN_SHARE = 3
+
 
 @dataclass
 class Prepared:
@@ -46,6 +50,18 @@ class Prepared:
         seen = Observation()
         return cut_table(stored.observe(seen, *quality.row_counts(stored.columns, self.std.columns))), seen.get
 
+    @cached_property
+    def _clean(self) -> tuple[DataFrame, int]:
+        """The clean rows and the size of the table of all flagged rows, known or supposed.
+
+        Where nothing has asked for the flagged rows yet, only the clean ones
+        are written, without raw text and flags.
+        """
+        if "_landed" in self.__dict__:
+            return self.clean, self._landed[0].bytes
+        made = cut_table(quality.clean_rows(quality.flag_rows(self.std, self.rules)))
+        return made.table, made.bytes * CLEAN_SHARE
+
     @property
     def written(self) -> DataFrame:
         """Raw text, typed values and flags of every row, written at first use."""
@@ -61,7 +77,7 @@ class Prepared:
 
     @cached_property
     def _kept(self) -> quality.Kept:
-        return quality.clean_dedup(self.flagged, self._landed[0].bytes)
+        return quality.clean_dedup(*self._clean, self.rules)
 
     @property
     def clean_dedup(self) -> DataFrame:
@@ -83,7 +99,7 @@ class Prepared:
         return quality.quality_report(self.metrics, self.extra_columns)
 
     def star(self, partitions: int | None = None) -> StarSchema:
-        return build_star(self.clean_dedup, partitions, self._kept.in_key_order, self._landed[0].bytes)
+        return build_star(self.clean_dedup, partitions, self._kept.in_key_order, self._clean[1])
 
 
 def prepare(raw: DataFrame, rules: SalesRules = RETAIL_RULES) -> Prepared:

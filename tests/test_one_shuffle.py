@@ -78,3 +78,52 @@ def test_unparsed_columns_are_stored_once(spark):
     row = p.written.first()
     assert row["raw_city"] == row["city"] == "Yangon" and row["raw_unit_price"] == "10" and row["unit_price"] == 10.0
     assert p.metrics.first()["raw_duplicate_rows"] == 0
+
+
+def tied_sales():
+    """Two rows of each of 40 invoices, equal in date and time, that differ in their categories, and a rejected row."""
+    places = [("B", "Mandalay"), ("A", "Yangon"), ("C", "Naypyitaw")]
+    rows = []
+    for i in range(80):
+        branch, city = places[i % 3]
+        rows.append(good_row(**{"Invoice ID": f"INV-{i // 2:03d}", "Branch": branch, "City": city, "Customer type": ["Normal", "Member"][i // 3 % 2],
+                                "Gender": ["Male", "Female"][i // 5 % 2], "Payment": ["Ewallet", "Cash", "Credit card"][i // 7 % 3]}))
+    return [*rows, good_row(**{"Invoice ID": "INV-999", "Gender": None})]
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 27])
+def test_categories_travel_as_numbers_and_come_back(spark, monkeypatch, limit):
+    monkeypatch.setattr(session, "BROADCAST_BYTES", limit)
+    p = prepare(raw_frame(spark, tied_sales()), RETAIL_RULES)
+    by_text = quality.keep_first(quality.clean_rows(p.flagged), instant=quality.SALE_SECOND).rows
+    assert p.clean_dedup.columns == by_text.columns and p.clean_dedup.dtypes == by_text.dtypes
+    assert sorted(map(str, p.clean_dedup.collect())) == sorted(map(str, by_text.collect())) and by_text.count() == 40
+    if limit == 0:
+        below = p.clean_dedup._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression", 1)[1]
+        assert "_cat0" in below.splitlines()[1] and "gender" not in below.splitlines()[1].split(" AS ")[-1]
+
+
+def test_neighbours_are_numbered_in_the_order_of_their_values():
+    rules = RETAIL_RULES.with_(branches=["b", "a"], cities=["y", "x"])
+    runs = quality.category_runs(["branch", "city", "rating", "gender"], rules)
+    assert runs == [[("branch", ["a", "b"]), ("city", ["x", "y"])], [("gender", sorted(rules.genders))]]
+    many = RETAIL_RULES.with_(branches=[str(i) for i in range(1 << 12)])
+    monster = quality.category_runs(["branch"] * 6, many)
+    assert [len(run) for run in monster] == [5, 1]
+
+
+def test_a_star_alone_writes_only_the_clean_rows(spark):
+    p = prepare(raw_frame(spark, tied_sales()), RETAIL_RULES)
+    with session.cut_scope(spark) as made:
+        assert p.star().dim_product.count() == 1
+        landed = spark.read.parquet(made[0])
+        assert landed.count() == 80 and "rejected" not in landed.columns
+        assert not [c for c in landed.columns if c.startswith(quality.RAW)]
+
+
+def test_flagged_rows_that_are_there_are_read_instead(spark):
+    p = prepare(raw_frame(spark, tied_sales()), RETAIL_RULES)
+    assert p.flags.count() == 81
+    with session.cut_scope(spark) as made:
+        assert p.clean_dedup.count() == 40
+        assert all(spark.read.parquet(path).count() <= 40 for path in made)

@@ -108,3 +108,11 @@ def test_quotes_are_counted_by_line(spark, tmp_path):
     (tmp_path / "b.csv").write_text('x,y\n"a\nb",1\n')
     found = {r["path"][-5:]: (r["header"], r["multi_line"]) for r in file_layouts(spark, [str(tmp_path)]).collect()}
     assert found == {"a.csv": ("x,y", False), "b.csv": ("x,y", True)}
+
+
+def test_the_view_shuffles_no_supplier_and_no_ship_time(spark):
+    from conftest import SF_SMALL
+    from ledgerline.sources.tables import sales_view
+    plan = sales_view(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan.split("Join", 1)[1]
+    assert "AS unrated" in below and "cast(l_shipdate" in below and "l_suppkey" not in plan.split("Join", 1)[0]
