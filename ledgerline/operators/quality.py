@@ -167,6 +167,22 @@ def flag_stored(std: DataFrame, rules: SalesRules) -> DataFrame:
     return _with_flags(typed, rules, typed.columns)
 
 
+def flag_text(std: DataFrame, rules: SalesRules) -> DataFrame:
+    """Raw text and flags alone: :func:`flag_both` by :func:`parse_text`."""
+    parsed = parsed_sql(rules)
+    typed = std.selectExpr("*", *[f"{expr} AS {ident('_p_' + c)}" for c, expr in parsed.items()])
+    flags = flag_sql(rules)
+    return typed.selectExpr(*[ident(c) for c in std.columns], *[f"{flags[f]} AS {f}" for f in FLAGS])
+
+
+def parse_text(stored: DataFrame, columns: list[str], rules: SalesRules) -> DataFrame:
+    """:func:`flag_both` from :func:`flag_text`; ``columns`` are the standardized
+    ones.  A reader parses the columns that it asks for."""
+    parsed = parsed_sql(rules)
+    return stored.selectExpr(*[f"{parsed.get(c, ident(c))} AS {ident(c)}" for c in columns], *FLAGS,
+                             *[f"{ident(c)} AS {ident(RAW + c)}" for c in columns])
+
+
 def with_raw(stored: DataFrame, columns: list[str]) -> DataFrame:
     """:func:`flag_both` from its stored part; ``columns`` are the standardized ones."""
     held = set(stored.columns)

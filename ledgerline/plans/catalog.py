@@ -25,7 +25,7 @@ from ledgerline.operators.upsert import upsert
 from ledgerline.plans.pipeline import Prepared, prepare, run
 from ledgerline.plans.publish import Warehouse, merge_into
 from ledgerline.rules import FACT_COLUMNS, NUMERIC_COLUMNS, driver_table_rules
-from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.session import ensure_checkpoint_dir, shuffles_removed
 from ledgerline.sources.csv import read_csv_strings, write_csv, write_json
 from ledgerline.sources.tables import landed_sales_view, raw_sales_view, view_key
 from ledgerline.streaming.incremental import start_ingest
@@ -348,7 +348,8 @@ def q_column_replacement_names(spark, sf_dir):
 def q_batch_run(spark, sf_dir):
     """The whole batch over a folder of CSV files; the report file read back."""
     folder = scratch_dir(spark)
-    write_csv(landed_sales_view(spark, sf_dir), folder + "/raw")
+    with shuffles_removed(spark):
+        write_csv(raw_sales_view(spark, sf_dir), folder + "/raw")
     run(spark, folder + "/raw", folder + "/out", folder + "/warehouse", driver_table_rules(), mode="merge")
     types = {"transaction_count": "long", "total_units_sold": "long", "sales_rank_within_branch": "int"}
     types |= {c: "double" for c in ("total_sales", "total_gross_income", "avg_rating", "pct_of_branch_sales")}

@@ -20,7 +20,7 @@ from ledgerline.operators.report import sales_report
 from ledgerline.operators.star import StarSchema, build_star
 from ledgerline.plans.publish import Warehouse, merge_into
 from ledgerline.rules import RETAIL_RULES, SalesRules
-from ledgerline.session import Cut, cut_scope, cut_table
+from ledgerline.session import Cut, cut_scope, cut_table, shuffles_removed
 from ledgerline.sources.csv import read_csv_strings, write_csv, write_json, write_parquet
 
 log = logging.getLogger(__name__)
@@ -28,15 +28,23 @@ log = logging.getLogger(__name__)
 # Bytes of the table of all flagged rows for a byte of the clean rows alone, which
 # hold each value once; it only sets the number of range partitions.
 CLEAN_SHARE = 3
+# The same for a byte of the table of raw text and flags.
+TEXT_SHARE = 2
 
 
 @dataclass
 class Prepared:
-    """Standardized raw rows and everything derived from them."""
+    """Standardized raw rows and everything derived from them.
+
+    With ``text_only`` the flagged rows are written without their typed values,
+    half the bytes, and each reader parses the columns that it asks for; that
+    suits a job that goes over them once or twice.
+    """
 
     rules: SalesRules
     std: DataFrame
     extra_columns: list[str] = field(default_factory=list)
+    text_only: bool = False
 
     @cached_property
     def _landed(self) -> tuple[Cut, dict[str, int]]:
@@ -46,7 +54,8 @@ class Prepared:
         again is counted once, since Spark takes an output task's counts only
         when it first completes.
         """
-        stored = quality.flag_stored(self.std, self.rules)
+        store = quality.flag_text if self.text_only else quality.flag_stored
+        stored = store(self.std, self.rules)
         seen = Observation()
         return cut_table(stored.observe(seen, *quality.row_counts(stored.columns, self.std.columns))), seen.get
 
@@ -58,14 +67,17 @@ class Prepared:
         are written, without raw text and flags.
         """
         if "_landed" in self.__dict__:
-            return self.clean, self._landed[0].bytes
+            return self.clean, self._landed[0].bytes * (TEXT_SHARE if self.text_only else 1)
         made = cut_table(quality.clean_rows(quality.flag_rows(self.std, self.rules)))
         return made.table, made.bytes * CLEAN_SHARE
 
     @property
     def written(self) -> DataFrame:
         """Raw text, typed values and flags of every row, written at first use."""
-        return quality.with_raw(self._landed[0].table, self.std.columns)
+        table = self._landed[0].table
+        if self.text_only:
+            return quality.parse_text(table, self.std.columns, self.rules)
+        return quality.with_raw(table, self.std.columns)
 
     @property
     def flagged(self) -> DataFrame:
@@ -102,9 +114,9 @@ class Prepared:
         return build_star(self.clean_dedup, partitions, self._kept.in_key_order, self._clean[1])
 
 
-def prepare(raw: DataFrame, rules: SalesRules = RETAIL_RULES) -> Prepared:
+def prepare(raw: DataFrame, rules: SalesRules = RETAIL_RULES, text_only: bool = False) -> Prepared:
     std, extra = quality.standardized(raw, rules)
-    return Prepared(rules, std, extra)
+    return Prepared(rules, std, extra, text_only)
 
 
 def transform(raw: DataFrame, rules: SalesRules = RETAIL_RULES,
@@ -128,16 +140,16 @@ def run(spark: SparkSession, source_dir: str, out_dir: str, warehouse_root: str,
     ``mode="full"`` publishes a version built from this input alone;
     ``mode="merge"`` upserts the input into the current published version
     (a first run without one is a full load).  Outputs under ``out_dir``:
-    ``data_quality_flags`` (every row, CSV), ``data_quality_rejects``
+    ``data_quality_flags`` (every row, gzipped CSV), ``data_quality_rejects``
     (rejected or mismatched rows, Parquet), ``data_quality_report`` (JSON),
-    CSV copies of the three tables and ``report`` (one CSV file).  A failure
-    is logged and raised again.  The run's intermediate tables are removed
-    at its end.
+    gzipped CSV copies of the three tables and ``report`` (one plain CSV file).
+    A failure is logged and raised again.  The run's intermediate tables are
+    removed at its end, its shuffle files after each step.
     """
     if mode not in ("full", "merge"):
         raise ValueError(f"Unknown mode {mode!r}")
     try:
-        with cut_scope(spark):
+        with cut_scope(spark), shuffles_removed(spark):
             return _run(spark, source_dir, out_dir.rstrip("/"), Warehouse(spark, warehouse_root), rules, mode,
                         run_id or uuid.uuid4().hex)
     except Exception:
@@ -157,7 +169,7 @@ def load_star(warehouse: Warehouse, prepared: Prepared, mode: str = "merge") ->
 
 def _run(spark: SparkSession, source_dir: str, out: str, warehouse: Warehouse, rules: SalesRules, mode: str,
          run_id: str) -> RunResult:
-    prepared = prepare(read_csv_strings(spark, source_dir), rules)
+    prepared = prepare(read_csv_strings(spark, source_dir), rules, text_only=True)
     write_csv(prepared.flags, f"{out}/data_quality_flags")
     write_parquet(prepared.rejects, f"{out}/data_quality_rejects")
     write_json(prepared.report(), f"{out}/data_quality_report")

@@ -81,6 +81,25 @@ class Cut(NamedTuple):
     bytes: int
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Inside the block a query's shuffle files are removed when it ends; by
+    default they stay until the driver happens to collect its garbage.  For
+    jobs that write what they read again: a query run twice shuffles twice."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 # Folders of the tables written inside the innermost cut_scope of this thread.
 _SCOPE: ContextVar[list[str] | None] = ContextVar("cut_scope", default=None)
 

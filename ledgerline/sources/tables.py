@@ -88,10 +88,12 @@ def sales_view(spark: SparkSession, sf_dir: str, ship_from: str | None = None,
     buyer = (orders.join(customer, orders.o_custkey == customer.c_custkey)
              .select("o_orderkey", "c_mktsegment", "c_nationkey"))
     # Lineitem meets orders in a shuffle join (both grow with the data; AQE
-    # splits skewed order keys); Spark's size estimate decides for part.  The
-    # names of the few nations come last, so that no shuffle carries them.
-    rows = (li.join(buyer, li.l_orderkey == buyer.o_orderkey)
-            .join(part, li.l_partkey == part.p_partkey)
+    # splits skewed order keys); Spark's size estimate decides for part.  Orders
+    # come after part, so that lines of an order lie together, which makes files
+    # and shuffles of the rows smaller.  The names of the few nations come last,
+    # so that no shuffle carries them.
+    rows = (li.join(part, li.l_partkey == part.p_partkey)
+            .join(buyer, li.l_orderkey == buyer.o_orderkey)
             .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")))
 
     # Integer cents and percents first, then the raw text columns.  Written

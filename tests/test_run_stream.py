@@ -5,8 +5,8 @@ import os
 
 import pytest
 
-from conftest import SAMPLE_ROWS
-from ledgerline.plans.pipeline import run
+from conftest import SAMPLE_ROWS, SF_SMALL, good_row, raw_frame
+from ledgerline.plans.pipeline import prepare, run
 from ledgerline.plans.publish import Warehouse
 from ledgerline.rules import RETAIL_REQUIRED_COLUMNS, RETAIL_RULES
 from ledgerline.session import ensure_checkpoint_dir
@@ -89,6 +89,48 @@ def test_run_parses_the_files_once_and_leaves_no_intermediate_table(spark, tmp_p
     assert set(os.listdir(tables)) == before
 
 
+def test_run_writes_compressed_outputs_and_text_once(spark, tmp_path, monkeypatch):
+    """Large outputs are compressed, and no intermediate table holds a parsed column twice."""
+    from ledgerline import session
+
+    _csv(tmp_path / "src" / "sales.csv", SAMPLE_ROWS)
+    stored, shuffles = [], []
+    cut = session.cut_table
+    monkeypatch.setattr("ledgerline.plans.pipeline.cut_table", lambda df, *a: (stored.append(df.columns), shuffles.append(
+        spark.conf.get(session.SHUFFLE_CLEANUP)), cut(df, *a))[-1])
+    before = spark.conf.get(session.SHUFFLE_CLEANUP, None)
+    run(spark, str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "wh"))
+    assert stored and not any(c.startswith("raw_") for c in stored[0])
+    assert set(shuffles) == {"true"} and spark.conf.get(session.SHUFFLE_CLEANUP, None) == before
+    for name in ["data_quality_flags", "dim_branch", "dim_product", "fact_sales"]:
+        assert all(f.endswith(".csv.gz") for f in os.listdir(tmp_path / "out" / name) if f.startswith("part-")), name
+    rejects = tmp_path / "out" / "data_quality_rejects"
+    assert all(".zstd." in f for f in os.listdir(rejects) if f.startswith("part-"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "out" / "data_quality_flags")).count() == len(SAMPLE_ROWS)
+
+
+def test_rows_kept_as_text_give_the_same_tables(spark):
+    rows = [good_row(**{"Invoice ID": f"I-{i % 9}", "Rating": [None, "x", "7", "7.50", "1e1", "11"][i % 6], "Date": ["1/5/2019", "bad", None][i % 3],
+                        "Quantity": ["2", "2.5", "10d"][i // 3 % 3], "City": "Yangon" if i % 5 else "Nowhere"}) for i in range(60)]
+    rows += [good_row(**{"Invoice ID": None})] * 3 + [good_row(**{"Invoice ID": "I-x"})] * 2
+    raw = raw_frame(spark, [[*r, "shop"] for r in rows], [*RETAIL_REQUIRED_COLUMNS, "Channel"])
+    whole, text = prepare(raw, RETAIL_RULES), prepare(raw, RETAIL_RULES, text_only=True)
+    for read in ("flags", "rejects", "metrics", "written", "flagged", "clean", "clean_dedup"):
+        a, b = getattr(whole, read), getattr(text, read)
+        assert a.dtypes == b.dtypes and sorted(map(str, a.collect())) == sorted(map(str, b.collect())), read
+    assert text._landed[0].bytes < whole._landed[0].bytes
+    assert sorted(map(str, whole.star().fact_sales.collect())) == sorted(map(str, text.star().fact_sales.collect()))
+
+
+def test_batch_query_writes_the_raw_rows_once(spark, monkeypatch):
+    from ledgerline.plans import catalog
+    from ledgerline.sources import tables
+
+    monkeypatch.setattr(tables, "_LANDED", {})
+    assert catalog.QUERIES["batch_run"](spark, SF_SMALL).count() > 0
+    assert not tables._LANDED
+
+
 def test_replayed_epoch_is_applied_once(spark, tmp_path):
     _csv(tmp_path / "in" / "a.csv", SAMPLE_ROWS[:2])
     wh = Warehouse(spark, str(tmp_path / "wh"))

@@ -1,5 +1,7 @@
 """All-string CSV source: markers, headers, multiple files."""
 
+import os
+
 import pytest
 
 from conftest import SF_SMALL
@@ -8,6 +10,7 @@ from ledgerline.rules import RETAIL_REQUIRED_COLUMNS, RETAIL_RULES
 from ledgerline.session import cut_table
 from ledgerline.sources.csv import file_layouts, read_csv_strings, write_csv
 from ledgerline.sources.tables import sales_view
+from ledgerline.streaming.incremental import file_stream
 
 HEADER = ",".join(RETAIL_REQUIRED_COLUMNS)
 ROW = "INV-001,A,Yangon,Member,Female,Food and beverages,10,2,1.0,21,1/5/2019,9:05,Cash,20,4.76,1.0,7"
@@ -70,6 +73,26 @@ def test_written_csv_reads_back_the_same(spark, tmp_path):
     assert sorted(tuple(r) for r in read_csv_strings(spark, str(tmp_path / "w"), markers=[""]).collect()) == sorted(rows)
 
 
+def test_csv_is_written_gzipped_and_read_by_files_and_stream(spark, tmp_path):
+    rows = [(f"INV-{i}", "Mandalay", None) for i in range(500)]
+    df = spark.createDataFrame(rows, "id string, city string, rating string").repartition(2)
+    write_csv(df, str(tmp_path / "w" / "gz"))
+    files = [f for f in os.listdir(tmp_path / "w" / "gz") if f.startswith("part-")]
+    assert len(files) == 2 and all(f.endswith(".csv.gz") for f in files)
+    assert 3 * sum(os.path.getsize(tmp_path / "w" / "gz" / f) for f in files) < sum(len(",".join(map(str, r))) for r in rows)
+    _write(tmp_path / "w" / "plain.csv", "id,city,rating\nINV-500,Mandalay,\n")
+    _write(tmp_path / "w" / "notes.gz", "id,city,rating\nINV-501,Mandalay,\n")
+    want = sorted(rows + [("INV-500", "Mandalay", None)])
+    assert sorted(tuple(r) for r in read_csv_strings(spark, str(tmp_path / "w")).collect()) == want
+    one = str(tmp_path / "w" / "gz" / files[0])
+    assert read_csv_strings(spark, one).count() == read_csv_strings(spark, [one, str(tmp_path / "w" / "plain.csv")]).count() - 1
+    query = file_stream(spark, str(tmp_path / "w")).writeStream.format("memory").queryName("found").trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    assert sorted(r["path"].rsplit("/", 1)[1] for r in spark.table("found").collect()) == sorted([*files, "plain.csv"])
+    write_csv(df, str(tmp_path / "one"), single_file=True)
+    assert [f for f in os.listdir(tmp_path / "one") if f.startswith("part-")][0].endswith(".csv")
+
+
 def test_missing_column_and_empty_file(spark, tmp_path):
     _write(tmp_path / "m" / "h.csv", ",".join(RETAIL_REQUIRED_COLUMNS[:-1]) + "\n")
     with pytest.raises(ValueError, match="Rating"):
@@ -97,6 +120,18 @@ def test_no_shuffle_of_the_raw_view_carries_names_of_nations(spark):
     assert "BroadcastHashJoin" in joins[0] and "n_nationkey" in joins[0]
 
 
+def test_rows_of_the_raw_view_lie_by_order(spark):
+    """Part is joined before orders, so the lines of an order are neighbours."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sales_view(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert "l_orderkey" in joins[0] and "l_partkey" in joins[1]
+
+
 def test_files_read_back_smaller_than_the_default_codec(spark):
     rows = spark.range(20000).selectExpr("concat('INV-', cast(id as string), '-1') as invoice_id")
     assert cut_table(rows).bytes < cut_table(rows, codec="snappy").bytes
