@@ -239,15 +239,15 @@ def duplicate_rows(both: DataFrame) -> DataFrame:
     """One row: ``raw_duplicate_rows``, the raw rows beyond the first of every
     set of identical ones.
 
-    Rows are grouped by 128 bits of hash (combined in every task first), never
+    Rows are grouped by 64 bits of hash (combined in every task first), never
     by their text.  Only rows whose hash occurs twice are then compared in
     full, so equal hashes of different rows change nothing.  The repeated
     hashes are written, measured and broadcast up to a size, hence rows without
     a double stay where they are.
     """
     raw = [RAW + c for c in _raw_columns(both.columns)]
-    hashed = both.select(*raw, *row_hash(raw))
-    keys = ["_h1", "_h2"]
+    hashed = both.select(*raw, row_hash(raw)[0])
+    keys = ["_h1"]
     seen_twice = cut_lineage(hashed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*keys))
     seen_twice = broadcast_if_small(seen_twice)
     same = hashed.join(seen_twice, keys, "left_semi").groupBy(*raw).agg(F.count(F.lit(1)).alias("_n"))
@@ -258,29 +258,44 @@ def duplicate_ids(both: DataFrame) -> DataFrame:
     """One row of counts over the invoice ids; only an id, a count and a flag
     per task and id are shuffled."""
     by_id = both.groupBy(RAW + "invoice_id").agg(F.count(F.lit(1)).alias("_rows"), F.expr("max(NOT rejected)").alias("_has_clean"))
-    return by_id.agg(
+    return by_id.agg(*id_counts())
+
+
+def id_counts() -> list[Column]:
+    """The aggregates of :func:`duplicate_ids`."""
+    return [
         F.expr("sum(_rows - 1)").alias("duplicate_invoice_ids"),
         F.expr("count_if(_rows > 1)").alias("invoice_ids_with_duplicates"),
         F.expr("count_if(_has_clean)").alias("clean_rows_after_invoice_dedup"),
-    )
+    ]
 
 
-def quality_metrics(both: DataFrame, rules: SalesRules, counts: dict[str, int] | None = None) -> DataFrame:
+def id_groups(both: DataFrame) -> DataFrame:
+    """(_key, _first, _n, _rows, _has_clean) of every invoice id: least
+    ``SALE_SECOND`` and number of its clean rows, and its rows.  One shuffle of
+    the ids for :func:`id_counts` and, where ``_n > 1``, :func:`repeated_keys`."""
+    return both.groupBy(F.col(RAW + "invoice_id").alias("_key")).agg(
+        F.expr(f"min(CASE WHEN NOT rejected THEN {SALE_SECOND} END)").alias("_first"),
+        F.expr("count_if(NOT rejected)").alias("_n"), F.count(F.lit(1)).alias("_rows"),
+    ).withColumn("_has_clean", F.col("_n") > 0)
+
+
+def quality_metrics(both: DataFrame, rules: SalesRules, counts: dict[str, int] | None = None,
+                    ids: dict[str, int] | None = None) -> DataFrame:
     """One row of BIGINT metrics plus a ``null_counts`` map.
 
     ``both`` has the raw text and the flags of every row (:func:`flag_both`);
     it is read up to three times, so it should be a written table.  ``counts``
     are the values of :func:`row_counts` if they were observed while ``both``
-    was written; otherwise one aggregate finds them, one row a task.  The
-    one-row results are merged by a union and an aggregate, not a join.
+    was written; otherwise one aggregate finds them, one row a task.  ``ids``
+    are the values of :func:`id_counts`, if known.  The one-row results are
+    merged by a union and an aggregate, not a join.
     """
     cols = _raw_columns(both.columns)
-    if counts is None:
-        by_row = both.agg(*row_counts(both.columns))
-    else:
-        by_row = both.sparkSession.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in counts.items()])
+    by_row = both.agg(*row_counts(both.columns)) if counts is None else _known(both, counts)
+    by_id = duplicate_ids(both) if ids is None else _known(both, ids)
     merged = (by_row.unionByName(duplicate_rows(both), allowMissingColumns=True)
-              .unionByName(duplicate_ids(both), allowMissingColumns=True))
+              .unionByName(by_id, allowMissingColumns=True))
     raw_names = _canonical_to_raw(cols, rules)
     keys = ", ".join(text(raw_names[c]) for c in cols)
     nulls = ", ".join(f"CAST(coalesce(max(_null_{i}), 0) AS BIGINT)" for i in range(len(cols)))
@@ -290,6 +305,11 @@ def quality_metrics(both: DataFrame, rules: SalesRules, counts: dict[str, int] |
     )
 
 
+def _known(both: DataFrame, counts: dict[str, int]) -> DataFrame:
+    """One row of counts that were observed."""
+    return both.sparkSession.range(1).select(*[F.lit(n).cast("long").alias(name) for name, n in counts.items()])
+
+
 def _canonical_to_raw(cols: list[str], rules: SalesRules) -> dict[str, str]:
     back = {rules.canonical(r): r for r in rules.required_columns}
     return {c: back.get(c, c) for c in cols}
@@ -372,7 +392,7 @@ def dedup_first(rows: DataFrame, key: str = "invoice_id", order: list[str] | Non
 
 
 def keep_first(rows: DataFrame, key: str = "invoice_id", order: list[str] | None = None,
-               instant: str | None = None, size: int = 0) -> Kept:
+               instant: str | None = None, size: int = 0, keys: DataFrame | None = None) -> Kept:
     """Keep one row per key: the smallest by ``order``, then every other column.
     NULLs sort first in every position; rows of a NULL key are one group.
 
@@ -387,6 +407,7 @@ def keep_first(rows: DataFrame, key: str = "invoice_id", order: list[str] | None
     in key order needs no second one; ``size`` (bytes of the written table that
     is read) sets the number of ranges.  Keys of ``HOT_ROWS`` or more are
     reduced before that.  Without ``instant`` all rows are compared in full.
+    ``keys`` are the written :func:`repeated_keys`, if there are any already.
 
     The full comparison of the hot keys, and without ``instant``, has map-side
     partial aggregation, so a key holding a third of all rows is reduced in
@@ -396,7 +417,8 @@ def keep_first(rows: DataFrame, key: str = "invoice_id", order: list[str] | None
     rows = rows.select([c for c in rows.columns if c not in FLAGS])
     if instant is None:
         return Kept(_least_rows(rows, key, order), False)
-    keys = cut_lineage(repeated_keys(rows, key, instant))
+    if keys is None:
+        keys = cut_lineage(repeated_keys(rows, key, instant))
     small = is_small(keys)
     reduced = keys if small else keys.where(F.col("_n") >= HOT_ROWS)
     if small or reduced.limit(1).count():
@@ -461,13 +483,13 @@ def name_categories(coded: DataFrame, columns: list[str], rules: SalesRules) ->
     return coded.selectExpr(*[named.get(c, ident(c)) for c in columns])
 
 
-def clean_dedup(flagged: DataFrame, size: int = 0, rules: SalesRules | None = None) -> Kept:
+def clean_dedup(flagged: DataFrame, size: int = 0, rules: SalesRules | None = None, keys: DataFrame | None = None) -> Kept:
     """Clean rows, one per invoice.  On a written flag table the reject test
     is a filter at the scan, so rejected rows are never sorted or shuffled; rows
     without flags are clean.  With ``rules`` the rows travel with their
     categories as numbers."""
     clean = clean_rows(flagged) if "rejected" in flagged.columns else flagged
     if rules is None:
-        return keep_first(clean, instant=SALE_SECOND, size=size)
-    kept = keep_first(code_categories(clean, rules), instant=SALE_SECOND, size=size)
+        return keep_first(clean, instant=SALE_SECOND, size=size, keys=keys)
+    kept = keep_first(code_categories(clean, rules), instant=SALE_SECOND, size=size, keys=keys)
     return Kept(name_categories(kept.rows, clean.columns, rules), kept.in_key_order)

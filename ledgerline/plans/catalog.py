@@ -349,7 +349,7 @@ def q_batch_run(spark, sf_dir):
     """The whole batch over a folder of CSV files; the report file read back."""
     folder = scratch_dir(spark)
     with shuffles_removed(spark):
-        write_csv(raw_sales_view(spark, sf_dir), folder + "/raw")
+        write_csv(raw_sales_view(spark, sf_dir, coded=True), folder + "/raw")
     run(spark, folder + "/raw", folder + "/out", folder + "/warehouse", driver_table_rules(), mode="merge")
     types = {"transaction_count": "long", "total_units_sold": "long", "sales_rank_within_branch": "int"}
     types |= {c: "double" for c in ("total_sales", "total_gross_income", "avg_rating", "pct_of_branch_sales")}

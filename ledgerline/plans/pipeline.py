@@ -20,7 +20,7 @@ from ledgerline.operators.report import sales_report
 from ledgerline.operators.star import StarSchema, build_star
 from ledgerline.plans.publish import Warehouse, merge_into
 from ledgerline.rules import RETAIL_RULES, SalesRules
-from ledgerline.session import Cut, cut_scope, cut_table, shuffles_removed
+from ledgerline.session import Cut, cut_lineage, cut_scope, cut_table, shuffles_removed
 from ledgerline.sources.csv import read_csv_strings, write_csv, write_json, write_parquet
 
 log = logging.getLogger(__name__)
@@ -38,7 +38,8 @@ class Prepared:
 
     With ``text_only`` the flagged rows are written without their typed values,
     half the bytes, and each reader parses the columns that it asks for; that
-    suits a job that goes over them once or twice.
+    suits a job that goes over them once or twice.  The metrics then find the
+    dedup's repeated ids as well.
     """
 
     rules: SalesRules
@@ -87,9 +88,17 @@ class Prepared:
     def clean(self) -> DataFrame:
         return quality.clean_rows(self.flagged)
 
+    @cached_property
+    def _ids(self) -> tuple[DataFrame, dict[str, int]]:
+        """The written ids of several clean rows, and the counts over all ids observed on the way."""
+        seen = Observation()
+        groups = quality.id_groups(self.written).observe(seen, *quality.id_counts())
+        return cut_lineage(groups.where("_n > 1").select("_key", "_first", "_n")), seen.get
+
     @cached_property
     def _kept(self) -> quality.Kept:
-        return quality.clean_dedup(*self._clean, self.rules)
+        keys = self._ids[0] if "_ids" in self.__dict__ else None
+        return quality.clean_dedup(*self._clean, self.rules, keys)
 
     @property
     def clean_dedup(self) -> DataFrame:
@@ -105,7 +114,8 @@ class Prepared:
 
     @cached_property
     def metrics(self) -> DataFrame:
-        return quality.quality_metrics(self.written, self.rules, self._landed[1])
+        ids = self._ids[1] if self.text_only else None
+        return quality.quality_metrics(self.written, self.rules, self._landed[1], ids)
 
     def report(self) -> DataFrame:
         return quality.quality_report(self.metrics, self.extra_columns)

@@ -6,6 +6,7 @@ import os
 import pytest
 
 from conftest import SAMPLE_ROWS, SF_SMALL, good_row, raw_frame
+from ledgerline.operators import quality
 from ledgerline.plans.pipeline import prepare, run
 from ledgerline.plans.publish import Warehouse
 from ledgerline.rules import RETAIL_REQUIRED_COLUMNS, RETAIL_RULES
@@ -122,6 +123,23 @@ def test_rows_kept_as_text_give_the_same_tables(spark):
     assert sorted(map(str, whole.star().fact_sales.collect())) == sorted(map(str, text.star().fact_sales.collect()))
 
 
+def test_metrics_of_text_rows_find_the_repeated_ids(spark, monkeypatch):
+    """The ids are shuffled once for metrics and dedup, and duplicates by one number a row."""
+    rows = [good_row(**{"Invoice ID": f"I-{i % 9}" if i % 4 else None, "Rating": ["x", "7"][i % 2], "Date": ["1/5/2019", "1/4/2019"][i % 3 == 0]})
+            for i in range(60)]
+    raw = raw_frame(spark, rows)
+    whole, text = prepare(raw, RETAIL_RULES), prepare(raw, RETAIL_RULES, text_only=True)
+    want = whole.metrics.first(), sorted(map(str, whole.clean_dedup.collect()))
+    keys = quality.repeated_keys(whole.clean, "invoice_id", quality.SALE_SECOND)
+    cut, cuts = quality.cut_lineage, []
+    monkeypatch.setattr(quality, "cut_lineage", lambda df: (cuts.append(df.columns), cut(df))[-1])
+    assert text.metrics.first() == want[0]
+    assert cuts == [["_h1"]]
+    assert sorted(map(str, text._ids[0].collect())) == sorted(map(str, keys.collect())) and keys.count() > 3
+    assert sorted(map(str, text.clean_dedup.collect())) == want[1]
+    assert cuts == [["_h1"]]
+
+
 def test_batch_query_writes_the_raw_rows_once(spark, monkeypatch):
     from ledgerline.plans import catalog
     from ledgerline.sources import tables

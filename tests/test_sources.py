@@ -1,15 +1,17 @@
 """All-string CSV source: markers, headers, multiple files."""
 
+import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from ledgerline.plans.pipeline import prepare
 from ledgerline.rules import RETAIL_REQUIRED_COLUMNS, RETAIL_RULES
 from ledgerline.session import cut_table
 from ledgerline.sources.csv import file_layouts, read_csv_strings, write_csv
-from ledgerline.sources.tables import sales_view
+from ledgerline.sources.tables import code_lines, sales_view
 from ledgerline.streaming.incremental import file_stream
 
 HEADER = ",".join(RETAIL_REQUIRED_COLUMNS)
@@ -132,6 +134,41 @@ def test_rows_of_the_raw_view_lie_by_order(spark):
     assert "l_orderkey" in joins[0] and "l_partkey" in joins[1]
 
 
+def odd_lines():
+    """Lines of which each but the first has a value that the code does not hold, or a NULL."""
+    day = dt.datetime(1998, 3, 4)
+    good = [1, 1, 1, 3, 17.0, 1234.56, 0.05, 0.08, "N", "O", day]
+    odd = {3: [None, 70, -1], 4: [None, 5000.0, 2.7, -3.0], 5: [None, 0.005, 1e12], 6: [None, 1.5, -0.01], 7: [None, 2.0, 0.075],
+           8: [None, "", "RR", "\u00e9", " "], 9: [None, "FF"], 10: [None, dt.datetime(1960, 1, 1), dt.datetime(2300, 1, 1, 5)],
+           1: [None, 2], 2: [None, 47]}
+    rows = [good, [4, 1, 1, 63, 4095.0, 99999.99, 1.27, 0.0, "A", "F", dt.datetime(1970, 1, 1)]]
+    rows += [[*good[:i], v, *good[i + 1:]] for i, vs in odd.items() for v in vs]
+    return [[i % 5 + 1 if n else None, *r[1:]] for i, r in enumerate(rows) for n in (1, 0) if n or i == 2]
+
+
+def test_lines_coded_for_the_shuffles_come_back_the_same(spark, tmp_path):
+    tables = {
+        "lineitem": (odd_lines(), "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                     "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+        "orders": ([(k, k) for k in range(1, 6)], "o_orderkey long, o_custkey long"),
+        "customer": ([(k, k % 2, "AUTO") for k in range(1, 6)], "c_custkey long, c_nationkey int, c_mktsegment string"),
+        "nation": ([(0, "X", 0), (1, "Y", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "region": ([(0, "R")], "r_regionkey int, r_name string"),
+        "part": ([(1, "TIN"), (2, "BRASS")], "p_partkey long, p_type string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    for batch in ({}, {"ship_from": "1998-01-01"}, {"ship_before": "1999-01-01"}):
+        plain, coded = (sales_view(spark, str(tmp_path), coded=c, **batch) for c in (False, True))
+        assert plain.dtypes == coded.dtypes and plain.count() > 3
+        assert sorted(map(str, plain.collect())) == sorted(map(str, coded.collect()))
+    li = spark.createDataFrame(*tables["lineitem"]).selectExpr("*", "l_suppkey % 47 = 0 as unrated").withColumn("l_shipdate", F.to_date("l_shipdate"))
+    coded = code_lines(li)
+    assert coded.columns == ["l_orderkey", "l_partkey", "unrated", "ext", "_line", "_rest"]
+    held = coded.where("_line is not null").count()
+    assert 3 < held < li.count() and coded.where("(_line is null) = (_rest is null)").count() == 0
+
+
 def test_files_read_back_smaller_than_the_default_codec(spark):
     rows = spark.range(20000).selectExpr("concat('INV-', cast(id as string), '-1') as invoice_id")
     assert cut_table(rows).bytes < cut_table(rows, codec="snappy").bytes
